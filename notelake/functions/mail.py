@@ -23,7 +23,7 @@ def split_sender(c, mode: str = "api") -> Column:
 
     * ``mbox``   name = header, address = ``""``
     * ``api``    name = header, address = header (address kept as written)
-    * ``slack``  name = address = trimmed header
+    * ``slack``  name = address = trimmed header; a matched address is trimmed
     * ``thread`` name = trimmed header, address = lowercase trimmed header; on a
       match the address is trimmed and lowercased as well.
     """
@@ -39,7 +39,7 @@ def split_sender(c, mode: str = "api") -> Column:
         out_name, out_addr = F.when(hit, name).otherwise(s), F.when(hit, addr).otherwise(s)
     elif mode == "slack":
         out_name = F.when(hit, name).otherwise(trimmed)
-        out_addr = F.when(hit, addr).otherwise(trimmed)
+        out_addr = F.when(hit, strip_ws(addr)).otherwise(trimmed)
     elif mode == "thread":
         out_name = F.when(hit, name).otherwise(trimmed)
         out_addr = F.lower(F.when(hit, strip_ws(addr)).otherwise(trimmed))
@@ -52,7 +52,7 @@ def email_domain(c) -> Column:
     """Domain of an address: strip blanks and quotes, prefer ``<...>``, take the
     text after the last ``@``, trim and lowercase; null when there is no ``@``."""
     s = strip_ws(col_of(c))
-    s = F.regexp_replace(s, r"""^["']+|["']+$""", "")
+    s = F.regexp_replace(F.regexp_replace(s, r'^"+|"+$', ""), r"^'+|'+$", "")
     inner = F.regexp_extract(s, r"<([^>]+)>", 1)
     s = F.when(inner != "", inner).otherwise(s)
     dom = F.lower(strip_ws(F.substring_index(s, "@", -1)))
@@ -68,10 +68,10 @@ def header(headers, name: str, mode: str = "api") -> Column:
     h = col_of(headers)
     if mode == "api":
         hit = F.filter(h, lambda x: F.lower(x["name"]) == name.lower())
-        return F.coalesce(F.element_at(hit, 1)["value"], F.lit(""))
+        return F.coalesce(F.try_element_at(hit, F.lit(1))["value"], F.lit(""))
     if mode == "exact":
         hit = F.filter(h, lambda x: x["name"] == name)
-        return F.element_at(hit, -1)["value"]
+        return F.try_element_at(hit, F.lit(-1))["value"]
     raise ValueError(mode)
 
 
@@ -109,22 +109,44 @@ def decode_b64url(c) -> Column:
         F.when(decoded == "", F.lit(None).cast("string")).otherwise(decoded))
 
 
-# Mail date formats, tried in order after the weekday is removed.
-_DATE_PATTERNS = ["d MMM yyyy H:m:s", "d MMM yyyy H:m"]
+# Accepted mail date shapes (Python strptime formats
+# "%a, %d %b %Y %H:%M:%S %z", "%a, %d %b %Y %H:%M:%S %Z", "%d %b %Y %H:%M:%S %z",
+# "%a, %d %b %Y %H:%M:%S", then, with a trailing comment and offset removed,
+# "%a, %d %b %Y %H:%M:%S" and "%d %b %Y %H:%M:%S").
+_WD = r"(?i:mon|tue|wed|thu|fri|sat|sun),\s+"
+_CORE = r"(\d{1,2}\s+[A-Za-z]{3}\s+\d{4}\s+\d{1,2}:\d{1,2}:\d{1,2})"
+_OFF = r"(?:[+-]\d{4}|[+-]\d{2}:\d{2}|Z)"
+DATE_SHAPES = [
+    rf"^(?:{_WD})?{_CORE}\s+{_OFF}$",
+    rf"^{_WD}{_CORE}\s+(?i:UTC|GMT)$",
+    rf"^{_WD}{_CORE}$",
+]
+DATE_CLEANED_SHAPE = rf"^(?:{_WD})?{_CORE}$"
 
 
 def parse_mail_date(c) -> Column:
-    """RFC 2822-style date to TIMESTAMP_NTZ keeping the sender's wall clock.
+    """Mail Date header to TIMESTAMP_NTZ keeping the sender's wall clock.
 
-    The weekday, a trailing ``(comment)``, and the zone (offset or name) are removed,
-    then the remainder is parsed. The zone is ignored, not converted.
+    Accepts the four strptime shapes above; failing those, a trailing ``(comment)``
+    and then a trailing ``+hhmm`` offset are removed and two shapes retried. The zone
+    is dropped, never converted. Anything else is null.
     """
-    s = strip_ws(col_of(c))
-    s = F.regexp_replace(s, r"^[A-Za-z]{3},\s*", "")
-    s = F.regexp_replace(s, r"\s*\([^)]*\)\s*$", "")
-    s = F.regexp_replace(s, r"\s*([+-]\d{4}|[A-Z]{1,5})\s*$", "")
-    parsed = [F.try_to_timestamp(s, F.lit(p)) for p in _DATE_PATTERNS]
-    return F.to_timestamp_ntz(F.date_format(F.coalesce(*parsed), "yyyy-MM-dd HH:mm:ss"))
+    raw = col_of(c)
+    s = strip_ws(raw)
+    cleaned = strip_ws(F.regexp_replace(F.regexp_replace(raw, r"\s*\([^)]*\)\s*$", ""),
+                                        r"\s*[+-]\d{4}\s*$", ""))
+    cands = [F.when(s.rlike(p), F.regexp_extract(s, p, 1)) for p in DATE_SHAPES]
+    cands.append(F.when(cleaned.rlike(DATE_CLEANED_SHAPE), F.regexp_extract(cleaned, DATE_CLEANED_SHAPE, 1)))
+    core = F.regexp_replace(F.coalesce(*cands), r"\s+", " ")
+    parts = F.split(F.regexp_replace(core, ":", " "), " ")
+    month = F.instr(F.lit(MONTHS), F.upper(parts[1]))
+    return F.when(month % 3 == 1, F.try_make_timestamp_ntz(
+        parts[2].cast("int"), ((month + 2) / 3).cast("int"), parts[0].cast("int"),
+        parts[3].cast("int"), parts[4].cast("int"), parts[5].cast("int")))
+
+
+# Month abbreviations in calendar order.
+MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 
 
 def ms_to_ntz(ms) -> Column:
@@ -138,7 +160,7 @@ def ntz_to_ms(ts) -> Column:
 
 def message_ts(date_header, internal_ms) -> Column:
     """Parsed Date header, else ``internalDate`` (epoch ms, UTC), else null."""
-    return F.coalesce(parse_mail_date(date_header), ms_to_ntz(F.try_cast(col_of(internal_ms), "bigint")))
+    return F.coalesce(parse_mail_date(date_header), ms_to_ntz(col_of(internal_ms).try_cast("bigint")))
 
 
 def days_since(ts, as_of) -> Column:

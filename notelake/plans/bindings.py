@@ -49,6 +49,7 @@ def _message_rows(conv: DataFrame) -> DataFrame:
               .otherwise(F.array(F.lit("INBOX"))))
     date_hdr = (F.when(turn % 7 == 3, F.lit(None).cast("string"))
                 .when(turn % 11 == 4, F.lit("garbage date"))
+                .when(turn % 13 == 6, F.concat(F.date_format(ts, "d MMM yyyy HH:mm:ss"), F.lit(" EST")))
                 .when(turn % 5 == 1, F.concat(F.date_format(ts, "d MMM yyyy HH:mm:ss"), F.lit(" -0700")))
                 .when(turn % 5 == 2, F.concat(F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0000 (UTC)")))
                 .otherwise(F.concat(F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" GMT"))))
@@ -82,3 +83,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def account_ranks(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(MAIN_ACCOUNT, 1), (ALT_ACCOUNT, 2)], "account string, account_rank int")
+
+
+def senders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From-header strings of every shape, one per customer."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 6
+    seg = F.lower(F.col("c_mktsegment"))
+    user = F.lower(F.translate(F.col("c_name"), "#", "."))
+    s = (F.when(k == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit(", "), F.col("c_mktsegment"),
+                                 F.lit('" <'), user, F.lit("@"), seg, F.lit(".example>")))
+         .when(k == 1, F.concat(F.lit("  "), user, F.lit("@"), F.upper(seg), F.lit(".Example ")))
+         .when(k == 2, F.lit(""))
+         .when(k == 3, F.concat(F.lit("No Address "), F.col("c_name")))
+         .when(k == 4, F.concat(F.lit("x@y@"), seg, F.lit(".example")))
+         .otherwise(F.concat(F.col("c_name"), F.lit(" < "), user, F.lit("@"), seg, F.lit(".example >"))))
+    return c.select(F.col("c_custkey").alias("id"), s.alias("from_str"))

@@ -31,6 +31,7 @@ msg_rows AS (
               ELSE 'Re: Offer ' || conv_id END AS subject,
          CASE WHEN turn % 7 = 3 THEN NULL
               WHEN turn % 11 = 4 THEN 'garbage date'
+              WHEN turn % 13 = 6 THEN strftime(ts, '%-d %b %Y %H:%M:%S') || ' EST'
               WHEN turn % 5 = 1 THEN strftime(ts, '%-d %b %Y %H:%M:%S') || ' -0700'
               WHEN turn % 5 = 2 THEN strftime(ts, '%a, %-d %b %Y %H:%M:%S') || ' +0000 (UTC)'
               ELSE strftime(ts, '%a, %-d %b %Y %H:%M:%S') || ' GMT' END AS date_hdr,
@@ -112,3 +113,62 @@ summary AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
+
+
+SENDERS = """
+senders AS (
+  SELECT c_custkey AS id,
+    CASE c_custkey % 6
+      WHEN 0 THEN '"' || c_name || ', ' || c_mktsegment || '" <' || lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.example>'
+      WHEN 1 THEN '  ' || lower(replace(c_name, '#', '.')) || '@' || upper(lower(c_mktsegment)) || '.Example '
+      WHEN 2 THEN ''
+      WHEN 3 THEN 'No Address ' || c_name
+      WHEN 4 THEN 'x@y@' || lower(c_mktsegment) || '.example'
+      ELSE c_name || ' < ' || lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.example >' END AS from_str
+  FROM customer
+)"""
+
+
+def strip_sql(c: str) -> str:
+    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+
+
+def sender_sql(c: str, mode: str) -> tuple[str, str]:
+    hit = f"regexp_matches({c}, '{SENDER_RE}')"
+    g1 = f"regexp_extract({c}, '{SENDER_RE}', 1)"
+    g2 = f"regexp_extract({c}, '{SENDER_RE}', 2)"
+    name = f"regexp_replace({strip_sql(g1)}, '^\"+|\"+$', '', 'g')"
+    tr = strip_sql(c)
+    if mode == "mbox":
+        return f"CASE WHEN {hit} THEN {name} ELSE {c} END", f"CASE WHEN {hit} THEN {g2} ELSE '' END"
+    if mode == "api":
+        return f"CASE WHEN {hit} THEN {name} ELSE {c} END", f"CASE WHEN {hit} THEN {g2} ELSE {c} END"
+    if mode == "slack":
+        return f"CASE WHEN {hit} THEN {name} ELSE {tr} END", f"CASE WHEN {hit} THEN {strip_sql(g2)} ELSE {tr} END"
+    if mode == "thread":
+        return (f"CASE WHEN {hit} THEN {name} ELSE {tr} END",
+                f"lower(CASE WHEN {hit} THEN {strip_sql(g2)} ELSE {tr} END)")
+    raise ValueError(mode)
+
+
+def email_domain_sql(c: str) -> str:
+    s1 = f"regexp_replace(regexp_replace({strip_sql(c)}, '^\"+|\"+$', '', 'g'), '^''+|''+$', '', 'g')"
+    inner = f"regexp_extract({s1}, '<([^>]+)>', 1)"
+    s2 = f"(CASE WHEN {inner} <> '' THEN {inner} ELSE {s1} END)"
+    return f"(CASE WHEN contains({s2}, '@') THEN lower({strip_sql(f'string_split({s2}, {chr(39)}@{chr(39)})[-1]')}) END)"
+
+
+_WD = r"(?i:mon|tue|wed|thu|fri|sat|sun),\s+"
+_CORE = r"(\d{1,2}\s+[A-Za-z]{3}\s+\d{4}\s+\d{1,2}:\d{1,2}:\d{1,2})"
+_OFF = r"(?:[+-]\d{4}|[+-]\d{2}:\d{2}|Z)"
+
+
+def mail_date_sql(c: str) -> str:
+    s = strip_sql(c)
+    cleaned = strip_sql(f"regexp_replace(regexp_replace({c}, '\\s*\\([^)]*\\)\\s*$', ''), '\\s*[+-]\\d{{4}}\\s*$', '')")
+    shapes = [f"^(?:{_WD})?{_CORE}\\s+{_OFF}$", f"^{_WD}{_CORE}\\s+(?i:UTC|GMT)$", f"^{_WD}{_CORE}$"]
+    cands = [f"CASE WHEN regexp_matches({s}, '{p}') THEN regexp_extract({s}, '{p}', 1) END" for p in shapes]
+    cp = f"^(?:{_WD})?{_CORE}$"
+    cands.append(f"CASE WHEN regexp_matches({cleaned}, '{cp}') THEN regexp_extract({cleaned}, '{cp}', 1) END")
+    core = f"regexp_replace(coalesce({', '.join(cands)}), '\\s+', ' ', 'g')"
+    return f"try_strptime({core}, '%d %b %Y %H:%M:%S')"
