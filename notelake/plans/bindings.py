@@ -99,3 +99,26 @@ def senders(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(k == 4, F.concat(F.lit("x@y@"), seg, F.lit(".example")))
          .otherwise(F.concat(F.col("c_name"), F.lit(" < "), user, F.lit("@"), seg, F.lit(".example >"))))
     return c.select(F.col("c_custkey").alias("id"), s.alias("from_str"))
+
+
+# Fixed values for the order-derived message stream.
+SKIP_LABELS = ["P"]
+IMPORT_CUTOFF = "1998-01-01 00:00:00"
+SYNC_AS_OF = "2001-08-01 00:00:00"
+SYNC_DAYS = 365
+
+
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as messages: account = priority, labels = {status, INBOX}, date =
+    order date, subject = priority (so up to 8 messages share a base name); a price
+    without cents stands for a message whose fetch or parse fails."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("msg_id"),
+        F.col("o_orderpriority").alias("account"),
+        F.array(F.col("o_orderstatus"), F.lit("INBOX")).alias("labels"),
+        F.col("o_orderdate").alias("ts"),
+        F.col("o_orderpriority").alias("subject"),
+        (F.col("o_totalprice") == F.floor("o_totalprice")).alias("failed"),
+        F.col("o_orderstatus").alias("status"),
+    )
