@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from notelake.functions.common import col_of, strip_ws
 from notelake.functions.mail import days_since, deep_link, ms_to_ntz, speaker, split_sender
+from notelake.operators.joins import bounded_broadcast
 
 NEEDS_REPLY = "NEEDS REPLY"
 WAITING = "WAITING ON THEM"
@@ -84,7 +85,7 @@ def first_per_thread(threads: DataFrame, ranks: DataFrame) -> DataFrame:
     ranking window, so no per-thread sort is needed. ``ranks`` is the small account
     list (one row per configured mailbox)."""
     cols = [c for c in threads.columns if c != "thread_id"]
-    ranked = threads.join(F.broadcast(ranks), "account", "left")
+    ranked = threads.join(bounded_broadcast(ranks), "account", "left")
     best = ranked.groupBy("thread_id").agg(
         F.min_by(F.struct(*cols), F.struct(F.col("account_rank"), F.col("account"))).alias("r"))
     return best.select("thread_id", *[F.col("r")[c].alias(c) for c in cols])

@@ -122,3 +122,76 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") == F.floor("o_totalprice")).alias("failed"),
         F.col("o_orderstatus").alias("status"),
     )
+
+
+def daily_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label header text per user and day: the day's event types, plus ``Unread``."""
+    e = read_table(spark, sf_dir, "events")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    s = e.groupBy("user_id", day.alias("day")).agg(F.array_sort(F.collect_set("event_type")).alias("_set"))
+    return s.select("user_id", "day", F.array_join(F.concat(F.col("_set"), F.array(F.lit("Unread"))), " , ")
+                    .alias("label_header"))
+
+
+def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger tabs from orders and customers: finished orders are recurring deals
+    (tab per segment and year, brand = segment), the others one-off deals (tab per
+    year, brand from the order key); creator = customer name. Cells are strings in
+    every shape the sheets hold: blank and header-text creators, alias spellings,
+    ``$1,234.56``/``1,234``/``0``/``1.2.3`` rates, several invoice wordings."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+    k = F.col("o_orderkey")
+    rec = F.col("o_orderstatus") == "F"
+    year = F.year("o_orderdate").cast("string")
+    price = F.col("o_totalprice")
+    creator = (F.when(k % 97 == 0, F.lit("")).when(k % 89 == 0, F.lit("Client Name"))
+               .when(k % 11 == 0, F.concat(F.replace(F.col("c_name"), F.lit("Customer#"), F.lit("Cust ")), F.lit(" ")))
+               .otherwise(F.col("c_name")))
+    brand = F.when(~rec, F.when(k % 83 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("Brand#"), ((k * 7919) % 4001).cast("string"))))
+    rate = (F.when(k % 5 == 0, F.concat(F.lit("$"), F.format_string("%.2f", price)))
+            .when(k % 5 == 1, F.format_string("%d,%03d", F.floor(price / 1000).cast("long"),
+                                              (F.floor(price) % 1000).cast("long")))
+            .when(k % 5 == 2, F.lit("")).when(k % 5 == 3, F.lit("0")).otherwise(F.lit("1.2.3")))
+    invoice = (F.when(k % 6 == 0, "Paid").when(k % 6 == 1, "Unpaid").when(k % 6 == 2, "Invoice sent")
+               .when(k % 6 == 3, "pending").when(k % 6 == 4, ""))
+    even = F.year("o_orderdate") % 2 == 0
+    return j.select(
+        F.when(rec, F.concat(F.lit("REC "), F.col("c_mktsegment"), F.lit(" "), year))
+         .otherwise(F.concat(F.lit("ONE-OFF "), year)).alias("tab"),
+        F.when(rec, F.col("c_mktsegment")).alias("tab_brand"),
+        year.alias("year"),
+        F.when(rec, "recurring").otherwise("one-off").alias("kind"),
+        k.alias("row_no"),
+        creator.alias("creator_raw"),
+        brand.alias("brand_raw"),
+        F.date_format("o_orderdate", "MMMM").alias("month"),
+        rate.alias("rate_raw"),
+        F.when(rec, F.when(k % 4 == 0, F.lit("")).otherwise(
+            F.concat(F.lit("1 reel + "), (k % 3).cast("string"), F.lit(" stories")))).alias("deliverables"),
+        F.when(rec | even, F.col("o_orderpriority")).alias("campaign_type"),
+        F.when(~rec & ~even, F.col("o_orderpriority")).alias("campaign_type_alt"),
+        invoice.alias("invoice_raw"),
+        F.when(~rec, F.when(k % 3 == 0, "Approved").when(k % 3 == 1, "pending approval").otherwise(""))
+         .alias("approval_raw"),
+    )
+
+
+def ledger_dictionaries(spark: SparkSession, sf_dir: str):
+    """Lookup tables: creators = customers in good standing; creator aliases = the
+    ``Cust`` spelling of every customer; brands = part brands and segments; brand
+    aliases = a fixed map in which ``machinery`` means "no brand link"."""
+    c = read_table(spark, sf_dir, "customer")
+    p = read_table(spark, sf_dir, "part")
+    creators = c.filter(F.col("c_acctbal") >= 0).select(
+        F.col("c_name").alias("name"), F.concat(F.lit("rec"), F.col("c_custkey").cast("string")).alias("id"))
+    aliases = c.select(F.lower(F.replace(F.col("c_name"), F.lit("Customer#"), F.lit("Cust "))).alias("alias"),
+                       F.lower("c_name").alias("name"))
+    brands = (p.select(F.col("p_brand").alias("name")).distinct()
+              .unionByName(c.select(F.col("c_mktsegment").alias("name")).distinct())
+              .select("name", F.concat(F.lit("b_"), F.lower(F.regexp_replace("name", "[^A-Za-z0-9]", ""))).alias("id")))
+    brand_aliases = spark.createDataFrame([("machinery", None), ("household", "furniture")],
+                                          "alias string, name string")
+    return aliases, creators, brand_aliases, brands
