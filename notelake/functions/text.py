@@ -7,6 +7,7 @@ import html as _html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from notelake.functions.common import col_of, strip_ws
 
@@ -22,7 +23,7 @@ TRUNCATED = "\n\n...(truncated)..."
 NO_BODY = "(no readable body)"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape_full(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else _html.unescape(x))
 
