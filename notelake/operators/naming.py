@@ -57,7 +57,8 @@ def assign_unique_names(df: DataFrame, stem: str, order: Sequence[str], ext: str
 
     ``stem``/``ext`` name columns of ``df`` (``ext`` optional, e.g. ``.pdf``); ``order``
     gives arrival order and must be unique; ``existing`` is a one-column DataFrame
-    of names already in use (full names, extension included).
+    of names already in use (full names, extension included). Input column names
+    must not start with an underscore (reserved for internal columns).
     """
     root_re = "(" + re.escape(sep) + r"\d+)+$"
     ext_c = F.col(ext) if ext else F.lit("")

@@ -195,3 +195,33 @@ def ledger_dictionaries(spark: SparkSession, sf_dir: str):
     brand_aliases = spark.createDataFrame([("machinery", None), ("household", "furniture")],
                                           "alias string, name string")
     return aliases, creators, brand_aliases, brands
+
+
+def doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two vault folders per pair from documents: even ids are files of the old
+    folder, odd ids of the new one, both at ``note-<id div 2>.md`` (so partners share
+    a path). English notes hold a shared boilerplate body, so an English pair is a
+    duplicate; German notes were never copied to the new side."""
+    d = read_table(spark, sf_dir, "documents")
+    even = F.col("doc_id") % 2 == 0
+    key = F.floor(F.col("doc_id") / 2).cast("long")
+    pair = (key % 3).cast("string")
+    body = F.when(F.col("lang") == "en", F.concat(F.lit("shared boilerplate "), key.cast("string"))) \
+        .otherwise(F.col("text"))
+    f = d.filter(even | (F.col("lang") != "de")).select(
+        "doc_id",
+        F.when(even, F.concat(F.lit("old-"), pair)).otherwise(F.concat(F.lit("new-"), pair)).alias("folder"),
+        F.concat(F.lit("note-"), key.cast("string"), F.lit(".md")).alias("rel_path"),
+        F.lit(".md").alias("ext"),
+        F.octet_length(body).cast("long").alias("length"),
+        F.sha2(F.encode(body, "UTF-8"), 256).alias("sha256"))
+    return f
+
+
+def merge_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge pairs ``old-N -> new-N`` for every pair the files use, plus one pair
+    whose old folder does not exist."""
+    f = doc_files(spark, sf_dir)
+    p = f.filter(F.col("folder").startswith("old-")).select(
+        F.col("folder").alias("old"), F.regexp_replace("folder", "^old-", "new-").alias("new")).distinct()
+    return p.unionByName(spark.createDataFrame([("old-missing", "new-missing/sub")], "old string, new string"))
