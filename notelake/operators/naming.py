@@ -71,7 +71,7 @@ def assign_unique_names(df: DataFrame, stem: str, order: Sequence[str], ext: str
     if existing is not None:
         ex_name = F.col(existing.columns[0])
         ex_stem, ex_ext = split_ext(ex_name)
-        ex = existing.select(F.lit(None).cast("long").alias("_id"), ex_stem.alias("_stem"), ex_ext.alias("_ext"),
+        ex = existing.select(F.lit(0).cast("long").alias("_id"), ex_stem.alias("_stem"), ex_ext.alias("_ext"),
                              *[F.lit(None).cast(items.schema[f"_o{i:02d}"].dataType).alias(f"_o{i:02d}")
                                for i in range(len(order))])
         ex = ex.withColumn("_root", F.regexp_replace("_stem", root_re, "")) \
