@@ -6,10 +6,10 @@ existing names plus the names given to earlier items.
 
 Candidate names of a stem never leave the group keyed by the stem with all
 trailing ``sep<digits>`` runs removed (plus the extension), so the rule is applied
-per group. Groups whose items share one stem and that hold no existing name (the
-common case) get ``position - 1`` as the suffix from the distributed ordinal; the
-remaining groups, where natural suffixes or existing names interact, run the
-greedy rule in a grouped pandas function.
+per group. Groups whose items share one stem and whose only existing name, if
+any, is that stem itself (the common case) get their suffix from the distributed
+ordinal; the remaining groups, where natural suffixes or several existing names
+interact, run the greedy rule in a grouped pandas function.
 """
 
 from __future__ import annotations
@@ -71,6 +71,7 @@ def assign_unique_names(df: DataFrame, stem: str, order: Sequence[str], ext: str
     if existing is not None:
         ex_name = F.col(existing.columns[0])
         ex_stem, ex_ext = split_ext(ex_name)
+        existing = existing.distinct()
         ex = existing.select(F.lit(0).cast("long").alias("_id"), ex_stem.alias("_stem"), ex_ext.alias("_ext"),
                              *[F.lit(None).cast(items.schema[f"_o{i:02d}"].dataType).alias(f"_o{i:02d}")
                                for i in range(len(order))])
@@ -79,16 +80,23 @@ def assign_unique_names(df: DataFrame, stem: str, order: Sequence[str], ext: str
         allrows = items.unionByName(ex)
     else:
         allrows = items
-    stats = allrows.groupBy("_root", "_ext").agg(
-        F.count_distinct("_stem").alias("_stems"), F.count_if("_existing").alias("_n_existing"),
-        F.count_if(~F.col("_existing")).alias("_n_items"))
+    per_stem = allrows.groupBy("_root", "_ext", "_stem").agg(
+        F.count_if(~F.col("_existing")).alias("_ni"), F.count_if("_existing").alias("_ne"))
+    stats = per_stem.groupBy("_root", "_ext").agg(
+        F.count_if(F.col("_ni") > 0).alias("_stems"),
+        F.sum("_ne").alias("_n_existing"),
+        F.sum(F.when(F.col("_ni") > 0, F.col("_ne")).otherwise(0)).alias("_n_existing_same"),
+        F.sum("_ni").alias("_n_items"))
     tagged = items.join(stats, ["_root", "_ext"], "left")
-    fast_cond = (F.col("_stems") == 1) & (F.col("_n_existing") == 0)
+    # fast path: one item stem, and the only existing name (if any) is that stem itself
+    fast_cond = (F.col("_stems") == 1) & (F.col("_n_existing") == F.col("_n_existing_same")) \
+        & (F.col("_n_existing") <= 1)
     ocol_names = [f"_o{i:02d}" for i in range(len(order))]
-    fast = ordinal_within(tagged.filter(fast_cond).select("_id", "_root", "_ext", "_stem", *ocol_names),
+    fast = ordinal_within(tagged.filter(fast_cond).select("_id", "_root", "_ext", "_stem", "_n_existing", *ocol_names),
                           ["_root", "_ext"], [*ocol_names, "_id"], out="_pos")
-    fast_named = fast.select("_id", F.when(F.col("_pos") == 0, F.concat("_stem", "_ext"))
-                             .otherwise(F.concat("_stem", F.lit(sep), F.col("_pos").cast("string"), "_ext"))
+    k = F.col("_pos") + F.col("_n_existing")
+    fast_named = fast.select("_id", F.when(k == 0, F.concat("_stem", "_ext"))
+                             .otherwise(F.concat("_stem", F.lit(sep), k.cast("string"), "_ext"))
                              .alias("unique_name"))
     slow_keys = stats.filter(~fast_cond & (F.col("_n_items") > 0)).select("_root", "_ext")
     slow_rows = allrows.join(slow_keys, ["_root", "_ext"], "left_semi")
