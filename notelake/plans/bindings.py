@@ -225,3 +225,30 @@ def merge_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = f.filter(F.col("folder").startswith("old-")).select(
         F.col("folder").alias("old"), F.regexp_replace("folder", "^old-", "new-").alias("new")).distinct()
     return p.unionByName(spark.createDataFrame([("old-missing", "new-missing/sub")], "old string, new string"))
+
+
+# Generic brand and ranked keyword -> sub-brand list for the retag job.
+GENERIC_BRAND = "Acme"
+SUB_BRAND_KEYWORDS = [
+    ("red widget", "Acme Red Widgets", 1),
+    ("widget", "Acme Widgets", 2),
+    ("small ring", "Acme Rings Small", 3),
+    ("ring", "Acme Rings", 4),
+    ("bolt", "Acme Bolts", 5),
+    ("economy", "Acme Value", 6),
+]
+
+
+def part_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes rendered from parts: parts larger than size 25 link the generic brand."""
+    p = read_table(spark, sf_dir, "part")
+    brand = F.when(F.col("p_size") > 25, F.lit(GENERIC_BRAND)).otherwise(F.lit("Other"))
+    content = F.concat(F.lit('---\ntype: email\nrelated_brand: "'), brand, F.lit('"\n---\n\n# '),
+                       F.col("p_name"), F.lit("\n\nAbout [["), brand, F.lit("]] and the "), F.col("p_name"),
+                       F.lit(" ("), F.col("p_type"), F.lit(", "), F.col("p_brand"), F.lit(").\n"))
+    return p.select(F.concat(F.lit("parts/"), F.col("p_partkey").cast("string"), F.lit(".md")).alias("path"),
+                    content.alias("content"))
+
+
+def keyword_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(SUB_BRAND_KEYWORDS, "keyword string, brand string, rank int")

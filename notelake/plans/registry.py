@@ -28,4 +28,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from notelake.plans import q_files, q_labels, q_ledger, q_mail, q_sync, q_text, q_threads  # noqa: F401
+    from notelake.plans import q_brands, q_files, q_labels, q_ledger, q_mail, q_sync, q_text, q_threads  # noqa: F401
