@@ -252,3 +252,57 @@ def part_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyword_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SUB_BRAND_KEYWORDS, "keyword string, brand string, rank int")
+
+
+EMAIL_RE = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+"
+# The fixed domain map and the generic (free-mail) domains.
+FIXED_DOMAINS = [("src1.example", "Fixed Brand One"), ("mail3.example.com", "Fixed Mail Three")]
+GENERIC_DOMAINS = ["mail0.example.com", "src2.example"]
+
+
+def doc_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-mail notes rendered from documents (X17 shape): the sender address is the
+    first address in the text, else ``writer<id>@<source>.example``; the sender sits
+    in ``from_email``, ``from``, ``sender_email`` or only in the body's From line;
+    some notes are captures or plain notes, some have no frontmatter, some end
+    with a Related section; ``related_brand`` is empty (followed by another key)."""
+    d = read_table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    found = F.regexp_extract("text", EMAIL_RE, 0)
+    addr = F.when(found != "", found).otherwise(F.concat(F.lit("writer"), k.cast("string"), F.lit("@"),
+                                                         F.col("source"), F.lit(".example")))
+    typ = F.when(k % 10 == 7, "Capture").when(k % 10 == 9, "note").otherwise("email")
+    sender = (F.when(k % 4 == 0, F.concat(F.lit('from_email: "'), addr, F.lit('"')))
+              .when(k % 4 == 1, F.concat(F.lit('from: "Writer '), k.cast("string"), F.lit(" <"), addr, F.lit('>"')))
+              .when(k % 4 == 2, F.concat(F.lit("sender_email: "), addr))
+              .otherwise(F.lit("account: main")))
+    fm = F.concat(F.lit("---\ntype: "), typ, F.lit("\n"), sender, F.lit('\nsubject: "Doc '), k.cast("string"),
+                  F.lit('"\nrelated_brand:\nstatus: unprocessed\n---\n\n# Doc '), k.cast("string"),
+                  F.lit("\n\n**From:** Writer "), k.cast("string"), F.lit(" <"), addr, F.lit(">\n\n"), F.col("text"),
+                  F.lit("\n"), F.when(k % 8 == 5, F.lit("\n## Related\n- [[Old Brand]]\n")).otherwise(F.lit("")))
+    content = F.when(k % 25 == 3, F.col("text")).otherwise(fm)
+    return d.select(F.concat(F.col("source"), F.lit("/"), k.cast("string"), F.lit(".md")).alias("path"),
+                    F.col("source").alias("folder"), content.alias("content"))
+
+
+def brand_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand profile notes from suppliers: company property (or only an H1, or
+    neither), a ``domain``, a ``contact_email`` and a contact table row."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    company = F.when(k % 4 != 0, F.concat(F.lit('company: "'), F.col("s_name"), F.lit('"\n'))).otherwise(F.lit(""))
+    h1 = F.when(k % 8 != 0, F.concat(F.lit("# "), F.col("s_name"), F.lit(" Inc\n\n"))).otherwise(F.lit(""))
+    content = F.concat(F.lit("---\n"), company,
+                       F.lit("domain: src"), (k % 25).cast("string"), F.lit(".example\n"),
+                       F.lit("contact_email: sales@mail"), (k % 13).cast("string"), F.lit(".example.com\n---\n"),
+                       h1, F.lit("| Name | Email | Role |\n| Rep | rep"), k.cast("string"), F.lit("@partner"),
+                       (k % 9).cast("string"), F.lit(".example | Sales |\n"))
+    return s.select(F.concat(F.lit("Supplier "), k.cast("string"), F.lit(".md")).alias("file"), content.alias("content"))
+
+
+def fixed_domains(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(FIXED_DOMAINS, "domain string, brand string")
+
+
+def generic_domains(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(g,) for g in GENERIC_DOMAINS], "domain string")
