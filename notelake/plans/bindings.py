@@ -306,3 +306,32 @@ def fixed_domains(spark: SparkSession) -> DataFrame:
 
 def generic_domains(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(g,) for g in GENERIC_DOMAINS], "domain string")
+
+
+# Fixed values for the notification binding.
+NOTIFY_LABEL = "purchase"
+NOTIFY_OWN = ["user1@shop.example", "user2@shop.example"]
+NOTIFY_POSTED_BEFORE = "2024-01-10 00:00:00"
+NOTIFY_LIMIT = 50
+
+
+def notify_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled messages from events: purchases are the labelled ones; the sender is
+    the user; the snippet is the event's properties."""
+    e = read_table(spark, sf_dir, "events")
+    return e.filter(F.col("event_type") == NOTIFY_LABEL).select(
+        F.format_string("%012d", "event_id").alias("message_id"),
+        F.col("ts"),
+        F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("sender"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@shop.example")).alias("sender_email"),
+        F.concat(F.lit("Order of "), F.col("value").cast("string")).alias("subject"),
+        F.col("props").alias("snippet"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"),
+        F.lit("shop@own.example").alias("account"),
+        F.concat(F.lit(THREAD_URL), F.format_string("%012d", "event_id")).alias("url"))
+
+
+def notify_posted_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of the previous run: the candidates posted before the state mark."""
+    c = notify_candidates(spark, sf_dir)
+    return c.filter(F.col("ts") < F.lit(NOTIFY_POSTED_BEFORE).cast("timestamp_ntz")).select("message_id")
