@@ -335,3 +335,46 @@ def notify_posted_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of the previous run: the candidates posted before the state mark."""
     c = notify_candidates(spark, sf_dir)
     return c.filter(F.col("ts") < F.lit(NOTIFY_POSTED_BEFORE).cast("timestamp_ntz")).select("message_id")
+
+
+CAL_NOW = "2024-01-20 00:00:00"
+
+
+def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schedule sheets from events: one sheet per event type (one of them an
+    affiliate sheet that the planner skips), the creator named only on some rows
+    (filled down), date cells as text, a serial number and a zero."""
+    e = read_table(spark, sf_dir, "events")
+    sheet = (F.when(F.col("event_type") == "error", "Affiliate error log")
+             .when(F.col("event_type") == "signup", "Gruns signups")
+             .when(F.col("event_type") == "purchase", "LMNT purchases")
+             .when(F.col("event_type") == "click", "One-Off clicks").otherwise("View collabs"))
+    k = F.col("event_id")
+    day = F.to_date("ts")
+    return e.select(
+        sheet.alias("sheet"), k.alias("row"),
+        F.when(k % 5 == 0, F.concat(F.lit("Creator "), F.col("user_id").cast("string"))).otherwise(F.lit("")).alias("client"),
+        F.upper("event_type").alias("type"), F.col("props").alias("deliverables"),
+        F.floor(F.col("value") * 100).cast("double").alias("rate"),
+        day.alias("reel"),
+        F.when(k % 3 == 0, F.lit(None).cast("date")).otherwise(F.date_add(day, 1)).alias("story_1"),
+        F.date_add(day, 2).alias("story_2"),
+        F.lit(None).cast("date").alias("story_3"),
+        F.date_add(day, (k % 4).cast("int")).alias("record"))
+
+
+def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sheets with raw cells: reel as text, story 2 as a serial number,
+    story 3 as 0 (no date), follow-up as text that is not a date."""
+    e = read_table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    return e.select(F.col("event_id").alias("row"), F.date_format(day, "yyyy-MM-dd").alias("reel_text"),
+                    F.datediff(F.date_add(day, 2), F.lit("1899-12-30").cast("date")).cast("double").alias("story_2_serial"),
+                    F.lit(0.0).alias("story_3_serial"), F.lit("not a date").alias("follow_up_text"),
+                    F.date_format(day, "M/d/yyyy").alias("us_text"))
+
+
+def existing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar events from an earlier sync: the reel events of small-``k`` rows,
+    with the description they had then."""
+    return spark.createDataFrame([], "title string, day date, description string")
