@@ -29,6 +29,12 @@ def parse_frontmatter(content) -> Column:
     or ``#``; key before the first colon (stripped), value after it (stripped and
     unquoted); the last duplicate key wins. No frontmatter -> empty map."""
     has, fm_text, _ = frontmatter_parts(content)
+    return parse_frontmatter_text(has, fm_text)
+
+
+def parse_frontmatter_text(has, fm_text) -> Column:
+    """X12 on an already split note (``has`` flag and frontmatter text)."""
+    has, fm_text = col_of(has), col_of(fm_text)
     lines = F.split(F.coalesce(fm_text, F.lit("")), "\n")
     keep = F.filter(lines, lambda l: l.contains(":") & ~strip_ws(l).startswith("-") & ~strip_ws(l).startswith("#"))
     ent = F.transform(keep, lambda l: F.struct(strip_ws(F.substring_index(l, ":", 1)).alias("key"),

@@ -45,11 +45,11 @@ def enrich_decisions(notes: DataFrame, domain_map: DataFrame) -> DataFrame:
     no_sender, no_match, already_linked (property equal and link present) or
     updated (with the rewritten content, X14 + X15). Non-email notes count as
     no_sender (Q16)."""
-    fm = NF.parse_frontmatter("content")
-    has, _, body = NF.frontmatter_parts(F.col("content"))
-    t = F.lower(NF.fm_get(fm, "type"))
-    is_email = has & t.isin("email", "capture", "")
-    n = notes.select("path", "content", fm.alias("fm"), body.alias("body"), is_email.alias("is_email"))
+    has, fm_text, body = NF.frontmatter_parts(F.col("content"))
+    split = notes.select("path", "content", has.alias("_has"), fm_text.alias("_fm_text"), body.alias("body"))
+    split = split.withColumn("fm", NF.parse_frontmatter_text("_has", "_fm_text"))
+    is_email = F.col("_has") & F.lower(NF.fm_get("fm", "type")).isin("email", "capture", "")
+    n = split.select("path", "content", "fm", "body", is_email.alias("is_email"))
     n = n.withColumn("domain", F.when(F.col("is_email"), NF.sender_domain("fm", "body")))
     n = n.join(bounded_broadcast(domain_map), "domain", "left")
     linked = (NF.fm_get("fm", "related_brand") == F.col("brand")) & NF.has_wikilink("body", F.col("brand"))
