@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from notelake.llm import exact_dedup
+from notelake.llm import exact_dedup, line_dedup, mixing, url_reputation
 from notelake.llm.common import table
 
 QUERIES: dict = {}
@@ -27,3 +28,118 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text)""")
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_line_dedup", """
+WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+p AS (SELECT doc_id, unnest(lines) AS line, unnest(generate_series(0, len(lines) - 1)) AS pos FROM l),
+w AS (SELECT doc_id, pos, line AS l1, lead(line, 1) OVER o AS l2, lead(line, 2) OVER o AS l3
+      FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+f AS (SELECT *, min({'id': doc_id, 'pos': pos}) OVER (PARTITION BY l1, l2, l3) AS first
+      FROM w WHERE l3 IS NOT NULL AND (l1 <> '' OR l2 <> '' OR l3 <> '')),
+c AS (SELECT DISTINCT doc_id, pos + k AS pos FROM f, (SELECT unnest([0, 1, 2]) AS k)
+      WHERE NOT (doc_id = first.id AND pos = first.pos)
+        AND (doc_id <> first.id OR pos + k >= first.pos + 3)),
+r AS (SELECT p.doc_id, coalesce(string_agg(p.line, chr(10) ORDER BY p.pos) FILTER (c.pos IS NULL), '') AS text,
+             count(*) AS n_lines, count(c.pos) AS n_removed
+      FROM p LEFT JOIN c ON p.doc_id = c.doc_id AND p.pos = c.pos GROUP BY p.doc_id)
+SELECT d.doc_id, r.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id""")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", F.col("new_text").alias("text"), "n_lines", "n_removed")
+
+
+#: Rules of the URL query: (host and path, verdict).
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+def _url_oracle() -> str:
+    strength = lambda t: f"""SELECT CASE WHEN coalesce(sum(n), 0) = 0 THEN 1.0
+        WHEN sum(bad * bad / n) / sum(n) - pow(sum(bad) / sum(n), 2)
+             - sum(bad) / sum(n) * (1 - sum(bad) / sum(n)) * count(*) / sum(n) <= 0 THEN 1000.0
+        ELSE least(1000.0, greatest(1.0, sum(bad) / sum(n) * (1 - sum(bad) / sum(n)) / (
+             sum(bad * bad / n) / sum(n) - pow(sum(bad) / sum(n), 2)
+             - sum(bad) / sum(n) * (1 - sum(bad) / sum(n)) * count(*) / sum(n)) - 1)) END AS k FROM {t} WHERE n > 0"""
+    fits = lambda r: (lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}'))")(*r.split("/", 1))
+    rules = sorted(URL_RULES, key=lambda r: -len(r[0]))
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r}'" for r, _ in rules) + " END"
+    verdict = "CASE " + " ".join(f"WHEN rule = '{r}' THEN '{v}'" for r, v in rules) + \
+        " WHEN bound > 0.5 THEN 'block' ELSE 'allow' END"
+    two = ", ".join(f"'{x}'" for x in url_reputation.TWO_LABEL_SUFFIXES)
+    last = lambda k: f"array_to_string(list_slice(string_split(host, '.'), -{k}, -1), '.')"
+    return f"""
+WITH u AS (SELECT page_id,
+    coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+known AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL THEN 0 END) AS bad FROM labels GROUP BY doc_id),
+h AS (SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad,
+    CASE WHEN {last(2)} IN ({two}) THEN {last(3)} ELSE {last(2)} END AS domain,
+    CASE WHEN {last(2)} IN ({two}) THEN {last(2)} ELSE {last(1)} END AS suffix
+    FROM u LEFT JOIN known ON page_id = doc_id GROUP BY host),
+d AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
+k0 AS ({strength('s')}), k1 AS ({strength('d')}), k2 AS ({strength('h')}),
+ms AS (SELECT suffix, (bad + k * (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM s)) / (n + k) AS m FROM s, k0),
+md AS (SELECT d.suffix, domain, (bad + k * m) / (n + k) AS m FROM d JOIN ms USING (suffix), k1),
+ab AS (SELECT host, n, bad, bad + k * m AS a, n - bad + k * (1 - m) AS b FROM h JOIN md USING (suffix, domain), k2),
+rep AS (SELECT host, n, bad, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM ab),
+j AS (SELECT *, {rule} AS rule FROM u)
+SELECT page_id, host, path, rule, {verdict} AS verdict, n::BIGINT AS host_labelled, bad::BIGINT AS host_bad
+FROM j JOIN rep USING (host)"""
+
+
+@_query("op9_url_filters", _url_oracle())
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled outcomes: ``labels`` by page id; bad is low quality or toxic."""
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull(), 0)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    out = url_reputation.judge_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return out.select("row.page_id", "host", "path", "rule", "verdict", "host_labelled", "host_bad")
+
+
+#: Parameters of the mix: 0.6 of all tokens, at most two epochs of any source.
+MIX = dict(budget=0.6, epochs=2, seed=7, domain_weights={"d0": 0.5, "d1": 0.3, "d2": 0.2},
+           lang_weights={"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1})
+
+
+def source_domain(source: str = "source") -> Column:
+    """The domain of a source: its trailing number modulo 3 (a stand-in for a source list)."""
+    return F.concat(F.lit("d"), F.pmod(F.coalesce(F.expr(
+        f"try_cast(regexp_extract({source}, '([0-9]{{1,9}})$', 1) AS int)"), F.lit(0)), F.lit(3)).cast("string"))
+
+
+def _mix_oracle() -> str:
+    weight = lambda key, w: "CASE " + " ".join(f"WHEN {key} = '{k}' THEN {v}" for k, v in w.items()) + " ELSE 1.0 END"
+    fill = lambda t, fam, keys: f"""
+      (SELECT {keys}, CASE WHEN cap <= weight * level THEN cap
+         ELSE weight * min(CASE WHEN NOT cap <= weight * level THEN level END) OVER (PARTITION BY {fam}) END AS budget
+       FROM (SELECT *, (given - coalesce(sum(cap) OVER (PARTITION BY {fam} ORDER BY cap / weight, cap, {keys}
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (PARTITION BY {fam}
+               ORDER BY cap / weight, cap, {keys} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM {t}))"""
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    'd' || (coalesce(try_cast(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INT), 0) % 3) AS domain,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens, md5(coalesce(text, '')) AS tie FROM documents),
+leaf AS (SELECT domain, lang, source, sum(n_tokens)::DOUBLE AS tokens, sum(n_tokens) * 2.0::DOUBLE AS cap, 1.0::DOUBLE AS weight FROM d GROUP BY ALL),
+lg AS (SELECT domain, lang, sum(cap) AS cap, ({weight('lang', MIX['lang_weights'])})::DOUBLE AS weight FROM leaf GROUP BY domain, lang),
+dm AS (SELECT 1 AS root, domain, sum(cap) AS cap, ({weight('domain', MIX['domain_weights'])})::DOUBLE AS weight FROM lg GROUP BY domain),
+dm2 AS (SELECT *, (SELECT sum(cap) / 2 * 0.6::DOUBLE FROM dm) AS given FROM dm),
+dmb AS {fill('dm2', 'root', 'domain')},
+lg2 AS (SELECT lg.*, budget AS given FROM lg JOIN dmb USING (domain)),
+lgb AS {fill('lg2', 'domain', 'domain, lang')},
+lf2 AS (SELECT leaf.*, budget AS given FROM leaf JOIN lgb USING (domain, lang)),
+lfb AS {fill('lf2', 'domain, lang', 'domain, lang, source')},
+b AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN floor(budget / tokens + 1e-9) ELSE 2 END::BIGINT AS whole,
+    CASE WHEN tokens > 0 THEN budget ELSE 0.0 END AS budget, tokens FROM lfb JOIN leaf USING (domain, lang, source)),
+m AS (SELECT d.*, whole, greatest(budget - whole * tokens, 0.0) AS rest,
+    md5('7:' || whole || ':' || coalesce(doc_id::VARCHAR, '') || ':' || tie) AS mark FROM d JOIN b USING (domain, lang, source)),
+r AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY mark) AS upto,
+    sum(n_tokens) OVER (PARTITION BY domain, lang, source, left(mark, 3)) AS in_slice FROM m)
+SELECT doc_id, domain, lang, source, n_tokens, whole + (rest > 0 AND upto <= rest)::BIGINT AS copies FROM r"""
+
+
+@_query("op10_mix_sources", _mix_oracle())
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix_sources(table(spark, sf_dir, "documents"), source_domain(), **MIX)
+    return out.select("row.doc_id", "domain", "lang", "source", "n_tokens", "copies")
