@@ -7,7 +7,8 @@ then compared and are equal. No digest decides equality.
 
 A round is one aggregation (``count``/``max``/``min``, combined map-side, so a group that
 holds a third of the rows arrives as one row per task) and one join of the open rows with
-the repeated digits only; both join sides are plain shuffles, so AQE splits a hot digit.
+the repeated digits only; both join sides are plain shuffles (a merge join at every size: the
+number of repeated digits has no bound), so AQE splits a hot digit.
 Only the rest of the open texts is carried on, as a table in the shared folder.
 
 Defined cases: null text counts as empty; a null id is smaller than any id; an empty table
@@ -46,7 +47,7 @@ def mark_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
             ).filter("size > 1"), "radix-groups")
         done = F.col("ended") | F.col("size").isNull()
         round_ = materialise(
-            state.join(repeated, ["path", "ended", "digit"], "left").select(
+            state.join(repeated.hint("merge"), ["path", "ended", "digit"], "left").select(
                 "doc_id", "text_sha256", done.alias("done"),
                 F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                 F.coalesce("size", F.lit(1).cast("bigint")).alias("group_size"),
