@@ -54,7 +54,7 @@ def _covered(packed: DataFrame) -> DataFrame:
                                   F.min(F.struct("id", "tie", "pos")).alias("first")).filter("n > 1").drop("n"),
         "line-windows")
     same_doc = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tie") == F.col("first.tie"))
-    later = occ.join(repeated, ["a", "b"]).filter(~(same_doc & (F.col("pos") == F.col("first.pos"))))
+    later = occ.join(repeated.hint("merge"), ["a", "b"]).filter(~(same_doc & (F.col("pos") == F.col("first.pos"))))
     start = F.when(same_doc, F.greatest(F.col("pos"), F.col("first.pos") + WINDOW)).otherwise(F.col("pos"))
     return later.select("id", "tie", F.struct(start.alias("s"), (F.col("pos") + WINDOW - 1).alias("e")).alias("span")) \
         .groupBy(F.col("id").alias("c_id"), F.col("tie").alias("c_tie")) \
@@ -67,7 +67,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                          F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tie"))
     cov = _covered(packed.drop("row"))
-    split = packed.join(cov, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("tie") == F.col("c_tie")), "left") \
+    split = packed.join(cov.hint("merge"), F.col("id").eqNullSafe(F.col("c_id")) & (F.col("tie") == F.col("c_tie")), "left") \
         .select("row", "text", "cov", F.split("text", "\n", -1).alias("lines"))
     n = F.size("lines")
     # a run of covered positions starts where the one before is missing and ends likewise

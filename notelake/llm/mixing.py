@@ -113,7 +113,7 @@ def mix_sources(docs: DataFrame, domain: Column, budget: float = 1.0, epochs: in
     sums = materialise(placed.groupBy(*leaf, "slice", "rest").agg(F.sum("n_tokens").alias("t")), "mix-slices")
     ahead = F.sum("t").over(Window.partitionBy(*leaf).orderBy("slice"))
     slices = sums.select(*leaf, "slice", (ahead - F.col("t")).alias("before"), ahead.alias("after"))
-    at = placed.join(slices, [*leaf, "slice"])
+    at = placed.join(slices.hint("merge"), [*leaf, "slice"])
     inside = Window.partitionBy(*leaf, "slice").orderBy("mark").rangeBetween(Window.unboundedPreceding, 0)
     edge = at.filter("before < rest AND after > rest") \
         .withColumn("upto", F.col("before") + F.sum("n_tokens").over(inside)) \
@@ -124,5 +124,5 @@ def mix_sources(docs: DataFrame, domain: Column, budget: float = 1.0, epochs: in
     taken = edge.unionAll(clear).groupBy(F.col("id").alias("t_id"), F.col("tie").alias("t_tie")) \
         .agg(F.max(F.col("whole") + F.col("more").cast("long")).alias("copies"))
     return packed.withColumn("tie", F.md5(F.coalesce("text", F.lit("")))) \
-        .join(taken, F.col("id").eqNullSafe(F.col("t_id")) & (F.col("tie") == F.col("t_tie"))) \
+        .join(taken.hint("merge"), F.col("id").eqNullSafe(F.col("t_id")) & (F.col("tie") == F.col("t_tie"))) \
         .select("row", *leaf, "n_tokens", "copies")

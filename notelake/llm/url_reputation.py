@@ -109,7 +109,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"))
     rep = materialise(host_reputation(materialise(outcomes, "url-hosts"), z), "url-reputation")
     rule, by_rule = rule_for(F.col("host"), F.col("path"), rules)
-    return packed.join(rep, "host").select(
+    return packed.join(rep.hint("merge"), "host").select(
         "row", "host", "path", rule.alias("rule"),
         F.coalesce(by_rule, F.when(F.col("bound") > threshold, "block").otherwise("allow")).alias("verdict"),
         F.col("n").alias("host_labelled"), F.col("bad").alias("host_bad"), "bound")
