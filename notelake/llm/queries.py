@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notelake.llm import exact_dedup, line_dedup, mixing, url_reputation
-from notelake.llm.common import table
+from notelake.llm import bpe, exact_dedup, lang_id, line_dedup, mixing, token_counts, token_store, url_reputation
+from notelake.llm.common import scratch, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -143,3 +144,38 @@ SELECT doc_id, domain, lang, source, n_tokens, whole + (rest > 0 AND upto <= res
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(table(spark, sf_dir, "documents"), source_domain(), **MIX)
     return out.select("row.doc_id", "domain", "lang", "source", "n_tokens", "copies")
+
+
+@_query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = token_counts.UnigramVocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocab)
+
+
+@_query("op3_token_store")
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text with the end id 2, written to a store in the shared folder and read back."""
+    path = scratch(spark, "token-store")
+    token_store.write_token_store(table(spark, sf_dir, "documents"), path,
+                                  public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_store.read_index(spark, path)
+
+
+@_query("op4_bpe_round_trip")
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 keep=[F.col("doc_id")])
+    return out.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def held_out() -> Column:
+    """Documents that no model of these queries learns from: crc32 of the id as text, modulo 3, is 1."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+@_query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = lang_id.fit(docs.filter(~held_out()))
+    out = lang_id.predict(docs, model, keep=[F.col("doc_id"), held_out().alias("held_out")])
+    return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
