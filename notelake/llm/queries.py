@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notelake.llm import bpe, exact_dedup, lang_id, line_dedup, mixing, token_counts, token_store, url_reputation
+from notelake.llm import bpe, exact_dedup, fingerprint, lang_id, line_dedup, mixing, token_counts, token_store, url_reputation
 from notelake.llm.common import scratch, table
 
 QUERIES: dict = {}
@@ -179,3 +179,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = lang_id.fit(docs.filter(~held_out()))
     out = lang_id.predict(docs, model, keep=[F.col("doc_id"), held_out().alias("held_out")])
     return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
+@_query("op5_fingerprints")
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
