@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notelake.llm import bpe, exact_dedup, fingerprint, lang_id, line_dedup, mixing, token_counts, token_store, url_reputation
+from notelake.llm import bpe, exact_dedup, fingerprint, lang_id, line_dedup, mixing, ngram_join, token_counts, token_store, url_reputation
 from notelake.llm.common import scratch, table
 
 QUERIES: dict = {}
@@ -184,3 +184,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_fingerprints")
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_ngram_jaccard")
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles, similarity 0.9."""
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), width=3, num=9, den=10)
