@@ -56,8 +56,9 @@ def share_out(children: DataFrame, family: list[str]) -> DataFrame:
     left = w.rowsBetween(0, Window.unboundedFollowing)
     level = (F.col("given") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(left)
     ranked = children.withColumn("level", level).withColumn("full", F.col("cap") <= F.col("weight") * F.col("level"))
-    # children are full up to some rank; the level at the first one that is not holds for the rest
-    rest = F.min(F.when(~F.col("full"), F.col("level"))).over(Window.partitionBy(*family))
+    # children are full up to some rank; the level rises up to the first that is not, where it
+    # holds for the rest, and falls from there on
+    rest = F.max(F.when(~F.col("full"), F.col("level"))).over(Window.partitionBy(*family))
     return ranked.withColumn("budget", F.when(F.col("full"), F.col("cap")).otherwise(F.col("weight") * rest)) \
         .drop("level", "full", "given")
 

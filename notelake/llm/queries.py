@@ -114,7 +114,7 @@ def _mix_oracle() -> str:
     weight = lambda key, w: "CASE " + " ".join(f"WHEN {key} = '{k}' THEN {v}" for k, v in w.items()) + " ELSE 1.0 END"
     fill = lambda t, fam, keys: f"""
       (SELECT {keys}, CASE WHEN cap <= weight * level THEN cap
-         ELSE weight * min(CASE WHEN NOT cap <= weight * level THEN level END) OVER (PARTITION BY {fam}) END AS budget
+         ELSE weight * max(CASE WHEN NOT cap <= weight * level THEN level END) OVER (PARTITION BY {fam}) END AS budget
        FROM (SELECT *, (given - coalesce(sum(cap) OVER (PARTITION BY {fam} ORDER BY cap / weight, cap, {keys}
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (PARTITION BY {fam}
                ORDER BY cap / weight, cap, {keys} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM {t}))"""
