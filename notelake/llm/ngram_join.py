@@ -57,6 +57,7 @@ _WORD = re.compile("[^\x20\x09-\x0D]+")
 BITMAP = 16                     # longs of the parity bitmap
 RANGE_BITS = 8                  # hash ranges of the count
 HEAVY = 1 << 20                 # shingles placed last by their counts
+NO_ID = (1 << 63) - 1           # stands for a null id
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _KNOWN: dict[str, int] = {}
 
@@ -219,8 +220,8 @@ def _sets_of(wanted: DataFrame, members: DataFrame, docs: DataFrame, width: int)
                     [rb.column(0), pa.array([shingle_set(t, width).astype("<u8").tobytes() for t in rb.column(1).to_pylist()],
                                             pa.binary())], names=["cls", "shingles"])
 
-    some = members.join(wanted.distinct(), "cls").select("cls", "row_id")
-    texts = docs.join(some.hint("merge"), "row_id").select("cls", "text")
+    some = members.join(wanted.distinct().hint("merge"), "cls").select("cls", "idk", "hash")
+    texts = docs.join(some.hint("merge"), ["idk", "hash"]).dropDuplicates(["cls"]).select("cls", "text")
     return texts.mapInArrow(run, "cls long, shingles binary")
 
 
@@ -245,34 +246,70 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _classes(sig: DataFrame) -> DataFrame:
+    """One row per distinct set: ``size, digest, cls, least`` and the key of its first document.
+
+    ``least`` is the smallest id of the documents of the set and also the number of the
+    class; where ids repeat with different texts, all but one of those sets get a negative
+    number from a hash."""
+    per_set = materialise(sig.filter("size > 0").groupBy("size", "digest").agg(F.min(F.struct("idk", "hash")).alias("first"))
+                          .select("size", "digest", "first.idk", "first.hash"), "jaccard-sets")
+    owner = per_set.groupBy("idk").agg(F.min("digest").alias("owner"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    own = F.col("owner").isNull() | (F.col("owner") == F.col("digest"))
+    return materialise(per_set.join(owner, "idk", "left").select(
+        "size", "digest", "idk", "hash", F.col("idk").alias("least"),
+        F.when(own, F.col("idk")).otherwise(F.xxhash64("idk", "digest").bitwiseOR(F.lit(-(1 << 63)))).alias("cls")), "jaccard-classes")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """``id, idk, hash, text`` of each document: ``(idk, hash)`` is equal for repeated rows only."""
+    return docs.select(*more, F.col(id_col).cast("long").alias("id"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("idk"),
+                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"), F.col(text_col).alias("text"))
+
+
 def jaccard_classes(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id",
                     text_col: str = "text", heavy: int = HEAVY) -> DataFrame:
     """``doc_id, n_shingles, component_id``: documents linked (directly or not) by shingle sets
-    of Jaccard similarity ``num / den`` or more."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # a number for each text: rows of equal id and text are one
-    rows = rows.select("id", "text", F.xxhash64(F.coalesce("id", F.lit(-1)), F.coalesce("text", F.lit(""))).alias("row_id"))
+    of Jaccard similarity ``num / den`` or more; the component is named by its smallest id."""
+    own = F.nullif(F.col("component"), F.lit(NO_ID))
+    return _linked(_keyed(docs, id_col, text_col), width, num, den, heavy).select(
+        F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"),
+        F.when(F.col("size") == 0, F.col("id")).otherwise(own).alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id",
+                     text_col: str = "text", heavy: int = HEAVY) -> DataFrame:
+    """``docs`` (all columns) with one document of each component: that of the smallest id (of
+    equal ids, the smallest text hash). Documents without words all stay."""
+    packed = _keyed(docs, id_col, text_col, F.struct("*").alias("row"))
+    found = materialise(_linked(packed.drop("row"), width, num, den, heavy), "jaccard-found")
+    first = found.filter("size > 0").groupBy("component").agg(F.min(F.struct("idk", "hash")).alias("k")).select("k.*")
+    bare = packed.join(found.filter("size = 0").select("idk", "hash").distinct().hint("merge"), ["idk", "hash"], "left_semi")
+    one = packed.join(first.hint("merge"), ["idk", "hash"], "left_semi").dropDuplicates(["idk", "hash"])
+    return bare.select("row.*").unionAll(one.select("row.*"))
+
+
+def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> DataFrame:
+    """``id, idk, hash, size, component`` of each row (component null where size is 0)."""
+    spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(heavy_shingles(rows, width, heavy))
-    sig = rows.select(F.struct("id", "row_id").alias("key"), "text").mapInArrow(
+    key = "key struct<id:bigint,idk:bigint,hash:bigint>"
+    sig = rows.select(F.struct("id", "idk", "hash").alias("key"), "text").mapInArrow(
         _signatures(width, num, den, shared),
-        "id struct<id:bigint,row_id:bigint>, size long, digest binary, prefix array<bigint>, prefix_digest binary, bits array<bigint>")
-    sig = materialise(sig.select("id.id", "id.row_id", "size", "digest", "prefix", "prefix_digest", "bits"), "jaccard-signatures")
-
-    # classes: one row per distinct set; a class is known by the row id of its first document
-    per_set = sig.filter("size > 0").groupBy("size", "digest").agg(
-        F.min(F.struct(F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"), "row_id")).alias("first"))
-    per_set = materialise(per_set.select("size", "digest", F.col("first.row_id").alias("cls"), F.col("first.id").alias("least")), "jaccard-classes")
-    members = per_set.select("cls", F.col("cls").alias("row_id"))
-    reps = sig.select("row_id", "size", "prefix", "prefix_digest", *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(BITMAP)]) \
-        .join(members.hint("merge"), "row_id").dropDuplicates(["cls"])
+        f"{key}, size long, digest binary, prefix array<bigint>, prefix_digest binary, bits array<bigint>")
+    sig = materialise(sig.select("key.*", "size", "digest", "prefix", "prefix_digest", "bits"), "jaccard-signatures")
+
+    classes = _classes(sig)
+    members = classes.select("cls", "idk", "hash")
+    bits = [f"b{i}" for i in range(BITMAP)]
+    reps = sig.select("idk", "hash", "size", "prefix", "prefix_digest", *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(BITMAP)]) \
+        .join(members.hint("merge"), ["idk", "hash"]).dropDuplicates(["cls"])
     # groups: classes of identical prefix and size; a group is known by its smallest class
     groups = reps.groupBy("size", "prefix_digest").agg(F.min("cls").alias("grp"))
     reps = materialise(reps.join(groups.hint("merge"), ["size", "prefix_digest"]).drop("prefix_digest"), "jaccard-groups")
-    bits = [f"b{i}" for i in range(BITMAP)]
     entry = reps.filter("cls = grp").select("grp", "size", F.explode("prefix").alias("token"))
-    shared_tokens = entry.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("size", "grp")).alias("first")) \
-        .filter("n > 1").select("token", F.col("first.grp").alias("center"))
+    shared_tokens = entry.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("grp").alias("center")).filter("n > 1")
     shared_tokens = materialise(shared_tokens, "jaccard-tokens")
     lists = materialise(entry.join(shared_tokens.hint("merge"), "token").select("token", "grp", "center"), "jaccard-lists")
 
@@ -286,7 +323,7 @@ def jaccard_classes(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
         .filter(_overlap_ok("x", "y", num, den)).select("a", "b")
     near = materialise(near, "jaccard-star")
     sets = lambda p: materialise(_sets_of(p.select(F.col("a").alias("cls")).unionAll(p.select(F.col("b").alias("cls"))), members,
-                                          rows.dropDuplicates(["row_id"]).select("row_id", "text"), width), "jaccard-sets")
+                                          rows.select("idk", "hash", "text"), width), "jaccard-sets")
     links = materialise(_verify(near, sets(near), num, den), "jaccard-links")
     found = components(links)
 
@@ -318,10 +355,8 @@ def jaccard_classes(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
         .select(F.col("la").alias("a"), F.col("lb").alias("b"))
     top = components(joined).select(F.col("node").alias("label"), F.col("label").alias("top"))
     final = label_of.join(top.hint("merge"), "label", "left").select("cls", F.coalesce("top", "label").alias("comp"))
-    final = materialise(final.join(per_set.hint("merge"), "cls").select("comp", "size", "digest", "least"), "jaccard-final")
+    final = materialise(final.join(classes.hint("merge"), "cls").select("comp", "size", "digest", "least"), "jaccard-final")
     least = final.groupBy("comp").agg(F.min("least").alias("component"))
     by_set = materialise(final.join(least.hint("merge"), "comp").select("size", "digest", "component"), "jaccard-components")
-    own = F.nullif(F.col("component"), F.lit((1 << 63) - 1))
-    return sig.select("id", "size", "digest").join(by_set.hint("merge"), ["size", "digest"], "left").select(
-        F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"),
-        F.when(F.col("size") == 0, F.col("id")).otherwise(own).alias("component_id"))
+    return sig.select("id", "idk", "hash", "size", "digest").join(by_set.hint("merge"), ["size", "digest"], "left") \
+        .select("id", "idk", "hash", "size", "component")
