@@ -28,7 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,15 +51,18 @@ _WORKER: dict = {}
 class WordEncoder:
     """The tokenizers library with a memory of the chunks between spaces and line ends. The
     vocabulary drops white space and never joins across it, so a text's ids are those of its
-    chunks; chunks are encoded by the library and remembered up to ``max_chunks``."""
+    chunks; chunks are encoded by the library and remembered up to ``max_chunks`` (about
+    200 MB; what is forgotten is encoded again)."""
 
-    def __init__(self, path: str, max_chunks: int = 300_000):
+    def __init__(self, path: str, max_chunks: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
         self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise ValueError("ids are serialised on little-endian machines only")
         self.max_chunks, self.known = max_chunks, {}
 
     def encode_batch(self, texts: list[str], end_id: int) -> list[bytes]:
@@ -68,9 +73,9 @@ class WordEncoder:
             self.known = {}
         new = list(wanted.difference(self.known))
         got = self.tok.encode_batch_fast(new, add_special_tokens=False)
-        dtype = self.dtype
-        self.known.update((c, np.array(e.ids, dtype=dtype).tobytes()) for c, e in zip(new, got))
-        end, known = np.array([end_id], dtype=dtype).tobytes(), self.known.__getitem__
+        code = "H" if self.dtype == "<u2" else "I"
+        self.known.update((c, array(code, e.ids).tobytes()) for c, e in zip(new, got))
+        end, known = array(code, [end_id]).tobytes(), self.known.__getitem__
         return [b"".join(map(known, s)) + end for s in split]
 
 
