@@ -1,8 +1,8 @@
 """Brand linking: J1, J2, J3, P13, X18, A12 (jobs Q2 brand guess, Q4 retag).
 
-Ranked dictionaries (``keyword, brand, rank``) are small inputs; a substring
-match is a theta join against the size-checked dictionary, and "first in list
-order wins" is ``min_by(brand, rank)`` per row, which is a partial aggregate.
+Ranked dictionaries (``keyword, brand, rank``) are small inputs; they are evaluated once
+to an array in rank order, and "first in list order wins" is the first element of it that
+occurs in the text: a projection, without a join or a shuffle of the texts.
 """
 
 from __future__ import annotations
@@ -10,33 +10,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notelake.operators.joins import bounded_broadcast
+from notelake.operators.joins import first_term, ranked_terms
 
 
 def lookup_brand(df: DataFrame, domains: DataFrame, domain_col: str = "domain") -> DataFrame:
     """Exact domain -> brand (left join; ``domains`` has ``domain, brand``)."""
     d = domains.select(F.col("domain").alias(domain_col), F.col("brand").alias("domain_brand"))
-    return df.join(bounded_broadcast(d), domain_col, "left")
+    return df.join(d, domain_col, "left")
 
 
-def first_contained(df: DataFrame, text: Column, ranked: DataFrame, key: str,
+def first_contained(df: DataFrame, text: Column, ranked: DataFrame,
                     term_col: str = "keyword", value_col: str = "brand", out: str = "match") -> DataFrame:
-    """For each row (identified by ``key``) the ``value_col`` of the first
-    dictionary entry in rank order whose lowercase ``term_col`` occurs in the
-    lowercase ``text``; null when none does."""
-    probe = df.select(F.col(key).alias("_k"), F.lower(text).alias("_t"))
-    d = ranked.select(F.lower(F.col(term_col)).alias("_term"), F.col(value_col).alias("_v"), F.col("rank").alias("_r"))
-    hits = probe.join(bounded_broadcast(d), F.col("_t").contains(F.col("_term")), "inner")
-    best = hits.groupBy("_k").agg(F.min_by("_v", F.struct("_r", "_term")).alias(out))
-    return df.join(best, df[key] == best["_k"], "left").drop("_k")
+    """For each row the ``value_col`` of the first dictionary entry in rank order whose
+    lowercase ``term_col`` occurs in the lowercase ``text``; null when none does."""
+    low = df.withColumns({"_low": F.lower(text), "_terms": ranked_terms(ranked, term_col, value_col)})
+    # both are used twice, so they are computed once a row and not once a term
+    known = F.col("_low").isNotNull() & F.col("_terms").isNotNull()
+    return low.withColumn(out, F.when(known, first_term(F.col("_low"), F.col("_terms")))).drop("_low", "_terms")
 
 
-def brand_from_subject(df: DataFrame, brands_ranked: DataFrame, key: str) -> DataFrame:
+def brand_from_subject(df: DataFrame, brands_ranked: DataFrame) -> DataFrame:
     """A brand whose lowercase name occurs in the subject, only where J1 missed;
     else ``""``."""
-    g = first_contained(df, F.coalesce(F.col("subject"), F.lit("")), brands_ranked.withColumnRenamed("brand", "name")
-                        .select(F.col("name").alias("keyword"), F.col("name").alias("brand"), "rank"), key,
-                        out="subject_brand")
+    names = brands_ranked.select(F.col("brand").alias("keyword"), "brand", "rank")
+    g = first_contained(df, F.coalesce(F.col("subject"), F.lit("")), names, out="subject_brand")
     return g.withColumn("brand", F.coalesce(F.col("domain_brand"), F.col("subject_brand"), F.lit("")))
 
 
@@ -55,12 +52,12 @@ def replace_link(content, old: str, new) -> Column:
                             F.concat(F.lit('related_brand: "'), n, F.lit('"')))
 
 
-def retag(notes: DataFrame, generic: str, keywords: DataFrame, key: str = "path") -> DataFrame:
+def retag(notes: DataFrame, generic: str, keywords: DataFrame) -> DataFrame:
     """Q4: notes linked to the generic brand get the first sub-brand whose keyword
     occurs in the lowercase note; the link and property are rewritten. Notes that
     already carry the ``via`` form are left alone (Q12 fix: reruns change nothing)."""
     linked = linked_to(notes, generic).filter(~F.col("content").contains(f"(via [[{generic}]])"))
-    m = first_contained(linked, F.col("content"), keywords, key, out="sub_brand")
+    m = first_contained(linked, F.col("content"), keywords, out="sub_brand")
     return m.withColumn("new_content", F.when(F.col("sub_brand").isNotNull(),
                                               replace_link("content", generic, F.col("sub_brand"))))
 

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notelake.operators.brands import first_contained
+from notelake.operators.sequence import last_within
 
-# Sheet-name words that mark non-schedule sheets; brand rules in
-# order (substring -> brand); brand colours with the default; event tag; date labels.
+# Sheet-name words that mark non-schedule sheets; header names of each logical
+# column in order of preference; date columns with their labels in order.
 EXCLUDED_SHEET_WORDS = ["agencies", "affiliate", "commission"]
-BRAND_RULES = [("lmnt", "LMNT"), ("gruns", "Gruns"), ("equip", "Equip"), ("hume", "Hume"),
-               ("skinhaven", "SkinHaven"), ("dermalea", "SkinHaven"), ("hellofresh", "HelloFresh"),
-               ("one-off", "One-Off"), ("one off", "One-Off")]
-BRAND_COLOURS = {"LMNT": "7", "Gruns": "10", "Equip": "9", "Hume": "3", "SkinHaven": "4",
-                 "HelloFresh": "6", "One-Off": "5", "default": "8"}
-EVENT_TAG = "[ENT]"
+SHEET_COLUMNS = {
+    "client": ["client name", "client"], "month": ["month"],
+    "type": ["campaign type", "campiagn type", "type"], "deliverables": ["deliverables"],
+    "rate": ["rate $", "rate", "amount"], "reel": ["reel date"],
+    "story_1": ["story share #1 date", "story #1 date"], "story_2": ["story share #2 date", "story #2 date"],
+    "story_3": ["story share #3 date", "story #3 date"], "live": ["live date"],
+    "follow_up": ["follow up date"], "record": ["record date"],
+}
 DATE_LABELS = [("reel", "Reel"), ("story_1", "Story #1"), ("story_2", "Story #2"), ("story_3", "Story #3"),
                ("live", "Live"), ("follow_up", "Follow-Up"), ("record", "Record")]
 
@@ -44,36 +48,50 @@ def schedule_sheets(df: DataFrame) -> DataFrame:
     return df.filter(~bad)
 
 
-def sheet_brand(sheet) -> Column:
-    """First matching brand rule, else the first word of the sheet name."""
-    low = F.lower(F.col(sheet) if isinstance(sheet, str) else sheet)
-    out = None
-    for kw, brand in BRAND_RULES:
-        out = F.when(low.contains(kw), brand) if out is None else out.when(low.contains(kw), brand)
-    return out.otherwise(F.split(F.col(sheet), " ")[0])
+def scan_sheet(raw: DataFrame, sheet: str, order: str, spec: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """One sheet with the logical columns of ``spec`` (absent ones null, all strings) from
+    a frame whose columns are the sheet's headers; ``order`` is its row number column. A sheet
+    without data rows gives none."""
+    hit = resolve_columns([c for c in raw.columns if c != order], spec or SHEET_COLUMNS)
+    return raw.select(F.lit(sheet).alias("sheet"), F.col(order).alias("row"), *[
+        (F.lit(None) if h is None else F.col(f"`{h}`")).cast("string").alias(c) for c, h in hit.items()])
 
 
-def brand_colour(brand) -> Column:
-    c = F.col(brand) if isinstance(brand, str) else brand
-    m = F.create_map(*[x for k, v in BRAND_COLOURS.items() if k != "default" for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.element_at(m, c), F.lit(BRAND_COLOURS["default"]))
+def sheet_brand(df: DataFrame, rules: DataFrame, sheet: str = "sheet", out: str = "brand") -> DataFrame:
+    """The brand of the first rule (``keyword, brand, rank``) whose keyword occurs in the
+    sheet name, else the first word of the name."""
+    return first_contained(df, F.col(sheet), rules, out=out) \
+        .withColumn(out, F.coalesce(out, F.split(F.col(sheet), " ")[0]))
+
+
+def brand_colour(df: DataFrame, colours: DataFrame, default: str, brand: str = "brand", out: str = "colour") -> DataFrame:
+    """The colour of each row's brand from ``colours(brand, colour)``, else the default."""
+    c = colours.select(F.col("brand").alias(brand), F.col("colour").alias(out))
+    return df.join(c, brand, "left").withColumn(out, F.coalesce(out, F.lit(default)))
 
 
 def fill_down(df: DataFrame, col: str, part: str, order: str) -> DataFrame:
-    """Carry the last non-blank value of ``col`` down the rows of each ``part``.
-    Rows before the first value stay null (dropped by P16)."""
-    w = Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    """Carry the last non-blank value of ``col`` down the rows of each ``part``; ``order``
+    is unique in it. Rows before the first value stay null (dropped by P16). A sheet of any
+    size is spread over ranges of its rows."""
     v = F.when(F.trim(F.col(col)) != "", F.trim(F.col(col)))
-    return df.withColumn(col, F.last(v, ignorenulls=True).over(w))
+    return last_within(df, [part], [order], v, col)
+
+
+# Date texts that cells hold, tried in order (names of months in English).
+DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
+                "d MMM yyyy", "d MMMM yyyy", "M-d-yyyy", "M/d/yy"]
 
 
 def cell_to_date(text: Column, number: Column | None = None) -> Column:
-    """A date cell: a serial number (days since 1899-12-30, 0 = no date), else
-    a ``yyyy-MM-dd`` / ``M/d/yyyy`` string; anything else is no date."""
-    s = F.trim(text)
-    d = F.coalesce(F.try_to_date(s, "yyyy-MM-dd"), F.try_to_date(s, "M/d/yyyy"))
+    """A date cell: a serial number (days since 1899-12-30, 0 = no date), else a text in
+    one of ``DATE_FORMATS``, with or without a weekday before it and a time after it; anything
+    else is no date."""
+    s = F.regexp_replace(F.trim(text), r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
+    s = F.regexp_replace(s, r"[T\s]+\d{1,2}:\d{2}.*$", "")
+    d = F.coalesce(*[F.try_to_date(s, f) for f in DATE_FORMATS])
     if number is not None:
-        serial = F.when(number != 0, F.date_add(F.lit("1970-01-01").cast("date"), (number - 25569).cast("int")))
+        serial = F.when(number != 0, F.date_add(F.lit("1970-01-01").cast("date"), F.floor(number - 25569).cast("int")))
         return F.coalesce(serial, d)
     return d
 
@@ -88,46 +106,66 @@ def unpivot_dates(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
         .filter(F.col("day").isNotNull())
 
 
-def plan_calendar(sheet_rows: DataFrame, existing: DataFrame, now: Column, stale_days: int = 7) -> DataFrame:
+def plan_calendar(sheet_rows: DataFrame, existing: DataFrame, now: Column, rules: DataFrame, tag: str,
+                  source: str, stale_days: int = 7) -> DataFrame:
     """Q12: rows -> (title, day, description) events with the fold outcome
-    created / updated / skipped (stale dates count as skipped)."""
+    created / updated / skipped (dates whose midnight is more than ``stale_days`` before
+    ``now`` count as skipped, P12). ``tag`` starts each title, ``source`` ends each
+    description."""
     rows = schedule_sheets(sheet_rows)
     rows = fill_down(rows, "client", "sheet", "row").filter(F.col("client").isNotNull())
-    rows = rows.withColumn("brand", sheet_brand("sheet"))
+    rows = sheet_brand(rows, rules)
     dates = unpivot_dates(rows, ["sheet", "row", "client", "brand", "type", "deliverables", "rate"])
-    stale = F.col("day") < F.to_date(F.timestamp_add("DAY", F.lit(-stale_days), now))
-    title = F.concat_ws(" ", F.lit(EVENT_TAG), F.concat_ws(" - ", "client", F.concat_ws(" ", "brand", "label")))
-    desc = F.concat_ws("\n",
-                       F.concat(F.lit("Creator: "), F.col("client")),
-                       F.concat(F.lit("Brand: "), F.col("brand"), F.lit(" ("), F.col("sheet"), F.lit(")")),
-                       F.concat(F.lit("Type: "), F.col("type")),
-                       F.concat(F.lit("Deliverables: "), F.col("deliverables")),
-                       F.when(F.coalesce(F.col("rate"), F.lit(0)) != 0,
-                              F.concat(F.lit("Rate: $"), F.format_number(F.col("rate"), 0))),
-                       F.lit("\nSource: Master Brand Collabs Sheet"))
-    ev = dates.select("sheet", "row", "col_pos", "day", title.alias("title"), desc.alias("description"),
+    stale = F.col("day").cast("timestamp_ntz") < F.timestamp_add("DAY", F.lit(-stale_days), now)
+    title = F.concat_ws(" ", F.lit(tag), F.concat_ws(" - ", "client", F.concat_ws(" ", "brand", "label")))
+    ev = dates.select("sheet", "row", "col_pos", "day", title.alias("title"), event_text(source).alias("description"),
                       stale.alias("stale"))
     return fold_upserts(ev, existing)
 
 
+def event_text(source: str) -> Column:
+    """The description: absent type and deliverables keep their line, an absent or zero
+    rate drops it; rates have thousands separators and up to three decimals."""
+    blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    return F.concat_ws("\n",
+                       F.concat(F.lit("Creator: "), F.col("client")),
+                       F.concat(F.lit("Brand: "), F.col("brand"), F.lit(" ("), F.col("sheet"), F.lit(")")),
+                       F.concat(F.lit("Type: "), blank("type")),
+                       F.concat(F.lit("Deliverables: "), blank("deliverables")),
+                       F.when(F.coalesce(F.col("rate"), F.lit(0.0)) != 0,
+                              F.concat(F.lit("Rate: $"), F.expr("format_number(rate, '#,##0.###')"))),
+                       F.lit(f"\n{source}"))
+
+
 def fold_upserts(ev: DataFrame, existing: DataFrame) -> DataFrame:
     """W5 + J13: per (title, day) in (sheet, row, column) order, the state before a
     row is the previous row's description, or the existing event's for the first
-    row: none -> created, equal -> skipped, else updated."""
-    ex = existing.select("title", "day", F.col("description").alias("_existing"))
-    live = ev.filter(~F.col("stale")).join(ex, ["title", "day"], "left")
-    w = Window.partitionBy("title", "day").orderBy("sheet", "row", "col_pos")
-    prev = F.coalesce(F.lag("description").over(w), F.when(F.row_number().over(w) == 1, F.col("_existing")))
+    row: none -> created, equal -> skipped, else updated. A (title, day) of any size is
+    spread over ranges of its rows."""
+    order = ["sheet", "row", "col_pos"]
+    ex = existing.groupBy("title", "day").agg(F.min("description").alias("_existing"))
+    live = last_within(ev.filter(~F.col("stale")), ["title", "day"], order, F.col("description"), "_before", include_self=False)
+    live = live.join(ex, ["title", "day"], "left")
+    prev = F.coalesce("_before", "_existing")
     live = live.withColumn("outcome", F.when(prev.isNull(), "created")
-                           .when(prev == F.col("description"), "skipped").otherwise("updated")).drop("_existing")
+                           .when(prev == F.col("description"), "skipped").otherwise("updated")).drop("_existing", "_before")
     stale = ev.filter(F.col("stale")).withColumn("outcome", F.lit("skipped"))
     return live.unionByName(stale)
 
 
-def calendar_stats(plan: DataFrame) -> DataFrame:
+def events_after(plan: DataFrame, existing: DataFrame) -> DataFrame:
+    """The calendar after the plan: the last description of each (title, day) stands, other
+    events stay."""
+    last = plan.filter(~F.col("stale")).groupBy("title", "day").agg(
+        F.max_by("description", F.struct("sheet", "row", "col_pos")).alias("description"))
+    return last.unionByName(existing.select("title", "day", "description").join(last, ["title", "day"], "left_anti"))
+
+
+def calendar_stats(plan: DataFrame, total_label: str = "TOTAL") -> DataFrame:
     """Created, updated, skipped per sheet and in total."""
     o = F.col("outcome")
-    r = plan.rollup("sheet").agg(F.count_if(o == "created").alias("created"),
+    r = plan.rollup("sheet").agg(F.grouping("sheet").alias("_all"), F.count_if(o == "created").alias("created"),
                                  F.count_if(o == "updated").alias("updated"),
                                  F.count_if(o == "skipped").alias("skipped"))
-    return r.select(F.coalesce("sheet", F.lit("TOTAL")).alias("sheet"), "created", "updated", "skipped")
+    return r.select(F.when(F.col("_all") == 1, F.lit(total_label)).otherwise(F.col("sheet")).alias("sheet"),
+                    "created", "updated", "skipped")

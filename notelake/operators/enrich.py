@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from notelake.functions import notes as NF
 from notelake.functions.mail import email_domain
-from notelake.operators.joins import bounded_broadcast
 
 
 def build_domain_map(fixed: DataFrame, profiles: DataFrame, generic: DataFrame) -> DataFrame:
@@ -51,7 +50,7 @@ def enrich_decisions(notes: DataFrame, domain_map: DataFrame) -> DataFrame:
     is_email = F.col("_has") & F.lower(NF.fm_get("fm", "type")).isin("email", "capture", "")
     n = split.select("path", "content", "fm", "body", is_email.alias("is_email"))
     n = n.withColumn("domain", F.when(F.col("is_email"), NF.sender_domain("fm", "body")))
-    n = n.join(bounded_broadcast(domain_map), "domain", "left")
+    n = n.join(domain_map, "domain", "left")
     linked = (NF.fm_get("fm", "related_brand") == F.col("brand")) & NF.has_wikilink("body", F.col("brand"))
     decision = (F.when(F.col("domain").isNull(), "no_sender")
                 .when(F.col("brand").isNull(), "no_match")

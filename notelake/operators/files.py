@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notelake.operators.joins import bounded_broadcast
 from notelake.operators.naming import assign_unique_names, split_ext
+from notelake.session import materialise
 
 
 def content_hash(content) -> Column:
@@ -25,7 +25,9 @@ def file_inventory(spark: SparkSession, root: str, with_hash: bool = True) -> Da
     folder, extension, size and (optionally) content hash. Without the hash the
     ``content`` column is pruned and never read."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + root.rstrip("/").split("://")[-1] + "/", "")
+    top = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
+    rel = F.substring_index(F.col("path"), top, -1) if top == "/" else F.substring(
+        F.col("path"), F.instr(F.col("path"), F.lit(top)) + F.lit(len(top)), F.lit(1 << 30))
     cols = [F.split(rel, "/", 2)[0].alias("folder"),
             F.when(F.size(F.split(rel, "/", 2)) > 1, F.split(rel, "/", 2)[1]).alias("rel_path"),
             F.lower(F.regexp_extract(rel, r"(?<=[^./])(\.[^./]*)$", 1)).alias("ext"),
@@ -43,62 +45,67 @@ def valid_pairs(pairs: DataFrame) -> DataFrame:
 
 def map_folders(files: DataFrame, pairs: DataFrame) -> DataFrame:
     """Files of old folders with their target folder (mapping joined on the first
-    path component; the mapping list is size-checked before broadcasting)."""
+    path component)."""
     m = pairs.select(F.col("old").alias("folder"), F.col("new").alias("target"))
-    return files.join(bounded_broadcast(m), "folder", "inner")
+    return files.join(m, "folder", "inner")
 
 
 def plan_merge(files: DataFrame, pairs: DataFrame, dry_run: bool = False) -> DataFrame:
-    """Each file of an old folder against the file at the same relative path in
-    the target folder: none -> moved there; same hash -> duplicate_removed; other
-    hash -> moved under ``<stem>_<n><ext>``, the first name free in the target
-    (W1, seeded with the target's listing). Null hashes never compare equal (Q2).
-    In a dry run every file is ``would_move``."""
-    src = map_folders(files, pairs).select(
-        F.col("folder").alias("old"), "target", "rel_path", F.col("sha256").alias("src_sha"))
-    tgt = files.select(F.col("folder").alias("target"), "rel_path", F.col("sha256").alias("tgt_sha"),
-                       F.lit(True).alias("_hit"))
-    j = src.join(tgt, ["target", "rel_path"], "left")
-    dst0 = F.concat_ws("/", "target", "rel_path")
-    outcome = (F.when(F.lit(dry_run), "would_move")
-               .when(F.col("_hit").isNull(), "moved")
-               .when(F.col("src_sha") == F.col("tgt_sha"), "duplicate_removed")
-               .otherwise("moved_renamed"))
-    plan = j.withColumn("outcome", outcome).withColumn("dst", dst0).withColumn("src", F.concat_ws("/", "old", "rel_path"))
-    ren = plan.filter(F.col("outcome") == "moved_renamed")
+    """Each file of an old folder against what stands at the same relative path of the
+    target when its turn comes: nothing -> moved there; the same hash -> duplicate_removed;
+    another hash -> moved under ``<stem>_<n><ext>``, the first name free in the target (W1,
+    seeded with the target's listing). Null hashes never compare equal (Q2). Old folders
+    merge in name order, so of two that share a target the first one's file takes the path
+    and the second one's is compared with it (only the base path is compared, Q3). In a dry
+    run every file is ``would_move``.
+
+    ``files`` is read twice (pass a written inventory): once for the path keys of the
+    targets, once for the old folders."""
+    src = map_folders(files, pairs).select(F.col("folder").alias("old"), "target", "rel_path", F.col("sha256").alias("src_sha"))
+    if dry_run:
+        return src.select("old", "target", "rel_path", F.concat_ws("/", "old", "rel_path").alias("src"),
+                          F.lit("would_move").alias("outcome"), F.concat_ws("/", "target", "rel_path").alias("dst"))
+    there = files.join(pairs.select(F.col("new").alias("folder")).distinct(), "folder", "left_semi") \
+        .select(F.lit(None).cast("string").alias("old"), F.col("folder").alias("target"), "rel_path", F.col("sha256").alias("src_sha"))
+    claims = materialise(src.unionByName(there), "merge-claims")
+    # who holds the base path: the target's own file (null sorts first), else the first old folder
+    held = claims.groupBy("target", "rel_path").agg(
+        F.min(F.struct("old", "src_sha")).alias("base"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    j = claims.filter("old IS NOT NULL").join(held, ["target", "rel_path"], "left")
+    outcome = (F.when(F.col("base").isNull() | (F.col("base.old") == F.col("old")), "moved")
+               .when(F.col("src_sha") == F.col("base.src_sha"), "duplicate_removed").otherwise("moved_renamed"))
+    plan = materialise(j.select("old", "target", "rel_path", F.concat_ws("/", "old", "rel_path").alias("src"),
+                                outcome.alias("outcome"), F.concat_ws("/", "target", "rel_path").alias("dst")), "merge-plan")
     stem, ext = split_ext(F.col("dst"))
-    ren = ren.select("src", stem.alias("dst_stem"), ext.alias("dst_ext"))
-    taken = files.join(pairs.select(F.col("new").alias("folder")).distinct(), "folder", "left_semi") \
-        .select(F.concat_ws("/", "folder", "rel_path").alias("name")) \
-        .unionByName(plan.filter(F.col("outcome") == "moved").select(F.col("dst").alias("name")))
-    named = _rename(ren, taken)
-    out = plan.join(named, "src", "left")
-    return out.select("old", "target", "rel_path", "src",
-                      F.when(F.col("outcome") == "moved_renamed", "moved").otherwise(F.col("outcome")).alias("outcome"),
-                      F.when(F.col("outcome") == "duplicate_removed", F.lit(None).cast("string"))
-                      .when(F.col("outcome") == "moved_renamed", F.col("renamed")).otherwise(F.col("dst")).alias("dst"))
-
-
-def _rename(ren: DataFrame, taken: DataFrame) -> DataFrame:
-    with_id = ren.withColumn("rid", F.xxhash64("src"))
-    named = assign_unique_names(with_id, "dst_stem", ["src"], ext="dst_ext", existing=taken, id_col="rid")
-    return named.select("src", F.col("unique_name").alias("renamed"))
-
-
-def merge_stats(plan: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per pair, counts per outcome and the pair status: old_not_found when the
-    old folder holds no files, else merged."""
-    agg = plan.groupBy("old").agg(
+    ren = plan.filter("outcome = 'moved_renamed'").select("src", stem.alias("dst_stem"), ext.alias("dst_ext"))
+    taken = claims.filter("old IS NULL").select(F.concat_ws("/", "target", "rel_path").alias("name")) \
+        .unionByName(plan.filter("outcome = 'moved'").select(F.col("dst").alias("name")))
+    named = assign_unique_names(ren, "dst_stem", ["src"], ext="dst_ext", existing=taken, id_col="src") \
+        .select("src", F.col("unique_name").alias("renamed"))
+    return plan.join(named, "src", "left").select(
+        "old", "target", "rel_path", "src",
+        F.when(F.col("outcome") == "moved_renamed", "moved").otherwise(F.col("outcome")).alias("outcome"),
+        F.when(F.col("outcome") == "moved", F.col("dst")).otherwise(F.col("renamed")).alias("dst"))
+
+
+def merge_stats(plan: DataFrame, pairs: DataFrame, folders: DataFrame | None = None) -> DataFrame:
+    """Per pair, counts per outcome and the pair status. ``folders(folder)`` lists the
+    folders that exist: an old one that is not there is old_not_found, one without files
+    deleted_empty, any other merged. Without ``folders`` a folder exists if it has files. A
+    plan has no move errors; a file whose content could not be read is compared as unequal."""
+    agg = plan.groupBy("old", F.col("target").alias("new")).agg(
         F.count_if(F.col("outcome") == "moved").alias("moved"),
         F.count_if(F.col("outcome") == "duplicate_removed").alias("duplicate_removed"),
-        F.count_if(F.col("outcome") == "would_move").alias("would_move"),
-        F.lit(0).cast("long").alias("errors"))
-    p = pairs.select("old", "new")
-    j = p.join(agg, "old", "left")
+        F.count_if(F.col("outcome") == "would_move").alias("would_move"))
+    j = pairs.select("old", "new").join(agg, ["old", "new"], "left")
+    if folders is None:
+        j = j.withColumn("_there", F.lit(None).cast("boolean"))
+    else:
+        j = j.join(folders.select(F.col("folder").alias("old"), F.lit(True).alias("_there")).distinct(), "old", "left")
     return j.select("old", "new",
-                    *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                      for c in ("moved", "duplicate_removed", "would_move", "errors")],
-                    F.when(F.col("moved").isNull(), "old_not_found").otherwise("merged").alias("status"))
+                    *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("moved", "duplicate_removed", "would_move")],
+                    F.when(F.col("moved").isNotNull(), "merged").when(F.col("_there"), "deleted_empty")
+                    .otherwise("old_not_found").alias("status"))
 
 
 def audit_folders(files: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -108,5 +115,5 @@ def audit_folders(files: DataFrame, pairs: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("files"))
     olds = pairs.select(F.col("old").alias("folder"), F.lit("OLD").alias("_o")).distinct()
     news = pairs.select(F.split("new", "/")[0].alias("folder"), F.lit("NEW").alias("_n")).distinct()
-    j = counts.join(bounded_broadcast(olds), "folder", "left").join(bounded_broadcast(news), "folder", "left")
+    j = counts.join(olds, "folder", "left").join(news, "folder", "left")
     return j.select("folder", "files", F.coalesce("_o", "_n").alias("tag"))

@@ -1,23 +1,23 @@
-"""Join helpers for dictionary lookups (J1, J8-J13 style probes).
+"""Dictionary lookups (J1, J8-J13 style probes, J2/J3 ranked terms).
 
-Dictionaries are inputs (DataFrames). A dictionary is broadcast only after its
-row count has been checked against a bound; above the bound the join is left to
-the planner (sort-merge, or AQE's runtime broadcast when statistics show it small).
+Dictionaries are inputs (DataFrames). Equi-joins with them are left to the planner, which
+broadcasts a side whose size in bytes is known to be small (statically, or at run time
+by AQE) and shuffles it otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default bound: a dictionary with at most this many rows may be broadcast.
-MAX_BROADCAST_ROWS = 200_000
 
+def ranked_terms(ranked: DataFrame, term: str, value: str) -> Column:
+    """The dictionary as one array in rank order, evaluated once as a scalar subquery:
+    ``array<struct<rank, term, value>>`` with lower-case terms."""
+    one = F.struct(F.col("rank"), F.lower(F.col(term)).alias("term"), F.col(value).alias("value"))
+    return ranked.agg(F.array_sort(F.collect_list(one)).alias("terms")).scalar()
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` if ``dim`` has at most ``max_rows`` rows, else ``dim``.
 
-    The check reads at most ``max_rows + 1`` rows of the (already projected)
-    dictionary, so it stays cheap whichever way it goes."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+def first_term(text: Column, terms: Column) -> Column:
+    """The value of the first of ``terms`` that occurs in ``text``, which is lower-case (null: none)."""
+    return F.try_element_at(F.filter(terms, lambda t: F.contains(text, t["term"])), F.lit(1))["value"]

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notelake.functions.common import col_of, strip_ws
-from notelake.operators.joins import bounded_broadcast
 from notelake.operators.sequence import ordinal_within
 
 # Ledger header names as written in the sheets.
@@ -111,9 +110,9 @@ def resolve_creator(df: DataFrame, aliases: DataFrame, creators: DataFrame) -> D
     a = aliases.select(F.lower(_s("alias")).alias("_c_alias"), F.col("name").alias("_c_canon"))
     c = creators.select(F.lower(_s("name")).alias("_c_key"), F.col("id").alias("creator_id"))
     key = F.lower(_s("creator_raw"))
-    j = df.withColumn("_c_name", key).join(bounded_broadcast(a), F.col("_c_name") == F.col("_c_alias"), "left")
+    j = df.withColumn("_c_name", key).join(a, F.col("_c_name") == F.col("_c_alias"), "left")
     j = j.withColumn("_c_key0", F.coalesce(F.col("_c_canon"), F.col("_c_name")))
-    j = j.join(bounded_broadcast(c), F.col("_c_key0") == F.col("_c_key"), "left")
+    j = j.join(c, F.col("_c_key0") == F.col("_c_key"), "left")
     return j.drop("_c_name", "_c_alias", "_c_canon", "_c_key0", "_c_key")
 
 
@@ -124,9 +123,9 @@ def resolve_brand(df: DataFrame, aliases: DataFrame, brands: DataFrame, name_col
                        F.lit(True).alias("_b_found"))
     b = brands.select(F.lower(_s("name")).alias("_b_key"), F.col("id").alias("brand_id"))
     j = df.withColumn("_b_name", F.lower(_s(name_col))).join(
-        bounded_broadcast(a), F.col("_b_name") == F.col("_b_alias"), "left")
+        a, F.col("_b_name") == F.col("_b_alias"), "left")
     j = j.withColumn("_b_key0", F.when(F.col("_b_found"), F.lower(F.col("_b_canon"))).otherwise(F.col("_b_name")))
-    j = j.join(bounded_broadcast(b), F.col("_b_key0") == F.col("_b_key"), "left")
+    j = j.join(b, F.col("_b_key0") == F.col("_b_key"), "left")
     return j.drop("_b_name", "_b_alias", "_b_canon", "_b_found", "_b_key0", "_b_key")
 
 

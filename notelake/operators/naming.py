@@ -6,10 +6,12 @@ existing names plus the names given to earlier items.
 
 Candidate names of a stem never leave the group keyed by the stem with all
 trailing ``sep<digits>`` runs removed (plus the extension), so the rule is applied
-per group. Groups whose items share one stem and whose only existing name, if
-any, is that stem itself (the common case) get their suffix from the distributed
-ordinal; the remaining groups, where natural suffixes or several existing names
-interact, run the greedy rule in a grouped pandas function.
+per group. A group whose items share one stem has a closed form: the numbers taken by
+existing names are fixed, so item i takes the i-th free number. Put the j-th taken number
+k at place ``k - j`` and item i at place ``i``: in that order (taken ones first) each has
+its own number as its position. So two distributed ordinals do it, for groups of any size.
+Only groups in which items themselves carry natural suffixes (``a`` and ``a_1`` both arrive)
+run the greedy rule, in one grouped call that keeps the next free number of each stem.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from notelake.operators.sequence import ordinal_within
+from notelake.session import materialise
 
 
 def split_ext(name) -> tuple[Column, Column]:
@@ -38,12 +40,12 @@ def _greedy_group(sep: str):
         seen = set(pdf.loc[pdf["_existing"], "_name0"].tolist())
         ocols = sorted(c for c in pdf.columns if c.startswith("_o"))
         items = pdf[~pdf["_existing"]].sort_values(ocols + ["_id"], kind="stable")
-        names = []
+        names, free = [], {}
         for stem, ext in zip(items["_stem"].tolist(), items["_ext"].tolist()):
-            cand, k = stem + ext, 0
-            while cand in seen:
+            k = free.get(stem, 0)     # all smaller numbers of this stem are used
+            while (cand := stem + (f"{sep}{k}" if k else "") + ext) in seen:
                 k += 1
-                cand = f"{stem}{sep}{k}{ext}"
+            free[stem] = k + 1
             seen.add(cand)
             names.append(cand)
         return pd.DataFrame({"_id": items["_id"].to_numpy(), "unique_name": names})
@@ -55,53 +57,61 @@ def assign_unique_names(df: DataFrame, stem: str, order: Sequence[str], ext: str
                         id_col: str = "_row_id", out: str = "unique_name") -> DataFrame:
     """Add ``out`` to ``df`` following the W1 rule.
 
-    ``stem``/``ext`` name columns of ``df`` (``ext`` optional, e.g. ``.pdf``); ``order``
-    gives arrival order and must be unique; ``existing`` is a one-column DataFrame
-    of names already in use (full names, extension included). Input column names
-    must not start with an underscore (reserved for internal columns).
+    ``stem``/``ext`` name columns of ``df`` (``ext`` optional, e.g. ``.pdf``); without
+    ``ext`` the whole name is the stem, dots included. ``order`` gives arrival order and must
+    be unique; ``id_col`` names a unique column (any type; without one, ``order`` is the key);
+    ``existing`` is a one-column DataFrame of names already in use (full names, extension
+    included). Input column names must not start with an underscore.
     """
     root_re = "(" + re.escape(sep) + r"\d+)+$"
-    ext_c = F.col(ext) if ext else F.lit("")
-    base = df.withColumn(id_col, F.monotonically_increasing_id()) if id_col not in df.columns else df
+    given = id_col in df.columns
+    ident = F.col(id_col) if given else F.struct(*[F.col(o) for o in order])
     ocols = [F.col(o).alias(f"_o{i:02d}") for i, o in enumerate(order)]
-    items = base.select(F.col(id_col).cast("long").alias("_id"), F.col(stem).alias("_stem"), ext_c.alias("_ext"),
-                        *ocols)
-    items = items.withColumn("_root", F.regexp_replace("_stem", root_re, "")) \
-                 .withColumn("_name0", F.concat("_stem", "_ext")).withColumn("_existing", F.lit(False))
-    if existing is not None:
-        ex_name = F.col(existing.columns[0])
-        ex_stem, ex_ext = split_ext(ex_name)
-        existing = existing.distinct()
-        ex = existing.select(F.lit(0).cast("long").alias("_id"), ex_stem.alias("_stem"), ex_ext.alias("_ext"),
-                             *[F.lit(None).cast(items.schema[f"_o{i:02d}"].dataType).alias(f"_o{i:02d}")
-                               for i in range(len(order))])
-        ex = ex.withColumn("_root", F.regexp_replace("_stem", root_re, "")) \
-               .withColumn("_name0", F.concat("_stem", "_ext")).withColumn("_existing", F.lit(True))
-        allrows = items.unionByName(ex)
+    onames = [f"_o{i:02d}" for i in range(len(order))]
+    items = df.select(ident.alias("_id"), F.col(stem).alias("_stem"), (F.col(ext) if ext else F.lit("")).alias("_ext"), *ocols)
+    items = items.withColumn("_root", F.regexp_replace("_stem", root_re, ""))
+    if existing is None:
+        ex = items.limit(0).select("_root", "_ext", "_stem")
     else:
-        allrows = items
-    per_stem = allrows.groupBy("_root", "_ext", "_stem").agg(
-        F.count_if(~F.col("_existing")).alias("_ni"), F.count_if("_existing").alias("_ne"))
-    stats = per_stem.groupBy("_root", "_ext").agg(
-        F.count_if(F.col("_ni") > 0).alias("_stems"),
-        F.sum("_ne").alias("_n_existing"),
-        F.sum(F.when(F.col("_ni") > 0, F.col("_ne")).otherwise(0)).alias("_n_existing_same"),
-        F.sum("_ni").alias("_n_items"))
-    tagged = items.join(stats, ["_root", "_ext"], "left")
-    # fast path: one item stem, and the only existing name (if any) is that stem itself
-    fast_cond = (F.col("_stems") == 1) & (F.col("_n_existing") == F.col("_n_existing_same")) \
-        & (F.col("_n_existing") <= 1)
-    ocol_names = [f"_o{i:02d}" for i in range(len(order))]
-    fast = ordinal_within(tagged.filter(fast_cond).select("_id", "_root", "_ext", "_stem", "_n_existing", *ocol_names),
-                          ["_root", "_ext"], [*ocol_names, "_id"], out="_pos")
-    k = F.col("_pos") + F.col("_n_existing")
-    fast_named = fast.select("_id", F.when(k == 0, F.concat("_stem", "_ext"))
-                             .otherwise(F.concat("_stem", F.lit(sep), k.cast("string"), "_ext"))
-                             .alias("unique_name"))
-    slow_keys = stats.filter(~fast_cond & (F.col("_n_items") > 0)).select("_root", "_ext")
-    slow_rows = allrows.join(slow_keys, ["_root", "_ext"], "left_semi")
-    slow_named = slow_rows.groupBy("_root", "_ext").applyInPandas(
-        _greedy_group(sep), "_id long, unique_name string")
-    names = fast_named.unionByName(slow_named).withColumnRenamed("unique_name", out)
-    res = base.join(names, base[id_col] == names["_id"], "left").drop("_id")
-    return res if id_col in df.columns else res.drop(id_col)
+        name = F.col(existing.columns[0])
+        ex_stem, ex_ext = split_ext(name) if ext else (name, F.lit(""))
+        ex = existing.distinct().select(ex_stem.alias("_stem"), ex_ext.alias("_ext")) \
+            .withColumn("_root", F.regexp_replace("_stem", root_re, "")).select("_root", "_ext", "_stem")
+    items = materialise(items, "names-items")
+    stems = items.groupBy("_root", "_ext").agg(F.min("_stem").alias("_one"), F.max("_stem").alias("_other"))
+    simple = stems.filter("_one = _other").select("_root", "_ext", "_one")
+    mixed = stems.filter("_one <> _other").select("_root", "_ext")
+
+    # one stem: item i takes the i-th number that no existing name has
+    number = F.when(F.col("_stem") == F.col("_one"), F.lit(0).cast("long")).otherwise(
+        F.regexp_extract("_stem", r"([1-9]\d{0,17})$", 1).try_cast("long"))
+    taken = ex.join(simple, ["_root", "_ext"]).withColumn("_k", number) \
+        .filter((F.col("_k") == 0) | (F.col("_stem") == F.concat("_one", F.lit(sep), F.col("_k").cast("string")))) \
+        .select("_root", "_ext", "_k").distinct()
+    nth = ordinal_within(taken, ["_root", "_ext"], ["_k"], out="_j")
+    pos = ordinal_within(items.join(simple, ["_root", "_ext"], "left_semi"), ["_root", "_ext"], [*onames, "_id"], out="_i")
+    places = pos.select("_root", "_ext", "_id", "_stem", F.col("_i").alias("_place"), F.lit(1).alias("_item")).unionByName(
+        nth.select("_root", "_ext", (F.col("_k") - F.col("_j")).alias("_place"), F.lit(0).alias("_item"), F.col("_k")),
+        allowMissingColumns=True)
+    numbered = ordinal_within(places, ["_root", "_ext"], ["_place", "_item", "_k"], out="_n").filter("_item = 1")
+    one_stem = numbered.select("_id", F.when(F.col("_n") == 0, F.concat("_stem", "_ext")).otherwise(
+        F.concat("_stem", F.lit(sep), F.col("_n").cast("string"), "_ext")).alias("unique_name"))
+
+    # several stems of one root: the greedy rule
+    rows = items.join(mixed, ["_root", "_ext"], "left_semi").withColumn("_name0", F.concat("_stem", "_ext")) \
+        .withColumn("_existing", F.lit(False)).unionByName(
+            ex.join(mixed, ["_root", "_ext"], "left_semi").withColumn("_name0", F.concat("_stem", "_ext"))
+            .withColumn("_existing", F.lit(True)), allowMissingColumns=True)
+    kind = items.schema["_id"].dataType.simpleString()
+    greedy = rows.groupBy("_root", "_ext").applyInPandas(_greedy_group(sep), f"_id {kind}, unique_name string") \
+        if not kind.startswith("struct") else _greedy_by_order(rows, sep, onames)
+    names = one_stem.unionByName(greedy).withColumnRenamed("unique_name", out)
+    return df.withColumn("_id", ident).join(names, "_id", "left").drop("_id")
+
+
+def _greedy_by_order(rows: DataFrame, sep: str, onames: Sequence[str]) -> DataFrame:
+    """The greedy rule where the key is the order itself (pandas has no structs to sort)."""
+    text = rows.withColumn("_key", F.col("_id")).withColumn("_id", F.to_json("_id"))
+    keys = text.filter("NOT _existing").select(F.col("_id").alias("_json"), "_key")
+    got = text.drop("_key").groupBy("_root", "_ext").applyInPandas(_greedy_group(sep), "_id string, unique_name string")
+    return got.join(keys, got["_id"] == keys["_json"]).select(F.col("_key").alias("_id"), "unique_name")

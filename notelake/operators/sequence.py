@@ -1,40 +1,51 @@
-"""Distributed ordinal numbers (positions) inside key groups.
-
-``ordinal_within`` gives each row its 0-based position inside its key group in a
-given order without sending a whole group to one task: rows are range-partitioned
-on ``(keys, order)`` (a hot key is spread over several partitions), numbered
-locally per partition, and shifted by the sizes of the same key in the earlier
-partitions (a small per-(partition, key) count table). This is the two-level
-prefix sum used by W1's fast path, W6 and W8.
+"""Order-dependent operators over key groups of any size (W1's positions, W3, W5's
+``lag``, W6, W8).
+
+Rows are range-partitioned on ``(keys, order)``, so a group that holds most of the rows
+is spread over many partitions, and written once with the number of their partition
+(``_range``). From then on the range is a stored value of the row: nothing depends on how
+often Spark evaluates the sampling or the exchange. A result inside a group is that inside
+the (range, key) slice plus what the slices before it hand on; at most one key crosses
+each range border, so what is handed on is a table of at most one row per range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def _local_numbering(keys: Sequence[str], out: str):
-    def fn(it):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        seen: dict = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            kk = pd.Series(list(zip(*[pdf[k].tolist() for k in keys])), index=pdf.index)
-            local = kk.groupby(kk, sort=False).cumcount()
-            carry = kk.map(lambda k: seen.get(k, 0))
-            pdf[out] = (local + carry).astype("int64")
-            pdf["_pid"] = pid
-            for k, n in kk.value_counts(sort=False).items():
-                seen[k] = seen.get(k, 0) + int(n)
-            yield pdf
-    return fn
+
+from notelake.session import materialise
+
+
+def _cols(order: Sequence[Column | str]) -> list[Column]:
+    return [F.col(o) if isinstance(o, str) else o for o in order]
+
+
+def place(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+          num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``_range``, the number of its range of ``(keys, order)``, as a table in the
+    shared folder."""
+    cols = [*[F.col(k) for k in keys], *_cols(order)]
+    spread = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    return materialise(spread.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def _handed_on(placed: DataFrame, keys: Sequence[str], slice_value: Column, name: str, fold) -> DataFrame:
+    """Per slice, ``fold`` over the values of the slices of the same key before it; only
+    slices that have one before them (at most one per range)."""
+    slices = placed.groupBy("_range", *keys).agg(slice_value.alias("_v"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    got = slices.withColumn(name, fold(F.col("_v"), before)).drop("_v")
+    return got.select(F.col("_range").alias("_h_range"), *[F.col(k).alias(f"_h_{k}") for k in keys], name).filter(F.col(name).isNotNull())
+
+
+def _join_handed(placed: DataFrame, handed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    cond = F.col("_range") == F.col("_h_range")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+    return placed.join(handed, cond, "left").drop("_h_range", *[f"_h_{k}" for k in keys])
 
 
 def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -42,20 +53,25 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     """Add ``out``: 0-based position of each row inside its ``keys`` group by ``order``.
 
     ``order`` must be unique inside a group (add a tiebreaker) for a deterministic
-    result. Key columns may be null (null keys form one group).
+    result. Null keys form one group; with no keys all rows are one group.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols) \
-               .sortWithinPartitions(*[F.col(k) for k in keys], *order_cols)
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.LongType()),
-                                                    T.StructField("_pid", T.IntegerType())])
-    local = ranged.mapInPandas(_local_numbering(list(keys), out), schema)
-    sizes = local.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    offs = offs.select(F.col("_pid").alias("_opid"), *[F.col(k).alias(f"_o_{k}") for k in keys], "_off")
-    cond = [local["_pid"] == offs["_opid"]] + [local[k].eqNullSafe(offs[f"_o_{k}"]) for k in keys]
-    joined = local.join(offs, cond, "inner")
-    return joined.withColumn(out, F.col(out) + F.col("_off")).select(*df.columns, out)
+    placed = place(df, keys, order, num_partitions)
+    handed = _handed_on(placed, keys, F.count(F.lit(1)), "_off", lambda v, w: F.sum(v).over(w))
+    inside = Window.partitionBy("_range", *keys).orderBy(*_cols(order))
+    return _join_handed(placed, handed, keys) \
+        .withColumn(out, F.row_number().over(inside) - 1 + F.coalesce("_off", F.lit(0))).select(*df.columns, out)
+
+
+def last_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: Column, out: str,
+                include_self: bool = True) -> DataFrame:
+    """Add ``out``: the last non-null ``value`` at or (``include_self=False``) before each row
+    of its ``keys`` group by ``order``."""
+    placed = place(df.withColumn("_value", value), keys, order)
+    place_in = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_cols(order))])
+    handed = _handed_on(placed, keys, F.max_by("_value", F.when(F.col("_value").isNotNull(), place_in)), "_carry",
+                        lambda v, w: F.last(v, ignorenulls=True).over(w))
+    inside = Window.partitionBy("_range", *keys).orderBy(*_cols(order)) \
+        .rowsBetween(Window.unboundedPreceding, 0 if include_self else -1)
+    return _join_handed(placed, handed, keys) \
+        .withColumn(out, F.coalesce(F.last("_value", ignorenulls=True).over(inside), "_carry")) \
+        .select(*[c for c in df.columns if c != out], out)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from notelake.functions.common import col_of, strip_ws
 from notelake.functions.mail import days_since, deep_link, ms_to_ntz, speaker, split_sender
-from notelake.operators.joins import bounded_broadcast
 
 NEEDS_REPLY = "NEEDS REPLY"
 WAITING = "WAITING ON THEM"
@@ -85,9 +84,10 @@ def first_per_thread(threads: DataFrame, ranks: DataFrame) -> DataFrame:
     ranking window, so no per-thread sort is needed. ``ranks`` is the small account
     list (one row per configured mailbox)."""
     cols = [c for c in threads.columns if c != "thread_id"]
-    ranked = threads.join(bounded_broadcast(ranks), "account", "left")
+    ranked = threads.join(ranks, "account", "left")
+    last = F.coalesce(F.col("account_rank"), F.lit((1 << 31) - 1))   # an account without a rank comes last
     best = ranked.groupBy("thread_id").agg(
-        F.min_by(F.struct(*cols), F.struct(F.col("account_rank"), F.col("account"))).alias("r"))
+        F.min_by(F.struct(*cols), F.struct(last.alias("rank"), F.col("account"))).alias("r"))
     return best.select("thread_id", *[F.col("r")[c].alias(c) for c in cols])
 
 
@@ -163,18 +163,19 @@ def strip_quotes(text) -> Column:
     return strip_ws(F.array_join(take_until(lines), "\n"))
 
 
-def thread_transcript(msgs: DataFrame, own: Sequence[str], max_body: int = 2500,
+def thread_transcript(msgs: DataFrame, own: Sequence[str], max_body: int | None = None,
                       keys: Sequence[str] = ("account", "thread_id")) -> DataFrame:
     """Q9 transcript rows: one row per message with its thread order key (L7:
-    ``internal_ms, seq``), the speaker label (X41) and the body with quotes removed,
-    cut to ``max_body`` (X7, X8). Ordering is left to ``ordered_thread`` so no single
+    ``internal_ms, seq``), the speaker label (X41) and the body with quotes removed
+    (X7, X8), cut to ``max_body`` characters if that is given. Ordering is left to ``ordered_thread`` so no single
     task has to rank a whole (possibly huge) thread."""
     snd = split_sender("from_hdr", "thread")
+    body = strip_quotes(F.col("body"))
     return msgs.select(
         *keys, "message_id", "internal_ms", "seq",
         speaker(snd["name"], snd["address"], is_own(snd["address"], own)).alias("who"),
         F.coalesce(F.col("subject"), F.lit("")).alias("subject"),
-        F.substring(strip_quotes(F.col("body")), 1, max_body).alias("body"),
+        (body if max_body is None else F.substring(body, 1, max_body)).alias("body"),
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notelake.functions.mail import ntz_to_ms
+from notelake.operators.calendar import event_text
 from notelake.session import read_table
 
 # Fixed values used by the bindings.
@@ -317,9 +318,10 @@ NOTIFY_LIMIT = 50
 
 def notify_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled messages from events: purchases are the labelled ones; the sender is
-    the user; the snippet is the event's properties."""
+    the user; the snippet is the event's properties; every seventh message is in a second
+    mailbox as well."""
     e = read_table(spark, sf_dir, "events")
-    return e.filter(F.col("event_type") == NOTIFY_LABEL).select(
+    one = e.filter(F.col("event_type") == NOTIFY_LABEL).select(
         F.format_string("%012d", "event_id").alias("message_id"),
         F.col("ts"),
         F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("sender"),
@@ -329,6 +331,8 @@ def notify_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"),
         F.lit("shop@own.example").alias("account"),
         F.concat(F.lit(THREAD_URL), F.format_string("%012d", "event_id")).alias("url"))
+    twice = one.filter(F.col("message_id").cast("long") % 7 == 0).withColumn("account", F.lit("sales@own.example"))
+    return one.unionByName(twice)
 
 
 def notify_posted_before(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,25 +341,40 @@ def notify_posted_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.filter(F.col("ts") < F.lit(NOTIFY_POSTED_BEFORE).cast("timestamp_ntz")).select("message_id")
 
 
-CAL_NOW = "2024-01-20 00:00:00"
+# Fixed values for the calendar binding: the time of the run (not midnight), the tag and source
+# line, brand rules in order and colours.
+CAL_NOW = "2024-01-20 10:00:00"
+CAL_TAG = "[CAL]"
+CAL_SOURCE = "Source: schedule sheets"
+CAL_RULES = [("alpha", "Alpha", 1), ("alpha beta", "Never", 2), ("beta", "Beta", 3), ("one-off", "One-Off", 4), ("one off", "One-Off", 5)]
+CAL_COLOURS = [("Alpha", "3"), ("One-Off", "5")]
+CAL_COLOUR = "8"
+
+
+def calendar_rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(CAL_RULES, "keyword string, brand string, rank int")
+
+
+def calendar_colours(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(CAL_COLOURS, "brand string, colour string")
 
 
 def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schedule sheets from events: one sheet per event type (one of them an
     affiliate sheet that the planner skips), the creator named only on some rows
-    (filled down), date cells as text, a serial number and a zero."""
+    (filled down), rates with cents, some types and deliverables empty."""
     e = read_table(spark, sf_dir, "events")
     sheet = (F.when(F.col("event_type") == "error", "Affiliate error log")
-             .when(F.col("event_type") == "signup", "Gruns signups")
-             .when(F.col("event_type") == "purchase", "LMNT purchases")
+             .when(F.col("event_type") == "signup", "Alpha Beta signups")
+             .when(F.col("event_type") == "purchase", "BETA purchases")
              .when(F.col("event_type") == "click", "One-Off clicks").otherwise("View collabs"))
     k = F.col("event_id")
     day = F.to_date("ts")
     return e.select(
         sheet.alias("sheet"), k.alias("row"),
         F.when(k % 5 == 0, F.concat(F.lit("Creator "), F.col("user_id").cast("string"))).otherwise(F.lit("")).alias("client"),
-        F.upper("event_type").alias("type"), F.col("props").alias("deliverables"),
-        F.floor(F.col("value") * 100).cast("double").alias("rate"),
+        F.when(k % 11 != 0, F.upper("event_type")).alias("type"), F.when(k % 13 != 0, F.col("props")).alias("deliverables"),
+        F.when(k % 4 == 0, F.lit(0.0)).when(k % 4 != 1, (F.floor(F.col("value") * 1000) / 4).cast("double")).alias("rate"),
         day.alias("reel"),
         F.when(k % 3 == 0, F.lit(None).cast("date")).otherwise(F.date_add(day, 1)).alias("story_1"),
         F.date_add(day, 2).alias("story_2"),
@@ -371,10 +390,18 @@ def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("row"), F.date_format(day, "yyyy-MM-dd").alias("reel_text"),
                     F.datediff(F.date_add(day, 2), F.lit("1899-12-30").cast("date")).cast("double").alias("story_2_serial"),
                     F.lit(0.0).alias("story_3_serial"), F.lit("not a date").alias("follow_up_text"),
-                    F.date_format(day, "M/d/yyyy").alias("us_text"))
+                    F.when(F.col("event_id") % 4 == 0, F.date_format(day, "M/d/yyyy"))
+                    .when(F.col("event_id") % 4 == 1, F.date_format(day, "MMM d, yyyy"))
+                    .when(F.col("event_id") % 4 == 2, F.date_format(day, "yyyy/MM/dd"))
+                    .otherwise(F.date_format(day, "EEE, d MMMM yyyy")).alias("us_text"))
 
 
 def existing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar events from an earlier sync: the reel events of small-``k`` rows,
-    with the description they had then."""
-    return spark.createDataFrame([], "title string, day date, description string")
+    """Calendar events from an earlier sync: reel events of the rows that name their creator,
+    some with the text they have now, some with an older one."""
+    r = sheet_rows(spark, sf_dir).filter((F.col("row") % 10 == 0) & (F.col("sheet") == "BETA purchases"))
+    now_text = event_text(CAL_SOURCE)
+    ev = r.withColumn("brand", F.lit("Beta")).withColumn("label", F.lit("Reel"))
+    ev = ev.select(F.concat(F.lit(f"{CAL_TAG} "), F.col("client"), F.lit(" - Beta Reel")).alias("title"), F.col("reel").alias("day"),
+                   F.when(F.col("row") % 20 == 0, now_text).otherwise(F.lit("older text")).alias("description"), "row")
+    return ev.groupBy("title", "day").agg(F.min_by("description", "row").alias("description"))

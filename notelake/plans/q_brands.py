@@ -61,6 +61,6 @@ def q_subject_brand(spark, sf_dir):
     p = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_type")
     kw = B.keyword_table(spark)
     byname = kw.select(F.col("brand").alias("keyword"), "brand", "rank")
-    a = BR.first_contained(p, F.col("p_name"), byname, "p_partkey", out="domain_brand")
-    b = BR.first_contained(a, F.concat_ws(" ", "p_name", "p_type"), kw, "p_partkey", out="subject_brand")
+    a = BR.first_contained(p, F.col("p_name"), byname, out="domain_brand")
+    b = BR.first_contained(a, F.concat_ws(" ", "p_name", "p_type"), kw, out="subject_brand")
     return b.select("p_partkey", F.coalesce("domain_brand", "subject_brand", F.lit("")).alias("brand"))
