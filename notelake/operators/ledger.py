@@ -43,12 +43,15 @@ def read_ledger(spark: SparkSession, tabs: Sequence[tuple[str, str, str, str, st
     return normalise(out)
 
 
+#: Rule columns of a tab: words whose presence in the creator marks a junk row, and whether
+#: the tab names its brand in a column (its deliverables are then the campaign type).
+TAB_RULES = {"drop_words": "array<string>", "brand_in_column": "boolean"}
+
+
 def normalise(df: DataFrame) -> DataFrame:
-    """Add absent ledger columns as null (Q6: a short row reads as empty, not an error)."""
-    for c in LEDGER_COLUMNS:
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
-    return df
+    """Add absent ledger and rule columns as null (Q6: a short row reads as empty, not an error)."""
+    absent = {c: "string" for c in LEDGER_COLUMNS} | TAB_RULES
+    return df.withColumns({c: F.lit(None).cast(t) for c, t in absent.items() if c not in df.columns})
 
 
 def count_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -63,10 +66,14 @@ def _s(c) -> Column:
 
 def valid_rows(df: DataFrame, drop_header_text: bool = True) -> DataFrame:
     """Drop rows with an empty creator, rows repeating the header text (ledger
-    build only, Q9), and one-off rows without a brand."""
-    cond = _s("creator_raw") != ""
+    build only, Q9), rows whose creator holds one of the tab's ``drop_words``, and one-off
+    rows without a brand."""
+    df = normalise(df)
+    creator = _s("creator_raw")
+    cond = creator != ""
     if drop_header_text:
-        cond = cond & (_s("creator_raw") != HEADER_TEXT)
+        cond = cond & (creator != HEADER_TEXT)
+    cond = cond & ~F.coalesce(F.exists("drop_words", lambda w: F.contains(creator, w)), F.lit(False))
     cond = cond & ((F.col("kind") != "one-off") | (_s("brand_raw") != ""))
     return df.filter(cond)
 
@@ -131,16 +138,20 @@ def resolve_brand(df: DataFrame, aliases: DataFrame, brands: DataFrame, name_col
 
 def build_records(rows: DataFrame, creator_aliases: DataFrame, creators: DataFrame,
                   brand_aliases: DataFrame, brands: DataFrame) -> DataFrame:
-    """One deal record per valid ledger row (both tab kinds in one transform).
+    """One deal record per valid ledger row (all tab kinds in one transform): one-off tabs
+    and recurring tabs with ``brand_in_column`` take the brand from its column and the
+    deliverables from the campaign type, other recurring tabs have the tab's brand.
 
     Optional fields are null when absent, so ``to_json`` leaves them out."""
     v = valid_rows(rows)
     oneoff = F.col("kind") == "one-off"
-    v = v.withColumn("brand_name", F.when(oneoff, _s("brand_raw")).otherwise(F.col("tab_brand")))
+    own_brand = F.coalesce(F.col("brand_in_column"), F.lit(False))
+    v = v.withColumn("brand_name", F.when(oneoff, _s("brand_raw")).when(own_brand, _s(F.coalesce("brand_raw", "tab_brand")))
+                     .otherwise(F.col("tab_brand")))
     v = resolve_brand(resolve_creator(v, creator_aliases, creators), brand_aliases, brands)
     pay = payment_status("invoice_raw")
     campaign = F.coalesce(F.col("campaign_type"), F.col("campaign_type_alt"), F.lit(""))
-    deliv = F.when(oneoff, _s(campaign)).otherwise(
+    deliv = F.when(oneoff | own_brand, _s(campaign)).otherwise(
         F.when(_s("deliverables") != "", _s("deliverables")).otherwise(_s(campaign)))
     month = _s("month")
     return v.select(
@@ -158,9 +169,10 @@ def build_records(rows: DataFrame, creator_aliases: DataFrame, creators: DataFra
     )
 
 
-def record_json(records: DataFrame) -> Column:
-    """The sparse upload record: absent optional fields are omitted."""
-    return F.to_json(F.struct(
+def record_fields() -> Column:
+    """The sparse upload record of a row of R4; absent optional fields are null, so ``to_json``
+    leaves them out."""
+    return F.struct(
         F.col("name").alias("Name"), F.col("month").alias("Month"),
         F.col("deliverables").alias("Deliverables"), F.col("deal_type").alias("Deal Type"),
         F.col("inbound_source").alias("Inbound Source"), F.col("stage").alias("Pipeline Stage"),
@@ -168,27 +180,25 @@ def record_json(records: DataFrame) -> Column:
         F.when(F.col("brand_id").isNotNull(), F.array("brand_id")).alias("Brand"),
         F.when(F.col("creator_id").isNotNull(), F.array("creator_id")).alias("Creator"),
         F.col("payment_status").alias("Payment Status"),
-        F.col("approval").alias("Content Approval Status")))
+        F.col("approval").alias("Content Approval Status"))
 
 
 def to_batches(records: DataFrame, order: Sequence[str], size: int = 10) -> DataFrame:
-    """K3 + W8: consecutive batches of ``size`` records in ``order``. The batch index
-    comes from the distributed ordinal (no single-task global window); each batch
-    payload is bounded by ``size``."""
-    ordered = ordinal_within(records.withColumn("_all", F.lit(0)), ["_all"], list(order), out="_pos")
+    """K3 + W8: consecutive batches of ``size`` records in ``order`` with the upload document
+    ``{"records": [{"fields": {...}}]}``. The batch index comes from the distributed ordinal
+    (no single-task global window); each batch is bounded by ``size``."""
+    slim = records.select(*order, F.struct(record_fields().alias("fields")).alias("_record"))
+    ordered = ordinal_within(slim, [], list(order), out="_pos")
     b = ordered.withColumn("batch", F.floor(F.col("_pos") / size).cast("long"))
-    return b.groupBy("batch").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.min_by("name", "_pos").alias("first_name"),
-        F.max_by("name", "_pos").alias("last_name"),
-        F.to_json(F.struct(F.sort_array(F.collect_list(F.struct(F.col("_pos"), record_json(b).alias("r"))))
-                           .alias("records"))).alias("payload"))
+    inside = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_record"))), lambda x: x["_record"])
+    return b.groupBy("batch").agg(F.count(F.lit(1)).alias("records"),
+                                  F.to_json(F.struct(inside.alias("records"))).alias("payload"))
 
 
 def record_counts(records: DataFrame) -> DataFrame:
     """Records per kind plus the total."""
-    r = records.rollup("kind").agg(F.count(F.lit(1)).alias("records"))
-    return r.select(F.coalesce("kind", F.lit("total")).alias("kind"), "records")
+    r = records.rollup("kind").agg(F.grouping("kind").alias("_all"), F.count(F.lit(1)).alias("records"))
+    return r.select(F.when(F.col("_all") == 1, F.lit("total")).otherwise(F.col("kind")).alias("kind"), "records")
 
 
 # ---- repeat analysis (A13-A19) -------------------------------------------------
@@ -202,8 +212,13 @@ def tab_volume(rows: DataFrame) -> DataFrame:
     r = rows.filter((F.col("kind") == "recurring") & (_creator() != ""))
     return r.groupBy("tab", "tab_brand", "year").agg(
         F.count(F.lit(1)).alias("deal_months"),
-        F.count_distinct(_creator()).alias("creators"),
-        F.array_join(F.sort_array(F.collect_set(_creator())), ", ").alias("creator_list"))
+        F.count_distinct(_creator()).alias("creators"))
+
+
+def tab_creators(rows: DataFrame) -> DataFrame:
+    """The creators of each recurring tab, one row per tab and creator."""
+    r = rows.filter((F.col("kind") == "recurring") & (_creator() != ""))
+    return r.select("tab", _creator().alias("creator")).distinct()
 
 
 def brand_volume(rows: DataFrame) -> DataFrame:
@@ -246,7 +261,13 @@ def deal_shares(rows: DataFrame, min_deals: int = 2) -> DataFrame:
                     pct(F.col("recurring")).alias("recurring_pct"), pct(F.col("oneoff")).alias("oneoff_pct"),
                     (F.col("recurring") + F.col("repeat_oneoff")).alias("actual_recurring"),
                     (F.col("oneoff") - F.col("repeat_oneoff")).alias("actual_oneoff"),
-                    pct(F.col("recurring") + F.col("repeat_oneoff")).alias("actual_recurring_pct"))
+                    pct(F.col("recurring") + F.col("repeat_oneoff")).alias("actual_recurring_pct"),
+                    pct(F.col("oneoff") - F.col("repeat_oneoff")).alias("actual_oneoff_pct"))
+
+
+def order_counts(df: DataFrame, count: str, *key: str) -> DataFrame:
+    """L3: counts descending, ties by key."""
+    return df.orderBy(F.desc(count), *key)
 
 
 def creator_oneoffs(rows: DataFrame) -> DataFrame:

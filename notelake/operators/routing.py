@@ -1,4 +1,4 @@
-"""Message filters and outcome routing: P1-P4, P15, J4, A1, A2, A26.
+"""Message filters and outcome routing: P1-P4, P15, J4, L6, A1, A2, A26.
 
 Routing never drops rows: every message gets an ``outcome`` and filters are
 applied on it afterwards, so counts (A1, A2) and writes (K1) come from one
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notelake.functions.common import col_of
+from notelake.operators.sequence import ordinal_within
 
 MBOX_OUTCOMES = ["errors", "skipped_label", "skipped_nodate", "skipped_old", "created"]
 API_OUTCOMES = ["errors", "skipped_label", "skipped_nodate", "skipped_exists", "created", "would_create"]
@@ -65,40 +66,53 @@ def classify_mbox(df: DataFrame, skip: Sequence[str], cutoff: Column | None,
 
 def classify_api(df: DataFrame, skip: Sequence[str], existing: DataFrame, failed: Column,
                  dry_run: bool = False, labels: str = "labels", ts: str = "ts",
-                 name: str = "base_name", header_dated: str = "header_dated") -> DataFrame:
-    """P15 (API sync): errors, skipped_label, skipped_nodate, then skipped_exists (J4:
-    the base name is already a note; only tested when the Date header parsed, Q17),
-    else created / would_create.
-
-    ``existing`` holds one column ``name`` of existing note stems. The probe is a
-    left join with a marker column so no row is lost."""
-    ex = existing.select(F.col(existing.columns[0]).alias(name)).distinct().withColumn("_exists", F.lit(True))
-    j = df.join(ex, name, "left")
-    out = (F.when(failed, "errors")
+                 key: str = "base_name", header_dated: str = "header_dated") -> DataFrame:
+    """P15 (API sync): errors, then skipped_exists (J4: the key is already a note; only
+    tested when the Date header parsed, Q17), skipped_label, skipped_nodate, else created /
+    would_create.
+
+    ``existing`` holds one column of existing keys: note stems for ``key="base_name"`` (two
+    mails of a day with the same first 60 characters of subject are then one, Q18), or message
+    ids for ``key="message_id"``. The probe is a left join with a marker, so no row is lost."""
+    ex = existing.select(F.col(existing.columns[0]).alias(key)).distinct().withColumn("_exists", F.lit(True))
+    j = df.join(ex, key, "left")
+    out = (F.when(F.coalesce(failed, F.lit(False)), "errors")
+           .when(F.coalesce(F.col(header_dated), F.lit(False)) & F.coalesce(F.col("_exists"), F.lit(False)), "skipped_exists")
            .when(F.coalesce(labels_meet(labels, skip), F.lit(False)), "skipped_label")
            .when(F.col(ts).isNull(), "skipped_nodate")
-           .when(F.col(header_dated) & F.coalesce(F.col("_exists"), F.lit(False)), "skipped_exists")
            .otherwise("would_create" if dry_run else "created"))
     return j.withColumn("outcome", out).drop("_exists")
 
 
-def drop_existing(df: DataFrame, existing: DataFrame, name: str = "base_name") -> DataFrame:
-    """J4 as a filter: left anti join on the base name."""
-    ex = existing.select(F.col(existing.columns[0]).alias(name))
-    return df.join(ex, name, "left_anti")
+def drop_existing(df: DataFrame, existing: DataFrame, key: str = "base_name") -> DataFrame:
+    """J4 as a filter: left anti join on the key."""
+    ex = existing.select(F.col(existing.columns[0]).alias(key))
+    return df.join(ex, key, "left_anti")
+
+
+def cap_per_account(df: DataFrame, n: int, ts: str = "ts", account: str = "account") -> DataFrame:
+    """The ``n`` latest messages of each account (the listing limit of a sync, only on
+    request). A distributed position, so an account of any size is spread."""
+    order = [F.col(ts).desc_nulls_last(), F.col("message_id").asc()]
+    return ordinal_within(df, [account], order, out="_pos").filter(F.col("_pos") < n).drop("_pos")
 
 
-def import_stats(classified: DataFrame) -> DataFrame:
-    """A1: messages per outcome."""
-    return classified.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+def import_stats(classified: DataFrame, attachments: str | None = None) -> DataFrame:
+    """A1: messages per outcome, and with ``attachments`` (a column with the number extracted
+    from a message) the attachments extracted from the created ones."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if attachments:
+        took = F.when(F.col("outcome") == "created", F.coalesce(F.col(attachments), F.lit(0)))
+        aggs.append(F.coalesce(F.sum(took), F.lit(0)).cast("long").alias("attachments"))
+    return classified.groupBy("outcome").agg(*aggs)
 
 
 def sync_stats(classified: DataFrame, account: str = "account", total_label: str = "TOTAL") -> DataFrame:
     """A2: per-account outcome counters plus a total row (ROLLUP); ``created_total``
     adds would_create so a dry run reports what a real run would create."""
     aggs = [F.count_if(F.col("outcome") == o).alias(o) for o in API_OUTCOMES]
-    r = classified.rollup(account).agg(*aggs, F.count(F.lit(1)).alias("messages"))
-    return r.select(F.coalesce(F.col(account), F.lit(total_label)).alias(account),
+    r = classified.rollup(account).agg(F.grouping(account).alias("_all"), *aggs, F.count(F.lit(1)).alias("messages"))
+    return r.select(F.when(F.col("_all") == 1, F.lit(total_label)).otherwise(F.col(account)).alias(account),
                     *API_OUTCOMES, "messages",
                     (F.col("created") + F.col("would_create")).alias("created_total"))
 
@@ -106,7 +120,7 @@ def sync_stats(classified: DataFrame, account: str = "account", total_label: str
 def failure_digest(stats: DataFrame, account: str = "account", total_label: str = "TOTAL") -> DataFrame:
     """One text line per account with errors, in account order (bounded by the
     number of accounts)."""
-    bad = stats.filter((F.col(account) != total_label) & (F.col("errors") > 0))
+    bad = stats.filter(~F.col(account).eqNullSafe(total_label) & (F.col("errors") > 0))
     return bad.agg(F.count(F.lit(1)).alias("accounts_with_errors"),
                    F.expr(f"listagg(concat({account}, ': ', cast(errors as string), ' errors'), '; ') "
                           f"WITHIN GROUP (ORDER BY {account})").alias("digest"))

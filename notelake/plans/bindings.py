@@ -111,15 +111,19 @@ SYNC_DAYS = 365
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as messages: account = priority, labels = {status, INBOX}, date =
-    order date, subject = priority (so up to 8 messages share a base name); a price
-    without cents stands for a message whose fetch or parse fails."""
+    order date, subject = priority and sometimes a version with a dot (so up to 8 messages share
+    a base name); a price without cents stands for a message whose fetch or parse fails; some
+    messages have no account, no date at all, or one that is not from their Date header."""
     o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
     return o.select(
-        F.col("o_orderkey").alias("msg_id"),
-        F.col("o_orderpriority").alias("account"),
+        F.col("o_orderkey").alias("msg_id"), F.col("o_orderkey").cast("string").alias("message_id"),
+        F.when(k % 41 != 0, F.col("o_orderpriority")).alias("account"),
         F.array(F.col("o_orderstatus"), F.lit("INBOX")).alias("labels"),
-        F.col("o_orderdate").alias("ts"),
-        F.col("o_orderpriority").alias("subject"),
+        F.when(k % 43 != 0, F.col("o_orderdate")).alias("ts"),
+        (k % 6 != 0).alias("header_dated"),
+        F.when(k % 9 == 0, F.concat(F.col("o_orderpriority"), F.lit(" v1.5"))).otherwise(F.col("o_orderpriority")).alias("subject"),
+        (k % 3).alias("attachments"),
         (F.col("o_totalprice") == F.floor("o_totalprice")).alias("failed"),
         F.col("o_orderstatus").alias("status"),
     )
@@ -139,7 +143,8 @@ def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     (tab per segment and year, brand = segment), the others one-off deals (tab per
     year, brand from the order key); creator = customer name. Cells are strings in
     every shape the sheets hold: blank and header-text creators, alias spellings,
-    ``$1,234.56``/``1,234``/``0``/``1.2.3`` rates, several invoice wordings."""
+    ``$1,234.56``/``1,234``/``0``/``1.2.3`` rates, several invoice wordings. Machinery tabs drop
+    creators with certain words; furniture tabs name their brand in a column."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
@@ -148,9 +153,11 @@ def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("o_orderdate").cast("string")
     price = F.col("o_totalprice")
     creator = (F.when(k % 97 == 0, F.lit("")).when(k % 89 == 0, F.lit("Client Name"))
+               .when(k % 53 == 0, F.lit("https://shop.example")).when(k % 59 == 0, F.lit("Analytics team"))
                .when(k % 11 == 0, F.concat(F.replace(F.col("c_name"), F.lit("Customer#"), F.lit("Cust ")), F.lit(" ")))
                .otherwise(F.col("c_name")))
-    brand = F.when(~rec, F.when(k % 83 == 0, F.lit("")).otherwise(
+    own_brand = rec & (F.col("c_mktsegment") == "FURNITURE")
+    brand = F.when(~rec | (own_brand & (k % 3 != 0)), F.when(k % 83 == 0, F.lit("")).otherwise(
         F.concat(F.lit("Brand#"), ((k * 7919) % 4001).cast("string"))))
     rate = (F.when(k % 5 == 0, F.concat(F.lit("$"), F.format_string("%.2f", price)))
             .when(k % 5 == 1, F.format_string("%d,%03d", F.floor(price / 1000).cast("long"),
@@ -165,6 +172,8 @@ def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(rec, F.col("c_mktsegment")).alias("tab_brand"),
         year.alias("year"),
         F.when(rec, "recurring").otherwise("one-off").alias("kind"),
+        F.when(rec & (F.col("c_mktsegment") == "MACHINERY"), F.array(F.lit("http"), F.lit("Analytics"))).alias("drop_words"),
+        own_brand.alias("brand_in_column"),
         k.alias("row_no"),
         creator.alias("creator_raw"),
         brand.alias("brand_raw"),

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import functions as F
 
 from notelake.operators import ledger as L
 from notelake.plans import bindings as B
 from notelake.plans.registry import register
-from notelake.session import ensure_checkpoint_dir
+from notelake.session import shared_path
 
 _STRIP = "regexp_replace(coalesce({}, ''), '^\\s+|\\s+$', '', 'g')"
 
@@ -28,10 +25,13 @@ ledger_rows AS (
          CAST(year(o_orderdate) AS VARCHAR) AS year,
          CASE WHEN o_orderstatus = 'F' THEN 'recurring' ELSE 'one-off' END AS kind,
          o_orderkey AS row_no,
+         CASE WHEN o_orderstatus = 'F' AND c_mktsegment = 'MACHINERY' THEN ['http', 'Analytics'] END AS drop_words,
+         o_orderstatus = 'F' AND c_mktsegment = 'FURNITURE' AS brand_in_column,
          CASE WHEN o_orderkey % 97 = 0 THEN '' WHEN o_orderkey % 89 = 0 THEN 'Client Name'
+              WHEN o_orderkey % 53 = 0 THEN 'https://shop.example' WHEN o_orderkey % 59 = 0 THEN 'Analytics team'
               WHEN o_orderkey % 11 = 0 THEN replace(c_name, 'Customer#', 'Cust ') || ' '
               ELSE c_name END AS creator_raw,
-         CASE WHEN o_orderstatus <> 'F' THEN
+         CASE WHEN o_orderstatus <> 'F' OR (c_mktsegment = 'FURNITURE' AND o_orderkey % 3 <> 0) THEN
               CASE WHEN o_orderkey % 83 = 0 THEN '' ELSE 'Brand#' || CAST((o_orderkey * 7919) % 4001 AS VARCHAR) END
          END AS brand_raw,
          strftime(o_orderdate, '%B') AS month,
@@ -60,10 +60,12 @@ brand_aliases AS (SELECT * FROM (VALUES ('machinery', NULL), ('household', 'furn
 
 RECORDS_SQL = LEDGER_ROWS_SQL + f""",
 valid AS (
-  SELECT *, CASE WHEN kind = 'one-off' THEN {s('brand_raw')} ELSE tab_brand END AS brand_name
+  SELECT *, CASE WHEN kind = 'one-off' THEN {s('brand_raw')}
+                 WHEN brand_in_column THEN {s('coalesce(brand_raw, tab_brand)')} ELSE tab_brand END AS brand_name
   FROM ledger_rows
   WHERE {s('creator_raw')} <> '' AND {s('creator_raw')} <> 'Client Name'
     AND (kind <> 'one-off' OR {s('brand_raw')} <> '')
+    AND NOT (drop_words IS NOT NULL AND (contains(creator_raw, 'http') OR contains(creator_raw, 'Analytics')))
 ),
 resolved AS (
   SELECT v.*,
@@ -85,7 +87,7 @@ records AS (
   SELECT tab, kind, row_no,
          brand_name || ' x ' || {s('creator_raw')} || ' - ' || {s('month')} || ' ' || year AS name,
          {s('month')} || ' ' || year AS month,
-         CASE WHEN kind = 'one-off' THEN {s("coalesce(campaign_type, campaign_type_alt, '')")}
+         CASE WHEN kind = 'one-off' OR brand_in_column THEN {s("coalesce(campaign_type, campaign_type_alt, '')")}
               WHEN {s('deliverables')} <> '' THEN {s('deliverables')}
               ELSE {s("coalesce(campaign_type, campaign_type_alt, '')")} END AS deliverables,
          CASE WHEN kind = 'one-off' THEN 'Flat Fee' ELSE 'Retainer' END AS deal_type,
@@ -114,26 +116,30 @@ def q_ledger_records(spark, sf_dir):
 
 @register("ledger_batches", "WITH " + RECORDS_SQL + """
 SELECT CAST(floor((rn - 1) / 10) AS BIGINT) AS batch, count(*) AS records,
-       arg_min(name, rn) AS first_name, arg_max(name, rn) AS last_name
-FROM (SELECT name, row_number() OVER (ORDER BY kind DESC, tab, row_no) AS rn FROM records)
+       '{"records":[' || string_agg(fields, ',' ORDER BY rn) || ']}' AS payload
+FROM (SELECT row_number() OVER (ORDER BY kind DESC, tab, row_no) AS rn,
+        '{"fields":{"Name":' || to_json(name) || ',"Month":' || to_json(month) || ',"Deliverables":' || to_json(deliverables)
+        || ',"Deal Type":' || to_json(deal_type) || coalesce(',"Inbound Source":' || to_json(inbound_source), '')
+        || ',"Pipeline Stage":' || to_json(stage) || coalesce(',"Rate":' || to_json(rate), '')
+        || coalesce(',"Brand":[' || to_json(brand_id) || ']', '') || coalesce(',"Creator":[' || to_json(creator_id) || ']', '')
+        || coalesce(',"Payment Status":' || to_json(payment_status), '')
+        || coalesce(',"Content Approval Status":' || to_json(approval), '') || '}}' AS fields FROM records)
 GROUP BY 1""")
 def q_ledger_batches(spark, sf_dir):
     """Upload batches of 10 in ledger order (recurring tabs first)."""
     r = records(spark, sf_dir).withColumn("kind_rank", F.when(F.col("kind") == "recurring", 0).otherwise(1))
-    b = L.to_batches(r, ["kind_rank", "tab", "row_no"])
-    return b.select("batch", "records", "first_name", "last_name")
+    return L.to_batches(r, ["kind_rank", "tab", "row_no"])
 
 
 @register("ledger_record_counts", "WITH " + RECORDS_SQL + """
-SELECT coalesce(kind, 'total') AS kind, count(*) AS records FROM records GROUP BY ROLLUP (kind)""")
+SELECT CASE WHEN grouping(kind) = 1 THEN 'total' ELSE kind END AS kind, count(*) AS records FROM records GROUP BY ROLLUP (kind)""")
 def q_ledger_record_counts(spark, sf_dir):
     """Recurring, one-off and total record counts."""
     return L.record_counts(records(spark, sf_dir))
 
 
 @register("repeat_tab_volume", "WITH " + LEDGER_ROWS_SQL + f"""
-SELECT tab, tab_brand, year, count(*) AS deal_months, count(DISTINCT {s('creator_raw')}) AS creators,
-       array_to_string(list_sort(list_distinct(list({s('creator_raw')}))), ', ') AS creator_list
+SELECT tab, tab_brand, year, count(*) AS deal_months, count(DISTINCT {s('creator_raw')}) AS creators
 FROM ledger_rows WHERE kind = 'recurring' AND {s('creator_raw')} <> ''
 GROUP BY tab, tab_brand, year""")
 def q_repeat_tab_volume(spark, sf_dir):
@@ -141,6 +147,13 @@ def q_repeat_tab_volume(spark, sf_dir):
     return L.tab_volume(B.ledger_rows(spark, sf_dir))
 
 
+@register("repeat_tab_creators", "WITH " + LEDGER_ROWS_SQL + f"""
+SELECT DISTINCT tab, {s('creator_raw')} AS creator FROM ledger_rows WHERE kind = 'recurring' AND {s('creator_raw')} <> ''""")
+def q_repeat_tab_creators(spark, sf_dir):
+    """Creators of each recurring tab."""
+    return L.tab_creators(B.ledger_rows(spark, sf_dir))
+
+
 @register("repeat_brand_volume", "WITH " + LEDGER_ROWS_SQL + f"""
 SELECT tab_brand, count(*) AS deal_months, count(DISTINCT {s('creator_raw')}) AS creators
 FROM ledger_rows WHERE kind = 'recurring' AND {s('creator_raw')} <> '' GROUP BY tab_brand""")
@@ -183,7 +196,8 @@ SELECT recurring, oneoff, recurring + oneoff AS total,
        round(oneoff * 100.0 / nullif(recurring + oneoff, 0), 4) AS oneoff_pct,
        recurring + repeat_oneoff AS actual_recurring,
        oneoff - repeat_oneoff AS actual_oneoff,
-       round((recurring + repeat_oneoff) * 100.0 / nullif(recurring + oneoff, 0), 4) AS actual_recurring_pct
+       round((recurring + repeat_oneoff) * 100.0 / nullif(recurring + oneoff, 0), 4) AS actual_recurring_pct,
+       round((oneoff - repeat_oneoff) * 100.0 / nullif(recurring + oneoff, 0), 4) AS actual_oneoff_pct
 FROM t""")
 def q_repeat_shares(spark, sf_dir):
     """recurring/one-off shares and corrected shares."""
@@ -194,7 +208,7 @@ def q_repeat_shares(spark, sf_dir):
 SELECT creator, count(*) AS deals FROM oneoffs GROUP BY creator""")
 def q_repeat_creator_oneoffs(spark, sf_dir):
     """One-off deals per creator."""
-    return L.creator_oneoffs(B.ledger_rows(spark, sf_dir))
+    return L.order_counts(L.creator_oneoffs(B.ledger_rows(spark, sf_dir)), "deals", "creator")
 
 
 @register("repeat_oneoff_tabs", "WITH " + LEDGER_ROWS_SQL + f"""
@@ -207,18 +221,44 @@ def q_repeat_oneoff_tabs(spark, sf_dir):
 
 
 @register("ledger_csv_roundtrip", "WITH " + LEDGER_ROWS_SQL + f"""
-SELECT tab, count(*) AS rows, count(*) FILTER (WHERE {s('creator_raw')} <> '') AS with_creator
-FROM ledger_rows GROUP BY tab""")
+SELECT 'REC ' || year AS tab, 'recurring' AS kind, year, {s('creator_raw')} AS creator, {s('rate_raw')} AS rate,
+       {s('invoice_raw')} AS invoice, count(*) AS rows
+FROM ledger_rows WHERE kind = 'recurring' GROUP BY ALL
+UNION ALL
+SELECT 'ONE-OFF ' || year, 'one-off', year, {s('creator_raw')}, {s('rate_raw')}, {s('invoice_raw')}, count(*)
+FROM ledger_rows WHERE kind = 'one-off' GROUP BY ALL""")
 def q_ledger_csv_roundtrip(spark, sf_dir):
-    """The ledger written as sheet CSVs (sheet headers, one folder per tab) in
-    the shared checkpoint folder, read back by the ledger reader."""
+    """The ledger written as header CSVs (a byte order mark on the first header, sheet
+    headers, one folder per kind and year) in the shared folder, read back by the ledger reader."""
+    base, years = _write_tabs(spark, sf_dir)
+    tabs = [(f"{base}/kind={k}/year={y}", f"{'REC' if k == 'recurring' else 'ONE-OFF'} {y}", None, y, k) for k, y in years]
+    back = L.read_ledger(spark, tabs)
+    clean = lambda c: L._s(c)
+    return back.groupBy("tab", "kind", "year", clean("creator_raw").alias("creator"), clean("rate_raw").alias("rate"),
+                        clean("invoice_raw").alias("invoice")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("ledger_csv_rows", "WITH " + LEDGER_ROWS_SQL + """
+SELECT kind, year, count(*) AS rows FROM ledger_rows GROUP BY kind, year""")
+def q_ledger_csv_rows(spark, sf_dir):
+    """Rows of each CSV counted without its header (one header line per part file)."""
+    base, years = _write_tabs(spark, sf_dir)
+    out = None
+    for k, y in years:
+        n = L.count_rows(spark, f"{base}/kind={k}/year={y}").select(
+            F.lit(k).alias("kind"), F.lit(y).alias("year"), (F.col("rows") - 1).alias("rows"))
+        out = n if out is None else out.unionAll(n)
+    return out
+
+
+def _write_tabs(spark, sf_dir):
+    """One CSV file per kind and year under sheet headers; the paths' (kind, year) list, which
+    is as long as there are tabs."""
     rows = B.ledger_rows(spark, sf_dir)
-    base = os.path.join(ensure_checkpoint_dir(spark), f"ledger-{uuid.uuid4().hex}")
+    base = shared_path(spark, "ledger")
     inv = {v: k for k, v in L.RENAMES.items()}
-    out = rows.select("tab", *[F.col(c).alias(inv[c]) for c in L.LEDGER_COLUMNS])
-    out.write.partitionBy("tab").option("header", True).option("ignoreTrailingWhiteSpace", False) \
-        .option("ignoreLeadingWhiteSpace", False).csv(base)
-    back = spark.read.option("header", True).option("multiLine", True).csv(base)
-    back = back.select("tab", *[F.col(f"`{inv[c]}`").alias(c) for c in L.LEDGER_COLUMNS])
-    return back.groupBy("tab").agg(F.count(F.lit(1)).alias("rows"),
-                                   F.count_if(F.coalesce(F.trim("creator_raw"), F.lit("")) != "").alias("with_creator"))
+    names = ["\ufeff" + inv[c] if i == 0 else inv[c] for i, c in enumerate(L.LEDGER_COLUMNS)]
+    out = rows.select("kind", "year", *[F.col(c).alias(n) for c, n in zip(L.LEDGER_COLUMNS, names)])
+    out.repartition("kind", "year").write.partitionBy("kind", "year").option("header", True) \
+        .option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(base)
+    return base, sorted(map(tuple, rows.select("kind", "year").distinct().collect()))

@@ -22,19 +22,22 @@ def safe_name_sql(c: str, n: int) -> str:
 
 
 ORDER_MSGS_SQL = f"""
-om AS (
-  SELECT o_orderkey AS msg_id, o_orderpriority AS account, [o_orderstatus, 'INBOX'] AS labels,
-         o_orderdate AS ts, o_orderpriority AS subject, o_totalprice = floor(o_totalprice) AS failed,
-         o_orderstatus AS status,
-         strftime(o_orderdate, '%Y-%m-%d') || '_' || {safe_name_sql('o_orderpriority', 60)} AS base_name
+om0 AS (
+  SELECT o_orderkey AS msg_id, o_orderkey::VARCHAR AS message_id,
+         CASE WHEN o_orderkey % 41 <> 0 THEN o_orderpriority END AS account, [o_orderstatus, 'INBOX'] AS labels,
+         CASE WHEN o_orderkey % 43 <> 0 THEN o_orderdate END AS ts, o_orderkey % 6 <> 0 AS header_dated,
+         CASE WHEN o_orderkey % 9 = 0 THEN o_orderpriority || ' v1.5' ELSE o_orderpriority END AS subject,
+         o_orderkey % 3 AS attachments,
+         o_totalprice = floor(o_totalprice) AS failed, o_orderstatus AS status
   FROM orders
 ),
-existing AS (SELECT DISTINCT base_name FROM om WHERE status = 'F'),
+om AS (SELECT *, strftime(ts, '%Y-%m-%d') || '_' || {safe_name_sql('subject', 60)} AS base_name FROM om0),
+existing AS (SELECT DISTINCT base_name FROM om WHERE status = 'F' AND msg_id % 2 = 0),
 routed AS (
   SELECT om.*, CASE WHEN failed THEN 'errors'
+                    WHEN header_dated AND base_name IN (SELECT base_name FROM existing WHERE base_name IS NOT NULL) THEN 'skipped_exists'
                     WHEN list_has_any(labels, [{SKIP_SQL}]) THEN 'skipped_label'
                     WHEN ts IS NULL THEN 'skipped_nodate'
-                    WHEN base_name IN (SELECT base_name FROM existing) THEN 'skipped_exists'
                     ELSE 'created' END AS outcome
   FROM om
 )"""
@@ -42,13 +45,15 @@ routed AS (
 
 def _order_msgs(spark, sf_dir):
     m = B.order_messages(spark, sf_dir)
-    return m.withColumn("base_name", M.base_name("ts", "subject")).withColumn("header_dated", F.lit(True))
+    return m.withColumn("base_name", M.base_name("ts", "subject"))
 
 
-def routed(spark, sf_dir):
+def routed(spark, sf_dir, dry_run=False):
+    """Classified messages (written once, since counts and names both read them) and the
+    existing note names."""
     m = _order_msgs(spark, sf_dir)
-    existing = m.filter(F.col("status") == "F").select("base_name")
-    return R.classify_api(m, B.SKIP_LABELS, existing, F.col("failed")), existing
+    existing = m.filter((F.col("status") == "F") & (F.col("msg_id") % 2 == 0) & F.col("base_name").isNotNull()).select("base_name")
+    return R.classify_api(m, B.SKIP_LABELS, existing, F.col("failed"), dry_run=dry_run), existing
 
 
 @register("sync_outcomes", "WITH " + ORDER_MSGS_SQL + """
@@ -61,12 +66,13 @@ def q_sync_outcomes(spark, sf_dir):
 
 @register("sync_names", "WITH " + ORDER_MSGS_SQL + """
 SELECT msg_id, base_name,
-       base_name || CASE WHEN rn = 1 THEN '' ELSE '_' || CAST(rn - 1 AS VARCHAR) END AS unique_name
-FROM (SELECT *, row_number() OVER (PARTITION BY base_name ORDER BY ts, msg_id) AS rn
-      FROM routed WHERE outcome = 'created')""")
+       base_name || CASE WHEN n = 0 THEN '' ELSE '_' || CAST(n AS VARCHAR) END AS unique_name
+FROM (SELECT r.*, row_number() OVER (PARTITION BY r.base_name ORDER BY ts, msg_id) - 1
+                  + (r.base_name IN (SELECT base_name FROM existing WHERE base_name IS NOT NULL))::INT AS n
+      FROM routed r WHERE outcome = 'created')""")
 def q_sync_names(spark, sf_dir):
     """Collision-free note names for created messages, seeded with existing ones."""
-    r, existing = routed(spark, sf_dir)
+    r, existing = routed(spark, sf_dir)   # an undated header skips the "exists" test, so names can meet (Q17)
     created = r.filter(F.col("outcome") == "created").select("msg_id", "ts", "base_name")
     named = N.assign_unique_names(created, "base_name", ["ts", "msg_id"], existing=existing,
                                   id_col="msg_id")
@@ -74,7 +80,7 @@ def q_sync_names(spark, sf_dir):
 
 
 _STATS_SQL = """
-SELECT coalesce(account, 'TOTAL') AS account,
+SELECT CASE WHEN grouping(account) = 1 THEN 'TOTAL' ELSE account END AS account,
        count(*) FILTER (WHERE outcome = 'errors') AS errors,
        count(*) FILTER (WHERE outcome = 'skipped_label') AS skipped_label,
        count(*) FILTER (WHERE outcome = 'skipped_nodate') AS skipped_nodate,
@@ -93,10 +99,45 @@ def q_sync_stats(spark, sf_dir):
     return R.sync_stats(r)
 
 
+@register("sync_stats_dry_run", "WITH " + ORDER_MSGS_SQL.replace("ELSE 'created' END AS outcome", "ELSE 'would_create' END AS outcome") + _STATS_SQL)
+def q_sync_stats_dry_run(spark, sf_dir):
+    """K8: the counters of a dry run."""
+    r, _ = routed(spark, sf_dir, dry_run=True)
+    return R.sync_stats(r)
+
+
+@register("sync_by_id", "WITH " + ORDER_MSGS_SQL + f"""
+SELECT msg_id, CASE WHEN failed THEN 'errors' WHEN header_dated AND status = 'F' AND msg_id % 2 = 0 THEN 'skipped_exists'
+                    WHEN list_has_any(labels, [{SKIP_SQL}]) THEN 'skipped_label' WHEN ts IS NULL THEN 'skipped_nodate'
+                    ELSE 'created' END AS outcome FROM om""")
+def q_sync_by_id(spark, sf_dir):
+    """J4 on the message id (Q18): mails that share date and subject are told apart."""
+    m = _order_msgs(spark, sf_dir)
+    known = m.filter((F.col("status") == "F") & (F.col("msg_id") % 2 == 0)).select("message_id")
+    return R.classify_api(m, B.SKIP_LABELS, known, F.col("failed"), key="message_id").select("msg_id", "outcome")
+
+
+@register("new_messages", "WITH " + ORDER_MSGS_SQL + """
+SELECT msg_id FROM om WHERE NOT coalesce(base_name IN (SELECT base_name FROM existing WHERE base_name IS NOT NULL), false)""")
+def q_new_messages(spark, sf_dir):
+    """J4 as a filter."""
+    m = _order_msgs(spark, sf_dir)
+    existing = m.filter((F.col("status") == "F") & (F.col("msg_id") % 2 == 0)).select("base_name")
+    return R.drop_existing(m, existing).select("msg_id")
+
+
+@register("capped_listing", "WITH " + ORDER_MSGS_SQL + """
+SELECT msg_id, account FROM (SELECT *, row_number() OVER (PARTITION BY account ORDER BY ts DESC NULLS LAST, message_id) AS rn FROM om)
+WHERE rn <= 100""")
+def q_capped_listing(spark, sf_dir):
+    """The latest 100 messages of each account (the limit is the feature)."""
+    return R.cap_per_account(B.order_messages(spark, sf_dir), 100).select("msg_id", "account")
+
+
 @register("failure_digest", "WITH " + ORDER_MSGS_SQL + f""", stats AS ({_STATS_SQL})
 SELECT count(*) AS accounts_with_errors,
        string_agg(account || ': ' || CAST(errors AS VARCHAR) || ' errors', '; ' ORDER BY account) AS digest
-FROM stats WHERE account <> 'TOTAL' AND errors > 0""")
+FROM stats WHERE account IS DISTINCT FROM 'TOTAL' AND errors > 0""")
 def q_failure_digest(spark, sf_dir):
     """Digest line of accounts with errors."""
     r, _ = routed(spark, sf_dir)
@@ -125,10 +166,11 @@ def q_import_outcomes(spark, sf_dir):
 
 
 @register("import_stats", "WITH " + ORDER_MSGS_SQL + f"""
-SELECT outcome, count(*) AS n FROM ({_IMPORT_SQL}) GROUP BY outcome""")
+SELECT outcome, count(*) AS n, sum(CASE WHEN outcome = 'created' THEN attachments ELSE 0 END)::BIGINT AS attachments
+FROM ({_IMPORT_SQL}) i JOIN om USING (msg_id) GROUP BY outcome""")
 def q_import_stats(spark, sf_dir):
-    """A1: outcome counts of an import."""
-    return R.import_stats(import_routed(spark, sf_dir))
+    """A1: outcome counts of an import, with the attachments extracted."""
+    return R.import_stats(import_routed(spark, sf_dir), "attachments")
 
 
 @register("lookback_window", "WITH " + ORDER_MSGS_SQL + f"""
