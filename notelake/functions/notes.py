@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notelake.functions.common import col_of, strip_ws
@@ -24,24 +24,32 @@ def _unquote(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(strip_ws(c), '^"+|"+$', ""), "^'+|'+$", "")
 
 
-def parse_frontmatter(content) -> Column:
-    """Property map of a note: lines holding ``:`` that do not start with ``-``
-    or ``#``; key before the first colon (stripped), value after it (stripped and
-    unquoted); the last duplicate key wins. No frontmatter -> empty map."""
-    has, fm_text, _ = frontmatter_parts(content)
-    return parse_frontmatter_text(has, fm_text)
+def frontmatter_entries(has, fm_text) -> Column:
+    """The ``key: value`` lines of a frontmatter text: lines holding ``:`` that do not start
+    with ``-`` or ``#``; key before the first colon (stripped), value after it (stripped and
+    unquoted)."""
+    lines = F.split(F.when(col_of(has), col_of(fm_text)), "\n")
+    keep = F.filter(lines, lambda l: l.contains(":") & ~F.regexp_like(l, F.lit(r"(?U)^\s*[-#]")))
+    return F.coalesce(F.transform(keep, lambda l: F.struct(
+        strip_ws(F.substring_index(l, ":", 1)).alias("key"),
+        _unquote(F.substring(l, F.instr(l, ":") + 1, F.length(l))).alias("value"))), F.array().cast("array<struct<key:string,value:string>>"))
 
 
-def parse_frontmatter_text(has, fm_text) -> Column:
-    """X12 on an already split note (``has`` flag and frontmatter text)."""
-    has, fm_text = col_of(has), col_of(fm_text)
-    lines = F.split(F.coalesce(fm_text, F.lit("")), "\n")
-    keep = F.filter(lines, lambda l: l.contains(":") & ~strip_ws(l).startswith("-") & ~strip_ws(l).startswith("#"))
-    ent = F.transform(keep, lambda l: F.struct(strip_ws(F.substring_index(l, ":", 1)).alias("key"),
-                                               _unquote(F.substring(l, F.instr(l, ":") + 1, 1 << 30)).alias("value")))
-    last = F.filter(ent, lambda x, i: ~F.exists(F.slice(ent, i + 2, F.greatest(F.size(ent) - i - 1, F.lit(0))),
-                                                lambda y: y["key"] == x["key"]))
-    return F.when(has, F.map_from_entries(last)).otherwise(F.create_map().cast("map<string,string>"))
+def entries_to_map(entries) -> Column:
+    """Entries as a map, the last duplicate key wins. ``entries`` is to be a column of its
+    own, as it is used for each key."""
+    ent = col_of(entries)
+    keys = F.array_distinct(F.transform(ent, lambda e: e["key"]))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(ent, lambda e: e["key"] == k), -1)["value"]))
+
+
+def with_frontmatter(df: DataFrame, content: str = "content") -> DataFrame:
+    """``df`` with ``has_fm``, ``fm`` (X12: property map, empty without frontmatter) and ``body``,
+    in steps, so that each part is computed once a row."""
+    has, fm_text, body = frontmatter_parts(F.col(content))
+    cut = df.select("*", has.alias("has_fm"), fm_text.alias("_fm_text"), body.alias("body"))
+    listed = cut.select("*", frontmatter_entries("has_fm", "_fm_text").alias("_entries"))
+    return listed.select(*df.columns, "has_fm", entries_to_map("_entries").alias("fm"), "body")
 
 
 def fm_get(fm, key: str) -> Column:
@@ -51,7 +59,8 @@ def fm_get(fm, key: str) -> Column:
 def sender_domain(fm, body) -> Column:
     """Domain from ``from_email``, then ``from``, then ``sender_email``, then the
     first ``**From:**`` line of the body."""
-    line = F.regexp_extract(col_of(body), r"\*\*From:\*\*\s*(.+)", 1)
+    # The pattern of the body's sender line.
+    line = F.regexp_extract(col_of(body), r"(?d)\*\*From:\*\*\s*(.+)", 1)
     return F.coalesce(email_domain(fm_get(fm, "from_email")), email_domain(fm_get(fm, "from")),
                       email_domain(fm_get(fm, "sender_email")), email_domain(F.when(line != "", line)))
 
@@ -73,8 +82,8 @@ def upsert_property(content, key: str, value) -> Column:
     block = F.substring(c, F.lit(4), end - 4)
     rest = F.substring(c, end, 1 << 30)
     line = F.concat(F.lit(f"{key}: \""), v, F.lit('"'))
-    exists = block.rlike(f"(?m)^{key}:")
-    replaced = F.regexp_replace(block, F.lit(f"(?m)^({key}:)[ \\t]*.*$"),
+    exists = block.rlike(f"(?md)^{key}:")
+    replaced = F.regexp_replace(block, F.lit(f"(?md)^({key}:)[ \\t]*.*$"),
                                 F.concat(F.lit("$1 \""), F.regexp_replace(v, r"([\\$])", r"\\$1"), F.lit('"')))
     appended = F.concat(F.regexp_replace(block, r"(?U)\s+$", ""), F.lit("\n"), line)
     return F.when(has, F.concat(F.lit("---"), F.when(exists, replaced).otherwise(appended), rest)).otherwise(c)
@@ -85,7 +94,7 @@ def insert_related(body, name) -> Column:
     header, else append a ``## Related`` section."""
     b, n = col_of(body), col_of(name)
     item = F.concat(F.lit("- [["), n, F.lit("]]\n"))
-    hdr_re = r"(?m)^## Related\s*\n"
+    hdr_re = r"(?md)^## Related\s*\n"
     hdr = F.regexp_extract(b, hdr_re, 0)
     split_at = F.regexp_instr(b, F.lit(hdr_re)) + F.length(hdr)
     under = F.concat(F.substring(b, F.lit(1), split_at - 1), item, F.substring(b, split_at, 1 << 30))
@@ -95,6 +104,7 @@ def insert_related(body, name) -> Column:
 
 def contact_emails(body) -> Column:
     """Addresses in the second cell of markdown table rows."""
+    # The pattern of a contact-table row.
     return F.regexp_extract_all(col_of(body),
                                 F.lit(r"\|\s*[^|]+\s*\|\s*([a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+)\s*\|"), 1)
 
@@ -102,7 +112,7 @@ def contact_emails(body) -> Column:
 def profile_brand(fm, content, stem) -> Column:
     """Brand of a profile: ``company`` property, else the first H1, else the file stem."""
     company = _unquote(fm_get(fm, "company"))
-    h1 = strip_ws(F.regexp_extract(col_of(content), r"(?m)^# (.+)$", 1))
+    h1 = strip_ws(F.regexp_extract(col_of(content), r"(?md)^# (.+)$", 1))
     return F.coalesce(F.when(company != "", company), F.when(h1 != "", h1), col_of(stem))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from notelake.functions.mail import ntz_to_ms
 from notelake.operators.calendar import event_text
+from notelake.operators.files import valid_pairs
 from notelake.session import read_table
 
 # Fixed values used by the bindings.
@@ -208,33 +209,37 @@ def ledger_dictionaries(spark: SparkSession, sf_dir: str):
 
 
 def doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two vault folders per pair from documents: even ids are files of the old
-    folder, odd ids of the new one, both at ``note-<id div 2>.md`` (so partners share
-    a path). English notes hold a shared boilerplate body, so an English pair is a
-    duplicate; German notes were never copied to the new side."""
+    """Vault folders from all documents and their whole texts: even ids are files of old
+    folders, odd ids of new ones. A file is named by the first characters of its text, so exact
+    copies meet at one path with one hash and near copies with another; where two files of a
+    folder would share a name, the later one adds its id."""
     d = read_table(spark, sf_dir, "documents")
-    even = F.col("doc_id") % 2 == 0
-    key = F.floor(F.col("doc_id") / 2).cast("long")
-    pair = (key % 3).cast("string")
-    body = F.when(F.col("lang") == "en", F.concat(F.lit("shared boilerplate "), key.cast("string"))) \
-        .otherwise(F.col("text"))
-    f = d.filter(even | (F.col("lang") != "de")).select(
-        "doc_id",
-        F.when(even, F.concat(F.lit("old-"), pair)).otherwise(F.concat(F.lit("new-"), pair)).alias("folder"),
-        F.concat(F.lit("note-"), key.cast("string"), F.lit(".md")).alias("rel_path"),
-        F.lit(".md").alias("ext"),
-        F.octet_length(body).cast("long").alias("length"),
-        F.sha2(F.encode(body, "UTF-8"), 256).alias("sha256"))
-    return f
+    text = F.coalesce("text", F.lit(""))
+    f = d.select(
+        "doc_id", F.concat(F.when(F.col("doc_id") % 2 == 0, "old-").otherwise("new-"),
+                           (F.floor(F.col("doc_id") / 2) % 3).cast("string")).alias("folder"),
+        F.concat(F.lit("n/"), F.substring(F.md5(F.substring(text, 1, 30)), 1, 10)).alias("base"),
+        F.octet_length(text).cast("long").alias("length"), F.sha2(text, 256).alias("sha256"))
+    first = f.groupBy("folder", "base").agg(F.min("doc_id").alias("first"))
+    own = F.when(F.col("doc_id") == F.col("first"), F.col("base")).otherwise(F.concat("base", F.lit("-"), F.col("doc_id").cast("string")))
+    return f.join(first, ["folder", "base"]).select(
+        "doc_id", "folder", F.concat(own, F.lit(".md")).alias("rel_path"), F.lit(".md").alias("ext"), "length", "sha256")
+
+
+# Folder pairs as written in the job's arguments (two old folders share a target, one
+# old folder does not exist, one has no files, two entries are not pairs).
+MERGE_SPECS = ["old-0:new-0", "old-1:new-1", "old-2:new-0", "old-missing:new-missing/sub", "old-empty:new-1", "old-0", "a:b:c"]
+EMPTY_FOLDERS = ["old-empty"]
 
 
 def merge_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merge pairs ``old-N -> new-N`` for every pair the files use, plus one pair
-    whose old folder does not exist."""
-    f = doc_files(spark, sf_dir)
-    p = f.filter(F.col("folder").startswith("old-")).select(
-        F.col("folder").alias("old"), F.regexp_replace("folder", "^old-", "new-").alias("new")).distinct()
-    return p.unionByName(spark.createDataFrame([("old-missing", "new-missing/sub")], "old string, new string"))
+    """The valid merge pairs."""
+    return valid_pairs(spark.createDataFrame([(x,) for x in MERGE_SPECS], "spec string"))
+
+
+def vault_folders(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Folders that exist: those with files and the empty ones."""
+    return files.select("folder").distinct().unionByName(spark.createDataFrame([(x,) for x in EMPTY_FOLDERS], "folder string"))
 
 
 # Generic brand and ranked keyword -> sub-brand list for the retag job.

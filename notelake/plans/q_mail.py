@@ -156,11 +156,11 @@ def strip_quotes_sql(c: str) -> str:
 SELECT account, thread_id, message_id, internal_ms, seq,
        CASE WHEN own THEN 'us' ELSE s_name || ' <' || s_addr || '>' END AS who,
        coalesce(subject, '') AS subject,
-       substr({strip_quotes_sql("CASE WHEN body = '' THEN NULL ELSE body END")}, 1, 2500) AS body
+       {strip_quotes_sql("CASE WHEN body = '' THEN NULL ELSE body END")} AS body
 FROM snd2 WHERE (account, thread_id) IN (SELECT account, thread_id FROM hits)""")
 def q_thread_transcript(spark, sf_dir):
     """Q9 dump of every labelled thread: speaker (X41), body decoded from URL-safe
-    base64 (X21), quotes stripped (X8, W7), cut at 2,500 characters (X7)."""
+    base64 (X21), quotes stripped (X8, W7), whole."""
     msgs = B.messages(spark, sf_dir)
     since = F.timestamp_add("DAY", F.lit(-B.LOOKBACK_DAYS), B.as_of())
     lab = T.labelled_threads(msgs, B.OFFER_LABEL, since)

@@ -10,6 +10,7 @@ from notelake.operators import enrich as EN
 from notelake.plans import bindings as B
 from notelake.plans.oracle import email_domain_sql
 from notelake.plans.registry import register
+from notelake.session import materialise
 
 NL = "chr(10)"
 ST = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
@@ -103,13 +104,39 @@ domain_map AS (
 )"""
 
 
+def _rewrite_sql() -> str:
+    """X14 and X15 on the notes to update, step by step."""
+    return f"""
+up0 AS (
+  SELECT n.path, d.brand, substr(content, 4, strpos(substr(content, 4), {NL} || '---') - 1) AS block,
+         substr(content, strpos(substr(content, 4), {NL} || '---') + 7) AS body
+  FROM notes n JOIN dec d ON n.path = d.path WHERE d.decision = 'updated'
+),
+up1 AS (
+  SELECT path, brand, body, regexp_extract(body, '(?m)^## Related\\s*\\n', 0) AS hdr,
+         contains(body, '[[' || brand || ']]') OR regexp_matches(body, '\\[\\[' || regexp_escape(brand) || '\\|[^\\]]+\\]\\]') AS linked,
+         CASE WHEN regexp_matches(block, '(?m)^related_brand:')
+              THEN regexp_replace(block, '(?m)^(related_brand:)[ \\t]*.*$', '\\1 "' || brand || '"', 'g')
+              ELSE regexp_replace(block, '\\s+$', '') || {NL} || 'related_brand: "' || brand || '"' END AS block
+  FROM up0
+),
+rewritten AS (
+  SELECT path, '---' || block || {NL} || '---' ||
+         CASE WHEN linked THEN body
+              WHEN hdr <> '' THEN substr(body, 1, strpos(body, hdr) + length(hdr) - 1) || '- [[' || brand || ']]' || {NL}
+                                  || substr(body, strpos(body, hdr) + length(hdr))
+              ELSE regexp_replace(body, '\\s+$', '') || {NL} || {NL} || '## Related' || {NL} || '- [[' || brand || ']]' || {NL} END AS new_content
+  FROM up1
+)"""
+
+
 def _decisions_sql() -> str:
     has, ent, body = fm_sql("content")
     typ = f"lower({get_sql(ent, 'type')})"
     from_line = "regexp_extract(body, '\\*\\*From:\\*\\*\\s*(.+)', 1)"
     dom = (f"coalesce({email_domain_sql(get_sql('ent', 'from_email'))}, {email_domain_sql(get_sql('ent', 'from'))}, "
            f"{email_domain_sql(get_sql('ent', 'sender_email'))}, {email_domain_sql(f'nullif({from_line}, {chr(39)}{chr(39)})')})")
-    return f"""
+    return rf"""
 np AS (SELECT path, content, {has} AS has, {ent} AS ent, {body} AS body FROM notes),
 nd AS (
   SELECT path, content, body, ent,
@@ -130,9 +157,15 @@ dec AS (
 CTE = "WITH " + _notes_sql() + "," + _profiles_sql() + "," + _decisions_sql()
 
 
+def domain_map(spark, sf_dir):
+    return EN.build_domain_map(B.fixed_domains(spark), B.brand_profiles(spark, sf_dir), B.generic_domains(spark))
+
+
 def decisions(spark, sf_dir):
-    dm = EN.build_domain_map(B.fixed_domains(spark), B.brand_profiles(spark, sf_dir), B.generic_domains(spark))
-    return EN.enrich_decisions(B.doc_notes(spark, sf_dir), dm), dm
+    """(parsed notes, domain map, decisions); the first two are written once."""
+    parsed = EN.parse_notes(B.doc_notes(spark, sf_dir))
+    dm = materialise(domain_map(spark, sf_dir), "domain-map")
+    return parsed, dm, EN.enrich_decisions(parsed, dm)
 
 
 @register("note_frontmatter", "WITH " + _notes_sql() + f""",
@@ -143,24 +176,31 @@ SELECT path, has AS has_frontmatter, len(list_distinct(list_transform(ent, lambd
 FROM np""")
 def q_note_frontmatter(spark, sf_dir):
     """Frontmatter map (last duplicate wins, empty values kept)."""
-    n = B.doc_notes(spark, sf_dir)
-    has, _, _ = NF.frontmatter_parts(F.col("content"))
-    fm = NF.parse_frontmatter("content")
-    return n.select("path", has.alias("has_frontmatter"), F.size(F.map_keys(fm)).alias("n_keys"),
+    n = NF.with_frontmatter(B.doc_notes(spark, sf_dir))
+    fm = F.col("fm")
+    return n.select("path", F.col("has_fm").alias("has_frontmatter"), F.size(F.map_keys(fm)).alias("n_keys"),
                     NF.fm_get(fm, "type").alias("type"), NF.fm_get(fm, "related_brand").alias("related_brand"),
                     NF.fm_get(fm, "status").alias("status"), NF.fm_get(fm, "from").alias("from_value"))
 
 
+@register("email_notes", "WITH " + _notes_sql() + f""",
+np AS (SELECT path, {fm_sql('content')[0]} AS has, {fm_sql('content')[1]} AS ent FROM notes)
+SELECT path FROM np WHERE has AND lower({get_sql('ent', 'type')}) IN ('email', 'capture', '')""")
+def q_email_notes(spark, sf_dir):
+    """E-mail notes by their type property."""
+    return EN.email_notes(B.doc_notes(spark, sf_dir)).select("path")
+
+
 @register("domain_map", CTE + " SELECT domain, brand FROM domain_map")
 def q_domain_map(spark, sf_dir):
     """W2 first-wins domain map over fixed map and profiles."""
-    return decisions(spark, sf_dir)[1]
+    return domain_map(spark, sf_dir)
 
 
 @register("enrich_decisions", CTE + " SELECT path, domain, brand, decision FROM dec")
 def q_enrich_decisions(spark, sf_dir):
     """X3 sender domain, J1 lookup, X16 decision."""
-    return decisions(spark, sf_dir)[0].select("path", "domain", "brand", "decision")
+    return decisions(spark, sf_dir)[2]
 
 
 @register("enrich_stats", CTE + """
@@ -172,32 +212,39 @@ SELECT count(*) AS scanned, count(*) FILTER (WHERE decision IN ('updated', 'alre
 FROM dec""")
 def q_enrich_stats(spark, sf_dir):
     """A3 counters."""
-    return EN.enrich_stats(decisions(spark, sf_dir)[0])
+    return EN.enrich_stats(decisions(spark, sf_dir)[2])
 
 
 @register("updates_by_brand", CTE + """
 SELECT brand, count(*) AS updated FROM dec WHERE decision = 'updated' GROUP BY brand""")
 def q_updates_by_brand(spark, sf_dir):
     """A4: updated notes per brand."""
-    return EN.updates_by_brand(decisions(spark, sf_dir)[0])
+    return EN.updates_by_brand(decisions(spark, sf_dir)[2]).orderBy(F.desc("updated"), "brand")
 
 
 @register("domains_by_brand", CTE + """
-SELECT brand, count(*) AS domains, array_to_string(list_sort(list(domain)), ',') AS domain_list
-FROM domain_map GROUP BY brand""")
+SELECT brand, count(*) AS domains FROM domain_map GROUP BY brand""")
 def q_domains_by_brand(spark, sf_dir):
     """A5: domains per brand."""
-    return EN.domains_by_brand(decisions(spark, sf_dir)[1])
+    return EN.domains_by_brand(domain_map(spark, sf_dir))
+
+
+@register("enrich_rewrites", CTE + "," + _rewrite_sql() + " SELECT path, new_content FROM rewritten")
+def q_enrich_rewrites(spark, sf_dir):
+    """The rewritten text of every updated note."""
+    parsed, _, dec = decisions(spark, sf_dir)
+    return EN.rewritten_notes(parsed, dec)
 
 
-@register("enrich_second_pass", CTE + """
-SELECT decision, count(*) AS notes FROM (
-  SELECT CASE WHEN decision = 'updated' THEN 'already_linked' ELSE decision END AS decision FROM dec)
-GROUP BY decision""")
+@register("enrich_second_pass", CTE + "," + _rewrite_sql() + """
+SELECT n.path, CASE WHEN decision = 'updated' THEN 'already_linked' ELSE decision END AS decision,
+       md5(coalesce(new_content, content)) AS content_md5
+FROM notes n JOIN dec d ON n.path = d.path LEFT JOIN rewritten r ON r.path = n.path""")
 def q_enrich_second_pass(spark, sf_dir):
-    """K2 + X13-X15: apply the updates and enrich again; every updated note is now
-    already linked (enrichment is idempotent)."""
-    d, dm = decisions(spark, sf_dir)
-    snap = EN.apply_note_updates(B.doc_notes(spark, sf_dir), d)
-    d2 = EN.enrich_decisions(snap, dm)
-    return d2.groupBy("decision").agg(F.count(F.lit(1)).alias("notes"))
+    """K2 + X13-X15: apply the updates and enrich the new snapshot again; every updated note
+    is now already linked (enrichment is idempotent)."""
+    parsed, dm, dec = decisions(spark, sf_dir)
+    snap = EN.apply_note_updates(parsed.select("path", "content"), EN.rewritten_notes(parsed, dec))
+    again = EN.parse_notes(snap)
+    return EN.enrich_decisions(again, dm).select("path", "decision").join(
+        again.select("path", F.md5("content").alias("content_md5")), "path")
