@@ -1,7 +1,8 @@
 """Token-ID output: one zstandard frame per document, with a shared dictionary.
 
-Documents are range-partitioned by id and each partition is one shard, written in ascending
-id order. A shard is a list of blocks; a block holds the frames of successive documents end
+Documents are put in ranges of ids that hold about as many rows each (split points from the
+quantiles of the ids alone, so the shard of a row is a pure function of its id) and each range
+is one shard, written in ascending id order. A shard is a list of blocks; a block holds the frames of successive documents end
 to end (``payload``), their ids, token counts and byte offsets (the index), and the sha256 of
 the dictionary they need. One document is read by its block's id range, its offset, and one
 frame. Ids are little-endian unsigned 16-bit numbers if the vocabulary allows it, else
@@ -14,9 +15,9 @@ frame. Ids are little-endian unsigned 16-bit numbers if the vocabulary allows it
 Both are Parquet tables written by Spark, on whatever file system holds the path: a task
 that fails or runs twice leaves nothing behind, and no file is local to a machine.
 
-The dictionary is trained on the id arrays of a bounded sample: the ``sample_docs``
-documents of at most ``sample_chars`` characters whose text hash is smallest. It only
-affects the size of the files. The start of a document is found from the block index: sums
+The dictionary is trained on the id arrays of a bounded sample: about ``sample_docs``
+documents, chosen by the hash of their id, of those the ones of at most ``sample_chars``
+characters. It only affects the size of the files. The start of a document is found from the block index: sums
 per shard (one row per shard), then per block, then within the block.
 
 Defined cases: null text counts as empty (the end id alone); null ids come first; documents
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import sys
 import zlib
 from array import array
@@ -36,11 +38,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from notelake.llm.common import full_text
+from notelake.llm.common import full_text, quantile_bounds, range_bucket
 
 BLOCK_BYTES = 4 << 20
 BLOCKS = ("shard int, block int, first_id long, last_id long, n_tokens long, doc_ids array<long>, "
@@ -48,11 +49,16 @@ BLOCKS = ("shard int, block int, first_id long, last_id long, n_tokens long, doc
 _WORKER: dict = {}
 
 
-class WordEncoder:
-    """The tokenizers library with a memory of the chunks between spaces and line ends. The
-    vocabulary drops white space and never joins across it, so a text's ids are those of its
-    chunks; chunks are encoded by the library and remembered up to ``max_chunks`` (about
-    200 MB; what is forgotten is encoded again)."""
+#: A word of Latin letters with at most one mark after it: the vocabulary lower-cases letters
+#: one by one and always parts them from the mark.
+_SIMPLE = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F]+)([.,;:!?]?)")
+
+
+class WordEncoder(dict):
+    """The tokenizers library with a memory of the chunks between spaces and line ends: maps a
+    chunk to its serialised ids. The vocabulary drops white space and never joins across it, so
+    a text's ids are those of its chunks; chunks are encoded by the library when they are first
+    met and remembered up to ``max_chunks`` (about 200 MB; what is forgotten is encoded again)."""
 
     def __init__(self, path: str, max_chunks: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,23 +66,26 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
+        self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise ValueError("ids are serialised on little-endian machines only")
-        self.max_chunks, self.known = max_chunks, {}
-
-    def encode_batch(self, texts: list[str], end_id: int) -> list[bytes]:
-        """Serialised ids of each text, with the end id."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted = set().union(*split)
-        if len(self.known) > self.max_chunks:
-            self.known = {}
-        new = list(wanted.difference(self.known))
-        got = self.tok.encode_batch_fast(new, add_special_tokens=False)
-        code = "H" if self.dtype == "<u2" else "I"
-        self.known.update((c, array(code, e.ids).tobytes()) for c, e in zip(new, got))
-        end, known = array(code, [end_id]).tobytes(), self.known.__getitem__
-        return [b"".join(map(known, s)) + end for s in split]
+        self.max_chunks = max_chunks
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= self.max_chunks:
+            self.clear()
+        simple = _SIMPLE.fullmatch(chunk)
+        if simple and (simple[2] or not chunk.islower()):
+            out = self[simple[1].lower()] + (self[simple[2]] if simple[2] else b"")
+        else:
+            out = array(self.code, self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
+        self[chunk] = out
+        return out
+
+    def encode(self, text: str, end_id: int) -> bytes:
+        """Serialised ids of a text, with the end id."""
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) + array(self.code, [end_id]).tobytes()
 
 
 def _worker(path: str) -> WordEncoder:
@@ -88,22 +97,24 @@ def _worker(path: str) -> WordEncoder:
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample_docs: int = 512,
                      sample_chars: int = 32_768, dict_bytes: int = 65_536) -> DataFrame:
     """One row: ``sha256, id_bytes, vocab_size, data``. ``docs(id, text)``."""
-    sample = docs.filter(F.length("text").between(1, sample_chars)) \
-        .orderBy(F.xxhash64("text"), "id").limit(sample_docs).select("text")
+    n = docs.select("id").count()
+    every = max(1, n // sample_docs)
+    sample = docs.filter(F.pmod(F.xxhash64("id"), F.lit(every)) == 0) \
+        .filter(F.length("text").between(1, sample_chars)).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _worker(tokenizer)
-        data = [x for rb in batches for x in enc.encode_batch(rb.column(0).to_pylist(), end_id)]
+        data = [enc.encode(t, end_id) for rb in batches for t in rb.column(0).to_pylist()]
         try:
             trained = zstandard.train_dictionary(dict_bytes, data).as_bytes() if data else b""
         except zstandard.ZstdError:   # too little to learn from
             trained = b""
         yield pa.RecordBatch.from_arrays(
-            [pa.array([hashlib.sha256(trained).hexdigest()], pa.string()), pa.array([int(enc.dtype[-1])], pa.int32()),
+            [pa.array([hashlib.sha256(trained).hexdigest()], pa.string()), pa.array([enc.width], pa.int32()),
              pa.array([enc.tok.get_vocab_size()], pa.int64()), pa.array([trained], pa.binary())],
             names=["sha256", "id_bytes", "vocab_size", "data"])
 
-    return sample.coalesce(1).mapInArrow(run, "sha256 string, id_bytes int, vocab_size long, data binary")
+    return sample.repartition(1).mapInArrow(run, "sha256 string, id_bytes int, vocab_size long, data binary")
 
 
 def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
@@ -118,9 +129,7 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _worker(tokenizer)
         pack = _compressor(trained, level)
-        width = int(enc.dtype[-1])
-        shard = TaskContext.get().partitionId()
-        block, ids, counts, frames, size = 0, [], [], [], 0
+        shard, block, ids, counts, frames, size = None, 0, [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in frames])])
@@ -137,20 +146,24 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
         for big in batches:
             for at in range(0, big.num_rows, 256):
                 rb = big.slice(at, 256)
-                for i, raw in zip(rb.column(0).to_pylist(), enc.encode_batch(rb.column(1).to_pylist(), end_id)):
+                for s, i, text in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), rb.column(2).to_pylist()):
+                    if ids and (s != shard or size >= BLOCK_BYTES):
+                        yield flush()
+                        block, ids, counts, frames, size = block + 1, [], [], [], 0
+                    raw = enc.encode(text, end_id)
                     frame = pack.compress(raw)
+                    shard = s
                     ids.append(i)
-                    counts.append(len(raw) // width)
+                    counts.append(len(raw) // enc.width)
                     frames.append(frame)
                     size += len(frame)
-                    if size >= BLOCK_BYTES:
-                        yield flush()
-                        block, ids, counts, frames, size = block + 1, [], [], [], 0
         if ids:
             yield flush()
 
-    tie = F.xxhash64("text")
-    slim.withColumn("tie", tie).repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text") \
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shard = range_bucket(F.col("id"), quantile_bounds(slim, "id", n))
+    slim.select(shard.cast("int").alias("shard"), "id", "text").repartitionById(n, F.col("shard")) \
+        .sortWithinPartitions("shard", "id", F.xxhash64("text")) \
         .mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
