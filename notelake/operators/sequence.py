@@ -75,3 +75,13 @@ def last_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     return _join_handed(placed, handed, keys) \
         .withColumn(out, F.coalesce(F.last("_value", ignorenulls=True).over(inside), "_carry")) \
         .select(*[c for c in df.columns if c != out], out)
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: Column, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` up to and with each row of its ``keys`` group by
+    ``order`` (unique in it)."""
+    placed = place(df.withColumn("_value", value), keys, order)
+    handed = _handed_on(placed, keys, F.sum("_value"), "_off", lambda v, w: F.sum(v).over(w))
+    inside = Window.partitionBy("_range", *keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return _join_handed(placed, handed, keys) \
+        .withColumn(out, F.sum("_value").over(inside) + F.coalesce("_off", F.lit(0))).select(*df.columns, out)

@@ -28,6 +28,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from notelake.plans import (q_brands, q_files, q_labels, q_ledger, q_mail, q_notes, q_notify, q_streaming,  # noqa: F401,E501
+    from notelake.plans import (q_brands, q_files, q_labels, q_ledger, q_mail, q_messages, q_notes, q_notify, q_streaming,  # noqa: F401,E501
                                 q_calendar, q_sync,
-                                q_text, q_threads)
+                                q_text, q_threads, q_vault)
