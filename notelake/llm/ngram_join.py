@@ -39,27 +39,37 @@ ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notelake.llm.common import materialise
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TRANS = str.maketrans(UPPER, LOWER)
-_WORD = re.compile("[^\x20\x09-\x0D]+")
 BITMAP = 16                     # longs of the parity bitmap
 RANGE_BITS = 8                  # hash ranges of the count
 HEAVY = 1 << 20                 # shingles placed last by their counts
 NO_ID = (1 << 63) - 1           # stands for a null id
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_KNOWN: dict[str, int] = {}
+KEY_BITS = 24                   # bitmap of the documents whose sets are read again
+
+
+class _WordHashes(dict):
+    """Word -> 64-bit hash, remembered by this worker (a memory, not a limit)."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 400_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_HASH_OF = _WordHashes().__getitem__
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -68,25 +78,19 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingle_set(text: str | None, width: int, max_words: int = 400_000) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of the whole text."""
-    words = _WORD.findall((text or "").translate(_TRANS))
+def shingle_set(text: bytes | None, width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of the whole text (UTF-8). On bytes,
+    ``lower`` changes A-Z only and ``split`` parts at space and 0x09-0x0D only."""
+    words = text.lower().split() if text else []
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    if len(_KNOWN) > max_words:      # a memory of this worker, not a limit
-        _KNOWN.clear()
-    known, digest = _KNOWN, xxhash.xxh64_intdigest
-    h = np.empty(len(words), dtype=np.uint64)
-    for i, w in enumerate(words):
-        x = known.get(w)
-        if x is None:
-            x = known[w] = digest(w.encode("utf-8", "surrogatepass"))
-        h[i] = x
+    h = np.fromiter(map(_HASH_OF, words), dtype=np.uint64, count=len(words))
     n = max(1, len(h) - width + 1)
     out = np.full(n, np.uint64(min(len(h), width)), dtype=np.uint64)
     for k in range(min(width, len(h))):
         out = _mix(out * _M1 + h[k:k + n])
-    return np.unique(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def prefix_size(n: np.ndarray | int, num: int, den: int):
@@ -100,6 +104,19 @@ def parity_bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Ascending unsigned 32-bit numbers as compressed differences (the low bits of a hash that
+    remain are enough to tell frequent shingles apart)."""
+    gaps = np.diff(x, prepend=np.uint32(0)).astype("<u4")
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    gaps = np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4")
+    return np.cumsum(gaps.ravel(), dtype=np.uint32)
+
+
 def _runs(width: int):
     """Map texts to (hash range, sorted distinct hashes of the task in that range, counts)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,10 +126,9 @@ def _runs(width: int):
         def flush() -> pa.RecordBatch:
             u, c = np.unique(np.concatenate(held), return_counts=True)
             cuts = np.searchsorted(u, np.arange(1, 1 << RANGE_BITS, dtype=np.uint64) << np.uint64(64 - RANGE_BITS))
-            keep = np.uint64(24)     # the low bits are not needed to tell frequent shingles apart
             return pa.RecordBatch.from_arrays([
                 pa.array(np.arange(1 << RANGE_BITS), pa.int32()),
-                pa.array([(x >> keep).astype("<u4").tobytes() for x in np.split(u, cuts)], pa.binary()),
+                pa.array([pack_sorted((x >> np.uint64(24)).astype("<u4")) for x in np.split(u, cuts)], pa.binary()),
                 pa.array([np.minimum(x, 0xFFFF).astype("<u2").tobytes() if (x > 1).any() else b"" for x in np.split(c, cuts)],
                          pa.binary())], names=["part", "hashes", "counts"])
 
@@ -121,7 +137,7 @@ def _runs(width: int):
                 s = shingle_set(t, width)
                 held.append(s)
                 size += len(s)
-                if size >= 1 << 22:
+                if size >= 1 << 21:
                     yield flush()
                     held, size = [], 0
         if size:
@@ -131,7 +147,7 @@ def _runs(width: int):
 
 def _merge_runs(per_part: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        h = [np.frombuffer(x, dtype="<u4") for x in pdf["hashes"]]
+        h = [unpack_sorted(x) for x in pdf["hashes"]]
         c = [np.frombuffer(x, dtype="<u2").astype(np.int64) if x else np.ones(len(y), dtype=np.int64) for x, y in zip(pdf["counts"], h)]
         u, at = np.unique(np.concatenate(h), return_inverse=True)
         n = np.bincount(at, weights=np.concatenate(c)).astype(np.int64)
@@ -146,7 +162,7 @@ def _merge_runs(per_part: int):
 def heavy_shingles(docs: DataFrame, width: int, heavy: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
     """Sorted 40-bit hash prefixes and counts of at most ``heavy`` of the most frequent
     shingles of the corpus; every shingle is counted."""
-    runs = docs.select("text").mapInArrow(_runs(width), "part int, hashes binary, counts binary")
+    runs = docs.select(F.col("text").cast("binary")).mapInArrow(_runs(width), "part int, hashes binary, counts binary")
     got = runs.groupBy("part").applyInPandas(_merge_runs(heavy >> RANGE_BITS), "hash binary, n binary").collect()
     h = np.concatenate([np.zeros(0, "<u8"), *[np.frombuffer(r["hash"], "<u8") for r in got]])
     n = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(r["n"], "<i8") for r in got]])
@@ -154,34 +170,59 @@ def heavy_shingles(docs: DataFrame, width: int, heavy: int = HEAVY) -> tuple[np.
     return h[order], n[order]
 
 
-def frequency(s: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The count of each shingle if it is a heavy one, else 0."""
-    if not len(heavy):
-        return np.zeros(len(s), dtype=np.int64)
-    key = s >> np.uint64(24)
-    at = np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)
-    return np.where(heavy[at] == key, counts[at], 0)
+class Order:
+    """The order of the shingles of a set: those that are not heavy by hash, then the heavy ones
+    by count and hash."""
+
+    def __init__(self, heavy: np.ndarray, counts: np.ndarray):
+        self.heavy, self.counts = heavy, counts
+        self.sieve = np.zeros(1 << 21, dtype=np.uint8)      # 2**24 bits: most others are told at once
+        low = heavy & np.uint64((1 << 24) - 1)
+        np.bitwise_or.at(self.sieve, (low >> np.uint64(3)).astype(np.int64), np.left_shift(1, (low & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
+
+    def prefix(self, s: np.ndarray, size: int) -> np.ndarray:
+        """The first ``size`` shingles of a sorted set, in order of hash."""
+        if not len(self.heavy) or not size:
+            return s[:size]
+        key = s >> np.uint64(24)
+        low = key & np.uint64((1 << 24) - 1)
+        maybe = np.flatnonzero(self.sieve[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8) & 1)
+        at = np.minimum(np.searchsorted(self.heavy, key[maybe]), len(self.heavy) - 1)
+        hit = self.heavy[at] == key[maybe]
+        heavy, counts = maybe[hit], self.counts[at[hit]]
+        light = np.ones(len(s), dtype=bool)
+        light[heavy] = False
+        first = s[light][:size]
+        if len(first) < size:
+            rest = heavy[np.lexsort((s[heavy], counts))][:size - len(first)]
+            first = np.sort(np.concatenate([first, s[rest]]))
+        return first
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
 
 
 def _signatures(width: int, num: int, den: int, shared):
     """Map (id, text) to (id, size, set digest, prefix, prefix digest, bitmap)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, counts = shared.value
+        order = shared.value
         for big in batches:
-            for at in range(0, big.num_rows, 2000):
-                rb = big.slice(at, 2000)
+            for at in range(0, big.num_rows, 1000):
+                rb = big.slice(at, 1000)
                 size, digest, prefix, group, bits = [], [], [], [], []
                 for t in rb.column(1).to_pylist():
                     s = shingle_set(t, width)
                     size.append(len(s))
-                    digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    first = s[np.lexsort((s, frequency(s, heavy, counts)))[:prefix_size(len(s), num, den)]] if len(s) else s
-                    prefix.append(np.sort(first).view(np.int64))
-                    group.append(xxhash.xxh3_128_digest(prefix[-1].tobytes()))
+                    digest.append(xxhash.xxh3_128_digest(s))
+                    first = order.prefix(s, prefix_size(len(s), num, den) if len(s) else 0)
+                    prefix.append(first.view(np.int64))
+                    group.append(xxhash.xxh3_128_digest(first))
                     bits.append(parity_bitmap(s))
                 yield pa.RecordBatch.from_arrays([
-                    rb.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.list_(pa.int64())),
-                    pa.array(group, pa.binary()), pa.array(bits, pa.list_(pa.int64()))],
+                    rb.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), _lists(prefix),
+                    pa.array(group, pa.binary()), _lists(bits)],
                     names=["id", "size", "digest", "prefix", "prefix_digest", "bits"])
     return run
 
@@ -196,13 +237,17 @@ def _overlap_ok(a: str, b: str, num: int, den: int) -> Column:
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole sets reach the similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
-            keep = []
-            for x, y in zip(rb.column(2).to_pylist(), rb.column(3).to_pylist()):
-                p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(den * both >= num * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for big in batches:
+            for at in range(0, big.num_rows, 200):
+                rb = big.slice(at, 200)
+                keep = []
+                for x, y in zip(rb.column(2), rb.column(3)):
+                    p, q = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                    both = np.concatenate([p, q])
+                    both.sort()
+                    shared = int((both[1:] == both[:-1]).sum())
+                    keep.append(den * shared >= num * (len(both) - shared))
+                yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
@@ -210,19 +255,36 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _document_key() -> Column:
+    return F.xxhash64("idk", "hash").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
+
+
 def _sets_of(wanted: DataFrame, members: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``cls, shingles``: whole sets of the classes in ``wanted(cls)``, from one text each."""
+    """``cls, shingles``: whole sets of the classes in ``wanted(cls)``, from one text each.
+
+    Only texts whose key is in a bitmap of the wanted documents (a broadcast of 2 MB at any
+    size) are made to sets and shuffled; the join decides."""
+    some = materialise(members.join(wanted.distinct().hint("merge"), "cls").select("cls", "idk", "hash"), "jaccard-wanted")
+    words = some.select(_document_key().alias("k")).groupBy(F.shiftright("k", 6).alias("w")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(k & 63 AS INT))")).alias("bits")).collect()   # 2**18 rows at most
+    table = np.zeros(1 << (KEY_BITS - 6), dtype=np.uint64)
+    for r in words:
+        table[r["w"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for at in range(0, big.num_rows, 500):
-                rb = big.slice(at, 500)
+            k = big.column(0).to_numpy().astype(np.uint64)
+            hit = np.flatnonzero(shared.value[(k >> np.uint64(6)).astype(np.int64)] >> (k & np.uint64(63)) & np.uint64(1))
+            for at in range(0, len(hit), 500):
+                rb = big.take(pa.array(hit[at:at + 500]))
                 yield pa.RecordBatch.from_arrays(
-                    [rb.column(0), pa.array([shingle_set(t, width).astype("<u8").tobytes() for t in rb.column(1).to_pylist()],
-                                            pa.binary())], names=["cls", "shingles"])
+                    [rb.column(1), rb.column(2), pa.array([shingle_set(t, width).astype("<u8").tobytes() for t in rb.column(3).to_pylist()],
+                                                          pa.binary())], names=["idk", "hash", "shingles"])
 
-    some = members.join(wanted.distinct().hint("merge"), "cls").select("cls", "idk", "hash")
-    texts = docs.join(some.hint("merge"), ["idk", "hash"]).dropDuplicates(["cls"]).select("cls", "text")
-    return texts.mapInArrow(run, "cls long, shingles binary")
+    sets = docs.select(_document_key().alias("k"), "idk", "hash", F.col("text").cast("binary").alias("text")) \
+        .mapInArrow(run, "idk long, hash long, shingles binary")
+    return sets.join(some.hint("merge"), ["idk", "hash"]).dropDuplicates(["cls"]).select("cls", "shingles")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -293,9 +355,9 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5
 def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> DataFrame:
     """``id, idk, hash, size, component`` of each row (component null where size is 0)."""
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(heavy_shingles(rows, width, heavy))
+    shared = spark.sparkContext.broadcast(Order(*heavy_shingles(rows, width, heavy)))
     key = "key struct<id:bigint,idk:bigint,hash:bigint>"
-    sig = rows.select(F.struct("id", "idk", "hash").alias("key"), "text").mapInArrow(
+    sig = rows.select(F.struct("id", "idk", "hash").alias("key"), F.col("text").cast("binary")).mapInArrow(
         _signatures(width, num, den, shared),
         f"{key}, size long, digest binary, prefix array<bigint>, prefix_digest binary, bits array<bigint>")
     sig = materialise(sig.select("key.*", "size", "digest", "prefix", "prefix_digest", "bits"), "jaccard-signatures")
