@@ -1,95 +1,112 @@
 """Structured Streaming jobs.
 
-Each job reads a file stream, runs with ``trigger(availableNow=True)`` (process
-what is there, then stop; rerun on a schedule) and writes to files under the
-shared checkpoint folder, so a restarted run resumes from its checkpoint and
-state survives executor loss. Results equal the batch jobs on the same input.
+Each job reads a table path as a file stream, runs with ``trigger(availableNow=True)`` (process
+what is there, then stop; rerun on a schedule) and takes the paths of its result and of its
+checkpoint, so the next run goes on where the last one ended. A micro-batch writes to a
+folder of its own, named by the checkpoint and the batch number: a batch that is retried
+replaces its own output, and a replay under another checkpoint finds its rows already
+there. Results equal the batch jobs on the same input, however it is split.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notelake.session import ensure_checkpoint_dir
-
-
-def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
-    base = os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}-{uuid.uuid4().hex}")
-    return os.path.join(base, "out"), os.path.join(base, "ckpt")
-
-
-def file_stream(spark: SparkSession, folder: str, table: str, schema: T.StructType,
-                max_files: int | None = None) -> DataFrame:
-    """A parquet file stream over the files of one table inside ``folder``."""
-    r = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", f"{table}.parquet")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(folder)
-
-
-def stream_notify(spark: SparkSession, folder: str, label: str, horizon: str = "30 days",
-                  out: str | None = None, ckpt: str | None = None) -> DataFrame:
-    """Notify once per message id across runs. Event time is the message time
-    (cast from NTZ, which watermarks reject); ``dropDuplicatesWithinWatermark``
-    keeps the first copy of an id within ``horizon``; the bounded horizon replaces
-    the 10,000-id history cap."""
-    schema = spark.read.parquet(os.path.join(folder, "events.parquet")).schema
-    out0, ck0 = _scratch(spark, "notify")
-    out, ckpt = out or out0, ckpt or ck0
-    s = file_stream(spark, folder, "events", schema).filter(F.col("event_type") == label)
-    s = s.select(F.format_string("%012d", "event_id").alias("message_id"), F.col("ts").cast("timestamp").alias("event_time"),
-                 F.col("user_id"))
-    d = s.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark(["message_id"])
-    q = (d.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+from notelake.operators.calendar import events_after, plan_calendar
+from notelake.session import materialise
 
 
-def stream_aggregate(spark: SparkSession, source: DataFrame, transform: Callable[[DataFrame], DataFrame],
-                     name: str) -> DataFrame:
-    """Run a streaming aggregation (update mode) whose every micro-batch upserts the
-    changed groups into the result table. Here the result is rewritten from the
-    full state per batch via ``foreachBatch`` (complete output), which suits state
-    the size of the group count."""
-    out, ckpt = _scratch(spark, name)
-    agg = transform(source)
+def table_stream(spark: SparkSession, path: str, schema: T.StructType | None = None, max_files: int | None = None) -> DataFrame:
+    """A parquet table as a stream of its files; ``path`` is the table (a folder of part files)."""
+    r = spark.readStream.format("parquet").schema(schema or spark.read.parquet(path).schema)
+    return (r.option("maxFilesPerTrigger", max_files) if max_files else r).load(path)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
 
-    q = (agg.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
-         .foreachBatch(sink).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+def batch_folder(out: str, ckpt: str, batch_id: int) -> str:
+    return f"{out}/part={hashlib.md5(ckpt.encode()).hexdigest()[:8]}-{batch_id:09d}"
 
 
-def stream_threads(spark: SparkSession, folder: str, rows: Callable[[DataFrame], DataFrame],
-                   summary: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """T4: thread summaries kept current from a stream of conversation turns."""
-    schema = spark.read.parquet(os.path.join(folder, "conversations.parquet")).schema
-    src = rows(file_stream(spark, folder, "conversations", schema))
-    return stream_aggregate(spark, src, summary, "threads")
+def written(spark: SparkSession, out: str) -> DataFrame | None:
+    """What earlier batches and runs have written, or None."""
+    try:
+        return spark.read.parquet(out)
+    except AnalysisException:      # nothing there yet
+        return None
 
 
-def stream_sync(spark: SparkSession, folder: str, rows: Callable[[DataFrame], DataFrame],
-                existing: DataFrame, key: str = "base_name") -> DataFrame:
-    """Repeated sync that skips what already exists: each micro-batch is
-    anti-joined (J4) with the existing notes and appended to the note table."""
-    schema = spark.read.parquet(os.path.join(folder, "orders.parquet")).schema
-    out, ckpt = _scratch(spark, "sync")
-    src = rows(file_stream(spark, folder, "orders", schema))
-    ex = existing.select(key).distinct()
+def run_stream(stream: DataFrame, ckpt: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+    """Run what is there through ``sink(batch, batch_id)``."""
+    q = stream.writeStream.outputMode(mode).option("checkpointLocation", ckpt) \
+        .foreachBatch(sink).trigger(availableNow=True).start()
+    q.awaitTermination()
+
 
+def append_new(out: str, ckpt: str, key: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """A sink that appends the rows whose ``key`` no other batch has written, once each."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.join(ex, key, "left_anti").write.mode("append").parquet(out)
+        spark, folder = batch.sparkSession, batch_folder(out, ckpt, batch_id)
+        new = batch.dropDuplicates(list(key))
+        had = written(spark, out)
+        if had is not None:
+            others = had.filter(F.col("part") != folder.rsplit("=", 1)[1]).select(*key)
+            new = new.join(others, list(key), "left_anti")
+        new.write.mode("overwrite").parquet(folder)
+    return sink
+
+
+def stream_sync(source: DataFrame, existing: DataFrame, out: str, ckpt: str, name: str = "base_name",
+                key: Sequence[str] = ("message_id",)) -> DataFrame:
+    """Repeated sync that skips what exists: messages whose ``name`` is a note (J4) and
+    those that an earlier batch or run has written (by ``key``). Returns the table so far."""
+    ex = existing.select(F.col(existing.columns[0]).alias(name)).distinct()
+    add = append_new(out, ckpt, key)
+    run_stream(source, ckpt, lambda batch, i: add(batch.join(ex, name, "left_anti"), i))
+    return source.sparkSession.read.parquet(out).select(*source.columns)
+
+
+def stream_notify(source: DataFrame, out: str, ckpt: str, key: Sequence[str] = ("message_id",)) -> DataFrame:
+    """Notify once per message id over all runs, however late a message comes: what is
+    posted is the written table itself, so no id falls out of a horizon."""
+    run_stream(source, ckpt, append_new(out, ckpt, key))
+    return source.sparkSession.read.parquet(out).select(*source.columns)
+
+
+def stream_calendar(source: DataFrame, existing: DataFrame, out: str, ckpt: str, now, rules: DataFrame, tag: str, src: str) -> DataFrame:
+    """Re-sync sheets as their rows arrive: the rows are kept by (sheet, row), the sheets of a
+    batch are planned again as a whole (Q12) and folded into the calendar, whose versions are
+    written batch by batch. Returns the calendar after the last batch."""
+    spark = source.sparkSession
+    version = lambda i: f"{out}/events/{batch_folder('', ckpt, i)}"
+    rows_out = f"{out}/rows"
 
-    q = src.writeStream.option("checkpointLocation", ckpt).foreachBatch(sink).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(batch_folder(rows_out, ckpt, batch_id))
+        touched = batch.select("sheet").distinct()
+        all_rows = written(spark, rows_out).filter(F.col("_batch") <= batch_id).join(touched, "sheet", "left_semi")
+        cols = [c for c in batch.columns if c not in ("sheet", "row")]
+        rows = all_rows.groupBy("sheet", "row").agg(F.max_by(F.struct(*cols), "_batch").alias("r")).select("sheet", "row", "r.*")
+        before = existing if batch_id == 0 else spark.read.parquet(version(batch_id - 1))
+        plan = materialise(plan_calendar(rows, before, now, rules, tag, src), "calendar-plan")
+        events_after(plan, before).write.mode("overwrite").parquet(version(batch_id))
+
+    run_stream(source, ckpt, sink)
+    done = spark.read.parquet(f"{out}/events").select("part").agg(F.max("part")).first()[0]
+    return spark.read.parquet(f"{out}/events/part={done}")
+
+
+def stream_latest(stream: DataFrame, keys: Sequence[str], out: str, ckpt: str) -> DataFrame:
+    """A streaming aggregation kept current: each batch writes only the groups that changed
+    (update mode), and the table is the last version of each group."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(batch_folder(out, ckpt, batch_id))
+
+    run_stream(stream, ckpt, sink, mode="update")
+    cols = [c for c in stream.columns if c not in keys]
+    log = stream.sparkSession.read.parquet(out)
+    return log.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("r")).select(*keys, "r.*")
