@@ -14,12 +14,3 @@ def strip_ws(c) -> Column:
     """Python ``str.strip()``: removes Unicode whitespace on both ends (``trim`` only
     removes spaces)."""
     return F.regexp_replace(col_of(c), r"(?U)^\s+|\s+$", "")
-
-
-def rstrip_ws(c) -> Column:
-    return F.regexp_replace(col_of(c), r"(?U)\s+$", "")
-
-
-def array_to_text(c, sep: str = ",") -> Column:
-    """Render an array as delimited text (used for stable comparisons and reports)."""
-    return F.array_join(col_of(c), sep)

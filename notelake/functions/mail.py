@@ -1,7 +1,6 @@
 """Column expressions over mail headers.
 
-All functions take and return ``Column`` objects and compile to JVM built-ins,
-so they stay inside whole-stage codegen.
+All functions take and return ``Column`` objects and use JVM built-ins only.
 """
 
 from __future__ import annotations
@@ -113,6 +112,7 @@ def decode_b64url(c) -> Column:
 # "%a, %d %b %Y %H:%M:%S %z", "%a, %d %b %Y %H:%M:%S %Z", "%d %b %Y %H:%M:%S %z",
 # "%a, %d %b %Y %H:%M:%S", then, with a trailing comment and offset removed,
 # "%a, %d %b %Y %H:%M:%S" and "%d %b %Y %H:%M:%S").
+# The parts of those shapes: weekday, day to second, offset.
 _WD = r"(?i:mon|tue|wed|thu|fri|sat|sun),\s+"
 _CORE = r"(\d{1,2}\s+[A-Za-z]{3}\s+\d{4}\s+\d{1,2}:\d{1,2}:\d{1,2})"
 _OFF = r"(?:[+-]\d{4}|[+-]\d{2}:\d{2}|Z)"

@@ -182,3 +182,8 @@ def thread_transcript(msgs: DataFrame, own: Sequence[str], max_body: int | None
 def ordered_thread(transcript: DataFrame, keys: Sequence[str] = ("account", "thread_id")) -> DataFrame:
     """Messages in thread order, as a distributed range-partitioned sort."""
     return transcript.orderBy(*keys, "internal_ms", "seq")
+
+
+def write_report(threads: DataFrame, path: str) -> None:
+    """K6: the open threads as JSON documents, one a line."""
+    threads.write.json(path)

@@ -134,3 +134,21 @@ def q_calendar_cells(spark, sf_dir):
                     fmt(C.cell_to_date(F.lit(None).cast("string"), F.col("story_3_serial"))).alias("story_3"),
                     fmt(C.cell_to_date(F.col("follow_up_text"))).alias("follow_up"),
                     fmt(C.cell_to_date(F.col("us_text"))).alias("us_date"))
+
+
+# Sheets as the spreadsheet has them: headers in several spellings, one of them only in part.
+_HEADS = {"BETA purchases": {"client": "Client Name ", "type": "Campiagn Type", "rate": "Rate $", "reel": "Reel Date"},
+          "One-Off clicks": {"client": "client", "type": "My type of campaign", "rate": "AMOUNT", "reel": "Reel Date (new)"}}
+
+
+@register("sheet_scan", "WITH " + PLAN_SQL + """
+SELECT sheet, row, client, type, CAST(NULL AS VARCHAR) AS deliverables, rate, strftime(reel, '%Y-%m-%d') AS reel,
+       CAST(NULL AS VARCHAR) AS record FROM rows0 WHERE sheet IN ('BETA purchases', 'One-Off clicks')""")
+def q_sheet_scan(spark, sf_dir):
+    """Sheets whose headers are resolved exactly or in part, absent columns null."""
+    rows, out = B.sheet_rows(spark, sf_dir), None
+    for sheet, heads in _HEADS.items():
+        raw = rows.filter(F.col("sheet") == sheet).select("row", *[F.col(c).alias(h) for c, h in heads.items()])
+        got = C.scan_sheet(raw, sheet, "row").select("sheet", "row", "client", "type", "deliverables", F.col("rate").cast("double"), "reel", "record")
+        out = got if out is None else out.unionAll(got)
+    return out

@@ -11,6 +11,7 @@ from notelake.operators import threads as T
 from notelake.plans import bindings as B
 from notelake.plans import oracle as O
 from notelake.plans.registry import register
+from notelake.session import shared_path
 
 
 def _since():
@@ -63,3 +64,11 @@ SELECT account, thread_id,
 FROM summary""")
 def q_pitch_age_labels(spark, sf_dir):
     return pitch_threads(spark, sf_dir).select("account", "thread_id", age_label("days_since").alias("age"))
+
+
+@register("pitch_report", _PITCH_SQL + f"SELECT thread_id, subject, status, days_since FROM ({_DEDUP})")
+def q_pitch_report(spark, sf_dir):
+    """K6: the report written as JSON and read back."""
+    path = shared_path(spark, "report")
+    T.write_report(T.first_per_thread(pitch_threads(spark, sf_dir), B.account_ranks(spark)), path)
+    return spark.read.schema("thread_id string, subject string, status string, days_since long").json(path)
