@@ -75,8 +75,8 @@ def leaf_budgets(leaves: DataFrame, budget: float, epochs: int, domain_weights:
         .withColumn("weight", _weight("lang", lang_weights, default_weight))
     dom = lang.groupBy("domain").agg(F.sum("cap").alias("cap")) \
         .withColumn("weight", _weight("domain", domain_weights, default_weight))
-    total = dom.agg((F.sum("cap") / epochs * budget).alias("given"))
-    root = dom.crossJoin(F.broadcast(total)).withColumn("root", F.lit(1))  # one row
+    total = dom.agg((F.sum("cap") / epochs * budget).alias("given")).scalar()
+    root = dom.withColumns({"given": total, "root": F.lit(1)})
     dom_b = share_out(root, ["root"]).select("domain", F.col("budget").alias("given"))
     lang_b = share_out(lang.join(dom_b, "domain"), ["domain"]).select("domain", "lang", F.col("budget").alias("given"))
     return share_out(src.join(lang_b, ["domain", "lang"]).drop("tokens"), ["domain", "lang"]) \

@@ -61,9 +61,9 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tu
     return rule, verdict
 
 
-def _strength(level: DataFrame) -> DataFrame:
-    """One row: the strength (pseudo-count) of the prior on a level, from the weighted
-    spread of its rates beyond what binomial noise explains; kept within 1 and 1000."""
+def _strength(level: DataFrame) -> Column:
+    """The strength (pseudo-count) of the prior on a level, from the weighted spread of its rates
+    beyond what binomial noise explains; kept within 1 and 1000. A scalar subquery."""
     s = level.filter("n > 0").agg(
         F.count(F.lit(1)).alias("j"), F.sum("n").alias("tn"), F.sum("bad").alias("tb"),
         F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("q"))
@@ -71,7 +71,7 @@ def _strength(level: DataFrame) -> DataFrame:
     spread = F.col("q") / F.col("tn") - m * m - m * (1 - m) * F.col("j") / F.col("tn")
     k = m * (1 - m) / spread - 1
     return s.select(F.when(F.coalesce(F.col("tn"), F.lit(0)) == 0, 1.0).when(spread <= 0, 1000.0)
-                    .otherwise(F.least(F.lit(1000.0), F.greatest(F.lit(1.0), k))).alias("k"))
+                    .otherwise(F.least(F.lit(1000.0), F.greatest(F.lit(1.0), k))).alias("k")).scalar()
 
 
 def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
@@ -81,15 +81,14 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     add = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("suffix", "domain").agg(*add)
     suffixes = domains.groupBy("suffix").agg(*add)
-    top = suffixes.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("m0"))
-    one = lambda level, name: F.broadcast(_strength(level).withColumnRenamed("k", name))  # noqa: E731  one row each
-    s = suffixes.crossJoin(F.broadcast(top)).crossJoin(one(suffixes, "k0")) \
-        .select("suffix", ((F.col("bad") + F.col("k0") * F.col("m0")) / (F.col("n") + F.col("k0"))).alias("ms"))
-    d = domains.join(s, "suffix").crossJoin(one(domains, "k1")) \
-        .select("suffix", "domain", ((F.col("bad") + F.col("k1") * F.col("ms")) / (F.col("n") + F.col("k1"))).alias("md"))
-    h = hosts.join(d, ["suffix", "domain"]).crossJoin(one(hosts, "k2")).select(
-        "host", "n", "bad", (F.col("bad") + F.col("k2") * F.col("md")).alias("a"),
-        (F.col("n") - F.col("bad") + F.col("k2") * (1 - F.col("md"))).alias("b"))
+    m0 = suffixes.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("m0")).scalar()
+    s = suffixes.withColumns({"k": _strength(suffixes), "m0": m0}) \
+        .select("suffix", ((F.col("bad") + F.col("k") * F.col("m0")) / (F.col("n") + F.col("k"))).alias("ms"))
+    d = domains.join(s, "suffix").withColumn("k", _strength(domains)) \
+        .select("suffix", "domain", ((F.col("bad") + F.col("k") * F.col("ms")) / (F.col("n") + F.col("k"))).alias("md"))
+    h = hosts.join(d, ["suffix", "domain"]).withColumn("k", _strength(hosts)).select(
+        "host", "n", "bad", (F.col("bad") + F.col("k") * F.col("md")).alias("a"),
+        (F.col("n") - F.col("bad") + F.col("k") * (1 - F.col("md"))).alias("b"))
     mean, total = F.col("a") / (F.col("a") + F.col("b")), F.col("a") + F.col("b")
     return h.select("host", "n", "bad", mean.alias("mean"),
                     (mean - z * F.sqrt(F.col("a") * F.col("b") / (total * total * (total + 1)))).alias("bound"))
