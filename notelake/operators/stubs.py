@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from notelake.functions.common import col_of, strip_ws
 from notelake.operators.naming import assign_unique_names, split_ext
+from notelake.session import materialise
 
 # File-name patterns of attachments, magic bytes at the start of binary bodies (as
 # ISO-8859-1 text), markers of binary data dumped as text (one strong or two weak ones), sizes.
@@ -97,7 +98,7 @@ def classify_stubs(files: DataFrame) -> DataFrame:
               .when(F.col("_t_fm") & (left < SHORT_BODY), "frontmatter_only")
               .when(attachment_like(F.substring_index("path", "/", -1)) & F.col("_t_fm") & (F.length(plain) < SHORT_NOTE),
                     "attachment_filename_short_body").otherwise("kept"))
-    return parts.select("path", "length", reason.alias("reason"))
+    return materialise(parts.select("path", "length", reason.alias("reason")), "stubs")   # every report reads it
 
 
 def is_stub(reason="reason") -> Column:
