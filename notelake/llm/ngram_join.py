@@ -10,9 +10,9 @@ whole sets.
 
 *Order.* Any total order gives the same links; frequent shingles last make short posting
 lists. All shingles of the corpus are counted (sorted, delta-packed runs by hash range, one
-run per task and range, so the shuffle holds about four bytes per distinct shingle of a task).
-The ``heavy`` most frequent ones, a bounded broadcast, are placed last in order of their
-counts.
+run per task and range, so the shuffle holds about three bytes per distinct shingle of a task).
+A bitmap of those that repeat and the ``heavy`` most frequent ones, broadcasts of a fixed size,
+place single ones first and frequent ones last.
 
 *Parity bitmap.* Bit b of a set's bitmap is the parity of the number of its shingles that
 hash to b. The number of bits in which two bitmaps differ is at most the size of the
@@ -54,6 +54,7 @@ from notelake.llm.common import materialise
 BITMAP = 16                     # longs of the parity bitmap
 RANGE_BITS = 8                  # hash ranges of the count
 HEAVY = 1 << 20                 # shingles placed last by their counts
+SIEVE_BITS = 19                 # bits of a hash range's bitmap of repeated shingles
 NO_ID = (1 << 63) - 1           # stands for a null id
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 KEY_BITS = 24                   # bitmap of the documents whose sets are read again
@@ -146,57 +147,66 @@ def _runs(width: int):
 
 
 def _merge_runs(per_part: int):
+    """Of one hash range: a bitmap of the shingles that occur more than once, and the most
+    frequent ones with their counts."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         h = [unpack_sorted(x) for x in pdf["hashes"]]
         c = [np.frombuffer(x, dtype="<u2").astype(np.int64) if x else np.ones(len(y), dtype=np.int64) for x, y in zip(pdf["counts"], h)]
         u, at = np.unique(np.concatenate(h), return_inverse=True)
         n = np.bincount(at, weights=np.concatenate(c)).astype(np.int64)
+        bits = np.zeros(1 << SIEVE_BITS, dtype=bool)
+        bits[u[n > 1] & np.uint32((1 << SIEVE_BITS) - 1)] = True
         top = np.flatnonzero(n > 2)
         if len(top) > per_part:
             top = top[np.argpartition(-n[top], per_part - 1)[:per_part]]
-        full = (np.uint64(pdf["part"].iloc[0]) << np.uint64(32)) | u[top].astype(np.uint64)
-        return pd.DataFrame({"hash": [full.astype("<u8").tobytes()], "n": [n[top].astype("<i8").tobytes()]})
+        part = int(pdf["part"].iloc[0])
+        full = (np.uint64(part) << np.uint64(32)) | u[top].astype(np.uint64)
+        return pd.DataFrame({"part": [part], "repeated": [np.packbits(bits, bitorder="little").tobytes()],
+                             "hash": [full.astype("<u8").tobytes()], "n": [n[top].astype("<i8").tobytes()]})
     return run
 
 
-def heavy_shingles(docs: DataFrame, width: int, heavy: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted 40-bit hash prefixes and counts of at most ``heavy`` of the most frequent
-    shingles of the corpus; every shingle is counted."""
+def shingle_order(docs: DataFrame, width: int, heavy: int = HEAVY) -> Order:
+    """The order of the corpus; every shingle is counted. What comes to the driver has the size of
+    ``Order`` at any size of the corpus."""
     runs = docs.select(F.col("text").cast("binary")).mapInArrow(_runs(width), "part int, hashes binary, counts binary")
-    got = runs.groupBy("part").applyInPandas(_merge_runs(heavy >> RANGE_BITS), "hash binary, n binary").collect()
+    got = runs.groupBy("part").applyInPandas(_merge_runs(heavy >> RANGE_BITS), "part int, repeated binary, hash binary, n binary").collect()
+    sieve = np.zeros((1 << RANGE_BITS, 1 << (SIEVE_BITS - 3)), dtype=np.uint8)
+    for r in got:
+        sieve[r["part"]] = np.frombuffer(r["repeated"], np.uint8)
     h = np.concatenate([np.zeros(0, "<u8"), *[np.frombuffer(r["hash"], "<u8") for r in got]])
     n = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(r["n"], "<i8") for r in got]])
-    order = np.argsort(h)
-    return h[order], n[order]
+    by_hash = np.argsort(h)
+    return Order(sieve.ravel(), h[by_hash], n[by_hash])
 
 
 class Order:
-    """The order of the shingles of a set: those that are not heavy by hash, then the heavy ones
-    by count and hash."""
+    """The order of the shingles of a set: those that the corpus has once, by hash; then others;
+    then the most frequent ones by count and hash. A bitmap of 2**27 bits (16 MB) tells the
+    first from the others; where it fills up, it tells fewer, and the order is worse but still
+    one order for all sets. The frequent ones are at most ``HEAVY`` hashes with counts (16 MB)."""
 
-    def __init__(self, heavy: np.ndarray, counts: np.ndarray):
-        self.heavy, self.counts = heavy, counts
-        self.sieve = np.zeros(1 << 21, dtype=np.uint8)      # 2**24 bits: most others are told at once
-        low = heavy & np.uint64((1 << 24) - 1)
-        np.bitwise_or.at(self.sieve, (low >> np.uint64(3)).astype(np.int64), np.left_shift(1, (low & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
+    def __init__(self, sieve: np.ndarray, heavy: np.ndarray, counts: np.ndarray):
+        self.sieve, self.heavy, self.counts = sieve, heavy, counts
 
     def prefix(self, s: np.ndarray, size: int) -> np.ndarray:
         """The first ``size`` shingles of a sorted set, in order of hash."""
-        if not len(self.heavy) or not size:
-            return s[:size]
+        if not size:
+            return s[:0]
         key = s >> np.uint64(24)
-        low = key & np.uint64((1 << 24) - 1)
-        maybe = np.flatnonzero(self.sieve[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8) & 1)
-        at = np.minimum(np.searchsorted(self.heavy, key[maybe]), len(self.heavy) - 1)
-        hit = self.heavy[at] == key[maybe]
-        heavy, counts = maybe[hit], self.counts[at[hit]]
-        light = np.ones(len(s), dtype=bool)
-        light[heavy] = False
-        first = s[light][:size]
-        if len(first) < size:
-            rest = heavy[np.lexsort((s[heavy], counts))][:size - len(first)]
-            first = np.sort(np.concatenate([first, s[rest]]))
-        return first
+        at = ((key >> np.uint64(32)) << np.uint64(SIEVE_BITS)) | (key & np.uint64((1 << SIEVE_BITS) - 1))
+        again = (self.sieve[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        first = s[~again][:size]
+        if len(first) == size:
+            return first
+        other = s[again]
+        count = np.zeros(len(other), dtype=np.int64)
+        if len(self.heavy):
+            k = key[again]
+            i = np.minimum(np.searchsorted(self.heavy, k), len(self.heavy) - 1)
+            count = np.where(self.heavy[i] == k, self.counts[i], 0)
+        more = other[np.lexsort((other, count))][:size - len(first)]
+        return np.sort(np.concatenate([first, more]))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -355,7 +365,7 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5
 def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> DataFrame:
     """``id, idk, hash, size, component`` of each row (component null where size is 0)."""
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(Order(*heavy_shingles(rows, width, heavy)))
+    shared = spark.sparkContext.broadcast(shingle_order(rows, width, heavy))
     key = "key struct<id:bigint,idk:bigint,hash:bigint>"
     sig = rows.select(F.struct("id", "idk", "hash").alias("key"), F.col("text").cast("binary")).mapInArrow(
         _signatures(width, num, den, shared),
