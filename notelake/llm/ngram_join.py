@@ -52,9 +52,9 @@ from pyspark.sql import functions as F
 from notelake.llm.common import materialise
 
 BITMAP = 16                     # longs of the parity bitmap
-RANGE_BITS = 8                  # hash ranges of the count
 HEAVY = 1 << 20                 # shingles placed last by their counts
-SIEVE_BITS = 19                 # bits of a hash range's bitmap of repeated shingles
+KEY = 40                        # bits of a hash by which shingles are counted and ordered
+SIEVE_BITS = 27                 # bitmap of repeated shingles
 NO_ID = (1 << 63) - 1           # stands for a null id
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 KEY_BITS = 24                   # bitmap of the documents whose sets are read again
@@ -64,7 +64,7 @@ class _WordHashes(dict):
     """Word -> 64-bit hash, remembered by this worker (a memory, not a limit)."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 150_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -118,7 +118,13 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(gaps.ravel(), dtype=np.uint32)
 
 
-def _runs(width: int):
+def range_bits(documents: int) -> int:
+    """The count is dealt to ``2 ** bits`` hash ranges, so that each holds the shingles of about
+    2,000 documents."""
+    return min(20, max(8, (documents // 2000).bit_length()))
+
+
+def _runs(width: int, bits: int):
     """Map texts to (hash range, sorted distinct hashes of the task in that range, counts)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -126,10 +132,10 @@ def _runs(width: int):
 
         def flush() -> pa.RecordBatch:
             u, c = np.unique(np.concatenate(held), return_counts=True)
-            cuts = np.searchsorted(u, np.arange(1, 1 << RANGE_BITS, dtype=np.uint64) << np.uint64(64 - RANGE_BITS))
+            cuts = np.searchsorted(u, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+            low = ((u >> np.uint64(64 - KEY)) & np.uint64((1 << (KEY - bits)) - 1)).astype("<u4")
             return pa.RecordBatch.from_arrays([
-                pa.array(np.arange(1 << RANGE_BITS), pa.int32()),
-                pa.array([pack_sorted((x >> np.uint64(24)).astype("<u4")) for x in np.split(u, cuts)], pa.binary()),
+                pa.array(np.arange(1 << bits), pa.int32()), pa.array([pack_sorted(x) for x in np.split(low, cuts)], pa.binary()),
                 pa.array([np.minimum(x, 0xFFFF).astype("<u2").tobytes() if (x > 1).any() else b"" for x in np.split(c, cuts)],
                          pa.binary())], names=["part", "hashes", "counts"])
 
@@ -138,7 +144,7 @@ def _runs(width: int):
                 s = shingle_set(t, width)
                 held.append(s)
                 size += len(s)
-                if size >= 1 << 21:
+                if size >= max(1 << 20, 64 << bits):
                     yield flush()
                     held, size = [], 0
         if size:
@@ -146,7 +152,7 @@ def _runs(width: int):
     return run
 
 
-def _merge_runs(per_part: int):
+def _merge_runs(per_part: int, range_bits: int):
     """Of one hash range: a bitmap of the shingles that occur more than once, and the most
     frequent ones with their counts."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -154,13 +160,13 @@ def _merge_runs(per_part: int):
         c = [np.frombuffer(x, dtype="<u2").astype(np.int64) if x else np.ones(len(y), dtype=np.int64) for x, y in zip(pdf["counts"], h)]
         u, at = np.unique(np.concatenate(h), return_inverse=True)
         n = np.bincount(at, weights=np.concatenate(c)).astype(np.int64)
-        bits = np.zeros(1 << SIEVE_BITS, dtype=bool)
-        bits[u[n > 1] & np.uint32((1 << SIEVE_BITS) - 1)] = True
+        bits = np.zeros(1 << (SIEVE_BITS - range_bits), dtype=bool)
+        bits[u[n > 1] & np.uint32(len(bits) - 1)] = True
         top = np.flatnonzero(n > 2)
         if len(top) > per_part:
             top = top[np.argpartition(-n[top], per_part - 1)[:per_part]]
         part = int(pdf["part"].iloc[0])
-        full = (np.uint64(part) << np.uint64(32)) | u[top].astype(np.uint64)
+        full = (np.uint64(part) << np.uint64(KEY - range_bits)) | u[top].astype(np.uint64)
         return pd.DataFrame({"part": [part], "repeated": [np.packbits(bits, bitorder="little").tobytes()],
                              "hash": [full.astype("<u8").tobytes()], "n": [n[top].astype("<i8").tobytes()]})
     return run
@@ -169,15 +175,16 @@ def _merge_runs(per_part: int):
 def shingle_order(docs: DataFrame, width: int, heavy: int = HEAVY) -> Order:
     """The order of the corpus; every shingle is counted. What comes to the driver has the size of
     ``Order`` at any size of the corpus."""
-    runs = docs.select(F.col("text").cast("binary")).mapInArrow(_runs(width), "part int, hashes binary, counts binary")
-    got = runs.groupBy("part").applyInPandas(_merge_runs(heavy >> RANGE_BITS), "part int, repeated binary, hash binary, n binary").collect()
-    sieve = np.zeros((1 << RANGE_BITS, 1 << (SIEVE_BITS - 3)), dtype=np.uint8)
+    bits = range_bits(docs.select("hash").count())
+    runs = docs.select(F.col("text").cast("binary")).mapInArrow(_runs(width, bits), "part int, hashes binary, counts binary")
+    got = runs.groupBy("part").applyInPandas(_merge_runs(max(1, heavy >> bits), bits), "part int, repeated binary, hash binary, n binary").collect()
+    sieve = np.zeros((1 << bits, 1 << (SIEVE_BITS - 3 - bits)), dtype=np.uint8)
     for r in got:
         sieve[r["part"]] = np.frombuffer(r["repeated"], np.uint8)
     h = np.concatenate([np.zeros(0, "<u8"), *[np.frombuffer(r["hash"], "<u8") for r in got]])
     n = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(r["n"], "<i8") for r in got]])
     by_hash = np.argsort(h)
-    return Order(sieve.ravel(), h[by_hash], n[by_hash])
+    return Order(sieve.ravel(), bits, h[by_hash], n[by_hash])
 
 
 class Order:
@@ -186,15 +193,16 @@ class Order:
     first from the others; where it fills up, it tells fewer, and the order is worse but still
     one order for all sets. The frequent ones are at most ``HEAVY`` hashes with counts (16 MB)."""
 
-    def __init__(self, sieve: np.ndarray, heavy: np.ndarray, counts: np.ndarray):
-        self.sieve, self.heavy, self.counts = sieve, heavy, counts
+    def __init__(self, sieve: np.ndarray, bits: int, heavy: np.ndarray, counts: np.ndarray):
+        self.sieve, self.bits, self.heavy, self.counts = sieve, bits, heavy, counts
 
     def prefix(self, s: np.ndarray, size: int) -> np.ndarray:
         """The first ``size`` shingles of a sorted set, in order of hash."""
         if not size:
             return s[:0]
-        key = s >> np.uint64(24)
-        at = ((key >> np.uint64(32)) << np.uint64(SIEVE_BITS)) | (key & np.uint64((1 << SIEVE_BITS) - 1))
+        key = s >> np.uint64(64 - KEY)
+        low = SIEVE_BITS - self.bits
+        at = ((key >> np.uint64(KEY - self.bits)) << np.uint64(low)) | (key & np.uint64((1 << low) - 1))
         again = (self.sieve[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
         first = s[~again][:size]
         if len(first) == size:
