@@ -30,8 +30,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learnt languages; those without a letter or of a doubtful
     language go."""
     model = lang_id.fit(docs.filter(~held_out()))
-    out = lang_id.predict(docs, model, keep=[F.struct("*").alias("doc")])
-    return out.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select("row.doc.*")
+    judged = lang_id.predict(docs.select(F.struct("*").alias("row"), "text"), model, out="language")
+    return judged.filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= MIN_SCORE)).select("row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

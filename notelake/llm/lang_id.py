@@ -11,7 +11,7 @@ the text itself.
 Defined cases: text that is null or has no letter is ``und`` with score 0; so is every text
 if there is nothing to learn from; equal scores go to the language first in alphabetical
 order; rows without a language or text teach nothing; empty tables give empty results;
-other columns are carried in ``row``, whatever their names.
+other columns are kept (``predict`` adds the one it is told to).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 15
@@ -91,12 +91,18 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.concatenate(parts), np.concatenate(owner)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for big in batches:
+        for at in range(0, big.num_rows, rows):
+            yield big.slice(at, rows)
+
+
 def _count_batches(bits: int):
     """Map over (text, lang) batches: sparse (lang, bucket, count) rows, summed per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = (1 << bits) + 1
         total: dict[str, np.ndarray] = {}
-        for rb in batches:
+        for rb in _slices(batches):
             langs = rb.column(1).to_pylist()
             names = sorted(set(langs))
             code = np.array([names.index(x) for x in langs] or [0], dtype=np.int64)
@@ -174,17 +180,19 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", smoothi
     return LanguageModel(langs, logp, prior, bits)
 
 
-def predict(docs: DataFrame, model: LanguageModel, keep: list[Column], text_col: str = "text") -> DataFrame:
-    """The ``keep`` columns (named freely) of each document with ``lang_pred`` and ``score``."""
+def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", out: str = "language") -> DataFrame:
+    """``docs`` with ``out``: a struct of ``lang_pred`` and ``score``. Only the texts go to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    packed = docs.select(F.col(text_col).alias("text"), F.struct(*keep).alias("row"))
-    out = packed.select("row", "text").schema["row"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("lang_pred string, score double")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for rb in batches:
-            pred, conf = m.predict(rb.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [rb.column(1), pa.array(pred, pa.string()), pa.array(conf, pa.float64())], names=["row", "lang_pred", "score"])
-
-    return packed.mapInArrow(run, f"row {out}, lang_pred string, score double")
+        for texts in batches:
+            pred, conf = [], []
+            for at in range(0, len(texts), 512):
+                p, c = m.predict(texts.slice(at, 512).to_pylist())
+                pred += p
+                conf += c.tolist()
+            yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(conf, pa.float64())], names=["lang_pred", "score"])
+
+    return docs.withColumn(out, judge(F.col(text_col)))

@@ -177,8 +177,8 @@ def held_out() -> Column:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = lang_id.fit(docs.filter(~held_out()))
-    out = lang_id.predict(docs, model, keep=[F.col("doc_id"), held_out().alias("held_out")])
-    return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
+    out = lang_id.predict(docs, model)
+    return out.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
 @_query("op5_fingerprints")

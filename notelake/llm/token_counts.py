@@ -98,9 +98,8 @@ def token_counts(docs: DataFrame, vocab: UnigramVocabulary, id_col: str = "doc_i
         v, known = shared.value, {}
         for rb in batches:
             pre, tokens = [], []
-            texts = rb.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
-                words = [(t or "").split() for t in texts[at:at + 500]]
+            for at in range(0, rb.num_rows, 500):
+                words = [(t or "").split() for t in rb.column(1).slice(at, 500).to_pylist()]
                 if len(known) > max_words:
                     known = {}
                 new = set().union(*words).difference(known)

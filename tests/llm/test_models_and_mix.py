@@ -33,8 +33,7 @@ def test_language_model_matches_brute_force(spark):
             n[lang] += 1
     assert model.langs == sorted(counts)
     width = 1 << lang_id.BUCKET_BITS
-    got = {r["row"].doc_id: (r.lang_pred, r.score) for r in
-           lang_id.predict(frame(spark, data), model, [F.col("doc_id")]).collect()}
+    got = {r.doc_id: tuple(r.language) for r in lang_id.predict(frame(spark, data), model).collect()}
     for i, t, *_ in data:
         if [r[0] for r in data].count(i) > 1:
             continue
@@ -63,14 +62,14 @@ def test_language_pieces_do_not_change_the_score(monkeypatch, spark):
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
     model = lang_id.fit(docs.filter(~held_out()))
-    got = lang_id.predict(docs.filter(held_out()), model, [F.col("lang")]).select((F.col("row.lang") == F.col("lang_pred")).alias("ok")).collect()
+    got = lang_id.predict(docs.filter(held_out()), model).select((F.col("lang") == F.col("language.lang_pred")).alias("ok")).collect()
     assert len(got) > 300 and sum(r.ok for r in got) >= 0.99 * len(got)
 
 
 def test_language_nothing_to_learn(spark):
     model = lang_id.fit(empty(spark))
-    assert {r.lang_pred for r in lang_id.predict(frame(spark), model, [F.col("doc_id")]).collect()} == {"und"}
-    assert lang_id.predict(empty(spark), model, [F.col("doc_id")]).collect() == []
+    assert {r.language.lang_pred for r in lang_id.predict(frame(spark), model).collect()} == {"und"}
+    assert lang_id.predict(empty(spark), model).collect() == []
 
 
 def test_url_parts_and_rules(spark):
