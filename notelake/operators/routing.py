@@ -1,4 +1,4 @@
-"""Message filters and outcome routing: P1-P4, P15, J4, L6, A1, A2, A26.
+"""Message filters and outcome routing: U1, P1-P4, P15, J4, L6, A1, A2, A26.
 
 Routing never drops rows: every message gets an ``outcome`` and filters are
 applied on it afterwards, so counts (A1, A2) and writes (K1) come from one
@@ -7,7 +7,7 @@ classified DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,16 @@ MBOX_OUTCOMES = ["errors", "skipped_label", "skipped_nodate", "skipped_old", "cr
 API_OUTCOMES = ["errors", "skipped_label", "skipped_nodate", "skipped_exists", "created", "would_create"]
 
 
+def union_accounts(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The messages of several mailboxes with the ``account`` each came from; columns that
+    one of them lacks are null there."""
+    out = None
+    for account, df in frames.items():
+        tagged = df.withColumn("account", F.lit(account))
+        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
+    return out
+
+
 def labels_meet(labels, skip: Sequence[str]) -> Column:
     """U4: label set intersects ``skip``."""
     return F.arrays_overlap(col_of(labels), F.array(*[F.lit(s) for s in skip]))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from notelake.functions.mail import ntz_to_ms
 from notelake.operators.calendar import event_text
 from notelake.operators.files import valid_pairs
+from notelake.operators.routing import union_accounts
 from notelake.session import read_table
 
 # Fixed values used by the bindings.
@@ -78,9 +79,7 @@ def _message_rows(conv: DataFrame) -> DataFrame:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as seen by two mailboxes that both hold every thread."""
     rows = _message_rows(read_table(spark, sf_dir, "conversations"))
-    main = rows.withColumn("account", F.lit(MAIN_ACCOUNT))
-    alt = rows.withColumn("account", F.lit(ALT_ACCOUNT))
-    return main.unionByName(alt)
+    return union_accounts({MAIN_ACCOUNT: rows, ALT_ACCOUNT: rows})
 
 
 def account_ranks(spark: SparkSession) -> DataFrame:
