@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from notelake.llm.common import materialise
 
 BITMAP = 16                     # longs of the parity bitmap
-HEAVY = 1 << 20                 # shingles placed last by their counts
+HEAVY = 1 << 19                 # shingles placed last by their counts
 KEY = 40                        # bits of a hash by which shingles are counted and ordered
 SIEVE_BITS = 27                 # bitmap of repeated shingles
 NO_ID = (1 << 63) - 1           # stands for a null id
@@ -177,12 +177,14 @@ def shingle_order(docs: DataFrame, width: int, heavy: int = HEAVY) -> Order:
     ``Order`` at any size of the corpus."""
     bits = range_bits(docs.select("hash").count())
     runs = docs.select(F.col("text").cast("binary")).mapInArrow(_runs(width, bits), "part int, hashes binary, counts binary")
-    got = runs.groupBy("part").applyInPandas(_merge_runs(max(1, heavy >> bits), bits), "part int, repeated binary, hash binary, n binary").collect()
+    merged = runs.groupBy("part").applyInPandas(_merge_runs(max(1, heavy >> bits), bits), "part int, repeated binary, hash binary, n binary")
     sieve = np.zeros((1 << bits, 1 << (SIEVE_BITS - 3 - bits)), dtype=np.uint8)
-    for r in got:
+    h, n = [np.zeros(0, "<u8")], [np.zeros(0, "<i8")]
+    for r in materialise(merged, "jaccard-order").toLocalIterator():   # a partition at a time
         sieve[r["part"]] = np.frombuffer(r["repeated"], np.uint8)
-    h = np.concatenate([np.zeros(0, "<u8"), *[np.frombuffer(r["hash"], "<u8") for r in got]])
-    n = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(r["n"], "<i8") for r in got]])
+        h.append(np.frombuffer(r["hash"], "<u8"))
+        n.append(np.frombuffer(r["n"], "<i8"))
+    h, n = np.concatenate(h), np.concatenate(n)
     by_hash = np.argsort(h)
     return Order(sieve.ravel(), bits, h[by_hash], n[by_hash])
 
@@ -191,7 +193,7 @@ class Order:
     """The order of the shingles of a set: those that the corpus has once, by hash; then others;
     then the most frequent ones by count and hash. A bitmap of 2**27 bits (16 MB) tells the
     first from the others; where it fills up, it tells fewer, and the order is worse but still
-    one order for all sets. The frequent ones are at most ``HEAVY`` hashes with counts (16 MB)."""
+    one order for all sets. The frequent ones are at most ``HEAVY`` hashes with counts (8 MB)."""
 
     def __init__(self, sieve: np.ndarray, bits: int, heavy: np.ndarray, counts: np.ndarray):
         self.sieve, self.bits, self.heavy, self.counts = sieve, bits, heavy, counts
