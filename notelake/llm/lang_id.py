@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,6 +127,15 @@ def _count_batches(bits: int):
     return run
 
 
+def _vector(bits: int):
+    """The bucket counts of one language (as many rows as buckets at most) as one vector."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(1 << bits, dtype="<i8")
+        out[pdf["bucket"].to_numpy()] = pdf["count"].to_numpy()
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "counts": [out.tobytes()]})
+    return run
+
+
 @dataclass
 class LanguageModel:
     langs: list[str]
@@ -170,9 +180,8 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", smoothi
     counts = np.zeros(((1 << bits) + 1, len(langs)))
     sums = rows.mapInArrow(_count_batches(bits), "lang string, bucket long, count long") \
         .groupBy("lang", "bucket").agg(F.sum("count").alias("count"))
-    got = sums.toPandas()   # languages x buckets at most
-    if len(got):
-        counts[got["bucket"].to_numpy(), got["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()] = got["count"]
+    for r in sums.groupBy("lang").applyInPandas(_vector(bits), "lang string, counts binary").collect():   # a vector a language
+        counts[:-1, langs.index(r["lang"])] = np.frombuffer(r["counts"], "<i8")
     p = counts[:-1] + smoothing
     logp = np.vstack([np.log(p / p.sum(axis=0)), np.zeros((1, len(langs)))]) if langs else counts
     n = {r["lang"]: r["count"] for r in per_lang}
