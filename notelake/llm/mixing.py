@@ -23,6 +23,7 @@ through, whatever their names.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,10 +40,8 @@ def word_tokens(text: Column) -> Column:
 
 
 def _weight(key: str, weights: Mapping[str, float], default: float) -> Column:
-    out = F.lit(float(default))
-    for k, w in weights.items():
-        out = F.when(F.col(key) == k, F.lit(float(w))).otherwise(out)
-    return out
+    table = F.from_json(F.lit(json.dumps({k: float(w) for k, w in weights.items()})), "map<string,double>")   # a constant
+    return F.coalesce(F.try_element_at(table, F.col(key)), F.lit(float(default)))
 
 
 def share_out(children: DataFrame, family: list[str]) -> DataFrame:
