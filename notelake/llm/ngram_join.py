@@ -12,7 +12,8 @@ whole sets.
 lists. All shingles of the corpus are counted (sorted, delta-packed runs by hash range, one
 run per task and range, so the shuffle holds about three bytes per distinct shingle of a task).
 A bitmap of those that repeat and the ``heavy`` most frequent ones, broadcasts of a fixed size,
-place single ones first and frequent ones last.
+place single ones first and frequent ones last. A shingle that the bitmap tells to be single
+has no partner, so only the others of a prefix enter posting lists.
 
 *Parity bitmap.* Bit b of a set's bitmap is the parity of the number of its shingles that
 hash to b. The number of bits in which two bitmaps differ is at most the size of the
@@ -198,25 +199,25 @@ class Order:
     def __init__(self, sieve: np.ndarray, bits: int, heavy: np.ndarray, counts: np.ndarray):
         self.sieve, self.bits, self.heavy, self.counts = sieve, bits, heavy, counts
 
-    def prefix(self, s: np.ndarray, size: int) -> np.ndarray:
-        """The first ``size`` shingles of a sorted set, in order of hash."""
+    def prefix(self, s: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the first ``size`` shingles of a sorted set those that the corpus has once, and the
+        others, each in order of hash. Only the others can be shared with another set."""
         if not size:
-            return s[:0]
+            return s[:0], s[:0]
         key = s >> np.uint64(64 - KEY)
         low = SIEVE_BITS - self.bits
         at = ((key >> np.uint64(KEY - self.bits)) << np.uint64(low)) | (key & np.uint64((1 << low) - 1))
         again = (self.sieve[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-        first = s[~again][:size]
-        if len(first) == size:
-            return first
+        single = s[~again][:size]
+        if len(single) == size:
+            return single, s[:0]
         other = s[again]
         count = np.zeros(len(other), dtype=np.int64)
         if len(self.heavy):
             k = key[again]
             i = np.minimum(np.searchsorted(self.heavy, k), len(self.heavy) - 1)
             count = np.where(self.heavy[i] == k, self.counts[i], 0)
-        more = other[np.lexsort((other, count))][:size - len(first)]
-        return np.sort(np.concatenate([first, more]))
+        return single, np.sort(other[np.lexsort((other, count))][:size - len(single)])
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -236,9 +237,9 @@ def _signatures(width: int, num: int, den: int, shared):
                     s = shingle_set(t, width)
                     size.append(len(s))
                     digest.append(xxhash.xxh3_128_digest(s))
-                    first = order.prefix(s, prefix_size(len(s), num, den) if len(s) else 0)
-                    prefix.append(first.view(np.int64))
-                    group.append(xxhash.xxh3_128_digest(first))
+                    single, shared_ones = order.prefix(s, prefix_size(len(s), num, den) if len(s) else 0)
+                    prefix.append(shared_ones.view(np.int64))
+                    group.append(xxhash.xxh3_128_digest(np.concatenate([single, shared_ones])))
                     bits.append(parity_bitmap(s))
                 yield pa.RecordBatch.from_arrays([
                     rb.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), _lists(prefix),
@@ -367,9 +368,10 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5
     packed = _keyed(docs, id_col, text_col, F.struct("*").alias("row"))
     found = materialise(_linked(packed.drop("row"), width, num, den, heavy), "jaccard-found")
     first = found.filter("size > 0").groupBy("component").agg(F.min(F.struct("idk", "hash")).alias("k")).select("k.*")
-    bare = packed.join(found.filter("size = 0").select("idk", "hash").distinct().hint("merge"), ["idk", "hash"], "left_semi")
-    one = packed.join(first.hint("merge"), ["idk", "hash"], "left_semi").dropDuplicates(["idk", "hash"])
-    return bare.select("row.*").unionAll(one.select("row.*"))
+    keys = first.withColumn("bare", F.lit(False)).unionAll(
+        found.filter("size = 0").select("idk", "hash").distinct().withColumn("bare", F.lit(True)))
+    kept = packed.select("row", "idk", "hash").join(keys.hint("merge"), ["idk", "hash"])
+    return kept.filter("bare").select("row.*").unionAll(kept.filter("NOT bare").dropDuplicates(["idk", "hash"]).select("row.*"))
 
 
 def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> DataFrame:
