@@ -1,36 +1,19 @@
-"""Helpers shared by the operators of this package: input columns, shared scratch tables,
-range buckets.
-"""
+"""Helpers shared by the operators of this package: input columns and range buckets. Tables
+written once come from ``notelake.session``."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notelake.session import ensure_checkpoint_dir
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read by its path with Spark's own reader."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage,
-    is computed once, and survives the loss of executors."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def full_text(text_col: str) -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(text_col), F.lit(""))

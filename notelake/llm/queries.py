@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notelake.llm import bpe, exact_dedup, fingerprint, lang_id, line_dedup, mixing, ngram_join, token_counts, token_store, url_reputation
-from notelake.llm.common import scratch, table
+from notelake.llm.common import table
+from notelake.session import shared_path
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -155,7 +156,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_token_store")
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text with the end id 2, written to a store in the shared folder and read back."""
-    path = scratch(spark, "token-store")
+    path = shared_path(spark, "token-store")
     token_store.write_token_store(table(spark, sf_dir, "documents"), path,
                                   public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_store.read_index(spark, path)
