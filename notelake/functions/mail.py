@@ -145,6 +145,25 @@ def parse_mail_date(c) -> Column:
         parts[3].cast("int"), parts[4].cast("int"), parts[5].cast("int")))
 
 
+# The RFC shape of a mailbox Date header: optional weekday, day, month name, year of
+# two or four digits, time with optional seconds, optional zone and comment.
+RFC_DATE = (r"^(?:[A-Za-z]{3,9},?\s+)?(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*[\s-]+(\d{2}|\d{4})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?"
+            r"(?:\s+(?:[+-]\d{4}|[A-Za-z]{1,5}))?(?:\s*\([^)]*\))?$")
+
+
+def parse_rfc_date(c) -> Column:
+    """X24 in the mailbox import: RFC dates to TIMESTAMP_NTZ with the sender's wall clock (two
+    digits of a year are 1969 to 2068); anything else is null."""
+    s = strip_ws(col_of(c))
+    part = lambda i: F.regexp_extract(s, RFC_DATE, i)
+    month = F.instr(F.lit(MONTHS), F.upper(part(2)))
+    year = part(3).try_cast("int")
+    full = F.when(F.length(part(3)) == 2, year + F.when(year < 69, 2000).otherwise(1900)).otherwise(year)
+    return F.when(month % 3 == 1, F.try_make_timestamp_ntz(
+        full, ((month + 2) / 3).cast("int"), part(1).try_cast("int"), part(4).try_cast("int"), part(5).try_cast("int"),
+        F.coalesce(part(6).try_cast("int"), F.lit(0))))
+
+
 # Month abbreviations in calendar order.
 MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 
