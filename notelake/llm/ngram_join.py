@@ -417,7 +417,8 @@ def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> Data
     labelled = materialise(labelled, "jaccard-labels")
     spread = labelled.groupBy("grp").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     listed = lists.select("token", "grp").join(spread.hint("merge"), "grp")
-    open_tokens = listed.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("token")
+    open_tokens = materialise(   # written, so that both sides of the join are plain shuffles that AQE splits
+        listed.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("token"), "jaccard-open-tokens")
     still = materialise(listed.join(open_tokens.hint("merge"), "token").join(labelled.hint("merge"), "grp")
                         .select("token", "cls", "size", "label", *bits), "jaccard-open")
     x, y = still.alias("x"), still.hint("merge").alias("y")
