@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 class PathRules:
     """Which notes a scan takes. A file is skipped by its own name or by that of the folder it
     is in; folders below a skipped one are not skipped (Q15)."""
-    skip_names: Sequence[str] = ("README.md", "PITCH_DATABASE.md")
+    skip_names: Sequence[str] = ("README.md",)
+    # Numbered names that attachments get.
     skip_pattern: str = r"(?i)^0\d{3}_(IMG_|image\d|Outlook|Screenshot|Invoice)"
-    skip_folders: Sequence[str] = ("attachments", "Amazon-Leads", "Brand-Pitches")
-    priority_folders: Sequence[str] = ("Gmail-Captures", "Quick-Notes")
+    skip_folders: Sequence[str] = ("attachments",)
+    priority_folders: Sequence[str] = ()
 
 
 def read_files(spark: SparkSession, root: str, glob: str = "*.md") -> DataFrame:
