@@ -35,6 +35,12 @@ def frontmatter_entries(has, fm_text) -> Column:
         _unquote(F.substring(l, F.instr(l, ":") + 1, F.length(l))).alias("value"))), F.array().cast("array<struct<key:string,value:string>>"))
 
 
+def entry_value(entries, key: str) -> Column:
+    """X12 for one property: the last value of ``key``, ``""`` without one."""
+    hit = F.filter(col_of(entries), lambda e: e["key"] == key)
+    return F.coalesce(F.try_element_at(hit, F.lit(-1))["value"], F.lit(""))
+
+
 def entries_to_map(entries) -> Column:
     """Entries as a map, the last duplicate key wins. ``entries`` is to be a column of its
     own, as it is used for each key."""

@@ -37,8 +37,10 @@ def is_email(has_fm="has_fm", fm="fm") -> Column:
 
 
 def email_notes(notes: DataFrame) -> DataFrame:
-    """P9 as a filter."""
-    return NF.with_frontmatter(notes).filter(is_email()).select(*notes.columns)
+    """P9 as a filter; only the one property is read, as a filter is evaluated below projections."""
+    has, fm_text, _ = NF.frontmatter_parts(F.col("content"))
+    kind = F.lower(NF.entry_value(NF.frontmatter_entries(has, fm_text), "type"))
+    return notes.filter(has & kind.isin("email", "capture", ""))
 
 
 def parse_notes(notes: DataFrame) -> DataFrame:

@@ -188,7 +188,8 @@ np AS (SELECT path, {fm_sql('content')[0]} AS has, {fm_sql('content')[1]} AS ent
 SELECT path FROM np WHERE has AND lower({get_sql('ent', 'type')}) IN ('email', 'capture', '')""")
 def q_email_notes(spark, sf_dir):
     """E-mail notes by their type property."""
-    return EN.email_notes(B.doc_notes(spark, sf_dir)).select("path")
+    notes = materialise(B.doc_notes(spark, sf_dir), "notes")   # rendered once, not once a reference of the filter
+    return EN.email_notes(notes).select("path")
 
 
 @register("domain_map", CTE + " SELECT domain, brand FROM domain_map")
