@@ -364,10 +364,11 @@ def jaccard_classes(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
 def keep_one_of_each(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id",
                      text_col: str = "text", heavy: int = HEAVY) -> DataFrame:
     """``docs`` (all columns) with one document of each component: that of the smallest id (of
-    equal ids, the smallest text hash). Documents without words all stay."""
+    equal ids, the smallest text hash). Documents without words all stay. Components are told
+    apart by ``comp``: names are shared where ids are null or repeat."""
     packed = _keyed(docs, id_col, text_col, F.struct("*").alias("row"))
     found = materialise(_linked(packed.drop("row"), width, num, den, heavy), "jaccard-found")
-    first = found.filter("size > 0").groupBy("component").agg(F.min(F.struct("idk", "hash")).alias("k")).select("k.*")
+    first = found.filter("size > 0").groupBy("comp").agg(F.min(F.struct("idk", "hash")).alias("k")).select("k.*")
     keys = first.withColumn("bare", F.lit(False)).unionAll(
         found.filter("size = 0").select("idk", "hash").distinct().withColumn("bare", F.lit(True)))
     kept = packed.select("row", "idk", "hash").join(keys.hint("merge"), ["idk", "hash"])
@@ -375,7 +376,8 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5
 
 
 def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> DataFrame:
-    """``id, idk, hash, size, component`` of each row (component null where size is 0)."""
+    """``id, idk, hash, size, comp, component`` of each row (both null where size is 0): ``comp`` is
+    unique to a component, ``component`` its smallest id, by which it is named."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(shingle_order(rows, width, heavy))
     key = "key struct<id:bigint,idk:bigint,hash:bigint>"
@@ -442,6 +444,6 @@ def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> Data
     final = label_of.join(top.hint("merge"), "label", "left").select("cls", F.coalesce("top", "label").alias("comp"))
     final = materialise(final.join(classes.hint("merge"), "cls").select("comp", "size", "digest", "least"), "jaccard-final")
     least = final.groupBy("comp").agg(F.min("least").alias("component"))
-    by_set = materialise(final.join(least.hint("merge"), "comp").select("size", "digest", "component"), "jaccard-components")
+    by_set = materialise(final.join(least.hint("merge"), "comp").select("size", "digest", "comp", "component"), "jaccard-components")
     return sig.select("id", "idk", "hash", "size", "digest").join(by_set.hint("merge"), ["size", "digest"], "left") \
-        .select("id", "idk", "hash", "size", "component")
+        .select("id", "idk", "hash", "size", "comp", "component")

@@ -92,6 +92,18 @@ def test_keep_one(spark):
     assert kept == sorted({c for _, n, c in comps if n} | {2000, 2001, 2002})
 
 
+def test_keep_one_where_components_share_a_name(spark):
+    """Unrelated texts under null ids or one repeated id: one document of each component stays."""
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(40))
+    near = lambda k: text(k) + " more"
+    data = [(None, text(0)), (None, text(1)), (None, text(2)), (None, near(2)), (5, text(3)), (5, text(4)), (5, near(4)), (None, text(4)),
+            (6, text(5)), (None, text(5)), (None, None), (None, "")]
+    kept = [(r.doc_id, r.text) for r in ngram_join.keep_one_of_each(frame(spark, [(i, t, None, None, None) for i, t in data]), 5, 4, 5).collect()]
+    assert set(kept) <= set(data)
+    assert sorted(repr(((t or "").removesuffix(" more"), i)) for i, t in kept) == sorted(map(repr, [
+        ("", None), ("", None), (text(0), None), (text(1), None), (text(2), None), (text(3), 5), (text(4), 5), (text(5), 6)]))
+
+
 def test_bitmap_bounds_the_difference():
     rnd = np.random.default_rng(1)
     for _ in range(50):
