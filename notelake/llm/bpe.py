@@ -231,10 +231,6 @@ class ChunkEncoder:
         self.words: dict[str, bytes] = {}
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.chunks) > self.max_chunks:
-            self.chunks = {}
-        if len(self.words) > self.max_chunks:
-            self.words = {}
         find = self.codec.pattern.findall
         split = [find(c) for c in new]
         unseen = list(set().union(*split).difference(self.words))
@@ -261,12 +257,13 @@ class ChunkEncoder:
                     row += [" " + x for x in rest]
             parts.append(row)
         wanted = set().union(*parts).difference(special) if parts else set()
+        if len(self.chunks) > self.max_chunks:   # before ``new`` is known: nothing this batch needs is forgotten
+            self.chunks = {}
+        if len(self.words) > self.max_chunks:
+            self.words = {}
         new = [c for c in wanted if c not in self.chunks]
-        before = self.chunks
         if new:
             self._learn(new)
-            if self.chunks is not before:   # forgotten: what this batch still needs is learnt again
-                self._learn([c for c in wanted if c not in self.chunks])
         known = self.chunks
         for s, i in special.items():
             known[s] = np.array([i], dtype="<u4").tobytes()

@@ -66,6 +66,15 @@ def test_bpe_matches_the_library_on_random_text():
         assert enc.codec.decode(want.ids) == lib.decode(want.ids, skip_special_tokens=False) == text
 
 
+def test_bpe_memory_smaller_than_a_batch():
+    """Every batch has more unseen chunks than the memory holds, and some seen ones."""
+    lib, enc = Tokenizer.from_file(BPE), bpe.ChunkEncoder(bpe.BytePairCodec(BPE), 1)
+    for b in range(4):
+        texts = ["shared words here", f"own{b} text {b}{b} of batch{b}", f"<|endoftext|> more{b}", "", None]
+        want = lib.encode_batch([t or "" for t in texts], add_special_tokens=False)
+        assert [g.tolist() for g in enc.encode_batch(texts)] == [w.ids for w in want]
+
+
 def test_one_tree_and_many_trees_agree():
     codec = bpe.BytePairCodec(BPE)
     rnd = random.Random(2)
