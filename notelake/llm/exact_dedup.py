@@ -3,7 +3,9 @@
 Each round takes the next run of UTF-8 bytes of every document that is still open (the
 radix digit; runs grow by ``growth``) and splits each group by (digit, ended). A group is
 settled when it has one document, or when its texts ended in this digit: all bytes were
-then compared and are equal. No digest decides equality.
+then compared and are equal. No digest decides equality. A group that goes on is known by a
+number of its row in the written table of the round's groups, so no two groups share one,
+whatever their ids.
 
 A round is one aggregation (``count``/``max``/``min``, combined map-side, so a group that
 holds a third of the rows arrives as one row per task) and one join of the open rows with
@@ -32,10 +34,9 @@ def mark_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ``keep_id`` is the largest id among the equal texts. ``first_digit`` is the width in
     bytes of the first digit; later ones are ``growth`` times as wide as the one before.
     """
-    none = F.struct(F.lit(None).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("tie"))
     state = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), full_text(text_col).alias("_t"),
-    ).select("doc_id", F.sha2("_t", 256).alias("text_sha256"), none.alias("path"),
+    ).select("doc_id", F.sha2("_t", 256).alias("text_sha256"), F.lit(0).cast("bigint").alias("path"),
              F.col("_t").cast("binary").alias("rest"))
     width, settled = first_digit, []
     while True:
@@ -44,8 +45,7 @@ def mark_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         repeated = materialise(
             state.groupBy("path", "ended", "digit").agg(
                 F.count(F.lit(1)).alias("size"), F.max("doc_id").alias("keep_id"),
-                F.min(F.struct(F.col("doc_id").alias("id"), F.xxhash64("rest").alias("tie"))).alias("next"),
-            ).filter("size > 1"), "radix-groups")
+            ).filter("size > 1").withColumn("next", F.monotonically_increasing_id()), "radix-groups")
         done = F.col("ended") | F.col("size").isNull()
         round_ = materialise(
             state.join(repeated.hint("merge"), ["path", "ended", "digit"], "left").select(

@@ -1,3 +1,4 @@
+import hashlib
 from collections import defaultdict
 
 from notelake.llm import exact_dedup, line_dedup
@@ -28,6 +29,19 @@ def test_exact_no_digest_decides(spark):
         assert got[i] == (max(same), len(same))
 
 
+def test_exact_groups_of_one_smallest_id(spark):
+    """Texts that differ in the first digit only, whose groups have one smallest id (null or repeated)."""
+    tail = "t" * 2000
+    a, b = "A" * 64 + tail, "B" * 64 + tail
+    for ids in ((None, 1, None, 2), (7, 7, 7, 7), (None, None, None, None)):
+        data = list(zip(ids, (a, a, b, b)))
+        got = exact_dedup.mark_exact_duplicates(frame(spark, [(i, t, None, None, None) for i, t in data])).collect()
+        sha = {t: hashlib.sha256(t.encode()).hexdigest() for t in (a, b)}
+        keep = {sha[t]: max((i for i, u in data if u == t and i is not None), default=None) for t in (a, b)}
+        assert sorted(repr((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256)) for r in got) == \
+            sorted(repr((i, keep[sha[t]], 2, i == keep[sha[t]], sha[t])) for i, t in data)
+
+
 def test_exact_empty_and_drop(spark):
     assert exact_dedup.mark_exact_duplicates(empty(spark)).collect() == []
     kept = exact_dedup.drop_exact_duplicates(frame(spark))
