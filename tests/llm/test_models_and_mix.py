@@ -89,6 +89,16 @@ def test_url_parts_and_rules(spark):
     assert url_reputation.judge_urls(pages.limit(0), labels, rules).collect() == []
 
 
+def test_hosts_of_a_bad_domain_are_blocked(spark):
+    """Labels that differ by domain: hosts are blocked on evidence, and not for lack of it."""
+    hosts = {"a.bad.com": 1, "b.bad.com": 1, "a.good.com": 0, "b.good.com": 0, "x.new.org": None}
+    data = [(f"http://{h}/{k}", b) for h, b in hosts.items() for k in range(40)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(data)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(data)], "page_id long, bad int")
+    got = {(r.host, r.verdict, r.bound > 0.5) for r in url_reputation.judge_urls(pages, labels).collect()}
+    assert got == {(h, "block" if b else "allow", b == 1) for h, b in hosts.items()}
+
+
 def test_reputation_shrinks_to_the_levels_above(spark):
     hosts = [("a.good.com", 40, 0), ("b.good.com", 0, 0), ("x.bad.com", 30, 30), ("y.bad.com", 25, 24), ("z.bad.com", 0, 0),
              ("one.new.co.uk", 1, 1), ("", 0, 0)]
