@@ -18,7 +18,8 @@ from notelake.llm.common import table
 from notelake.session import materialise
 from notelake.llm.queries import held_out, source_domain
 
-#: A document whose best language has a lower posterior than this is rejected.
+#: A document whose best language has a lower posterior than this is rejected. The posterior of a whole
+#: text is near 1 whatever its language, so in fact only documents without a letter go.
 MIN_SCORE = 0.5
 #: Near duplicates: word shingles of five words, similarity 4/5 or more.
 NEAR = dict(width=5, num=4, den=5)
@@ -28,8 +29,8 @@ MIX = dict(budget=1.0, epochs=2, seed=7, domain_weights={"d0": 0.5, "d1": 0.3, "
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learnt languages; those without a letter or of a doubtful
-    language go."""
+    """Documents with a letter. A text in a language never learnt stays, as its posterior is near
+    1 for one of the learnt ones."""
     model = lang_id.fit(docs.filter(~held_out()))
     judged = lang_id.predict(docs.select(F.struct("*").alias("row"), "text"), model, out="language")
     return judged.filter((F.col("language.lang_pred") != "und") & (F.col("language.score") >= MIN_SCORE)).select("row.*")
