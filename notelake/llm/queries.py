@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notelake.llm import bpe, exact_dedup, fingerprint, lang_id, line_dedup, mixing, ngram_join, token_counts, token_store, url_reputation
+from notelake.llm import alignment, bpe, exact_dedup, fingerprint, hard_negatives, lang_id, line_dedup, mixing, ngram_join
+from notelake.llm import simhash, token_counts, token_store, url_reputation
 from notelake.llm.common import table
 from notelake.session import shared_path
 
@@ -191,3 +192,32 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity 0.9."""
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), width=3, num=9, den=10)
+
+
+@_query("op11_hard_negatives", """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.vec, b.vec)::BIGINT AS score
+    FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+    FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op12_simhash")
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles, at most three differing bits."""
+    return simhash.simhash_classes(table(spark, sf_dir, "documents"), width=3, errors=3)
+
+
+@_query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  public_tokenizers.path("piece_bpe_32k.model"))
