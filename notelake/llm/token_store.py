@@ -50,7 +50,8 @@ _WORKER: dict = {}
 
 
 #: A word of Latin letters with at most one mark after it: the vocabulary lower-cases letters
-#: one by one and always parts them from the mark.
+#: one by one and always parts them from the mark. (A letter whose lower case is more than one
+#: code point, as U+0130, ends in a combining mark that is not parted: such words are left out.)
 _SIMPLE = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F]+)([.,;:!?]?)")
 
 
@@ -76,8 +77,9 @@ class WordEncoder(dict):
         if len(self) >= self.max_chunks:
             self.clear()
         simple = _SIMPLE.fullmatch(chunk)
-        if simple and (simple[2] or not chunk.islower()):
-            out = self[simple[1].lower()] + (self[simple[2]] if simple[2] else b"")
+        low = simple[1].lower() if simple else ""
+        if simple and len(low) == len(simple[1]) and (simple[2] or low != chunk):
+            out = self[low] + (self[simple[2]] if simple[2] else b"")
         else:
             out = array(self.code, self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
         self[chunk] = out

@@ -143,6 +143,17 @@ def test_token_store_special_strings_and_case(spark, tmp_path):
         assert got[i] == zlib.crc32(np.array(ids, dtype="<u4").tobytes()), t
 
 
+def test_word_encoder_lower_case_before_marks():
+    """Every letter of the short way, with every mark behind it, alone and in a word."""
+    enc, lib = token_store.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    letters = [chr(c) for c in range(0x180) if token_store._SIMPLE.fullmatch(chr(c))]
+    words = [f"{w}{m}" for c in letters for w in (c, f"GAZ{c}", f"{c}ab", f"x{c}Y") for m in ["", *".,;:!?"]]
+    want = lib.encode_batch(words, add_special_tokens=False)
+    assert "\u0130" in letters and len(words) > 5000
+    for w, e in zip(words, want):
+        assert np.frombuffer(enc.encode(w, 2), "<u2").tolist() == [*e.ids, 2], w
+
+
 def test_token_store_empty(spark, tmp_path):
     path = store(spark, tmp_path, empty(spark), "e")
     assert token_store.read_index(spark, path).collect() == []
