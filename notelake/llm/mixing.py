@@ -15,8 +15,9 @@ whole leaf, even one that holds a third of all rows.
 
 The tree has one row per leaf (aggregated map-side); budgets are computed with windows over
 the siblings. Defined cases: null domain, language or source are leaves of their own
-(``''``); null and empty texts have no tokens and are taken with whole epochs only; equal
-ids tie by the md5 of the text, and rows that repeat both are taken or left together; keys without a weight get
+(``''``); null and empty texts have no tokens and are taken with whole epochs, and once more where
+the prefix of the last epoch reaches them; equal ids tie by the md5 of the text, and rows of a
+leaf that repeat both are taken or left together; keys without a weight get
 ``default_weight``; an empty table gives an empty result; other columns are carried
 through, whatever their names.
 """
@@ -117,12 +118,15 @@ def mix_sources(docs: DataFrame, domain: Column, budget: float = 1.0, epochs: in
     inside = Window.partitionBy(*leaf, "slice").orderBy("mark").rangeBetween(Window.unboundedPreceding, 0)
     edge = at.filter("before < rest AND after > rest") \
         .withColumn("upto", F.col("before") + F.sum("n_tokens").over(inside)) \
-        .select("id", "tie", "n_tokens", "whole", (F.col("upto") <= F.col("rest")).alias("more"))
+        .select(*leaf, "id", "tie", "whole", (F.col("upto") <= F.col("rest")).alias("more"))
     # a slice whose end fits is taken, one that starts beyond the budget is not
     clear = at.filter("NOT (before < rest AND after > rest)") \
-        .select("id", "tie", "n_tokens", "whole", ((F.col("after") <= F.col("rest")) & (F.col("rest") > 0)).alias("more"))
-    taken = edge.unionAll(clear).groupBy(F.col("id").alias("t_id"), F.col("tie").alias("t_tie")) \
+        .select(*leaf, "id", "tie", "whole", ((F.col("after") <= F.col("rest")) & (F.col("rest") > 0)).alias("more"))
+    names = [f"t_{c}" for c in leaf]
+    taken = edge.unionAll(clear).groupBy(*[F.col(c).alias(t) for c, t in zip(leaf, names)], F.col("id").alias("t_id"), F.col("tie").alias("t_tie")) \
         .agg(F.max(F.col("whole") + F.col("more").cast("long")).alias("copies"))
+    same = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("tie") == F.col("t_tie"))
+    for c, t in zip(leaf, names):
+        same = same & (F.col(c) == F.col(t))
     return packed.withColumn("tie", F.md5(F.coalesce("text", F.lit("")))) \
-        .join(taken.hint("merge"), F.col("id").eqNullSafe(F.col("t_id")) & (F.col("tie") == F.col("t_tie"))) \
-        .select("row", *leaf, "n_tokens", "copies")
+        .join(taken.hint("merge"), same).select("row", *leaf, "n_tokens", "copies")
