@@ -1,4 +1,4 @@
-"""Q1 ``import_mailbox`` for messages of one part (multipart bodies come parsed, through R3)."""
+"""Q1 ``import_mailbox``: scanned messages, of one part or of many, to notes and attachments."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from notelake.functions import mail as M
 from notelake.functions.common import strip_ws
+from notelake.functions.mime import decoded_words
 from notelake.functions.text import choose_body
+from notelake.operators import mime as MI
+from notelake.operators import parts as P
 from notelake.operators.labels import display_labels, parse_labels
 from notelake.operators.naming import assign_unique_names
 from notelake.operators.render import render_note
@@ -33,23 +36,46 @@ def with_headers(messages: DataFrame) -> DataFrame:
 
 
 def import_mailbox(messages: DataFrame, account: str, skip: Sequence[str], cutoff: Column | None = None,
-                   hidden: Sequence[str] = ("Unread", "Opened"), existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(classified, notes)`` of scanned messages (S1): outcomes in the mailbox order (P15: labels,
-    date, cutoff), and ``file, seq, name, ts, content`` of the created ones (W1 in file order)."""
+                   hidden: Sequence[str] = ("Unread", "Opened"), existing: DataFrame | None = None,
+                   saved: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(classified, notes, attachments)`` of scanned messages (S1): outcomes in the mailbox order
+    (P15: labels, date, cutoff) with the number of attachments saved; ``file, seq, name, ts, content``
+    of the created ones (W1 in file order; bodies of all their parts, A25); and ``file, seq,
+    part_path, filename, out_name, content`` of what is saved (P6, R2: equal names of a day are
+    numbered over all messages, after those in ``saved``)."""
+    order = ["file", "seq", "part_path"]
     h = with_headers(messages)
-    read = h.select("file", "seq", "mime", "text", *[M.header("headers", n).alias(c) for n, c in (
-        ("Subject", "subject"), ("From", "from_hdr"), ("To", "to_hdr"), ("Date", "date_hdr"), ("X-Gmail-Labels", "label_hdr"))])
+    read = h.select("file", "seq", *[decoded_words(M.header("headers", n)).alias(c) for n, c in (
+        ("Subject", "subject"), ("From", "from_hdr"), ("To", "to_hdr"))], *[M.header("headers", n).alias(c) for n, c in (
+            ("Date", "date_hdr"), ("X-Gmail-Labels", "label_hdr"))])
     dated = read.select("*", M.parse_rfc_date("date_hdr").alias("ts"), parse_labels("label_hdr").alias("labels"))
-    classified = materialise(classify_mbox(dated, skip, cutoff, F.lit(False)), "import-classified")
+    found = materialise(classify_mbox(dated, skip, cutoff, F.lit(False)), "import-classified")
     subject = F.coalesce(F.when(F.col("subject") != "", F.col("subject")), F.lit("(no subject)"))
-    made = classified.filter("outcome = 'created'").select(
+    made = found.filter("outcome = 'created'").select(
         "*", M.base_name("ts", subject).alias("base_name"), F.format_string("%s#%012d", "file", "seq").alias("key"))
     names = assign_unique_names(made.select("key", "base_name"), "base_name", ["key"], existing=existing, id_col="key", out="name")
+
+    entities = materialise(MI.split_entities(messages.join(made.select("file", "seq"), ["file", "seq"], "left_semi")), "import-entities")
+    bodies = MI.entity_bodies(entities)
+    listed = materialise(MI.entity_attachments(entities).join(made.select("file", "seq", F.date_format("ts", "yyyy-MM-dd").alias("day")), ["file", "seq"]),
+                         "import-attachments")
+    kept = P.extractable(listed, MI.SAVED_EXTENSIONS).filter("raw <> ''")
+    attachments = materialise(P.attachment_names(kept, "day", "mbox", order, existing=saved).select(
+        *order, "filename", "out_name", F.encode("raw", "ISO-8859-1").alias("content")), "import-saved")
+    all_names = listed.groupBy("file", "seq").agg(F.array_sort(F.collect_list(F.struct("part_path", "filename"))).alias("listed"))
+    links = attachments.groupBy("file", "seq").agg(F.array_sort(F.collect_list(F.struct(
+        "part_path", F.col("filename").alias("original"), F.col("out_name").alias("saved")))).alias("kept"))
+
     sender = M.split_sender("from_hdr", "mbox")
-    rows = made.join(names.select("key", "name"), "key").select(
+    empty = lambda t: F.array().cast(t)
+    rows = made.join(names.select("key", "name"), "key").join(bodies, ["file", "seq"], "left").join(all_names, ["file", "seq"], "left") \
+        .join(links, ["file", "seq"], "left").select(
         "file", "seq", "name", "ts", "subject", "from_hdr", "to_hdr", F.lit(account).alias("account"),
         sender["name"].alias("sender_name"), sender["address"].alias("sender_address"), display_labels("labels", hidden).alias("display_labels"),
-        choose_body(F.when(F.col("mime") != "text/html", F.nullif("text", F.lit(""))), F.when(F.col("mime") == "text/html", F.col("text"))).alias("body"),
-        F.array().cast("array<string>").alias("attachment_names"),
-        F.array().cast("array<struct<original:string,saved:string>>").alias("saved_names"))
-    return classified, rows.select("file", "seq", "name", "ts", render_note("mbox").alias("content"))
+        choose_body("plain", "html").alias("body"),
+        F.coalesce(F.transform("listed", lambda x: x["filename"]), empty("array<string>")).alias("attachment_names"),
+        F.coalesce(F.transform("kept", lambda x: F.struct(x["original"], x["saved"])),
+                   empty("array<struct<original:string,saved:string>>")).alias("saved_names"))
+    counted = attachments.groupBy("file", "seq").agg(F.count(F.lit(1)).alias("attachments"))
+    classified = found.join(counted, ["file", "seq"], "left").withColumn("attachments", F.coalesce("attachments", F.lit(0).cast("long")))
+    return classified, rows.select("file", "seq", "name", "ts", render_note("mbox").alias("content")), attachments

@@ -48,9 +48,13 @@ def flatten_parts(msgs: DataFrame, keys: Sequence[str] = ("account", "message_id
 def join_parts(parts: DataFrame, keys: Sequence[str] = ("account", "message_id")) -> DataFrame:
     """Per message the decoded text parts joined by newlines in part order: ``plain`` and
     ``html`` (null without such a part). A node with children gives its children only; data
-    that cannot be decoded gives no part."""
-    leaf = parts.filter(~F.col("has_parts") & F.col("mime").isin("text/plain", "text/html") & ~is_attachment())
-    text = leaf.select(*keys, "mime", "part_path", decode_b64url("data").alias("text")).filter("text IS NOT NULL")
+    that cannot be decoded gives no part; a text part with a file name counts if its data is there."""
+    leaf = parts.filter(~F.col("has_parts") & F.col("mime").isin("text/plain", "text/html"))
+    return join_texts(leaf.select(*keys, "mime", "part_path", decode_b64url("data").alias("text")).filter("text IS NOT NULL"), keys)
+
+
+def join_texts(text: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``plain`` and ``html`` of each message from ``text(keys, mime, part_path, text)``."""
     of = lambda mime: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(
         F.col("mime") == mime, F.struct("part_path", "text")))), lambda x: x["text"]), "\n")
     n = lambda mime: F.count_if(F.col("mime") == mime)
@@ -96,23 +100,37 @@ def attachment_names(attachments: DataFrame, date_prefix: str, style: str = "api
                      existing: DataFrame | None = None) -> DataFrame:
     """The output name of each attachment: ``<date>_<safe file name>``. The API style only drops
     illegal characters (equal names are one file, J14); the mailbox style numbers equal names
-    in ``order`` (W1, before the extension)."""
+    in ``order``, which must be unique (W1, before the extension)."""
     if style == "api":
         return attachments.withColumn("out_name", F.concat(F.col(date_prefix), F.lit("_"), F.regexp_replace(
             "filename", r'[<>:"/\\|?*\x00-\x1f]', "")))
     full = F.concat(F.col(date_prefix), F.lit("_"), safe_name("filename", 100))
     stem, ext = split_ext(full)
-    named = attachments.withColumn("stem", stem).withColumn("ext", ext)
-    return assign_unique_names(named, "stem", order, ext="ext", existing=existing, id_col=order[0], out="out_name").drop("stem", "ext")
-
-
-def drop_saved(attachments: DataFrame, saved: DataFrame) -> DataFrame:
-    """Attachments whose output name is not there yet (those are listed but not saved)."""
-    return attachments.join(saved.select(F.col(saved.columns[0]).alias("out_name")).distinct(), "out_name", "left_anti")
-
-
-def write_attachments(attachments: DataFrame, path: str) -> None:
-    """K7: ``out_name, content BINARY``, one row per name (the first in part order)."""
-    raw = F.try_to_binary(F.translate("data", "-_", "+/"), F.lit("base64"))
-    one = attachments.groupBy("out_name").agg(F.min_by("data", "part_path").alias("data"))
-    one.select("out_name", raw.alias("content")).write.mode("append").parquet(path)
+    named = attachments.withColumn("stem", stem).withColumn("ext", ext).withColumn("part_at", part_order())
+    at = ["part_at" if c == "part_path" else c for c in order]
+    return assign_unique_names(named, "stem", at, ext="ext", existing=existing, out="out_name").drop("stem", "ext", "part_at")
+
+
+def part_order(path: str = "part_path") -> Column:
+    """A part's path as text that sorts as the path does."""
+    return F.array_join(F.transform(path, lambda i: F.lpad(i.cast("string"), 10, "0")), ".")
+
+
+def drop_saved(attachments: DataFrame, saved: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Attachments whose output name is not there yet (those are listed but not saved). With
+    ``order`` (unique) also names that an earlier attachment of the same run saves count as there."""
+    new = attachments.join(saved.select(F.col(saved.columns[0]).alias("out_name")).distinct(), "out_name", "left_anti")
+    if order is None:
+        return new
+    at = F.struct(*[part_order() if c == "part_path" else F.col(c) for c in order])
+    first = new.groupBy("out_name").agg(F.min(at).alias("_first"))
+    return new.join(first, "out_name").filter(at == F.col("_first")).drop("_first")
+
+
+def write_attachments(attachments: DataFrame, path: str, order: Sequence[str], content: Column | None = None) -> None:
+    """K7: ``out_name, content BINARY``, one row per name (the first in ``order``, which is unique);
+    the content is the URL-safe base64 of ``data`` unless another column is given."""
+    raw = F.try_to_binary(F.translate("data", "-_", "+/"), F.lit("base64")) if content is None else content
+    at = F.struct(*[part_order() if c == "part_path" else F.col(c) for c in order])
+    one = attachments.withColumn("_content", raw).groupBy("out_name").agg(F.min_by("_content", at).alias("content"))
+    one.write.mode("append").parquet(path)

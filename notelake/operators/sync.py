@@ -31,27 +31,58 @@ def classify_messages(msgs: DataFrame, existing: DataFrame, skip: Sequence[str],
     return classify_api(named, skip, existing, F.col("message_id").isNull(), dry_run)
 
 
+def name_notes(classified: DataFrame, existing: DataFrame) -> DataFrame:
+    """``KEYS, name`` of the created messages (W1): equal base names are numbered in order of time
+    and id, after the names that exist."""
+    created = classified.filter("outcome = 'created'").select(
+        *KEYS, "internal_ms", "base_name", F.concat_ws("/", *KEYS).alias("key"))
+    return assign_unique_names(created, "base_name", ["internal_ms", "account", "message_id"], existing=existing, id_col="key", out="name") \
+        .select(*KEYS, "name")
+
+
 def build_notes(classified: DataFrame, existing: DataFrame, domains: DataFrame, brands_ranked: DataFrame,
-                saved: DataFrame, hidden: Sequence[str] = ("UNREAD",), max_chars: int | None = None) -> DataFrame:
+                saved: DataFrame, hidden: Sequence[str] = ("UNREAD",), max_chars: int | None = None,
+                names: DataFrame | None = None) -> DataFrame:
     """``account, message_id, name, ts, content`` of the created messages: unique names (W1),
-    brands (J1, J2), bodies (R3, X6), attachments (P6, P7, J14) and the note text (X17)."""
+    brands (J1, J2), bodies (R3, X6), attachments (P6, P7, J14) and the note text (X17). ``names``
+    are those given already; of attachments of equal names the first in order of ``account_rank``
+    (if there is one), time, id and part is saved."""
     created = materialise(classified.filter("outcome = 'created'"), "sync-created")
-    names = assign_unique_names(created.select("message_id", "internal_ms", "base_name"), "base_name", ["internal_ms", "message_id"],
-                                existing=existing, id_col="message_id", out="name").select("message_id", "name")
-    parts = materialise(P.flatten_parts(created.withColumn("day", F.date_format("ts", "yyyy-MM-dd")), [*KEYS, "day"]), "sync-parts")
+    names = name_notes(created, existing) if names is None else names
+    order = [*(["account_rank"] if "account_rank" in created.columns else []), "internal_ms", *KEYS]
+    parts = materialise(P.flatten_parts(created.withColumn("day", F.date_format("ts", "yyyy-MM-dd")), [*order, "day"]), "sync-parts")
     bodies = P.message_bodies(created, parts, KEYS, max_chars)
     attached = P.explode_attachments(parts)
     all_names = attached.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("part_path", "filename"))).alias("listed"))
-    new = P.drop_saved(P.attachment_names(P.extractable(attached), "day"), saved)
+    new = P.drop_saved(P.attachment_names(P.extractable(attached), "day"), saved, [*order, "part_path"])
     kept = new.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("part_path", F.col("filename").alias("original"), F.col("out_name").alias("saved")))).alias("kept"))
     sender = M.split_sender("from_hdr", "api")
     head = created.select(*KEYS, "ts", "subject", "from_hdr", "to_hdr", sender["name"].alias("sender_name"),
                           sender["address"].alias("sender_address"), M.email_domain(sender["address"]).alias("domain"),
                           display_labels("labels", hidden).alias("display_labels"))
     branded = BR.brand_from_subject(BR.lookup_brand(head, domains), brands_ranked)
-    rows = branded.join(names, "message_id").join(bodies, KEYS).join(all_names, KEYS, "left").join(kept, KEYS, "left")
+    rows = branded.join(names, KEYS).join(bodies, KEYS).join(all_names, KEYS, "left").join(kept, KEYS, "left")
     empty = lambda t: F.array().cast(t)
     rows = rows.withColumn("attachment_names", F.coalesce(F.transform("listed", lambda x: x["filename"]), empty("array<string>"))) \
         .withColumn("saved_names", F.coalesce(F.transform("kept", lambda x: F.struct(x["original"], x["saved"])),
                                               empty("array<struct<original:string,saved:string>>")))
     return rows.select(*KEYS, "name", "ts", render_note("api").alias("content"))
+
+
+def sync_accounts(msgs: DataFrame, accounts: Sequence[str], existing: DataFrame, skip: Sequence[str], domains: DataFrame,
+                  brands_ranked: DataFrame, saved: DataFrame, hidden: Sequence[str] = ("UNREAD",),
+                  max_chars: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(classified, notes)`` of one run over several accounts, in the order of the list: the notes
+    of earlier accounts exist for later ones, so a mail that two accounts hold becomes one note, and
+    names and attachments are numbered on from there. Only outcomes and names depend on the
+    accounts before; the notes of all are built at once."""
+    known = existing.select(F.col(existing.columns[0]).alias("name"))
+    classified, names = None, None
+    for rank, account in enumerate(accounts):
+        one = materialise(classify_messages(msgs.filter(F.col("account") == account), known, skip)
+                          .withColumn("account_rank", F.lit(rank)), "sync-classified")
+        given = materialise(name_notes(one, known), "sync-names")
+        known = known.unionByName(given.select("name"))
+        classified = one if classified is None else classified.unionByName(one)
+        names = given if names is None else names.unionByName(given)
+    return classified, build_notes(classified, known, domains, brands_ranked, saved, hidden, max_chars, names)

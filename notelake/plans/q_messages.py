@@ -125,7 +125,7 @@ def _new_attachments(spark, sf_dir):
     ts = M.message_ts(M.header("headers", "Date"), "internal_ms")
     parts = P.flatten_parts(m.withColumn("day", F.date_format(ts, "yyyy-MM-dd")), ["message_id", "day"])
     named = P.attachment_names(P.extractable(P.explode_attachments(parts)), "day")
-    return P.drop_saved(named, spark.createDataFrame([(s,) for s in SAVED], "name string"))
+    return P.drop_saved(named, spark.createDataFrame([(s,) for s in SAVED], "name string"), ["message_id", "part_path"])
 
 
 @register("new_attachments", DOCS + _ATT)
@@ -138,7 +138,7 @@ def q_new_attachments(spark, sf_dir):
 def q_attachment_table(spark, sf_dir):
     """K7: the attachment table written and read back."""
     path = shared_path(spark, "attachments")
-    P.write_attachments(_new_attachments(spark, sf_dir), path)
+    P.write_attachments(_new_attachments(spark, sf_dir), path, ["message_id", "part_path"])
     return spark.read.parquet(path).select("out_name", F.col("content").cast("string").alias("content"))
 
 
@@ -155,7 +155,8 @@ def q_mailbox_attachment_names(spark, sf_dir):
     return named.select("message_id", "out_name")
 
 
-def _note_sql(style: str, name: str, brand: str) -> str:
+def _note_sql(style: str, name: str, brand: str, attached: str | None = None) -> str:
+    """``attached``: the lines on attachments, if they are other than those of the one ``file``."""
     sname, saddr = O.sender_sql("from_hdr", style)
     q = lambda c: f"'\"' || {c} || '\"'"
     nl = "chr(10)"
@@ -182,6 +183,7 @@ def _note_sql(style: str, name: str, brand: str) -> str:
                f" || CASE WHEN {saved} THEN '**Saved:** [[' || {out} || ']]' || {nl} ELSE '' END"
     else:
         tail += f" || CASE WHEN {saved} THEN {nl} || '**Saved attachments:**' || {nl} || '- [[attachments/' || {out} || '|' || file || ']]' || {nl} ELSE '' END"
+    tail = attached or tail
     join = f" || {nl} || "
     return (f"'---' || {nl} || {join.join(props)} || {nl} || '---' || {nl} || {nl} || '# ' || {_SUBJ} || {nl} || {nl} || {join.join(lines)} || {nl} || {tail}"
             f" || {nl} || '---' || {nl} || {nl} || shown || {nl}")
@@ -243,6 +245,66 @@ def q_sync_again(spark, sf_dir):
     return again.groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
 
+_TWO_ACCOUNTS = DOCS + f""",
+two AS (
+  SELECT *, '{B.MAIN_ACCOUNT}' AS account FROM msg UNION ALL SELECT *, '{B.ALT_ACCOUNT}' FROM msg WHERE thread_id::INT % 3 <> 0
+),
+acc AS (SELECT *, strftime(mts, '%Y-%m-%d') || '_' || {safe_name_sql(_SUBJ, 60)} AS base_name, {_BRAND} AS brand,
+               list_has_any(labels, ['{SKIP[0]}']) AS skipped FROM two),
+had AS (SELECT DISTINCT base_name FROM acc WHERE thread_id::INT % 10 = 0 AND seq = 1),
+run_a AS (
+  SELECT *, CASE WHEN dated AND base_name IN (SELECT base_name FROM had) THEN 'skipped_exists' WHEN skipped THEN 'skipped_label'
+                 WHEN mts IS NULL THEN 'skipped_nodate' ELSE 'created' END AS outcome FROM acc WHERE account = '{B.MAIN_ACCOUNT}'
+),
+first_made AS (
+  SELECT *, row_number() OVER (PARTITION BY base_name ORDER BY internal_ms, message_id) - 1
+            + (base_name IN (SELECT base_name FROM had))::INT AS n FROM run_a WHERE outcome = 'created'
+),
+first_names AS (SELECT base_name || CASE WHEN n = 0 THEN '' ELSE '_' || n END AS name FROM first_made),
+run_b AS (
+  SELECT *, CASE WHEN dated AND (base_name IN (SELECT base_name FROM had) OR base_name IN (SELECT name FROM first_names)) THEN 'skipped_exists'
+                 WHEN skipped THEN 'skipped_label' WHEN mts IS NULL THEN 'skipped_nodate' ELSE 'created' END AS outcome
+  FROM acc WHERE account = '{B.ALT_ACCOUNT}'
+),
+second_made AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.base_name ORDER BY internal_ms, message_id) - 1
+              + (s.base_name IN (SELECT base_name FROM had))::INT + coalesce(u.used, 0) AS n
+  FROM run_b s LEFT JOIN (SELECT base_name, count(*) AS used FROM first_made GROUP BY base_name) u USING (base_name) WHERE outcome = 'created'
+),
+outcomes AS (SELECT account, message_id, outcome FROM run_a UNION ALL SELECT account, message_id, outcome FROM run_b),
+made AS (SELECT *, 0 AS turn_no FROM first_made UNION ALL SELECT *, 1 FROM second_made),
+files AS (SELECT *, strftime(mts, '%Y-%m-%d') || '_' || file AS out_name FROM made WHERE lower(file) LIKE '%.pdf'),
+kept AS (SELECT account, message_id, out_name FROM files WHERE out_name NOT IN ({', '.join(f"'{s}'" for s in SAVED)})
+         QUALIFY row_number() OVER (PARTITION BY out_name ORDER BY turn_no, internal_ms, account, message_id) = 1),
+told AS (SELECT made.*, kept.out_name FROM made LEFT JOIN kept USING (account, message_id)),
+notes AS (SELECT account, message_id, base_name || CASE WHEN n = 0 THEN '' ELSE '_' || n END AS name, {_note_sql(
+    'api', 'name', 'brand', "CASE WHEN brand <> '' THEN '**Brand:** [[' || brand || ']]' || chr(10) ELSE '' END "
+    "|| CASE WHEN file IS NOT NULL THEN '**Attachments:** ' || file || chr(10) ELSE '' END "
+    "|| CASE WHEN out_name IS NOT NULL THEN '**Saved:** [[' || out_name || ']]' || chr(10) ELSE '' END")} AS content FROM told)"""
+
+
+def _synced_accounts(spark, sf_dir):
+    """One run over two mailboxes that share most of their mails, where some names are taken already."""
+    one = materialise(scanned(spark, sf_dir), "scanned")
+    both = one.unionByName(one.filter(F.col("thread_id").cast("int") % 3 != 0).withColumn("account", F.lit(B.ALT_ACCOUNT)))
+    base = SY.classify_messages(one, spark.createDataFrame([], "name string"), SKIP)
+    had = base.filter((F.col("thread_id").cast("int") % 10 == 0) & F.col("message_id").endswith("-0001")).select("base_name").distinct()
+    return SY.sync_accounts(both, [B.MAIN_ACCOUNT, B.ALT_ACCOUNT], had, SKIP, spark.createDataFrame(DOMAIN_BRANDS, "domain string, brand string"),
+                            spark.createDataFrame(SUBJECT_BRANDS, "brand string, rank int"), spark.createDataFrame([(s,) for s in SAVED], "name string"))
+
+
+@register("sync_accounts", _TWO_ACCOUNTS + " SELECT account, message_id, name, content FROM notes")
+def q_sync_accounts(spark, sf_dir):
+    """Q2 over two accounts: the second one sees the notes and attachments of the first."""
+    return _synced_accounts(spark, sf_dir)[1].select("account", "message_id", "name", "content")
+
+
+@register("sync_accounts_outcomes", _TWO_ACCOUNTS + " SELECT account, message_id, outcome FROM outcomes")
+def q_sync_accounts_outcomes(spark, sf_dir):
+    """P15 and J4 over two accounts."""
+    return _synced_accounts(spark, sf_dir)[0].select("account", "message_id", "outcome")
+
+
 @register("mailbox_notes", DOCS + f""",
 acc AS (SELECT *, '{B.MAIN_ACCOUNT}' AS account FROM msg)
 SELECT message_id, {_note_sql('mbox', 'name', "''")} AS content FROM acc""")
