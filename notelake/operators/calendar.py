@@ -112,15 +112,20 @@ def plan_calendar(sheet_rows: DataFrame, existing: DataFrame, now: Column, rules
     created / updated / skipped (dates whose midnight is more than ``stale_days`` before
     ``now`` count as skipped, P12). ``tag`` starts each title, ``source`` ends each
     description."""
+    return fold_upserts(calendar_events(sheet_rows, now, rules, tag, source, stale_days), existing)
+
+
+def calendar_events(sheet_rows: DataFrame, now: Column, rules: DataFrame, tag: str, source: str, stale_days: int = 7) -> DataFrame:
+    """``sheet, row, col_pos, day, title, description, stale``: the events that the rows make (P11, W3, P16,
+    X32, R1, X33, P12)."""
     rows = schedule_sheets(sheet_rows)
     rows = fill_down(rows, "client", "sheet", "row").filter(F.col("client").isNotNull())
     rows = sheet_brand(rows, rules)
     dates = unpivot_dates(rows, ["sheet", "row", "client", "brand", "type", "deliverables", "rate"])
     stale = F.col("day").cast("timestamp_ntz") < F.timestamp_add("DAY", F.lit(-stale_days), now)
     title = F.concat_ws(" ", F.lit(tag), F.concat_ws(" - ", "client", F.concat_ws(" ", "brand", "label")))
-    ev = dates.select("sheet", "row", "col_pos", "day", title.alias("title"), event_text(source).alias("description"),
-                      stale.alias("stale"))
-    return fold_upserts(ev, existing)
+    return dates.select("sheet", "row", "col_pos", "day", title.alias("title"), event_text(source).alias("description"),
+                        stale.alias("stale"))
 
 
 def event_text(source: str) -> Column:

@@ -1,7 +1,7 @@
 """Streaming jobs (T1-T4), each registered with the batch SQL of the same result.
 
-Every query writes its table to the shared folder in two halves of several files, runs the job
-after each, runs it once more on nothing new, and replays all files under a new checkpoint.
+Every query writes its table to the shared folder in two random halves of several files, runs the
+job after each, runs it once more on nothing new, and replays all files under a new checkpoint.
 """
 
 from __future__ import annotations
@@ -18,15 +18,15 @@ from notelake.session import read_table, shared_path
 from notelake.streaming import jobs as S
 
 
-def two_runs(spark, df, key: str, run, replay: bool = True):
+def two_runs(spark, df, key: str, run):
     """The result of ``run(stream, ckpt)`` after two arrivals, an empty run and a replay."""
     path, ckpt = shared_path(spark, "stream-in"), shared_path(spark, "stream-ckpt")
     half = F.pmod(F.xxhash64(key), F.lit(2))
     for k in (0, 1):
         df.filter(half == k).repartition(2).write.mode("append").parquet(path)
-        out = run(S.table_stream(spark, path, df.schema, max_files=1), ckpt)
-    out = run(S.table_stream(spark, path, df.schema, max_files=1), ckpt)
-    return run(S.table_stream(spark, path, df.schema), ckpt + "-replay") if replay else out
+        run(S.table_stream(spark, path, df.schema, max_files=1), ckpt)
+    run(S.table_stream(spark, path, df.schema, max_files=1), ckpt)
+    return run(S.table_stream(spark, path, df.schema), ckpt + "-replay")
 
 
 @register("stream_notify_once", f"""
@@ -57,7 +57,7 @@ def q_stream_thread_summary(spark, sf_dir):
         return S.stream_latest(T.thread_summary(rows, B.OWN_ADDRESSES, B.as_of(), url_base=B.THREAD_URL),
                                ["account", "thread_id"], out, ckpt)
 
-    return two_runs(spark, read_table(spark, sf_dir, "conversations"), "turn", run, replay=False)
+    return two_runs(spark, read_table(spark, sf_dir, "conversations"), "turn", run)
 
 
 @register("stream_sync_new", """
@@ -86,12 +86,11 @@ SELECT title, strftime(day, '%Y-%m-%d') AS day, description FROM last
 UNION ALL SELECT title, strftime(day, '%Y-%m-%d'), description FROM ex WHERE (title, day) NOT IN (SELECT (title, day) FROM last)""")
 def q_stream_calendar(spark, sf_dir):
     """Sheets re-synced as their rows arrive, equal to the batch calendar."""
-    rows = B.sheet_rows(spark, sf_dir)
-    # the second arrival holds later rows only: a sheet grows downwards
-    path, ckpt, out = (shared_path(spark, n) for n in ("stream-in", "stream-ckpt", "stream-calendar"))
-    middle = rows.select(F.percentile_approx("row", 0.5).alias("m")).scalar()
-    for k in (True, False):
-        (rows.filter((F.col("row") <= middle) == F.lit(k))).repartition(2).write.mode("append").parquet(path)
-        got = S.stream_calendar(S.table_stream(spark, path, rows.schema), B.existing_events(spark, sf_dir), out, ckpt,
-                                F.lit(B.CAL_NOW).cast("timestamp_ntz"), B.calendar_rules(spark), B.CAL_TAG, B.CAL_SOURCE)
+    out = shared_path(spark, "stream-calendar")
+
+    def run(stream, ckpt):
+        return S.stream_calendar(stream, B.existing_events(spark, sf_dir), out, ckpt, F.lit(B.CAL_NOW).cast("timestamp_ntz"),
+                                 B.calendar_rules(spark), B.CAL_TAG, B.CAL_SOURCE)
+
+    got = two_runs(spark, B.sheet_rows(spark, sf_dir), "row", run)
     return got.select("title", F.date_format("day", "yyyy-MM-dd").alias("day"), "description")

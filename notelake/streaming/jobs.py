@@ -2,24 +2,30 @@
 
 Each job reads a table path as a file stream, runs with ``trigger(availableNow=True)`` (process
 what is there, then stop; rerun on a schedule) and takes the paths of its result and of its
-checkpoint, so the next run goes on where the last one ended. A micro-batch writes to a
-folder of its own, named by the checkpoint and the batch number: a batch that is retried
-replaces its own output, and a replay under another checkpoint finds its rows already
-there. Results equal the batch jobs on the same input, however it is split.
+checkpoint, so the next run goes on where the last one ended. Results are ``StreamTable`` folders:
+a micro-batch that is retried replaces its own delta, and versions go on over checkpoints. What a
+batch reads does not grow with the batches before it: keys that were seen are in the state store
+of the checkpoint, and tables are merged after some batches. Results equal the batch jobs on the
+same input, however it is split and in whatever order it comes.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from notelake.operators.calendar import events_after, plan_calendar
+from notelake.operators.calendar import calendar_events
 from notelake.session import materialise
+from notelake.streaming.tables import StreamTable
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_EXACT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
 
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType | None = None, max_files: int | None = None) -> DataFrame:
@@ -28,85 +34,121 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
     return (r.option("maxFilesPerTrigger", max_files) if max_files else r).load(path)
 
 
-def batch_folder(out: str, ckpt: str, batch_id: int) -> str:
-    return f"{out}/part={hashlib.md5(ckpt.encode()).hexdigest()[:8]}-{batch_id:09d}"
-
-
-def written(spark: SparkSession, out: str) -> DataFrame | None:
-    """What earlier batches and runs have written, or None."""
-    try:
-        return spark.read.parquet(out)
-    except AnalysisException:      # nothing there yet
-        return None
-
-
 def run_stream(stream: DataFrame, ckpt: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Run what is there through ``sink(batch, batch_id)``."""
-    q = stream.writeStream.outputMode(mode).option("checkpointLocation", ckpt) \
-        .foreachBatch(sink).trigger(availableNow=True).start()
-    q.awaitTermination()
-
+    """Run what is there through ``sink(batch, batch_id)``. State is kept in RocksDB unless the
+    session names another provider."""
+    spark = stream.sparkSession
+    given = spark.conf.get(_PROVIDER, None)
+    if given is None or given.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        q = stream.writeStream.outputMode(mode).option("checkpointLocation", ckpt) \
+            .foreachBatch(sink).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        if given is not None:
+            spark.conf.set(_PROVIDER, given)
+        else:
+            spark.conf.unset(_PROVIDER)
+
+
+def _first_seen(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The first row of a key that was not seen before, by (order, row)."""
+    if not state.exists:
+        state.update((True,))
+        best = min((x for pdf in batches for x in zip(pdf["_order"], pdf["_row"])))
+        yield pd.DataFrame({"_row": [best[1]]})
+
+
+def unseen(stream: DataFrame, key: Sequence[str], order: Column | None = None) -> DataFrame:
+    """The rows of a stream whose key no earlier batch of the checkpoint had; of several rows of a
+    batch the first by ``order`` (a string), then by the row's text. Keys are kept in the state store."""
+    packed = stream.select(F.to_json(F.struct(*key), _EXACT).alias("_key"), F.to_json(F.struct("*"), _EXACT).alias("_row"),
+                           F.coalesce(order if order is not None else F.lit(""), F.lit("")).alias("_order"))
+    first = packed.groupBy("_key").applyInPandasWithState(_first_seen, "_row string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    return first.select(F.from_json("_row", stream.schema, _EXACT).alias("r")).select("r.*")
+
+
+def append_unseen(stream: DataFrame, out: str, ckpt: str, key: Sequence[str], order: Column | None = None) -> DataFrame:
+    """Append the rows of a stream to the table, each key once, over all batches, runs and
+    checkpoints. A batch reads the table only for what other checkpoints have written."""
+    spark = stream.sparkSession
+    table = StreamTable(spark, out)
+    mine = table.writer(ckpt, 0).split("-")[0]
 
-def append_new(out: str, ckpt: str, key: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A sink that appends the rows whose ``key`` no other batch has written, once each."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark, folder = batch.sparkSession, batch_folder(out, ckpt, batch_id)
-        new = batch.dropDuplicates(list(key))
-        had = written(spark, out)
-        if had is not None:
-            others = had.filter(F.col("part") != folder.rsplit("=", 1)[1]).select(*key)
-            new = new.join(others, list(key), "left_anti")
-        new.write.mode("overwrite").parquet(folder)
-    return sink
+        here = StreamTable(batch.sparkSession, out)
+        others = [f for f in here.live() if f[2] is None or not f[2].startswith(mine)]
+        if others:
+            had = here.rows_of(others).select(F.struct(*key).alias("_had")).distinct()
+            batch = batch.join(had, F.struct(*key).eqNullSafe(F.col("_had")), "left_anti")
+        here.write(batch, ckpt, batch_id)
+
+    run_stream(unseen(stream, key, order), ckpt, sink)
+    table.merge()
+    return table.read().select(*stream.columns)
 
 
 def stream_sync(source: DataFrame, existing: DataFrame, out: str, ckpt: str, name: str = "base_name",
-                key: Sequence[str] = ("message_id",)) -> DataFrame:
+                key: Sequence[str] = ("message_id",), order: Column | None = None) -> DataFrame:
     """Repeated sync that skips what exists: messages whose ``name`` is a note (J4) and
     those that an earlier batch or run has written (by ``key``). Returns the table so far."""
     ex = existing.select(F.col(existing.columns[0]).alias(name)).distinct()
-    add = append_new(out, ckpt, key)
-    run_stream(source, ckpt, lambda batch, i: add(batch.join(ex, name, "left_anti"), i))
-    return source.sparkSession.read.parquet(out).select(*source.columns)
+    return append_unseen(source.join(ex, name, "left_anti").select(*source.columns), out, ckpt, key, order)
 
 
-def stream_notify(source: DataFrame, out: str, ckpt: str, key: Sequence[str] = ("message_id",)) -> DataFrame:
-    """Notify once per message id over all runs, however late a message comes: what is
-    posted is the written table itself, so no id falls out of a horizon."""
-    run_stream(source, ckpt, append_new(out, ckpt, key))
-    return source.sparkSession.read.parquet(out).select(*source.columns)
+def stream_notify(source: DataFrame, out: str, ckpt: str, key: Sequence[str] = ("message_id",), order: Column | None = None) -> DataFrame:
+    """Notify once per message id over all runs, however late a message comes."""
+    return append_unseen(source, out, ckpt, key, order)
 
 
-def stream_calendar(source: DataFrame, existing: DataFrame, out: str, ckpt: str, now, rules: DataFrame, tag: str, src: str) -> DataFrame:
-    """Re-sync sheets as their rows arrive: the rows are kept by (sheet, row), the sheets of a
-    batch are planned again as a whole (Q12) and folded into the calendar, whose versions are
-    written batch by batch. Returns the calendar after the last batch."""
+def stream_calendar(source: DataFrame, existing: DataFrame, out: str, ckpt: str, now, rules: DataFrame, tag: str, src: str,
+                    edited: Sequence[str] = ()) -> DataFrame:
+    """Sheets re-synced as their rows arrive, in any order, edits included. Kept are the rows by
+    (sheet, row) (the last to come stands, or the one with the largest ``edited`` columns), the events
+    that rows make, by (sheet, row, column), and the calendar by (title, day). A batch plans the sheets
+    that it touches, writes the events that changed or went, and then the (title, day) keys of those:
+    the last event in sheet order, or what ``existing`` has if no row makes one any more. Returns the
+    calendar after the last batch, which is that of the batch job (Q12) on all rows."""
     spark = source.sparkSession
-    version = lambda i: f"{out}/events/{batch_folder('', ckpt, i)}"
-    rows_out = f"{out}/rows"
+    place = ["sheet", "row", "col_pos"]
+
+    def tables(s: SparkSession) -> tuple[StreamTable, StreamTable, StreamTable]:
+        return (StreamTable(s, f"{out}/rows", ["sheet", "row"], edited), StreamTable(s, f"{out}/events", place, gone="gone"),
+                StreamTable(s, f"{out}/calendar", ["title", "day"], gone="gone"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(batch_folder(rows_out, ckpt, batch_id))
-        touched = batch.select("sheet").distinct()
-        all_rows = written(spark, rows_out).filter(F.col("_batch") <= batch_id).join(touched, "sheet", "left_semi")
-        cols = [c for c in batch.columns if c not in ("sheet", "row")]
-        rows = all_rows.groupBy("sheet", "row").agg(F.max_by(F.struct(*cols), "_batch").alias("r")).select("sheet", "row", "r.*")
-        before = existing if batch_id == 0 else spark.read.parquet(version(batch_id - 1))
-        plan = materialise(plan_calendar(rows, before, now, rules, tag, src), "calendar-plan")
-        events_after(plan, before).write.mode("overwrite").parquet(version(batch_id))
+        rows, events, calendar = tables(batch.sparkSession)
+        me = rows.writer(ckpt, batch_id)
+        rows.write(batch, ckpt, batch_id)
+        touched = materialise(batch.select("sheet").distinct(), "calendar-touched")
+        now_rows = rows.read().join(touched, "sheet", "left_semi")
+        made = materialise(calendar_events(now_rows, now, rules, tag, src).filter(~F.col("stale")).drop("stale"), "calendar-events")
+        had = events.read(without=me)
+        had = made.limit(0) if had is None else had.join(touched, "sheet", "left_semi")
+        value = F.struct("title", "day", "description")
+        both = made.select(*place, value.alias("new")).join(had.select(*place, value.alias("old")), place, "full")
+        changed = materialise(both.filter(~F.col("new").eqNullSafe(F.col("old"))), "calendar-changed")
+        events.write(changed.select(*place, F.coalesce("new", "old").alias("e"), F.col("new").isNull().alias("gone")).select(*place, "e.*", "gone"),
+                     ckpt, batch_id)
+        keys = materialise(changed.select(F.explode(F.array("new", "old")).alias("k")).filter("k IS NOT NULL").select("k.title", "k.day").distinct(),
+                           "calendar-keys")
+        last = events.read().join(keys, ["title", "day"], "left_semi").groupBy("title", "day") \
+            .agg(F.max_by("description", F.struct(*place)).alias("description"))
+        calendar.write(keys.join(last, ["title", "day"], "left").withColumn("gone", F.col("description").isNull()), ckpt, batch_id)
 
     run_stream(source, ckpt, sink)
-    done = spark.read.parquet(f"{out}/events").select("part").agg(F.max("part")).first()[0]
-    return spark.read.parquet(f"{out}/events/part={done}")
+    for t in tables(spark):
+        t.merge()
+    made = tables(spark)[2].read()
+    before = existing.select("title", "day", "description")
+    return before if made is None else made.select("title", "day", "description").unionByName(before.join(made, ["title", "day"], "left_anti"))
 
 
 def stream_latest(stream: DataFrame, keys: Sequence[str], out: str, ckpt: str) -> DataFrame:
-    """A streaming aggregation kept current: each batch writes only the groups that changed
-    (update mode), and the table is the last version of each group."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(batch_folder(out, ckpt, batch_id))
-
-    run_stream(stream, ckpt, sink, mode="update")
-    cols = [c for c in stream.columns if c not in keys]
-    log = stream.sparkSession.read.parquet(out)
-    return log.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("r")).select(*keys, "r.*")
+    """T4: a streaming aggregation kept current: each batch writes only the groups that changed
+    (update mode), and the table is the last version of each group, whatever checkpoint wrote it."""
+    run_stream(stream, ckpt, lambda batch, i: StreamTable(batch.sparkSession, out, keys).write(batch, ckpt, i), mode="update")
+    table = StreamTable(stream.sparkSession, out, keys)
+    table.merge()
+    return table.read().select(*stream.columns)
