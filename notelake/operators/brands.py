@@ -1,8 +1,8 @@
 """Brand linking: J1, J2, J3, P13, X18, A12 (jobs Q2 brand guess, Q4 retag).
 
-Ranked dictionaries (``keyword, brand, rank``) are small inputs; they are evaluated once
-to an array in rank order, and "first in list order wins" is the first element of it that
-occurs in the text: a projection, without a join or a shuffle of the texts.
+Ranked dictionaries (``keyword, brand, rank``) of a few hundred terms are evaluated once to an array
+in rank order, and "first in list order wins" is the first element of it that occurs in the
+text: a projection, without a join or a shuffle of the texts. Larger ones go through an index.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notelake.operators import joins
 from notelake.operators.joins import first_term, ranked_terms
 
 
@@ -22,7 +23,10 @@ def lookup_brand(df: DataFrame, domains: DataFrame, domain_col: str = "domain")
 def first_contained(df: DataFrame, text: Column, ranked: DataFrame,
                     term_col: str = "keyword", value_col: str = "brand", out: str = "match") -> DataFrame:
     """For each row the ``value_col`` of the first dictionary entry in rank order whose
-    lowercase ``term_col`` occurs in the lowercase ``text``; null when none does."""
+    lowercase ``term_col`` occurs in the lowercase ``text``; null when none does. Dictionaries of
+    more than ``ARRAY_TERMS`` terms are joined through an index of their grams."""
+    if ranked.limit(joins.ARRAY_TERMS + 1).count() > joins.ARRAY_TERMS:
+        return joins.first_indexed(df, F.lower(text), ranked, term_col, value_col, out)
     low = df.withColumns({"_low": F.lower(text), "_terms": ranked_terms(ranked, term_col, value_col)})
     # both are used twice, so they are computed once a row and not once a term
     known = F.col("_low").isNotNull() & F.col("_terms").isNotNull()

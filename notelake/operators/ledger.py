@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notelake.functions.common import col_of, strip_ws
-from notelake.operators.sequence import ordinal_within
+from notelake.operators.sequence import ordinal_within, sorted_by
 
 # Ledger header names as written in the sheets.
 CREATOR_COL = "Client Name "
@@ -185,11 +185,12 @@ def record_fields() -> Column:
 
 def to_batches(records: DataFrame, order: Sequence[str], size: int = 10) -> DataFrame:
     """K3 + W8: consecutive batches of ``size`` records in ``order`` with the upload document
-    ``{"records": [{"fields": {...}}]}``. The batch index comes from the distributed ordinal
-    (no single-task global window); each batch is bounded by ``size``."""
-    slim = records.select(*order, F.struct(record_fields().alias("fields")).alias("_record"))
-    ordered = ordinal_within(slim, [], list(order), out="_pos")
-    b = ordered.withColumn("batch", F.floor(F.col("_pos") / size).cast("long"))
+    ``{"records": [{"fields": {...}}]}``. The batch index comes from the distributed ordinal of
+    the keys alone (``order`` is unique); each batch is bounded by ``size``."""
+    slim = records.select(F.struct(*order).alias("_key"), F.struct(record_fields().alias("fields")).alias("_record"))
+    placed = ordinal_within(records.select(*order), [], list(order), out="_pos").select(F.struct(*order).alias("_at"), "_pos")
+    b = slim.join(placed.hint("merge"), F.col("_key").eqNullSafe(F.col("_at"))) \
+        .select("_pos", "_record", F.floor(F.col("_pos") / size).cast("long").alias("batch"))
     inside = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_record"))), lambda x: x["_record"])
     return b.groupBy("batch").agg(F.count(F.lit(1)).alias("records"),
                                   F.to_json(F.struct(inside.alias("records"))).alias("payload"))
@@ -265,9 +266,9 @@ def deal_shares(rows: DataFrame, min_deals: int = 2) -> DataFrame:
                     pct(F.col("oneoff") - F.col("repeat_oneoff")).alias("actual_oneoff_pct"))
 
 
-def order_counts(df: DataFrame, count: str, *key: str) -> DataFrame:
+def order_counts(df: DataFrame, count: str, *key: str, position: str | None = None) -> DataFrame:
     """L3: counts descending, ties by key."""
-    return df.orderBy(F.desc(count), *key)
+    return sorted_by(df, [F.desc(count), *key], position)
 
 
 def creator_oneoffs(rows: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notelake.operators.sequence import sorted_by
 from notelake.functions.mail import ellipsis
 
 DUP, SELF, POST = "skipped_dup", "skipped_self", "posted"
@@ -38,9 +39,9 @@ def take_posts(routed: DataFrame, limit: int | None = None) -> DataFrame:
     return routed.filter(cut.isNull() | (F.col("message_id") <= cut))
 
 
-def order_candidates(msgs: DataFrame) -> DataFrame:
-    """L2: by message id ascending, as strings."""
-    return msgs.orderBy("message_id")
+def order_candidates(msgs: DataFrame, position: str | None = None) -> DataFrame:
+    """L2: by message id ascending, as strings; of one id by account."""
+    return sorted_by(msgs, ["message_id", "account"], position)
 
 
 def notify_stats(consumed: DataFrame, errors: Column | None = None) -> DataFrame:
@@ -51,11 +52,15 @@ def notify_stats(consumed: DataFrame, errors: Column | None = None) -> DataFrame
                         F.count_if(o == SELF).alias("skipped_self"), F.count_if((o == POST) & bad).alias("errors"))
 
 
-def notification_payload(msgs: DataFrame, subject_chars: int | None = 140, sender_chars: int | None = 80,
-                         snippet_chars: int | None = 300) -> DataFrame:
+#: The lengths that the chat service shows.
+SHOWN = dict(subject_chars=140, sender_chars=80, snippet_chars=300)
+
+
+def notification_payload(msgs: DataFrame, subject_chars: int | None = None, sender_chars: int | None = None,
+                         snippet_chars: int | None = None) -> DataFrame:
     """R6 + X9: the texts of a notification: header, sender and inbox fields, the snippet only
-    when there is one, and the context line. The chat service limits block lengths, so texts
-    end in an ellipsis beyond the given numbers of characters (None: whole texts)."""
+    when there is one, and the context line. Whole texts by default; with numbers of characters
+    (``SHOWN``, as the chat service limits block lengths) longer ones end in an ellipsis."""
     cut = lambda c, n: c if n is None else ellipsis(c, n)
     subject = cut(F.coalesce(F.when(F.col("subject") != "", F.col("subject")), F.lit("(no subject)")), subject_chars)
     sender = F.coalesce(F.when(F.col("sender") != "", F.col("sender")), F.lit("unknown"))

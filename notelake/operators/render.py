@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from notelake.functions.notes import attachment_links
 
-RECIPIENT_CHARS = 200     # the recipient property is cut there (Q25)
+#: Fixed value: where the recipient property can be cut (Q25).
+RECIPIENT_CHARS = 200
 
 
 def _quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), F.coalesce(c, F.lit("")), F.lit('"'))
 
 
-def render_note(style: str, recipient_chars: int | None = RECIPIENT_CHARS) -> Column:
+def render_note(style: str, recipient_chars: int | None = None) -> Column:
     """The note text of a message row. Columns: ``account, from_hdr, to_hdr, subject, ts,
     display_labels, sender_name, sender_address, body, attachment_names`` (array),
     ``saved_names`` (array of ``struct<original, saved>``) and, in the ``api`` style, ``brand``.
@@ -22,7 +23,7 @@ def render_note(style: str, recipient_chars: int | None = RECIPIENT_CHARS) -> Co
     ``mbox`` writes type, account, from, from_email, to, subject, date, labels, status; ``api``
     writes sender, sender_email, recipient, subject, email_date, account, labels,
     related_brand, related_campaign, related_contact, tags, created, status. Double quotes in
-    the subject property become single ones."""
+    the subject property become single ones. ``recipient_chars`` cuts the recipient property."""
     subject = F.coalesce(F.when(F.col("subject") != "", F.col("subject")), F.lit("(no subject)"))
     to = F.coalesce("to_hdr", F.lit(""))
     cut = to if recipient_chars is None else F.substring(to, 1, recipient_chars)

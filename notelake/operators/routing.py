@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from notelake.functions.common import col_of
@@ -102,11 +102,23 @@ def drop_existing(df: DataFrame, existing: DataFrame, key: str = "base_name") ->
 
 def cap_per_account(df: DataFrame, n: int, ts: str = "ts", account: str = "account") -> DataFrame:
     """The ``n`` latest messages of each account (the listing limit of a sync, only on
-    request). A distributed position, so an account of any size is spread."""
+    request). Up to the session's limit on group limits (1,000) each task keeps the ``n`` latest of
+    an account before the exchange, so what is shuffled does not grow with an account; beyond it
+    a distributed position, so an account of any size is spread."""
     order = [F.col(ts).desc_nulls_last(), F.col("message_id").asc()]
+    if n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        place = F.row_number().over(Window.partitionBy(account).orderBy(*order))
+        return df.withColumn("_pos", place).filter(F.col("_pos") <= n).drop("_pos")
     return ordinal_within(df, [account], order, out="_pos").filter(F.col("_pos") < n).drop("_pos")
 
 
+def observed(df: DataFrame, counters: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with counters that the write of it fills in the same pass (A1, A3, A7, A22, A23): write the
+    frame, then read the values with ``.get``. A condition counts the rows that meet it."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in counters.items()]), seen
+
+
 def import_stats(classified: DataFrame, attachments: str | None = None) -> DataFrame:
     """A1: messages per outcome, and with ``attachments`` (a column with the number extracted
     from a message) the attachments extracted from the created ones."""

@@ -62,6 +62,12 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
         .withColumn(out, F.row_number().over(inside) - 1 + F.coalesce("_off", F.lit(0))).select(*df.columns, out)
 
 
+def sorted_by(df: DataFrame, order: Sequence[Column | str], position: str | None = None) -> DataFrame:
+    """``df`` sorted, or with ``position`` (a column name) unsorted with each row's 0-based place in
+    that order, which must be unique then."""
+    return df.orderBy(*_cols(order)) if position is None else ordinal_within(df, [], order, out=position)
+
+
 def last_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: Column, out: str,
                 include_self: bool = True) -> DataFrame:
     """Add ``out``: the last non-null ``value`` at or (``include_self=False``) before each row

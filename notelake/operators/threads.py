@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notelake.operators.sequence import sorted_by
 from notelake.functions.common import col_of, strip_ws
 from notelake.functions.mail import days_since, deep_link, ms_to_ntz, speaker, split_sender
 
@@ -91,9 +92,9 @@ def first_per_thread(threads: DataFrame, ranks: DataFrame) -> DataFrame:
     return best.select("thread_id", *[F.col("r")[c].alias(c) for c in cols])
 
 
-def order_pitches(threads: DataFrame) -> DataFrame:
+def order_pitches(threads: DataFrame, position: str | None = None) -> DataFrame:
     """L1: NEEDS REPLY first, then most stale first (stable by thread id)."""
-    return threads.orderBy((F.col("status") != NEEDS_REPLY), F.desc("days_since"), "thread_id")
+    return sorted_by(threads, [F.col("status") != NEEDS_REPLY, F.desc("days_since"), "thread_id"], position)
 
 
 def status_counts(threads: DataFrame) -> DataFrame:

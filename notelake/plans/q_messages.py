@@ -14,7 +14,7 @@ from notelake.plans.q_sync import safe_name_sql
 from notelake.plans.q_text import html_to_text_sql
 from notelake.plans.registry import register
 from notelake.session import materialise, read_table, shared_path
-from notelake.sources.messages import read_messages
+from notelake.sources.messages import read_messages, rejected_messages
 from notelake.sources.vault import existing_names
 
 # Fixed values of the binding.
@@ -86,6 +86,12 @@ def q_message_scan(spark, sf_dir):
     return scanned(spark, sf_dir).select("message_id", "thread_id", F.array_join("labels", ",").alias("labels"), "internal_ms", "snippet")
 
 
+@register("message_rejects", "SELECT '{\"id\": \"broken' || conv_id AS line, 'not_json' AS reason FROM conversations WHERE turn = 0")
+def q_message_rejects(spark, sf_dir):
+    """The lines that the scan leaves out, with the reason."""
+    return rejected_messages(spark, write_documents(spark, sf_dir)).select("line", "reason")
+
+
 @register("message_parts", DOCS + """,
 n AS (
   SELECT message_id, '0' AS path, CASE WHEN seq % 4 = 2 THEN 'text/plain' ELSE 'multipart/mixed' END AS mime, seq % 4 <> 2 AS has_parts FROM msg

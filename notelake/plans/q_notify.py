@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from notelake.operators import notify as NT
 from notelake.plans import bindings as B
-from notelake.plans.registry import register
+from notelake.plans.registry import ORACLE, register
+from notelake.session import shared_path
 
 _OWN = ", ".join(f"'{o}'" for o in B.NOTIFY_OWN)
 
@@ -87,7 +88,7 @@ FROM routed WHERE outcome = 'posted'""")
 def q_notify_payloads(spark, sf_dir):
     """R6 + X9: the texts of every message posted in this run."""
     c = routed(spark, sf_dir)
-    return NT.notification_payload(c.filter(F.col("outcome") == NT.POST))
+    return NT.notification_payload(c.filter(F.col("outcome") == NT.POST), **NT.SHOWN)
 
 
 @register("notify_outbox", "WITH " + CANDS_SQL + """
@@ -104,7 +105,25 @@ FROM routed WHERE outcome = 'posted'""")
 def q_notify_outbox(spark, sf_dir):
     """K4: one nested JSON document per posted message, whole texts."""
     c = routed(spark, sf_dir).filter(F.col("outcome") == NT.POST)
-    return NT.payload_json(NT.notification_payload(c, None, None, None))
+    return NT.payload_json(NT.notification_payload(c))
+
+
+_OUTBOX = ORACLE["notify_outbox"]
+
+
+@register("notify_outbox_lines", f"SELECT payload FROM ({_OUTBOX})")
+def q_notify_outbox_lines(spark, sf_dir):
+    """K4: the outbox written as lines and read back."""
+    path = shared_path(spark, "outbox")
+    NT.write_outbox(NT.notification_payload(routed(spark, sf_dir).filter(F.col("outcome") == NT.POST)), path)
+    return spark.read.text(path).select(F.col("value").alias("payload"))
+
+
+@register("notify_positions", "WITH " + CANDS_SQL + """
+SELECT message_id, account, row_number() OVER (ORDER BY message_id, account) - 1 AS position FROM routed""")
+def q_notify_positions(spark, sf_dir):
+    """L2: the place of each candidate in the run."""
+    return NT.order_candidates(routed(spark, sf_dir).select("message_id", "account"), "position")
 
 
 @register("notify_state", "WITH " + CANDS_SQL + f"""

@@ -52,6 +52,14 @@ def q_pitch_status(spark, sf_dir):
     return T.order_pitches(best)
 
 
+@register("pitch_positions", _PITCH_SQL + f"""
+SELECT thread_id, row_number() OVER (ORDER BY status <> 'NEEDS REPLY', days_since DESC, thread_id) - 1 AS position FROM ({_DEDUP})""")
+def q_pitch_positions(spark, sf_dir):
+    """L1: the place of each thread in the report."""
+    best = T.first_per_thread(pitch_threads(spark, sf_dir), B.account_ranks(spark))
+    return T.order_pitches(best, "position").select("thread_id", "position")
+
+
 @register("pitch_status_counts", _PITCH_SQL + f"""
 SELECT status, count(*) AS threads FROM ({_DEDUP}) GROUP BY status""")
 def q_pitch_status_counts(spark, sf_dir):

@@ -21,3 +21,14 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce("labelIds", F.array().cast("array<string>")).alias("labels"),
         F.col("internalDate").try_cast("bigint").alias("internal_ms"), F.coalesce("snippet", F.lit("")).alias("snippet"),
         headers.alias("headers"), "payload")
+
+
+def rejected_messages(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``read_messages`` leaves out: ``file, line, reason`` (``not_json``, also for
+    a line that is no object, or ``no_id``). With the scanned ones they are all lines that are not blank,
+    so they can feed the ``errors`` outcome."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    read = lines.select("*", F.from_json("line", MESSAGE_SCHEMA + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("m"))
+    broken = F.col("m").isNull() | F.col("m._bad").isNotNull() | F.ltrim("line").startswith("[")
+    return read.filter(broken | F.col("m.id").isNull()).filter(F.trim("line") != "").select(
+        "file", "line", F.when(broken, "not_json").otherwise("no_id").alias("reason"))

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notelake.operators.sequence import sorted_by
+
 
 @dataclass(frozen=True)
 class PathRules:
@@ -54,10 +56,10 @@ def exclude_prefixes(files: DataFrame, prefixes: Sequence[str] = ("attachments",
     return files.filter(keep)
 
 
-def order_notes(notes: DataFrame, n: int | None = None) -> DataFrame:
+def order_notes(notes: DataFrame, n: int | None = None, position: str | None = None) -> DataFrame:
     """Notes of priority folders first, then by path; the first ``n`` on request."""
-    out = notes.orderBy(F.desc("priority"), "path")
-    return out if n is None else out.limit(n)
+    out = sorted_by(notes, [F.desc("priority"), "path"], position)
+    return out if n is None else out.limit(n) if position is None else out.filter(F.col(position) < n)
 
 
 def existing_names(notes: DataFrame) -> DataFrame:
