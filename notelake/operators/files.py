@@ -7,6 +7,8 @@ moves on a disk.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,49 @@ def file_inventory(spark: SparkSession, root: str, with_hash: bool = True) -> Da
     return df.select(*cols)
 
 
+def full_path(root: str) -> Column:
+    """The path of an inventoried file."""
+    return F.concat(F.lit(root.rstrip("/") + "/"), F.concat_ws("/", "folder", "rel_path"))
+
+
+def with_needed_hashes(spark: SparkSession, root: str, files: DataFrame, pairs: DataFrame, at_once: int = 10_000) -> DataFrame:
+    """X39 read late: ``files`` (an inventory without hashes) with ``sha256`` of those files that a merge
+    has to compare: another file claims the same path of the same target and has the same
+    length. All others are never opened and have no hash, which compares as unequal, as their
+    lengths differ. A file longer than the reader takes (``spark.sql.sources.binaryFile.maxLength``)
+    has no hash either, so it is kept beside its namesake. Paths go through the driver in batches,
+    as the listing of the files does."""
+    here = files.withColumn("_file", full_path(root))
+    goes = here.join(pairs.select(F.col("old").alias("folder"), F.col("new").alias("target")), "folder").select("_file", "target", "rel_path", "length")
+    stays = here.join(pairs.select(F.col("new").alias("folder")).distinct(), "folder").select("_file", F.col("folder").alias("target"), "rel_path", "length")
+    claims = materialise(goes.unionByName(stays), "merge-lengths")
+    place = ["target", "rel_path", "length"]
+    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1)))
+    shared = claims.groupBy(*place).agg(F.count_distinct("_file").alias("n")).filter(f"n > 1 AND length <= {limit}")
+    wanted = claims.join(shared, place, "left_semi").select("_file").distinct()
+    paths, parts = [], []
+
+    def read() -> None:
+        escaped = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
+        some = spark.read.format("binaryFile").load(escaped).select(F.col("path").alias("_at"), content_hash("content").alias("sha256"))
+        parts.append(materialise(some, "merge-hashes"))
+        paths.clear()
+
+    for r in materialise(wanted, "merge-wanted").toLocalIterator():
+        paths.append(r["_file"])
+        if len(paths) >= at_once:
+            read()
+    if paths:
+        read()
+    if not parts:
+        return files.withColumn("sha256", F.lit(None).cast("string"))
+    hashes = parts[0]
+    for more in parts[1:]:
+        hashes = hashes.unionAll(more)
+    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731   the reader writes file: with one slash
+    return here.join(hashes, bare(F.col("_file")) == bare(F.col("_at")), "left").select(*files.columns, "sha256")
+
+
 def valid_pairs(pairs: DataFrame) -> DataFrame:
     """A pair spec ``old:new`` must split into exactly two parts."""
     p = F.split(F.col("spec"), ":")

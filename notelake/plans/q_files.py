@@ -109,3 +109,28 @@ def q_file_inventory(spark, sf_dir):
     found = FL.file_inventory(spark, root).filter(F.col("ext") == ".txt")
     return found.groupBy("folder", F.substring_index("rel_path", "/", 1).alias("sub"), "ext").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("length"), F.max("sha256").alias("sha256"))
+
+
+@register("merge_late_hashes", """
+WITH c AS (SELECT DISTINCT doc_id // 50 AS chunk FROM documents)
+SELECT chunk, CASE WHEN chunk % 3 = 0 THEN 'duplicate_removed' ELSE 'moved' END AS outcome,
+       chunk % 3 = 1 AS renamed, CASE WHEN chunk % 3 <> 2 THEN 2 ELSE 0 END AS hashed FROM c""")
+def q_merge_late_hashes(spark, sf_dir):
+    """Documents as files of an old and a new folder, by chunks: equal in both, of one
+    length but not equal, or in the old one only. Only files with a namesake of their length are read."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 50).cast("long").alias("chunk"),
+                                                      F.coalesce("text", F.lit("")).alias("value"))
+    k = F.col("chunk") % 3
+    head = F.when(F.col("doc_id") % 50 == 0, F.when(F.col("folder") == "old", "left ").when(k == 1, "right").otherwise("left "))
+    both = d.withColumn("folder", F.explode(F.when(k < 2, F.array(F.lit("old"), F.lit("new"))).otherwise(F.array(F.lit("old"))))) \
+        .withColumn("value", F.concat(F.coalesce(head, F.lit("")), "value"))
+    root = shared_path(spark, "late")
+    both.repartition("chunk").sortWithinPartitions("folder", "chunk", "doc_id").select("folder", "chunk", "value") \
+        .write.partitionBy("folder", "chunk").text(root)
+    files = FL.file_inventory(spark, root, with_hash=False).filter(F.col("ext") == ".txt")
+    pairs = spark.createDataFrame([("folder=old", "folder=new")], "old string, new string")
+    hashed = materialise(FL.with_needed_hashes(spark, root, files, pairs), "late-inventory")
+    chunk = F.regexp_extract("rel_path", "chunk=([0-9]+)", 1).cast("long").alias("chunk")
+    seen = hashed.groupBy(chunk).agg(F.count("sha256").cast("int").alias("hashed"))
+    plan = FL.plan_merge(hashed, pairs).select(chunk, "outcome", F.coalesce(F.col("dst") != F.concat_ws("/", "target", "rel_path"), F.lit(False)).alias("renamed"))
+    return plan.join(seen, "chunk").select("chunk", "outcome", "renamed", "hashed")

@@ -9,8 +9,9 @@ from notelake.functions import notes as NF
 from notelake.operators import enrich as EN
 from notelake.plans import bindings as B
 from notelake.plans.oracle import email_domain_sql
+from notelake.operators.snapshots import NoteTable
 from notelake.plans.registry import register
-from notelake.session import materialise
+from notelake.session import materialise, read_table, shared_path
 
 NL = "chr(10)"
 ST = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
@@ -249,3 +250,23 @@ def q_enrich_second_pass(spark, sf_dir):
     again = EN.parse_notes(snap)
     return EN.enrich_decisions(again, dm).select("path", "decision").join(
         again.select("path", F.md5("content").alias("content_md5")), "path")
+
+
+@register("note_versions", """
+SELECT coalesce(source, '') || '/' || doc_id || '.md' AS path, '2024-0' || (doc_id % 6 + 1) AS email_month,
+       md5(CASE WHEN doc_id % 6 = 2 AND doc_id % 5 = 0 THEN 'changed ' || doc_id ELSE coalesce(text, '') END) AS content_md5
+FROM documents WHERE doc_id % 6 >= 1""")
+def q_note_versions(spark, sf_dir):
+    """Notes added by month in two runs, some of one month written again, a run
+    repeated, and the notes from a month on read back."""
+    d = read_table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    rows = d.select("doc_id", F.concat(F.coalesce("source", F.lit("")), F.lit("/"), k.cast("string"), F.lit(".md")).alias("path"),
+                    F.coalesce("text", F.lit("")).alias("content"), F.concat(F.lit("2024-0"), (k % 6 + 1).cast("string")).alias("email_month"))
+    t = NoteTable(spark, shared_path(spark, "note-versions"))
+    t.append(rows.filter(k % 2 == 0).drop("doc_id"), "even")
+    t.append(rows.filter(k % 2 == 1).drop("doc_id"), "odd")
+    changed = rows.filter((k % 6 == 2) & (k % 5 == 0)).withColumn("content", F.concat(F.lit("changed "), k.cast("string"))).drop("doc_id")
+    t.update(changed, "changed")
+    t.append(rows.drop("doc_id"), "odd")
+    return t.read(since="2024-02").select("path", "email_month", F.md5("content").alias("content_md5"))

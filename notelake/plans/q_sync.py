@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from notelake.functions import mail as M
+from notelake.operators import history as H
 from notelake.operators import naming as N
 from notelake.operators import routing as R
 from notelake.plans import bindings as B
 from notelake.plans.registry import register
+from notelake.session import shared_path
 
 SKIP_SQL = ", ".join(f"'{s}'" for s in B.SKIP_LABELS)
 
@@ -117,6 +119,17 @@ def q_sync_by_id(spark, sf_dir):
     return R.classify_api(m, B.SKIP_LABELS, known, F.col("failed"), key="message_id").select("msg_id", "outcome")
 
 
+@register("history_probe", "WITH " + ORDER_MSGS_SQL + """
+SELECT msg_id, status = 'F' AND msg_id % 2 = 0 AS known FROM om""")
+def q_history_probe(spark, sf_dir):
+    """J4, J5 against a bucketed history of message ids, which is read without an exchange."""
+    m = _order_msgs(spark, sf_dir)
+    path = shared_path(spark, "history")
+    table = "history_" + path.rsplit("-", 1)[1]
+    H.save_history(m.filter((F.col("status") == "F") & (F.col("msg_id") % 2 == 0)).select("message_id"), table, ["message_id"], 8, path)
+    return H.known(m, table, ["message_id"]).select("msg_id", "known")
+
+
 @register("new_messages", "WITH " + ORDER_MSGS_SQL + """
 SELECT msg_id FROM om WHERE NOT coalesce(base_name IN (SELECT base_name FROM existing WHERE base_name IS NOT NULL), false)""")
 def q_new_messages(spark, sf_dir):
