@@ -25,10 +25,12 @@ null ids come first; repeated rows are neighbours of each other; other columns a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notelake.llm.common import full_text, quantile_bounds, range_bucket
+from notelake.llm.common import LEAST, full_text, range_of, split_points
 from notelake.session import materialise
 
 PARAGRAPH = r"\n+|(?<=[.!?])[ \t]+"
@@ -96,25 +98,28 @@ def likeness(equal: Column, a: Column, b: Column) -> Column:
         F.greatest(F.lit(0.0), F.least(F.lit(1.0), _dot(a, b) / norm)))
 
 
-def with_next(rows: DataFrame, value: str, rows_per_bucket: int = 1024, max_buckets: int = 65_536) -> DataFrame:
-    """``rows(id, tie, value, ...)`` with ``next``: the value of the row that follows in the
-    order (id, tie); after the last comes the first.
+def with_next(rows: DataFrame, value: str, made: Callable[[DataFrame], DataFrame] = lambda df: df, rows_per_bucket: int = 1024,
+              max_buckets: int = 65_536) -> DataFrame:
+    """``rows(id, tie, ...)`` with the columns that ``made`` adds, ``value`` among them, and ``next``: the
+    value of the row that follows in the order (id, tie); after the last comes the first.
 
-    Rows are put in ranges of ids that hold about as many rows each (split points from the
-    ids alone, a list of at most ``max_buckets``); ``lead`` runs inside a range, and the first
-    row of the range that follows stands at its end as a guest. Only that is one row per range."""
+    Rows are put in ranges of (id, tie) that hold about as many rows each (split points from the
+    ids alone, some ``max_buckets`` at most); ``lead`` runs inside a range, and the first row of the
+    range that follows stands at its end as a guest. Only that is one row per range; guests are
+    chosen before ``made`` works on them."""
     n = rows.select("id").count()
-    bounds = quantile_bounds(rows, "id", min(max_buckets, -(-n // rows_per_bucket)))
-    put = rows.withColumn("bucket", range_bucket(F.col("id"), bounds))
+    points = split_points(rows, "id", min(max_buckets, -(-n // rows_per_bucket)))
+    key = F.coalesce("id", F.lit(LEAST))
+    put = rows.withColumn("bucket", range_of(F.col("id"), F.col("tie"), points))
     order = Window.orderBy("bucket")   # one row per range
-    firsts = materialise(put.groupBy("bucket").agg(F.min(F.struct("id", "tie")).alias("first")), "range-firsts")
+    firsts = materialise(put.groupBy("bucket").agg(F.min(F.struct(key.alias("id"), "tie")).alias("first")), "range-firsts")
     last = F.max("bucket").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     guests = firsts.select(F.col("first.id").alias("f_id"), F.col("first.tie").alias("f_tie"),
                            F.coalesce(F.lag("bucket").over(order), last).alias("f_bucket"))
-    guest_rows = rows.join(F.broadcast(guests), F.col("id").eqNullSafe(F.col("f_id")) & (F.col("tie") == F.col("f_tie"))) \
-        .withColumn("bucket", F.col("f_bucket")).select(*rows.columns, "bucket", F.lit(1).alias("guest"))
-    w = Window.partitionBy("bucket").orderBy("guest", "id", "tie")
-    return put.select(*rows.columns, "bucket", F.lit(0).alias("guest")).unionAll(guest_rows) \
+    guest_rows = made(rows.join(F.broadcast(guests), (key == F.col("f_id")) & (F.col("tie") == F.col("f_tie")))
+                      .withColumn("bucket", F.col("f_bucket")).select(*rows.columns, "bucket", F.lit(1).alias("guest")))
+    w = Window.partitionBy("bucket").orderBy("guest", key, "tie")
+    return made(put.select(*rows.columns, "bucket", F.lit(0).alias("guest"))).unionByName(guest_rows) \
         .withColumn("next", F.lead(value).over(w)).filter("guest = 0").drop("guest", "bucket")
 
 
@@ -123,11 +128,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first characters of the next document): ``doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next``."""
     texts = docs.select(F.col(id_col).alias("id"), full_text(text_col).alias("text"))
-    rows = with_fingerprint(texts, F.col("text"), "fp") \
-        .select("id", F.xxhash64("text").alias("tie"), F.struct("text", "fp").alias("doc"))
+    rows = texts.select("id", F.xxhash64("text").alias("tie"), "text")
+    made = lambda df: with_fingerprint(df, F.col("text"), "fp").withColumn("doc", F.struct("text", "fp")).drop("text", "fp")
     n = F.length("doc.text")
     half = F.shiftright(n, 1)
-    paired = with_next(rows, "doc").select(
+    paired = with_next(rows, "doc", made).select(
         "id", n.alias("n"), "doc.fp", F.col("next.fp").alias("next_fp"),
         F.concat(F.substring("doc.text", F.lit(1), n - half), F.substring("next.text", F.lit(1), half)).alias("edited"))
     both = with_fingerprint(paired.withColumn("sha", F.sha2("edited", 256)), F.col("edited"), "edited_fp")

@@ -1,8 +1,9 @@
 """Token-ID output: one zstandard frame per document, with a shared dictionary.
 
-Documents are put in ranges of ids that hold about as many rows each (split points from the
-quantiles of the ids alone, so the shard of a row is a pure function of its id) and each range
-is one shard, written in ascending id order. A shard is a list of blocks; a block holds the frames of successive documents end
+Documents are put in ranges of (id, hash of the text) that hold about as many rows each (split
+points from the quantiles of the ids, so the shard of a row is a pure function of the row; an id
+that many rows share, or null, has several shards) and each range is one shard, written in
+ascending id order. A shard is a list of blocks; a block holds the frames of successive documents end
 to end (``payload``), their ids, token counts and byte offsets (the index), and the sha256 of
 the dictionary they need. One document is read by its block's id range, its offset, and one
 frame. Ids are little-endian unsigned 16-bit numbers if the vocabulary allows it, else
@@ -16,7 +17,7 @@ Both are Parquet tables written by Spark, on whatever file system holds the path
 that fails or runs twice leaves nothing behind, and no file is local to a machine.
 
 The dictionary is trained on the id arrays of a bounded sample: about ``sample_docs``
-documents, chosen by the hash of their id, of those the ones of at most ``sample_chars``
+documents, chosen by the hash of their id and text, of those the ones of at most ``sample_chars``
 characters. It only affects the size of the files. The start of a document is found from the block index: sums
 per shard (one row per shard), then per block, then within the block.
 
@@ -41,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from notelake.llm.common import full_text, quantile_bounds, range_bucket
+from notelake.llm.common import LEAST, full_text, range_of, split_points
 
 BLOCK_BYTES = 4 << 20
 BLOCKS = ("shard int, block int, first_id long, last_id long, n_tokens long, doc_ids array<long>, "
@@ -101,7 +102,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample_docs:
     """One row: ``sha256, id_bytes, vocab_size, data``. ``docs(id, text)``."""
     n = docs.select("id").count()
     every = max(1, n // sample_docs)
-    sample = docs.filter(F.pmod(F.xxhash64("id"), F.lit(every)) == 0) \
+    sample = docs.filter(F.pmod(F.xxhash64("id", "text"), F.lit(every)) == 0) \
         .filter(F.length("text").between(1, sample_chars)).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,9 +164,9 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
             yield flush()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shard = range_bucket(F.col("id"), quantile_bounds(slim, "id", n))
-    slim.select(shard.cast("int").alias("shard"), "id", "text").repartitionById(n, F.col("shard")) \
-        .sortWithinPartitions("shard", "id", F.xxhash64("text")) \
+    points, tie = split_points(slim, "id", n), F.xxhash64("text")
+    slim.select(range_of(F.col("id"), tie, points).cast("int").alias("shard"), "id", "text").repartitionById(len(points) + 1, F.col("shard")) \
+        .sortWithinPartitions("shard", F.coalesce("id", F.lit(LEAST)), tie) \
         .mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

@@ -184,3 +184,22 @@ def test_next_document_over_many_ranges(spark):
     lone = spark.createDataFrame([(5, 0, "x")], "id long, tie long, v string")
     assert [r.next for r in fingerprint.with_next(lone, "v").collect()] == ["x"]
     assert fingerprint.edited_fingerprints(empty(spark)).collect() == []
+
+
+def test_ranges_cut_ids_that_many_rows_share(spark):
+    """A third of the rows without an id, a third with one id, the rest apart: no range holds much more than its share."""
+    from collections import Counter
+
+    from notelake.llm.common import range_of, split_points
+    data = [(None, f"a{i}") for i in range(1000)] + [(7, f"b{i}") for i in range(1000)] + [(100 + i, f"c{i}") for i in range(1000)]
+    df = spark.createDataFrame(data, "id long, text string").select("id", F.xxhash64("text").alias("tie"), "text")
+    points = split_points(df, "id", 30)
+    got = df.withColumn("b", range_of(F.col("id"), F.col("tie"), points)).collect()
+    assert max(Counter(r.b for r in got).values()) <= 300 and len(points) < 45
+    order = sorted(got, key=lambda r: (r.id is not None, r.id or 0, r.tie))
+    assert [r.b for r in order] == sorted(r.b for r in got)
+    following = {(r.id, r.tie): r.next for r in fingerprint.with_next(df, "text", rows_per_bucket=100).collect()}
+    assert all(following[a.id, a.tie] == b.text for a, b in zip(order, order[1:] + order[:1]))
+    for same in ([(None, "x")] * 50, [(i % 2, "x") for i in range(50)]):
+        lone = spark.createDataFrame(same, "id long, text string").select("id", F.xxhash64("text").alias("tie"), "text")
+        assert [r.next for r in fingerprint.with_next(lone, "text", rows_per_bucket=5).collect()] == ["x"] * 50
