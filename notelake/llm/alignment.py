@@ -34,6 +34,8 @@ import hashlib
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -42,16 +44,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notelake.llm.bpe import byte_symbols
+from notelake.llm.bpe import PATTERN, byte_symbols
 from notelake.session import materialise
 
 # The characters with the Unicode property White_Space.
 SPACES = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 _SPACE = re.compile(f"[{SPACES}]")
+_WHITE = frozenset(c for c in map(chr, range(0x3001)) if _SPACE.match(c))
+#: One white space, then characters of whose classes (letter, number, other) all versions of Unicode say the same.
+_LATIN = re.compile("[ \\n][!-~\u00a1-\u017f]+").fullmatch
 _MARK = "▁"
 _NEWLINE_PIECES = 2      # of a prefixed newline: the added space and the newline's byte
-MEMORY = 96 << 20        # bytes of a memory of this worker
+TOGETHER = 16            # new chunks that B tokenises in one call
+MEMORY = 128 << 20       # bytes of a memory of this worker
 FOUND = "id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs binary"
 
 
@@ -61,6 +67,7 @@ class Tokenisers:
     def __init__(self, byte_bpe: str, pieces: str, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(byte_bpe)
         self.a.encode_special_tokens = True
@@ -76,127 +83,162 @@ class Tokenisers:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(names)]
         if len(self.a_bytes) * len(self.b_bytes) > 1 << 32:
             raise ValueError("pairs of ids must fit 32 bits")
-        self.a_size, self.b_size = ([len(x) for x in t] for t in (self.a_bytes, self.b_bytes))
-        self.a_len, self.b_len = np.array(self.a_size), np.array(self.b_size)
+        ranks = {x: i for i, x in enumerate(self.a_bytes) if x and i not in self.a.get_added_tokens_decoder()}
+        self.a_latin = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a_len, self.b_len = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.a_space, self.b_space = (np.array([x[:1] == b" " for x in t]) for t in (self.a_bytes, self.b_bytes))
         white = [p.replace(_MARK, " ") for i, p in enumerate(names) if not self.b.is_byte(i) and not self.b.is_control(i)]
         # white space that some piece holds after another character (here the carriage return)
         joined = set().union(*[_SPACE.findall(p.lstrip(" ")) for p in white if len(p) > 1])
         self.whole = re.compile(f"[{_MARK}{''.join(map(re.escape, sorted(joined)))}]")
         self.parted = "\n" not in joined and len(self.b.encode("\n")) == _NEWLINE_PIECES
+        self.a_code = self.b_code = "H" if max(len(self.a_bytes), len(self.b_bytes)) < 1 << 16 else "I"
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise ValueError("ids are held on little-endian machines only")
         self.memory, self.held = memory, 0
         self.chunks: dict[str, tuple[bytes, bytes]] = {}
 
     def _learn(self, new: list[str]) -> None:
-        a = self.a.encode_batch_fast(new, add_special_tokens=False)
-        b = self.b.encode(["\n" + c for c in new], num_threads=1)
-        for c, x, y in zip(new, a, b):
-            ids = np.array(x.ids, dtype="<u2" if len(self.a_bytes) <= 1 << 16 else "<u4").tobytes()
-            other = np.array(y[_NEWLINE_PIECES:], dtype="<u2" if len(self.b_bytes) <= 1 << 16 else "<u4").tobytes()
-            self.chunks[c] = ids, other
-            self.held += 330 + 4 * len(c) + len(ids) + len(other)
+        """Ids of new chunks. Those that hold more than white space are tokenised end to end: they all
+        begin with white space, where A cuts, and for B a newline is put before each. Chunks of ASCII and
+        Latin letters go through the faster of two libraries for A; the merges are the same for both, as
+        every token is what its own bytes are merged to and ids are in order of merges (tested)."""
+        bare = [c for c in new if c[-1] in _WHITE]
+        latin = [c for c in new if _LATIN(c)]
+        other = [c for c in new if c[-1] not in _WHITE and not _LATIN(c)]
+        full = latin + other
+        size = np.array([len(c.encode("utf-8", "surrogatepass")) for c in full], dtype=np.int64)
+        ids = self.a_latin.encode_ordinary("".join(latin)) + (self.a.encode("".join(other), add_special_tokens=False).ids if other else [])
+        a = np.array(ids, dtype=self.a_code)
+        lines = ["\n" + "\n".join(full[i:i + TOGETHER]) for i in range(0, len(full), TOGETHER)]
+        b = np.array([i for ids in self.b.encode(lines, num_threads=1) for i in ids[1:]], dtype=self.b_code)
+        cut_a = np.searchsorted(np.cumsum(self.a_len[a]), np.cumsum(size)) + 1
+        cut_b = np.searchsorted(np.cumsum(self.b_len[b]), np.cumsum(size + 1)) + 1
+        if len(full) and (cut_a[-1] != len(a) or cut_b[-1] != len(b)):
+            raise ValueError("the tokens of chunks do not end with them")
+        wa, wb = a.itemsize, b.itemsize
+        at_a, at_b, raw_a, raw_b = [0, *(cut_a * wa).tolist()], [0, *(cut_b * wb).tolist()], a.tobytes(), b.tobytes()
+        for c, i, j, k, m in zip(full, at_a, at_a[1:], at_b, at_b[1:]):
+            self.chunks[c] = raw_a[i:j], raw_b[k + wb:m]
+            self.held += 330 + 4 * len(c) + j - i + m - k
+        for c in bare:
+            ids, other = self.a.encode(c, add_special_tokens=False).ids, self.b.encode("\n" + c)[_NEWLINE_PIECES:]
+            self.chunks[c] = np.array(ids, dtype=self.a_code).tobytes(), np.array(other, dtype=self.b_code).tobytes()
+            self.held += 330 + 8 * len(c)
 
     def tokenise(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of A (of a space and the text) and of B of each text, in order."""
         if self.held > self.memory:      # before it is known what these texts need
             self.chunks, self.held = {}, 0
         rows = [_CHUNK.findall(" " + t) if self.parted and not self.whole.search(t) else None for t in texts]
-        new = list(set().union(*[r for r in rows if r]).difference(self.chunks))
+        found = [list(map(self.chunks.get, r)) if r else None for r in rows]
+        new = dict.fromkeys([c for r, got in zip(rows, found) if got and None in got for c, f in zip(r, got) if f is None])
         if new:
-            self._learn(new)
-        ta, tb = ("<u2" if len(x) <= 1 << 16 else "<u4" for x in (self.a_bytes, self.b_bytes))
-        for text, row in zip(texts, rows):
+            self._learn(list(new))
+        for text, row, got in zip(texts, rows, found):
             if row is None:
-                yield np.array(self.a.encode(" " + text, add_special_tokens=False).ids, dtype=ta), np.array(self.b.encode(text), dtype=tb)
+                a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+                yield np.array(a, dtype=self.a_code), np.array(b, dtype=self.b_code)
             else:
-                a, b = zip(*map(self.chunks.__getitem__, row))
-                yield np.frombuffer(b"".join(a), dtype=ta), np.frombuffer(b"".join(b), dtype=tb)
+                known = [self.chunks[c] if f is None else f for c, f in zip(row, got)]
+                yield np.frombuffer(b"".join([x for x, _ in known]), dtype=self.a_code), \
+                    np.frombuffer(b"".join([y for _, y in known]), dtype=self.b_code)
 
 
-class Aligner(dict):
-    """Windows: (ids of A, ids of B), both as bytes, to the number of their alignment; -1 where the
-    bytes of the two differ."""
+class Aligner:
+    """Alignments of windows, remembered by the ids of A and of B: the groups as text, each with a
+    semicolon behind it, and the codes of the links as bytes; False where the bytes of the two differ."""
 
     def __init__(self, tokenisers: Tokenisers, memory: int = MEMORY):
-        self.tok, self.memory = tokenisers, memory
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.held = 0
-        self.groups: list[str] = []          # of each alignment: its groups as text
-        self.raw: list[bytes] = []           # the bytes of its tokens
-        self.codes: list[np.ndarray] = []    # its links
-
-    def __missing__(self, key: tuple[bytes, bytes]) -> int:
+        self.tok, self.memory, self.held = tokenisers, memory, 0
+        self.known: dict[bytes, tuple[str, bytes] | bool] = {}
+        n = len(tokenisers.a_bytes), len(tokenisers.b_bytes)
+        self.signs = [f"{i}{after}" for size, last in zip(n, "|;") for i in range(size) for after in (",", last)]
+        self.apart = np.iinfo(tokenisers.a_code).max      # no id; parts the ids of the two in a key
+
+    def _learn(self, keys: list[bytes], a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> None:
+        """Align new windows end to end: their common ends are shared ends, so no group crosses them.
+        ``na`` and ``nb`` are the numbers of tokens of each."""
         tok = self.tok
-        a, b = (np.frombuffer(k, dtype="<u2" if len(t) <= 1 << 16 else "<u4").tolist() for k, t in zip(key, (tok.a_bytes, tok.b_bytes)))
-        raw = b"".join([tok.a_bytes[i] for i in a])
-        if raw != b"".join([tok.b_bytes[i] for i in b]):
-            found = -1
-        else:
-            groups, codes = align(a, b, tok.a_size, tok.b_size)
-            found = len(self.groups)
-            self.groups.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-            self.raw.append(raw)
-            self.codes.append(np.array(codes, dtype=np.int64))
-            self.held += 3 * len(raw) + 300 + 8 * len(codes)
-        self[key] = found
-        self.held += 250 + len(key[0]) + len(key[1])
-        return found
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> list[int]:
+        last_a, last_b = np.cumsum(na) - 1, np.cumsum(nb) - 1
+        end_a, end_b = np.cumsum(tok.a_len[a]), np.cumsum(tok.b_len[b])
+        same = b"".join([tok.a_bytes[i] for i in a.tolist()]) == b"".join([tok.b_bytes[i] for i in b.tolist()])
+        if not same or not np.array_equal(end_a[last_a], end_b[last_b]):
+            if len(keys) == 1:
+                self.known[keys[0]] = False
+                return
+            h = len(keys) // 2           # some window's bytes differ: find it
+            i, j = last_a[h - 1] + 1, last_b[h - 1] + 1
+            self._learn(keys[:h], a[:i], b[:j], na[:h], nb[:h])
+            self._learn(keys[h:], a[i:], b[j:], na[h:], nb[h:])
+            return
+        at = np.searchsorted(end_b, end_a)
+        is_end = end_b[np.minimum(at, len(end_b) - 1)] == end_a
+        ends = end_a[is_end]
+        codes = a[is_end].astype(np.int64) * len(tok.b_bytes) + b[at[is_end]]
+        b_end = np.zeros(len(b), dtype=bool)
+        b_end[at[is_end]] = True
+        order = np.argsort(np.concatenate([np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)]), kind="stable")
+        sign = np.concatenate([2 * a.astype(np.int64) + is_end, 2 * (b.astype(np.int64) + len(tok.a_bytes)) + b_end])[order].tolist()
+        texts = [self.signs[i] for i in sign]
+        links = codes.astype("<u4").tobytes()
+        cuts = [0, *(last_a + last_b + 2).tolist()], [0, *(4 * np.cumsum(is_end)[last_a]).tolist()]
+        for key, i, j, c, d in zip(keys, cuts[0], cuts[0][1:], cuts[1], cuts[1][1:]):
+            self.known[key] = "".join(texts[i:j]), links[c:d]
+        self.held += 340 * len(keys) + 10 * len(texts) + len(links)
+
+    def windows(self, a: np.ndarray, b: np.ndarray) -> list[tuple[str, bytes] | bool]:
         """The alignments of the windows of a document, in order."""
         tok = self.tok
-        ia, ib = (np.flatnonzero(space[ids]) for space, ids in ((tok.a_space, a), (tok.b_space, b)))
-        begin_a, begin_b = (np.cumsum(size[ids]) - size[ids] for size, ids in ((tok.a_len, a), (tok.b_len, b)))
-        _, x, y = np.intersect1d(begin_a[ia], begin_b[ib], assume_unique=True, return_indices=True)
-        wa, wb = a.itemsize, b.itemsize
-        at, bt = (np.concatenate([[0], cut[cut > 0], [len(ids)]]) for cut, ids in ((ia[x], a), (ib[y], b)))
-        at, bt, ra, rb = (at * wa).tolist(), (bt * wb).tolist(), a.tobytes(), b.tobytes()
-        return [self[ra[i:j], rb[k:m]] for i, j, k, m in zip(at, at[1:], bt, bt[1:])]
+        end_a, end_b = np.cumsum(tok.a_len[a]), np.cumsum(tok.b_len[b])
+        ia, ib = np.flatnonzero(tok.a_space[a[1:]]), np.flatnonzero(tok.b_space[b[1:]])     # the tokens before marked ones
+        ea, eb = end_a[ia], end_b[ib]
+        at = np.minimum(np.searchsorted(eb, ea), max(len(eb) - 1, 0))
+        shared = eb[at] == ea if len(eb) else np.zeros(len(ea), dtype=bool)
+        to_a, to_b = np.append(ia[shared] + 1, len(a)), np.append(ib[at[shared]] + 1, len(b))     # ends of the windows
+        na, nb = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        number = np.arange(len(to_a))
+        wa, wb = np.repeat(number, na), np.repeat(number, nb)
+        line = np.full(len(a) + len(b) + len(number), self.apart, dtype=tok.a_code)             # per window: ids of A, a mark, ids of B
+        line[np.arange(len(a)) + wa + (to_b - nb)[wa]] = a
+        line[np.arange(len(b)) + wb + 1 + to_a[wb]] = b
+        raw, cut = line.tobytes(), ((to_a + to_b + number + 1) * line.itemsize).tolist()
+        keys = [raw[i:j] for i, j in zip([0, *cut], cut)]
+        found = list(map(self.known.get, keys))
+        if None in found:
+            new = {k: w for w, (k, f) in enumerate(zip(keys, found)) if f is None}
+            some = np.zeros(len(number), dtype=bool)
+            some[list(new.values())] = True
+            self._learn([keys[w] for w in np.flatnonzero(some).tolist()], a[some[wa]], b[some[wb]], na[some], nb[some])
+            found = [self.known[k] if f is None else f for k, f in zip(keys, found)]
+        return found
 
     def document(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple | None:
         """(groups, digest of the groups, linked pairs, their numbers); None if the bytes differ from the text."""
-        if self.held > self.memory:
-            self.reset()
+        if self.held > self.memory:      # before it is known what this document needs
+            self.known, self.held = {}, 0
+        if b"".join(map(self.tok.a_bytes.__getitem__, a.tolist())) != (" " + text).encode("utf-8", "surrogatepass"):
+            return None
         ws = self.windows(a, b)
-        if -1 in ws or b"".join([self.raw[w] for w in ws]) != (" " + text).encode("utf-8", "surrogatepass"):
+        if False in ws:
             return None
-        digest = hashlib.sha256(";".join([self.groups[w] for w in ws]).encode()).hexdigest()
-        each, times = np.unique(np.array(ws), return_counts=True)
-        codes = [self.codes[w] for w in each.tolist()]
-        pair, at = np.unique(np.concatenate(codes), return_inverse=True)
-        number = np.bincount(at, weights=np.repeat(times, [len(c) for c in codes])).astype(np.int64)
-        return int(number.sum()), digest, pair, number
-
-
-def align(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> tuple[list, list[int]]:
-    """The groups of ids between shared ends, and the code of the two tokens at each shared end."""
-    groups, codes = [], []
-    i = j = at = bt = begin_a = begin_b = 0
-    while i < len(a) or j < len(b):
-        if at <= bt:
-            at += a_size[a[i]]
-            i += 1
-        else:
-            bt += b_size[b[j]]
-            j += 1
-        if at == bt:
-            groups.append((a[begin_a:i], b[begin_b:j]))
-            codes.append(a[i - 1] * len(b_size) + b[j - 1])
-            begin_a, begin_b = i, j
-    return groups, codes
+        digest = hashlib.sha256("".join([w[0] for w in ws])[:-1].encode()).hexdigest()
+        links = np.sort(np.frombuffer(b"".join([w[1] for w in ws]), dtype="<u4"))
+        first = np.flatnonzero(np.concatenate([[True], links[1:] != links[:-1]]))
+        return len(links), digest, links[first].astype(np.int64), np.diff(first, append=len(links))
+
+
+_PACK, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def pack_pairs(pair: np.ndarray, number: np.ndarray) -> bytes:
     """Ascending pair codes and their numbers."""
     gaps = np.diff(pair, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(gaps).tobytes() + number.astype("<u4").tobytes())
+    return _PACK.compress(np.ascontiguousarray(gaps).tobytes() + number.astype("<u4").tobytes())
 
 
 def unpack_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    raw = np.frombuffer(_UNPACK.decompress(data), dtype=np.uint8)
     gaps, number = raw[:len(raw) // 2].reshape(4, -1), raw[len(raw) // 2:]
     return np.cumsum(np.ascontiguousarray(gaps.T).view("<u4").ravel(), dtype=np.int64), \
         np.frombuffer(number.tobytes(), dtype="<u4").astype(np.int64)
