@@ -11,13 +11,11 @@ same input, however it is split and in whatever order it comes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from notelake.operators.calendar import calendar_events
 from notelake.session import materialise
@@ -52,21 +50,23 @@ def run_stream(stream: DataFrame, ckpt: str, sink: Callable[[DataFrame, int], No
             spark.conf.unset(_PROVIDER)
 
 
-def _first_seen(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The first row of a key that was not seen before, by (order, row)."""
-    if not state.exists:
-        state.update((True,))
-        best = min((x for pdf in batches for x in zip(pdf["_order"], pdf["_row"])))
-        yield pd.DataFrame({"_row": [best[1]]})
+def marked_new(stream: DataFrame, key: Sequence[str], order: Column | None = None) -> DataFrame:
+    """``_key, _order, _row, _new`` of each row of a stream, and a row without ``_row`` (``_new``) for
+    each key that no earlier batch of the checkpoint had. Keys are kept in the state store; a key
+    costs one native probe, however many rows a batch has."""
+    rows = stream.select(F.to_json(F.struct(*key), _EXACT).alias("_key"),
+                         F.coalesce(order if order is not None else F.lit(""), F.lit("")).alias("_order"),
+                         F.struct("*").alias("_row"), F.lit(False).alias("_new"))
+    new = rows.select("_key").dropDuplicates(["_key"])
+    return rows.unionByName(new.withColumn("_new", F.lit(True)), allowMissingColumns=True)
 
 
-def unseen(stream: DataFrame, key: Sequence[str], order: Column | None = None) -> DataFrame:
-    """The rows of a stream whose key no earlier batch of the checkpoint had; of several rows of a
-    batch the first by ``order`` (a string), then by the row's text. Keys are kept in the state store."""
-    packed = stream.select(F.to_json(F.struct(*key), _EXACT).alias("_key"), F.to_json(F.struct("*"), _EXACT).alias("_row"),
-                           F.coalesce(order if order is not None else F.lit(""), F.lit("")).alias("_order"))
-    first = packed.groupBy("_key").applyInPandasWithState(_first_seen, "_row string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
-    return first.select(F.from_json("_row", stream.schema, _EXACT).alias("r")).select("r.*")
+def first_of_new(marked: DataFrame) -> DataFrame:
+    """Of a batch of ``marked_new``: for each new key its first row by ``order`` (a string), then by
+    the row's text."""
+    rank = F.when(~F.col("_new"), F.struct("_order", F.to_json("_row", _EXACT)))
+    first = marked.groupBy("_key").agg(F.max("_new").alias("_new"), F.min_by("_row", rank).alias("_row"))
+    return first.filter("_new").select("_row.*")
 
 
 def append_unseen(stream: DataFrame, out: str, ckpt: str, key: Sequence[str], order: Column | None = None) -> DataFrame:
@@ -78,13 +78,14 @@ def append_unseen(stream: DataFrame, out: str, ckpt: str, key: Sequence[str], or
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         here = StreamTable(batch.sparkSession, out)
+        batch = first_of_new(batch)
         others = [f for f in here.live() if f[2] is None or not f[2].startswith(mine)]
         if others:
             had = here.rows_of(others).select(F.struct(*key).alias("_had")).distinct()
             batch = batch.join(had, F.struct(*key).eqNullSafe(F.col("_had")), "left_anti")
         here.write(batch, ckpt, batch_id)
 
-    run_stream(unseen(stream, key, order), ckpt, sink)
+    run_stream(marked_new(stream, key, order), ckpt, sink)
     table.merge()
     return table.read().select(*stream.columns)
 

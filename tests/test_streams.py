@@ -5,6 +5,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 
 from notelake.operators import calendar as C
 from notelake.streaming import jobs as S
@@ -63,6 +64,22 @@ def test_a_batch_reads_no_history_of_its_checkpoint(spark, tmp_path, monkeypatch
     assert read == [] and rows_of(StreamTable(spark, out), StreamTable(spark, out).live()).count() == 60
 
 
+def test_keys_are_told_apart_without_python(spark, tmp_path, monkeypatch):
+    """One Python call a key took a millisecond; the state store is probed natively."""
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", lambda *a, **k: pytest.fail("Python for each key"))
+    df = spark.createDataFrame([(i % 50 if i % 9 else None, ["x", None][i % 2], 0.5 * (99 - i)) for i in range(100)], "id long, v string, d double")
+    path, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    got = arrivals(spark, path, df, lambda s: S.stream_notify(s, out, f"file://{tmp_path}/ckpt", ["id"], F.lit("same")), 3)
+    firsts = {}
+    for k in range(3):                                 # the batches of the arrivals: a key stays with the first that has it
+        rows, rnd = df.collect(), random.Random(3)
+        rnd.shuffle(rows)
+        text = lambda r: f'{{"id":{"null" if r.id is None else r.id},"v":{"null" if r.v is None else chr(34) + r.v + chr(34)},"d":{r.d}}}'
+        for r in sorted(rows[k::3], key=text):         # of rows of one order the first by text
+            firsts.setdefault(r.id, tuple(r))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(firsts.values(), key=repr)
+
+
 def test_latest_over_a_second_checkpoint(spark, tmp_path):
     schema, path, out = "k int, v int", f"file://{tmp_path}/in", f"file://{tmp_path}/out"
     def run(ckpt):
