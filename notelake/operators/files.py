@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notelake.operators.naming import assign_unique_names, split_ext
-from notelake.session import materialise
+from notelake.session import materialise, read_folder
 
 
 def content_hash(content) -> Column:
@@ -26,7 +26,7 @@ def file_inventory(spark: SparkSession, root: str, with_hash: bool = True) -> Da
     """Every file under ``root`` with its top folder, path relative to that
     folder, extension, size and (optionally) content hash. Without the hash the
     ``content`` column is pruned and never read."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    df = read_folder(spark, root, recursiveFileLookup=True)
     top = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
     rel = F.substring_index(F.col("path"), top, -1) if top == "/" else F.substring(
         F.col("path"), F.instr(F.col("path"), F.lit(top)) + F.lit(len(top)), F.lit(1 << 30))
@@ -63,7 +63,7 @@ def with_needed_hashes(spark: SparkSession, root: str, files: DataFrame, pairs:
 
     def read() -> None:
         escaped = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
-        some = spark.read.format("binaryFile").load(escaped).select(F.col("path").alias("_at"), content_hash("content").alias("sha256"))
+        some = read_folder(spark, escaped).select(F.col("path").alias("_at"), content_hash("content").alias("sha256"))
         parts.append(materialise(some, "merge-hashes"))
         paths.clear()
 

@@ -75,3 +75,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def read_folder(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
+    """Files as ``binaryFile`` rows. Folders are listed by as many tasks as the cluster has room for:
+    Spark's default is up to 10,000 tasks for every folder of many folders, each with a result of
+    some KB of its own for the driver, whatever it found."""
+    given = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(min(int(given), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        return spark.read.format("binaryFile").options(**options).load(paths)
+    finally:
+        spark.conf.set(_LISTING, given)

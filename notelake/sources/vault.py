@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notelake.operators.sequence import sorted_by
+from notelake.session import read_folder
 
 
 @dataclass(frozen=True)
@@ -24,7 +25,7 @@ class PathRules:
 
 def read_files(spark: SparkSession, root: str, glob: str = "*.md") -> DataFrame:
     """``path`` (relative to ``root``), ``content BINARY``, ``length`` of the files below it."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    df = read_folder(spark, root, recursiveFileLookup=True, pathGlobFilter=glob)
     top = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
     rel = F.substring("path", F.instr("path", F.lit(top)) + F.lit(len(top)), F.length("path"))
     return df.select(rel.alias("path"), "content", "length")
