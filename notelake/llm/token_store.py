@@ -56,13 +56,18 @@ _WORKER: dict = {}
 _SIMPLE = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F]+)([.,;:!?]?)")
 
 
+#: Bytes that an entry takes in the table itself, about.
+_ENTRY = 64
+
+
 class WordEncoder(dict):
     """The tokenizers library with a memory of the chunks between spaces and line ends: maps a
     chunk to its serialised ids. The vocabulary drops white space and never joins across it, so
     a text's ids are those of its chunks; chunks are encoded by the library when they are first
-    met and remembered up to ``max_chunks`` (about 200 MB; what is forgotten is encoded again)."""
+    met and remembered up to ``max_bytes`` of Python objects, however long they are (what is
+    forgotten is encoded again)."""
 
-    def __init__(self, path: str, max_chunks: int = 1_200_000):
+    def __init__(self, path: str, max_bytes: int = 192 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
@@ -72,18 +77,23 @@ class WordEncoder(dict):
         self.code = "H" if self.width == 2 else "I"
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise ValueError("ids are serialised on little-endian machines only")
-        self.max_chunks = max_chunks
+        self.max_bytes, self.size = max_bytes, 0
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.max_chunks:
-            self.clear()
         simple = _SIMPLE.fullmatch(chunk)
         low = simple[1].lower() if simple else ""
         if simple and len(low) == len(simple[1]) and (simple[2] or low != chunk):
             out = self[low] + (self[simple[2]] if simple[2] else b"")
         else:
             out = array(self.code, self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
+        held = sys.getsizeof(chunk) + sys.getsizeof(out) + _ENTRY
+        if held > self.max_bytes >> 8:      # a long run without a space
+            return out
+        if self.size + held > self.max_bytes:
+            self.clear()
+            self.size = 0
         self[chunk] = out
+        self.size += held
         return out
 
     def encode(self, text: str, end_id: int) -> bytes:
@@ -205,7 +215,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            for row in rb.to_pylist():
+            for k in range(rb.num_rows):    # a block at a time
+                row = rb.slice(k, 1).to_pylist()[0]
                 ids, starts, counts, crc, at = [], [], [], [], row["start"]
                 for doc, n, tokens in frames_of(row, sha, trained, width):
                     ids.append(doc)

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -154,6 +155,18 @@ def test_word_encoder_lower_case_before_marks():
         assert np.frombuffer(enc.encode(w, 2), "<u2").tolist() == [*e.ids, 2], w
 
 
+def test_word_encoder_is_bounded_by_bytes():
+    """Long chunks count by their length: a bound by number let them take any memory."""
+    enc, lib = token_store.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    enc.max_bytes = 1 << 18
+    texts = [" ".join(f"{'xy' * k}{i}-z" for k in (1, 40, 300)) for i in range(500)] + ["run" * 2000]
+    most = 0
+    for t in texts:
+        assert np.frombuffer(enc.encode(t, 2), "<u2").tolist() == [*lib.encode(t, add_special_tokens=False).ids, 2]
+        most = max(most, sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in enc.items()))
+    assert 1 << 15 < most <= 1 << 18
+
+
 def test_token_store_empty(spark, tmp_path):
     path = store(spark, tmp_path, empty(spark), "e")
     assert token_store.read_index(spark, path).collect() == []
