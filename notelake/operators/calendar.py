@@ -96,14 +96,19 @@ def cell_to_date(text: Column, number: Column | None = None) -> Column:
     return d
 
 
-def unpivot_dates(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """The seven date columns to ``(label, date)`` rows in the fixed column order
-    (``col_pos``); absent columns and empty cells are dropped."""
+def date_cells(rows: DataFrame) -> Column:
+    """The date columns of a row as an array of ``(label, col_pos, day)`` in the fixed column
+    order; absent columns and empty cells are dropped."""
     present = [(c, l, i) for i, (c, l) in enumerate(DATE_LABELS) if c in rows.columns]
     st = F.array(*[F.struct(F.lit(l).alias("label"), F.lit(i).alias("col_pos"), F.col(c).alias("day"))
                    for c, l, i in present])
-    return rows.select(*ids, F.explode(st).alias("d")).select(*ids, "d.label", "d.col_pos", "d.day") \
-        .filter(F.col("day").isNotNull())
+    return F.filter(st, lambda d: d["day"].isNotNull())
+
+
+def unpivot_dates(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """The seven date columns to ``(label, date)`` rows in the fixed column order
+    (``col_pos``); absent columns and empty cells are dropped."""
+    return rows.select(*ids, F.explode(date_cells(rows)).alias("d")).select(*ids, "d.label", "d.col_pos", "d.day")
 
 
 def plan_calendar(sheet_rows: DataFrame, existing: DataFrame, now: Column, rules: DataFrame, tag: str,
@@ -118,14 +123,36 @@ def plan_calendar(sheet_rows: DataFrame, existing: DataFrame, now: Column, rules
 def calendar_events(sheet_rows: DataFrame, now: Column, rules: DataFrame, tag: str, source: str, stale_days: int = 7) -> DataFrame:
     """``sheet, row, col_pos, day, title, description, stale``: the events that the rows make (P11, W3, P16,
     X32, R1, X33, P12)."""
-    rows = schedule_sheets(sheet_rows)
-    rows = fill_down(rows, "client", "sheet", "row").filter(F.col("client").isNotNull())
-    rows = sheet_brand(rows, rules)
+    rows = named_rows(sheet_rows, rules)
     dates = unpivot_dates(rows, ["sheet", "row", "client", "brand", "type", "deliverables", "rate"])
-    stale = F.col("day").cast("timestamp_ntz") < F.timestamp_add("DAY", F.lit(-stale_days), now)
-    title = F.concat_ws(" ", F.lit(tag), F.concat_ws(" - ", "client", F.concat_ws(" ", "brand", "label")))
-    return dates.select("sheet", "row", "col_pos", "day", title.alias("title"), event_text(source).alias("description"),
-                        stale.alias("stale"))
+    return dates.select("sheet", "row", "col_pos", "day", event_title(tag, F.col("label")).alias("title"),
+                        event_text(source).alias("description"), is_stale(F.col("day"), now, stale_days).alias("stale"))
+
+
+def row_events(sheet_rows: DataFrame, now: Column, rules: DataFrame, tag: str, source: str, stale_days: int = 7) -> DataFrame:
+    """``sheet, row, description, dates``: the events of ``calendar_events`` that are not stale, one row for
+    each sheet row that has any; ``dates`` is an array of ``(col_pos, day, title)``. The description,
+    which the events of a row share, is made and kept once."""
+    rows = named_rows(sheet_rows, rules)
+    live = F.filter(date_cells(rows), lambda d: F.coalesce(~is_stale(d["day"], now, stale_days), F.lit(False)))
+    dates = F.transform(live, lambda d: F.struct(d["col_pos"].alias("col_pos"), d["day"].alias("day"),
+                                                 event_title(tag, d["label"]).alias("title")))
+    return rows.select("sheet", "row", event_text(source).alias("description"), dates.alias("dates")).filter(F.size("dates") > 0)
+
+
+def named_rows(sheet_rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows of schedule sheets with a client (P11, W3, P16) and the brand of their sheet."""
+    rows = schedule_sheets(sheet_rows)
+    return sheet_brand(fill_down(rows, "client", "sheet", "row").filter(F.col("client").isNotNull()), rules)
+
+
+def event_title(tag: str, label: Column) -> Column:
+    return F.concat_ws(" ", F.lit(tag), F.concat_ws(" - ", "client", F.concat_ws(" ", "brand", label)))
+
+
+def is_stale(day: Column, now: Column, stale_days: int) -> Column:
+    """Midnight of the day is more than ``stale_days`` before ``now``."""
+    return day.cast("timestamp_ntz") < F.timestamp_add("DAY", F.lit(-stale_days), now)
 
 
 def event_text(source: str) -> Column:

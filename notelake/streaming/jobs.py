@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notelake.operators.calendar import calendar_events
+from notelake.operators.calendar import row_events
 from notelake.session import materialise
 from notelake.streaming.tables import StreamTable
 
@@ -107,15 +107,16 @@ def stream_calendar(source: DataFrame, existing: DataFrame, out: str, ckpt: str,
                     edited: Sequence[str] = ()) -> DataFrame:
     """Sheets re-synced as their rows arrive, in any order, edits included. Kept are the rows by
     (sheet, row) (the last to come stands, or the one with the largest ``edited`` columns), the events
-    that rows make, by (sheet, row, column), and the calendar by (title, day). A batch plans the sheets
-    that it touches, writes the events that changed or went, and then the (title, day) keys of those:
+    that rows make, by (sheet, row) with an array over the columns, and the calendar by (title, day). A
+    batch plans the sheets that it touches, writes the events of the rows whose events changed or went,
+    and then the (title, day) keys of the events that did:
     the last event in sheet order, or what ``existing`` has if no row makes one any more. Returns the
     calendar after the last batch, which is that of the batch job (Q12) on all rows."""
     spark = source.sparkSession
-    place = ["sheet", "row", "col_pos"]
+    place = ["sheet", "row"]
 
     def tables(s: SparkSession) -> tuple[StreamTable, StreamTable, StreamTable]:
-        return (StreamTable(s, f"{out}/rows", ["sheet", "row"], edited), StreamTable(s, f"{out}/events", place, gone="gone"),
+        return (StreamTable(s, f"{out}/rows", place, edited), StreamTable(s, f"{out}/events", place, gone="gone"),
                 StreamTable(s, f"{out}/calendar", ["title", "day"], gone="gone"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -123,19 +124,23 @@ def stream_calendar(source: DataFrame, existing: DataFrame, out: str, ckpt: str,
         me = rows.writer(ckpt, batch_id)
         rows.write(batch, ckpt, batch_id)
         touched = materialise(batch.select("sheet").distinct(), "calendar-touched")
-        now_rows = rows.read().join(touched, "sheet", "left_semi")
-        made = materialise(calendar_events(now_rows, now, rules, tag, src).filter(~F.col("stale")).drop("stale"), "calendar-events")
+        # written, as the ranges of the planner would evaluate it twice
+        now_rows = materialise(rows.read().join(touched, "sheet", "left_semi"), "calendar-rows")
+        made = row_events(now_rows, now, rules, tag, src)
         had = events.read(without=me)
         had = made.limit(0) if had is None else had.join(touched, "sheet", "left_semi")
-        value = F.struct("title", "day", "description")
+        value = F.struct("description", "dates")
         both = made.select(*place, value.alias("new")).join(had.select(*place, value.alias("old")), place, "full")
         changed = materialise(both.filter(~F.col("new").eqNullSafe(F.col("old"))), "calendar-changed")
         events.write(changed.select(*place, F.coalesce("new", "old").alias("e"), F.col("new").isNull().alias("gone")).select(*place, "e.*", "gone"),
                      ckpt, batch_id)
-        keys = materialise(changed.select(F.explode(F.array("new", "old")).alias("k")).filter("k IS NOT NULL").select("k.title", "k.day").distinct(),
-                           "calendar-keys")
-        last = events.read().join(keys, ["title", "day"], "left_semi").groupBy("title", "day") \
-            .agg(F.max_by("description", F.struct(*place)).alias("description"))
+        new, old = F.col("new.dates"), F.col("old.dates")
+        moved = F.when(F.col("new.description") == F.col("old.description"), F.concat(F.array_except(new, old), F.array_except(old, new))) \
+            .when(F.col("new").isNull(), old).when(F.col("old").isNull(), new).otherwise(F.concat(new, old))
+        keys = materialise(changed.select(F.explode(moved).alias("k")).select("k.title", "k.day").distinct(), "calendar-keys")
+        last = events.read().select(*place, "description", F.explode("dates").alias("e")) \
+            .select(*place, "e.*", "description").join(keys, ["title", "day"], "left_semi").groupBy("title", "day") \
+            .agg(F.max_by("description", F.struct(*place, "col_pos")).alias("description"))
         calendar.write(keys.join(last, ["title", "day"], "left").withColumn("gone", F.col("description").isNull()), ckpt, batch_id)
 
     run_stream(source, ckpt, sink)

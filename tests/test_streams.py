@@ -119,3 +119,32 @@ def test_calendar_equals_batch_for_any_arrival(spark, tmp_path, seed):
     assert sorted(map(tuple, again.collect())) == want
     touched = [f for f in StreamTable(spark, f"{args[1]}/calendar").live() if f[2] and f[2].startswith(StreamTable.writer(f"file://{tmp_path}/b", 0)[:8])]
     assert all(StreamTable(spark, f"{args[1]}/calendar").rows_of([f]).count() == 0 for f in touched)     # a replay changes no key
+
+
+def test_calendar_keeps_a_row_of_events_once(spark, tmp_path):
+    """The events of a row share its description: one row a sheet row is written, not one an event."""
+    schema = "sheet string, row int, client string, type string, deliverables string, rate double, reel date, story_1 date, record date"
+    days = [date(2024, 1, 20), None, date(2023, 12, 1), date(2024, 1, 9)]
+    rows = [("Beta y", i, ["", "Creator 1", " "][i % 3], "REEL", "d", float(i % 2), days[i % 4], date(2024, 2, 1 + i), days[(i + 1) % 4]) for i in range(20)]
+    df = spark.createDataFrame([*rows, ("One", 1, "c", None, None, None, None, None, days[2])], schema)
+    rules = spark.createDataFrame([("beta", "Beta", 1)], "keyword string, brand string, rank int")
+    args = (F.lit("2024-01-15 10:00:00").cast("timestamp_ntz"), rules, "[T]", "src")
+    cols = ["sheet", "row", "col_pos", "day", "title", "description"]
+    live = lambda d: sorted(map(tuple, C.calendar_events(d, *args).filter("NOT stale").select(cols).collect()))
+    packed = C.row_events(df, *args)
+    flat = packed.select("sheet", "row", "description", F.explode("dates").alias("e")).select("sheet", "row", "e.*", "description").select(cols)
+    assert sorted(map(tuple, flat.collect())) == live(df) and packed.count() == 19 < flat.count()
+    existing = spark.createDataFrame([], "title string, day date, description string")
+    path, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    run = lambda s: S.stream_calendar(s, existing, out, f"file://{tmp_path}/a", *args)
+    df.coalesce(1).write.parquet(path)
+    run(S.table_stream(spark, path, df.schema))
+    events = StreamTable(spark, f"{out}/events")
+    assert events.rows_of(events.live()).count() == 19
+    later = df.filter("row = 7").withColumn("story_1", F.lit("2024-03-03").cast("date"))        # one date of one row
+    later.coalesce(1).write.mode("append").parquet(path)
+    got = run(S.table_stream(spark, path, df.schema))
+    last = StreamTable(spark, f"{out}/calendar").live()[-1:]
+    assert sorted(r.day for r in events.rows_of([(*f[:3], f"../calendar/{f[3]}") for f in last]).collect()) == [date(2024, 2, 8), date(2024, 3, 3)]
+    want = df.filter("row <> 7 OR sheet = 'One'").unionAll(later)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, C.events_after(C.plan_calendar(want, existing, *args), existing).collect()))
