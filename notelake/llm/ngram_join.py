@@ -154,8 +154,8 @@ def _runs(width: int, bits: int):
 
 
 def _merge_runs(per_part: int, range_bits: int):
-    """Of one hash range: a bitmap of the shingles that occur more than once, and the most
-    frequent ones with their counts."""
+    """Of one hash range: a bitmap of the shingles that occur more than once (compressed, as it
+    passes the driver), and the most frequent ones with their counts."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         h = [unpack_sorted(x) for x in pdf["hashes"]]
         c = [np.frombuffer(x, dtype="<u2").astype(np.int64) if x else np.ones(len(y), dtype=np.int64) for x, y in zip(pdf["counts"], h)]
@@ -168,7 +168,8 @@ def _merge_runs(per_part: int, range_bits: int):
             top = top[np.argpartition(-n[top], per_part - 1)[:per_part]]
         part = int(pdf["part"].iloc[0])
         full = (np.uint64(part) << np.uint64(KEY - range_bits)) | u[top].astype(np.uint64)
-        return pd.DataFrame({"part": [part], "repeated": [np.packbits(bits, bitorder="little").tobytes()],
+        packed = zstandard.ZstdCompressor(level=1).compress(np.packbits(bits, bitorder="little").tobytes())
+        return pd.DataFrame({"part": [part], "repeated": [packed],
                              "hash": [full.astype("<u8").tobytes()], "n": [n[top].astype("<i8").tobytes()]})
     return run
 
@@ -179,26 +180,34 @@ def shingle_order(docs: DataFrame, width: int, heavy: int = HEAVY) -> Order:
     bits = range_bits(docs.select("hash").count())
     runs = docs.select(F.col("text").cast("binary")).mapInArrow(_runs(width, bits), "part int, hashes binary, counts binary")
     merged = runs.groupBy("part").applyInPandas(_merge_runs(max(1, heavy >> bits), bits), "part int, repeated binary, hash binary, n binary")
-    sieve = np.zeros((1 << bits, 1 << (SIEVE_BITS - 3 - bits)), dtype=np.uint8)
+    sieve: dict[int, bytes] = {}
     h, n = [np.zeros(0, "<u8")], [np.zeros(0, "<i8")]
     for r in materialise(merged, "jaccard-order").toLocalIterator():   # a partition at a time
-        sieve[r["part"]] = np.frombuffer(r["repeated"], np.uint8)
+        sieve[r["part"]] = bytes(r["repeated"])
         h.append(np.frombuffer(r["hash"], "<u8"))
         n.append(np.frombuffer(r["n"], "<i8"))
     h, n = np.concatenate(h), np.concatenate(n)
     by_hash = np.argsort(h)
-    return Order(sieve.ravel(), bits, h[by_hash], n[by_hash])
+    return Order(sieve, bits, h[by_hash], n[by_hash])
 
 
 class Order:
     """The order of the shingles of a set: those that the corpus has once, by hash; then others;
     then the most frequent ones by count and hash. A bitmap of 2**27 bits (16 MB) tells the
     first from the others; where it fills up, it tells fewer, and the order is worse but still
-    one order for all sets. The frequent ones are at most ``HEAVY`` hashes with counts (8 MB)."""
+    one order for all sets. The frequent ones are at most ``HEAVY`` hashes with counts (8 MB).
+    On the driver and on the way to the tasks the bitmap is compressed by hash range."""
 
-    def __init__(self, sieve: np.ndarray, bits: int, heavy: np.ndarray, counts: np.ndarray):
+    def __init__(self, sieve: dict[int, bytes], bits: int, heavy: np.ndarray, counts: np.ndarray):
         self.sieve, self.bits, self.heavy, self.counts = sieve, bits, heavy, counts
 
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        sieve = np.zeros((1 << self.bits, 1 << (SIEVE_BITS - 3 - self.bits)), dtype=np.uint8)
+        for part, packed in self.sieve.items():
+            sieve[part] = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+        self.sieve = sieve.ravel()
+
     def prefix(self, s: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Of the first ``size`` shingles of a sorted set those that the corpus has once, and the
         others, each in order of hash. Only the others can be shared with another set."""
@@ -287,10 +296,9 @@ def _sets_of(wanted: DataFrame, members: DataFrame, docs: DataFrame, width: int)
     size) are made to sets and shuffled; the join decides."""
     some = materialise(members.join(wanted.distinct().hint("merge"), "cls").select("cls", "idk", "hash"), "jaccard-wanted")
     words = some.select(_document_key().alias("k")).groupBy(F.shiftright("k", 6).alias("w")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(k & 63 AS INT))")).alias("bits")).collect()   # 2**18 rows at most
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(k & 63 AS INT))")).alias("bits")).toArrow()   # 2**18 rows at most, 16 bytes each
     table = np.zeros(1 << (KEY_BITS - 6), dtype=np.uint64)
-    for r in words:
-        table[r["w"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
+    table[words["w"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,6 +321,8 @@ def components(edges: DataFrame) -> DataFrame:
     an edge are not listed. Min-label propagation with pointer jumping."""
     both = materialise(edges.filter("a <> b").select("a", "b").unionAll(
         edges.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("node"), F.col("b").alias("label"))
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "cc-labels")
     while True:
         # the smallest label around a node is offered to the node and to its present label
@@ -330,17 +340,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _classes(sig: DataFrame) -> DataFrame:
-    """One row per distinct set: ``size, digest, cls, least`` and the key of its first document.
+    """One row per distinct set: ``size, digest, prefix_digest, cls, least`` and the key of its first document.
 
     ``least`` is the smallest id of the documents of the set and also the number of the
     class; where ids repeat with different texts, all but one of those sets get a negative
     number from a hash."""
-    per_set = materialise(sig.filter("size > 0").groupBy("size", "digest").agg(F.min(F.struct("idk", "hash")).alias("first"))
-                          .select("size", "digest", "first.idk", "first.hash"), "jaccard-sets")
+    # equal sets have equal prefixes
+    per_set = materialise(sig.filter("size > 0").groupBy("size", "digest").agg(
+        F.min(F.struct("idk", "hash")).alias("first"), F.min("prefix_digest").alias("prefix_digest"))
+        .select("size", "digest", "prefix_digest", "first.idk", "first.hash"), "jaccard-sets")
     owner = per_set.groupBy("idk").agg(F.min("digest").alias("owner"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     own = F.col("owner").isNull() | (F.col("owner") == F.col("digest"))
     return materialise(per_set.join(owner, "idk", "left").select(
-        "size", "digest", "idk", "hash", F.col("idk").alias("least"),
+        "size", "digest", "prefix_digest", "idk", "hash", F.col("idk").alias("least"),
         F.when(own, F.col("idk")).otherwise(F.xxhash64("idk", "digest").bitwiseOR(F.lit(-(1 << 63)))).alias("cls")), "jaccard-classes")
 
 
@@ -389,11 +401,11 @@ def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> Data
     classes = _classes(sig)
     members = classes.select("cls", "idk", "hash")
     bits = [f"b{i}" for i in range(BITMAP)]
-    reps = sig.select("idk", "hash", "size", "prefix", "prefix_digest", *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(BITMAP)]) \
-        .join(members.hint("merge"), ["idk", "hash"]).dropDuplicates(["cls"])
     # groups: classes of identical prefix and size; a group is known by its smallest class
-    groups = reps.groupBy("size", "prefix_digest").agg(F.min("cls").alias("grp"))
-    reps = materialise(reps.join(groups.hint("merge"), ["size", "prefix_digest"]).drop("prefix_digest"), "jaccard-groups")
+    groups = classes.groupBy("size", "prefix_digest").agg(F.min("cls").alias("grp"))
+    grouped = classes.join(groups.hint("merge"), ["size", "prefix_digest"]).select("cls", "idk", "hash", "grp")
+    reps = sig.select("idk", "hash", "size", "prefix", *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(BITMAP)])
+    reps = materialise(reps.join(grouped.hint("merge"), ["idk", "hash"]).dropDuplicates(["cls"]), "jaccard-groups")
     entry = reps.filter("cls = grp").select("grp", "size", F.explode("prefix").alias("token"))
     shared_tokens = entry.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("grp").alias("center")).filter("n > 1")
     shared_tokens = materialise(shared_tokens, "jaccard-tokens")
@@ -433,15 +445,17 @@ def _linked(rows: DataFrame, width: int, num: int, den: int, heavy: int) -> Data
                     & (F.col("x.label") != F.col("y.label")) & _overlap_ok("x", "y", num, den)) \
         .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
     rest = materialise(rest.unionAll(within).distinct(), "jaccard-rest")
-    more = materialise(_verify(rest, sets(rest), num, den), "jaccard-links")
-
-    # components over components: links of the second step join labels of the first
     label_of = labelled.select("cls", "label")
-    joined = more.join(label_of.select(F.col("cls").alias("a"), F.col("label").alias("la")).hint("merge"), "a") \
-        .join(label_of.select(F.col("cls").alias("b"), F.col("label").alias("lb")).hint("merge"), "b") \
-        .select(F.col("la").alias("a"), F.col("lb").alias("b"))
-    top = components(joined).select(F.col("node").alias("label"), F.col("label").alias("top"))
-    final = label_of.join(top.hint("merge"), "label", "left").select("cls", F.coalesce("top", "label").alias("comp"))
+    if rest.isEmpty():
+        final = label_of.withColumnRenamed("label", "comp")
+    else:
+        more = materialise(_verify(rest, sets(rest), num, den), "jaccard-links")
+        # components over components: links of the second step join labels of the first
+        joined = more.join(label_of.select(F.col("cls").alias("a"), F.col("label").alias("la")).hint("merge"), "a") \
+            .join(label_of.select(F.col("cls").alias("b"), F.col("label").alias("lb")).hint("merge"), "b") \
+            .select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        top = components(joined).select(F.col("node").alias("label"), F.col("label").alias("top"))
+        final = label_of.join(top.hint("merge"), "label", "left").select("cls", F.coalesce("top", "label").alias("comp"))
     final = materialise(final.join(classes.hint("merge"), "cls").select("comp", "size", "digest", "least"), "jaccard-final")
     least = final.groupBy("comp").agg(F.min("least").alias("component"))
     by_set = materialise(final.join(least.hint("merge"), "comp").select("size", "digest", "comp", "component"), "jaccard-components")

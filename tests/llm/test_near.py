@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 import re
 
@@ -126,6 +127,32 @@ def test_components(spark):
     assert got == {k: label[k] for k in linked}
 
 
+def test_order_is_small_on_the_driver(spark):
+    """What the driver holds and broadcasts follows what repeats; it had 16 MB for any corpus."""
+    texts = ["a b c d e", "b c d x", "b c d y", None, ""]
+    docs = ngram_join._keyed(frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), "doc_id", "text")
+    order = ngram_join.shingle_order(docs, 3)
+    sent = pickle.dumps(order)
+    assert len(sent) < 100_000
+    back = pickle.loads(sent)
+    assert len(back.sieve) == 1 << (ngram_join.SIEVE_BITS - 3)
+    first, again = ngram_join.shingle_set(b"a b c d e", 3), ngram_join.shingle_set(b"b c d", 3)
+    single, shared = back.prefix(first, len(first))
+    assert shared.tolist() == again.tolist() and single.tolist() == [x for x in first.tolist() if x != again[0]]
+
+
+def test_nothing_left_to_compare_writes_nothing_more(spark, monkeypatch):
+    written = []
+    write = ngram_join.materialise
+    monkeypatch.setattr(ngram_join, "materialise", lambda df, name: written.append(name) or write(df, name))
+    assert ngram_join.components(spark.createDataFrame([], "a long, b long")).collect() == []
+    assert written == ["cc-edges"]
+    written.clear()
+    data = [(1, "p q r s t"), (2, "u v w x y"), (3, "p q r s t"), (4, "")]
+    assert classes(spark, data) == sorted(map(repr, brute_components(data, 3, 9, 10)))
+    assert written.count("cc-edges") == 1 and written.count("jaccard-links") == 1
+
+
 def one(spark, texts, *cols):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
     return [r.fp for r in fingerprint.with_fingerprint(df, F.col("text"), "fp").orderBy("id").collect()]
